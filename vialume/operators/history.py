@@ -18,12 +18,12 @@ SPARK_BARS = 20
 MIN_BAR = 10
 
 
-def _as_day(day: dt.date | str) -> dt.datetime:
+def as_day(day: dt.date | str) -> dt.datetime:
     day = dt.date.fromisoformat(day) if isinstance(day, str) else day
     return dt.datetime(day.year, day.month, day.day)
 
 
-def _like(df: DataFrame, ts: str, moment: dt.datetime) -> Column:
+def same_type(df: DataFrame, ts: str, moment: dt.datetime) -> Column:
     """``moment`` (UTC wall clock) as a literal of the type of ``ts``, so that nothing wraps the
     column and the filter reaches the file scan."""
     text = moment.isoformat(sep=" ")
@@ -34,13 +34,13 @@ def _like(df: DataFrame, ts: str, moment: dt.datetime) -> Column:
 def history_minutes(df: DataFrame, now: dt.datetime, minutes: int = DEFAULT_MINUTES, ts: str = "ts") -> DataFrame:
     """Rows of the last ``minutes`` before ``now``, oldest first; a day at most."""
     since = now - dt.timedelta(minutes=min(minutes, MAX_MINUTES))
-    return df.filter(F.col(ts) > _like(df, ts, since)).orderBy(ts)
+    return df.filter(F.col(ts) > same_type(df, ts, since)).orderBy(ts)
 
 
 def in_days(df: DataFrame, first: dt.date | str, last: dt.date | str, ts: str = "ts") -> DataFrame:
     """Rows from the start of ``first`` to the end of ``last``."""
-    end = _as_day(last) + dt.timedelta(days=1)
-    return df.filter((F.col(ts) >= _like(df, ts, _as_day(first))) & (F.col(ts) < _like(df, ts, end)))
+    end = as_day(last) + dt.timedelta(days=1)
+    return df.filter((F.col(ts) >= same_type(df, ts, as_day(first))) & (F.col(ts) < same_type(df, ts, end)))
 
 
 def history_range(
@@ -152,7 +152,7 @@ def recent_windows(
     """Windows of the last ``minutes`` if given and not 0, else the newest ``n``; oldest first."""
     if minutes:
         since = now - dt.timedelta(minutes=minutes)
-        return windows.filter(F.col(order[0]) >= _like(windows, order[0], since)).orderBy(*order)
+        return windows.filter(F.col(order[0]) >= same_type(windows, order[0], since)).orderBy(*order)
     return windows.orderBy(*[F.desc(c) for c in order]).limit(n).orderBy(*order)
 
 

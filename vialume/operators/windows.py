@@ -41,8 +41,8 @@ def window_starts(pane: Column, duration: int, slide: int) -> Column:
     """Starts, in microseconds, of all windows that contain a pane."""
     span, step, width = duration * _MICROS, slide * _MICROS, pane_seconds(duration, slide) * _MICROS
     newest = pane - F.pmod(pane, F.lit(step))
-    copies = -(-span // step)
-    starts = F.transform(F.sequence(F.lit(0), F.lit(copies - 1)), lambda k: newest - k * F.lit(step))
+    oldest = newest - F.lit((-(-span // step) - 1) * step)
+    starts = F.sequence(oldest, newest, F.lit(step).cast("long"))
     return F.filter(starts, lambda s: s + F.lit(span) >= pane + F.lit(width))
 
 
@@ -107,7 +107,7 @@ def trend_of(samples_first: Column, samples_last: Column, n: Column) -> Column:
     return trend_label(n, mean(newest), mean(oldest))
 
 
-def merge_panes(group: GroupedData) -> DataFrame:
+def merge_panes(group: GroupedData, *extra: Column) -> DataFrame:
     """Combine the pane rows of a grouping (keys and window) into partial window rows."""
     return group.agg(
         F.sum("n").alias("n_samples"),
@@ -116,6 +116,7 @@ def merge_panes(group: GroupedData) -> DataFrame:
         *[F.sum(name).alias(name) for name in N_STATES],
         F.flatten(F.collect_list("first")).alias("first"),
         F.flatten(F.collect_list("last")).alias("last"),
+        *extra,
     )
 
 
