@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -73,13 +72,18 @@ def adapt_zone(zone: Zone, letterbox: Column) -> Rect:
 def adapt_polygon(letterbox: Column, polygon: Sequence[tuple[int, int]] = MASK_POLYGON) -> Column:
     """Polygon corners in a letterboxed frame, in single precision, each clipped to the frame."""
 
-    def fit(value: int, axis: str) -> Column:
+    single = "float"
+
+    def fit(value: Column, axis: str) -> Column:
         stretch, scale, pad, target = _axis(letterbox, axis)
-        placed = F.lit(float(value)).cast("float") * stretch.cast("float") * scale.cast("float")
-        placed = placed + pad.cast("float")
-        return F.least(F.greatest(placed, F.lit(0.0).cast("float")), F.lit(float(target - 1)).cast("float")).cast("int")
+        placed = value * stretch.cast(single) * scale.cast(single) + pad.cast(single)
+        inside = F.least(F.greatest(placed, F.lit(0.0).cast(single)), F.lit(float(target - 1)).cast(single))
+        return inside.cast("int")
 
-    return F.array(*[F.struct(fit(x, "x").alias("x"), fit(y, "y").alias("y")) for x, y in polygon])
+    corners = F.array(*[
+        F.struct(F.lit(float(x)).cast(single).alias("x"), F.lit(float(y)).cast(single).alias("y")) for x, y in polygon
+    ])
+    return F.transform(corners, lambda p: F.struct(fit(p["x"], "x").alias("x"), fit(p["y"], "y").alias("y")))
 
 
 def area(box: Rect) -> Column:
@@ -120,12 +124,24 @@ def center_in(box: Rect, zone: Rect) -> Column:
 
 
 def in_polygon(x: Column, y: Column, polygon: Sequence[tuple[int, int]] = MASK_POLYGON) -> Column:
-    """Even-odd test: an odd number of polygon edges lies to the right of the point."""
-    crossings = []
-    for (ax, ay), (bx, by) in zip(polygon, [*polygon[1:], polygon[0]]):
-        if ay == by:
-            continue
-        low, high = min(ay, by), max(ay, by)
-        edge_x = F.lit(float(bx - ax)) * (y - F.lit(ay)) / F.lit(float(by - ay)) + F.lit(ax)
-        crossings.append(((y >= low) & (y < high) & (x < edge_x)).cast("int"))
-    return reduce(lambda a, b: a + b, crossings) % 2 == 1
+    """Even-odd test: an odd number of polygon edges lies to the right of the point.
+
+    Corners are whole numbers, so all points of one pixel row cross the same edges. The edges are
+    listed per row in a constant, and a point is tested against the few of its own row.
+    """
+    edges = [(a, b) for a, b in zip(polygon, [*polygon[1:], polygon[0]]) if a[1] != b[1]]
+    top, bottom = min(y for _, y in polygon), max(y for _, y in polygon)
+
+    def crossing(row: int) -> str:
+        found = [
+            f"named_struct('ax', {ax}D, 'ay', {ay}D, 'dx', {bx - ax}D, 'dy', {by - ay}D)"
+            for (ax, ay), (bx, by) in edges if min(ay, by) <= row < max(ay, by)
+        ]
+        return f"array({', '.join(found)})"
+
+    rows = F.expr(f"array({', '.join(crossing(row) for row in range(top, bottom))})")
+    mine = F.get(rows, (F.floor(y) - F.lit(top)).cast("int"))
+    to_the_right = F.aggregate(
+        mine, F.lit(0), lambda n, e: n + (x < e["dx"] * (y - e["ay"]) / e["dy"] + e["ax"]).cast("int")
+    )
+    return F.coalesce(to_the_right % 2 == 1, F.lit(False))

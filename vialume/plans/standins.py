@@ -152,7 +152,7 @@ ZONES_SQL = "zones(ord, zone, zx1, zy1, zx2, zy2) AS (VALUES " + ", ".join(
     f"({z.ord}, '{z.name}', {z.x1}, {z.y1}, {z.x2}, {z.y2})" for z in ZONES
 ) + ")"
 
-EDGES_SQL = "edges(ax, ay, bx, by) AS (VALUES " + ", ".join(
+EDGES_SQL = "edges(ax, ay, ex, ey) AS (VALUES " + ", ".join(
     f"({ax}, {ay}, {bx}, {by})" for (ax, ay), (bx, by) in zip(MASK_POLYGON, [*MASK_POLYGON[1:], MASK_POLYGON[0]])
 ) + ")"
 
