@@ -4,7 +4,7 @@ from importlib import import_module
 
 from vialume.plans.registry import REGISTRY, Query
 
-MODULES = ("traffic", "vision")
+MODULES = ("traffic", "vision", "labels", "learning", "streams")
 
 
 def all_queries() -> dict[str, Query]:

@@ -24,11 +24,11 @@ def _day() -> Column:
 def _header_variants(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """Header line -> files that start with it. One short line per file reaches the driver; the
     number of files is that of the label files of the days."""
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    first = (
-        lines.filter((F.col("file_block_start") == 0) & F.col("value").contains("filename") & F.col("value").contains("estado"))
-        .groupBy("file_path").agg(F.first("value").alias("header"))
+    lines = spark.read.text(path).select(
+        "value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")
     )
+    head = (F.col("file_block_start") == 0) & F.col("value").contains("filename") & F.col("value").contains("estado")
+    first = lines.filter(head).groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
     grouped = first.groupBy("header").agg(F.collect_list("file_path").alias("files"))
     return {row["header"].lstrip("﻿"): row["files"] for row in grouped.toLocalIterator()}
 
@@ -64,8 +64,7 @@ def write_labels(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errori
 def read_counts(spark: SparkSession, root: str, pattern: str = "*/yolo/counts.json", lines: bool = False) -> DataFrame:
     """(fecha, filename, vehicle_count) of count maps; one JSON object per file, or per line."""
     text = spark.read.text(f"{root}/{pattern}", wholetext=not lines).select("value", _day().alias("fecha"))
-    pairs = text.select("fecha", F.explode(F.from_json("value", "map<string,int>")).alias("filename", "vehicle_count"))
-    return pairs
+    return text.select("fecha", F.explode(F.from_json("value", "map<string,int>")).alias("filename", "vehicle_count"))
 
 
 def write_counts(df: DataFrame, path: str, per_object: int = 250) -> None:
