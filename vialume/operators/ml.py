@@ -91,7 +91,7 @@ def cross_validate(
     trees: Sequence[int] = GRID_TREES,
     depths: Sequence[int] = GRID_DEPTHS,
     folds: int = FOLDS,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> CrossValidatorModel:
     """Search trees and depth by accuracy over the folds. The input is kept for the many fits."""
     learner = forest()

@@ -14,6 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream. The bracket makes the path a pattern, which may match a single file
+    as well as a folder; a plain path would have to be a folder."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/[{name[0]}]{name[1:]}.parquet")
+
+
 # ---- detections: one row per processed frame, four cameras -----------------------------------
 
 def raw_counts(events: DataFrame) -> DataFrame:

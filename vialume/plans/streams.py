@@ -8,7 +8,7 @@ from vialume.config import VISUAL_FEATURES
 from vialume.operators import ml
 from vialume.plans.registry import query
 from vialume.plans.standins import (
-    CAMERA_FRAMES, DET, SCORE, WINDOW_COLUMNS, camera_frames, detections, feature_rows, raw_counts, table, windows_sql,
+    CAMERA_FRAMES, DET, SCORE, WINDOW_COLUMNS, camera_frames, detections, feature_rows, raw_counts, stream_table, windows_sql,
 )
 from vialume.plans.traffic import LONG, RECENT, STARTS, STEP
 from vialume.session import scratch_path
@@ -21,8 +21,7 @@ _CLOSED = "window_end <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM det)"
 
 def event_stream(spark, sf_dir):
     """``events`` as a stream of raw counts."""
-    path = f"{sf_dir}/events.parquet"
-    return raw_counts(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
+    return raw_counts(stream_table(spark, sf_dir, "events"))
 
 
 def _run(df, sink, root):
@@ -66,8 +65,7 @@ def stream_collapse_starts(spark, sf_dir):
   (SELECT *, lag(md5) OVER (PARTITION BY camera_id ORDER BY ts, frame_id) AS p FROM cam) WHERE p IS DISTINCT FROM md5""")
 def stream_drop_unchanged(spark, sf_dir):
     root = scratch_path(spark, "unchanged")
-    path = f"{sf_dir}/events.parquet"
-    frames = camera_frames(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path))
+    frames = camera_frames(stream_table(spark, sf_dir, "events"))
     jobs.stream_drop_unchanged(frames, f"{root}/table", f"{root}/checkpoint").awaitTermination()
     return scan_batches(spark, f"{root}/table").select("camera_id", "frame_id", "ts", "md5")
 
