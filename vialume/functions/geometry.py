@@ -86,20 +86,25 @@ def adapt_polygon(letterbox: Column, polygon: Sequence[tuple[int, int]] = MASK_P
     return F.transform(corners, lambda p: F.struct(fit(p["x"], "x").alias("x"), fit(p["y"], "y").alias("y")))
 
 
+def _exact(value: Column) -> Column:
+    """Whole pixels as doubles: exact, and cheaper than integers, which are checked for overflow."""
+    return value.cast("double")
+
+
 def area(box: Rect) -> Column:
-    return (box.x2 - box.x1) * (box.y2 - box.y1)
+    return (_exact(box.x2) - _exact(box.x1)) * (_exact(box.y2) - _exact(box.y1))
 
 
 def intersection(a: Rect, b: Rect) -> Column:
     """Shared area of two rectangles; 0 when they only touch or lie apart."""
-    width = F.least(a.x2, b.x2) - F.greatest(a.x1, b.x1)
-    height = F.least(a.y2, b.y2) - F.greatest(a.y1, b.y1)
-    return F.when((width > 0) & (height > 0), width * height).otherwise(F.lit(0))
+    width = _exact(F.least(a.x2, b.x2)) - _exact(F.greatest(a.x1, b.x1))
+    height = _exact(F.least(a.y2, b.y2)) - _exact(F.greatest(a.y1, b.y1))
+    return F.greatest(width, F.lit(0.0)) * F.greatest(height, F.lit(0.0))
 
 
 def overlap_ratio(box: Rect, zone: Rect) -> Column:
     """Part of the box that lies in the zone."""
-    return intersection(box, zone).cast("double") / F.greatest(area(box), F.lit(1))
+    return intersection(box, zone) / F.greatest(area(box), F.lit(1.0))
 
 
 def iou(a: Rect, b: Rect, variant: str = "live") -> Column:
@@ -107,19 +112,21 @@ def iou(a: Rect, b: Rect, variant: str = "live") -> Column:
 
     ``live`` lifts each area to at least 1; ``offline`` keeps areas and adds 1e-6 below the line.
     """
-    shared = intersection(a, b).cast("double")
+    shared = intersection(a, b)
     if variant == "live":
-        below = F.greatest(area(a), F.lit(1)) + F.greatest(area(b), F.lit(1)) - shared
-    elif variant == "offline":
-        below = area(a) + area(b) - shared + F.lit(1e-6)
-    else:
-        raise ValueError(f"unknown variant: {variant}")
-    return F.when(shared > 0, shared / below).otherwise(F.lit(0.0))
+        return shared / (F.greatest(area(a), F.lit(1.0)) + F.greatest(area(b), F.lit(1.0)) - shared)
+    if variant == "offline":
+        return shared / (area(a) + area(b) - shared + F.lit(1e-6))
+    raise ValueError(f"unknown variant: {variant}")
+
+
+def center(box: Rect) -> tuple[Column, Column]:
+    return (_exact(box.x1) + _exact(box.x2)) / 2, (_exact(box.y1) + _exact(box.y2)) / 2
 
 
 def center_in(box: Rect, zone: Rect) -> Column:
     """True when the box's centre is in the zone, edges included."""
-    cx, cy = (box.x1 + box.x2) / 2, (box.y1 + box.y2) / 2
+    cx, cy = center(box)
     return cx.between(zone.x1, zone.x2) & cy.between(zone.y1, zone.y2)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from vialume.config import (
     BEST_ZONE_MIN_OVERLAP, COUNT_MIN_OVERLAP, MASK_POLYGON, MIN_CONFIDENCE, VEHICLE_CLASSES, ZONES, Zone,
 )
-from vialume.functions.geometry import Rect, center_in, in_polygon, overlap_ratio, rect, zone_rect
+from vialume.functions.geometry import center, center_in, in_polygon, overlap_ratio, rect, zone_rect
 
 
 def vehicles_only(boxes: DataFrame, classes: Sequence[int] = tuple(VEHICLE_CLASSES)) -> DataFrame:
@@ -27,9 +27,7 @@ def min_conf(boxes: DataFrame, threshold: float = MIN_CONFIDENCE) -> DataFrame:
 
 def in_mask(boxes: DataFrame, polygon: Sequence[tuple[int, int]] = MASK_POLYGON) -> DataFrame:
     """Boxes whose centre is inside the road polygon."""
-    return boxes.withColumns({
-        "__cx": (F.col("x1") + F.col("x2")) / 2, "__cy": (F.col("y1") + F.col("y2")) / 2,
-    }).filter(in_polygon(F.col("__cx"), F.col("__cy"), polygon)).drop("__cx", "__cy")
+    return boxes.filter(in_polygon(*center(rect()), polygon))
 
 
 def _hits(zones: Sequence[Zone], letterbox: Column | None) -> list[tuple[Zone, Column]]:
@@ -67,27 +65,30 @@ def zone_counts(boxes: DataFrame, frames: DataFrame | None = None, zones: Sequen
     return wide.select(frame, counts.alias("roi_counts"), total.cast("int").alias("vehicle_count"))
 
 
-def best_zone(box: Rect, zones: Sequence[Zone] = ZONES, threshold: float = BEST_ZONE_MIN_OVERLAP) -> Column:
-    """Struct (zone, overlap) with the largest overlap, or null below the threshold.
+def with_best_zone(boxes: DataFrame, zones: Sequence[Zone] = ZONES, threshold: float = BEST_ZONE_MIN_OVERLAP) -> DataFrame:
+    """Add ``zone`` and ``overlap`` of the zone that each box overlaps most.
 
-    Equal overlaps go to the zone that comes first.
+    Equal overlaps go to the zone that comes first. Below the threshold ``zone`` is null.
     """
-    ranked = [
-        F.struct(overlap_ratio(box, zone_rect(z)).alias("overlap"), F.lit(-z.ord).alias("o"), F.lit(z.name).alias("zone"))
-        for z in zones
-    ]
-    top = F.greatest(*ranked) if len(ranked) > 1 else ranked[0]
-    enough = (top["overlap"] > 0) & (top["overlap"] >= threshold)
-    return F.when(enough, F.struct(top["zone"].alias("zone"), top["overlap"].alias("overlap")))
+    ratios = {f"__r{z.ord}": overlap_ratio(rect(), zone_rect(z)) for z in zones}
+    most = F.greatest(F.lit(0.0), *[F.col(r) for r in ratios])
+    enough = (F.col("overlap") > 0) & (F.col("overlap") >= threshold)
+    first, *others = sorted(zones)
+    winner = F.when(F.col(f"__r{first.ord}") == F.col("overlap"), first.name)
+    for z in others:
+        winner = winner.when(F.col(f"__r{z.ord}") == F.col("overlap"), z.name)
+    rated = boxes.withColumns(ratios).withColumn("overlap", most)
+    return rated.select(*boxes.columns, F.when(enough, winner).alias("zone"), "overlap")
 
 
 def assign_best_zone(boxes: DataFrame, zones: Sequence[Zone] = ZONES, threshold: float = BEST_ZONE_MIN_OVERLAP) -> DataFrame:
-    """Boxes with the one zone they overlap most; boxes below the threshold are left out."""
-    return (
-        boxes.withColumn("__best", best_zone(rect(), zones, threshold))
-        .filter(F.col("__best").isNotNull())
-        .select(*boxes.columns, "__best.zone", "__best.overlap")
-    )
+    """Boxes with the one zone they overlap most; boxes below the threshold are left out.
+
+    Unfit boxes are dropped by a generator. A filter would move below the projections, and
+    all overlaps would be worked out twice.
+    """
+    rated = with_best_zone(boxes, zones, threshold)
+    return rated.select(*boxes.columns, F.inline(F.when(F.col("zone").isNotNull(), F.array(F.struct("zone", "overlap")))))
 
 
 def overlapping(boxes: DataFrame, zones: Sequence[Zone] = ZONES, threshold: float = COUNT_MIN_OVERLAP) -> DataFrame:
@@ -107,7 +108,8 @@ def count_overlapping(boxes: DataFrame, zones: Sequence[Zone] = ZONES, threshold
 def detection_report(boxes: DataFrame, zones: Sequence[Zone] = ZONES, frame: str = "frame_id") -> DataFrame:
     """Per frame: all boxes, vehicles, others, vehicles without a zone, counts by best zone, total."""
     vehicle = F.col("cls").isin(*VEHICLE_CLASSES)
-    placed = boxes.select(frame, vehicle.alias("vehicle"), F.when(vehicle, best_zone(rect(), zones)["zone"]).alias("zone"))
+    rated = with_best_zone(boxes, zones)
+    placed = rated.select(frame, vehicle.alias("vehicle"), F.when(vehicle, F.col("zone")).alias("zone"))
     return placed.groupBy(frame).agg(
         F.count(F.lit(1)).alias("n_boxes"),
         F.count_if("vehicle").alias("n_vehicles"),
