@@ -64,10 +64,8 @@ def nms(
 
     ensure_checkpoint_dir(boxes.sparkSession)
     large = large.checkpoint()
-    few = large.count() <= BROADCAST_GROUPS
-    side = F.broadcast(large) if few else large
-    rest = _small(boxes.join(side, keys, "left_anti"), threshold, variant, keys, conf, tie)
-    kept = _rounds(boxes.join(side, keys, "left_semi"), threshold, variant, keys, conf, tie, block)
+    rest = _small(_meet(boxes, large, keys, tie, "left_anti"), threshold, variant, keys, conf, tie)
+    kept = _rounds(_meet(boxes, large, keys, tie, "left_semi"), threshold, variant, keys, conf, tie, block)
     return rest.unionByName(kept)
 
 
@@ -114,16 +112,16 @@ def _rounds(hot, threshold, variant, keys, conf, tie, block) -> DataFrame:
 
         after = F.struct((-F.col(conf)).alias("p"), F.col(tie).alias("t")) > F.col("__end")
         free = ~F.exists(_KEEP, lambda k: covers(k, F.struct("x1", "y1", "x2", "y2")))
-        left = _attach(left, step, keys, tie).filter(after & free).select(*left.columns).checkpoint()
+        left = _meet(left, step, keys, tie, "inner").filter(after & free).select(*left.columns).checkpoint()
     flat = reduce(DataFrame.unionByName, survivors)
     return flat.select(*[F.col(c) if c in keys else F.col(f"b.{c}") for c in hot.columns])
 
 
-def _attach(left: DataFrame, step: DataFrame, keys: list[str], tie: str) -> DataFrame:
-    """Bring each group's kept boxes to its rows: broadcast while the groups are few, else by a
-    join on a salted key, so that the rows of one group meet in many tasks."""
-    if step.count() <= BROADCAST_GROUPS:
-        return left.join(F.broadcast(step), keys)
-    salted = left.withColumn("__salt", F.pmod(F.xxhash64(tie), F.lit(SPREAD)))
-    copies = step.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).cast("long"))
-    return salted.join(copies, [*keys, "__salt"]).drop("__salt")
+def _meet(rows: DataFrame, groups: DataFrame, keys: list[str], tie: str, how: str) -> DataFrame:
+    """Join rows with stored group rows: a broadcast while the groups are few, else a join on a
+    salted key, so that the rows of one group meet in many tasks."""
+    if groups.count() <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(groups), keys, how)
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(tie), F.lit(SPREAD)))
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))
+    return salted.join(groups.withColumn("__salt", F.explode(salts)), [*keys, "__salt"], how).drop("__salt")

@@ -47,8 +47,10 @@ def read_labels(spark: SparkSession, root: str, pattern: str = "*/labels.csv") -
     if not days:
         return spark.createDataFrame([], LABEL_SCHEMA.replace("vehicle_count string", "vehicle_count int") + ", fecha string")
     rows = union_days(days)
-    count = F.col("vehicle_count").try_cast("int") if "vehicle_count" in rows.columns else F.lit(None).cast("int")
-    return rows.withColumn("vehicle_count", F.coalesce(count, F.lit(0)))
+    known = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in LABEL_FIELDS}
+    known["vehicle_count"] = F.coalesce(known["vehicle_count"].try_cast("int"), F.lit(0))
+    others = [c for c in rows.columns if c not in known]
+    return rows.select(*[col.alias(c) for c, col in known.items()], *others)
 
 
 def write_labels(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:
