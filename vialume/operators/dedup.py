@@ -17,6 +17,12 @@ def with_md5(frames: DataFrame, content: str = "content", out: str = "md5") -> D
     return frames.withColumn(out, F.md5(content)).drop(content)
 
 
+def store_md5(frames: DataFrame, path: str, content: str = "content") -> DataFrame:
+    """Hashes of all frames as a stored table, so that later steps never read the contents again."""
+    with_md5(frames, content).write.parquet(path)
+    return frames.sparkSession.read.parquet(path)
+
+
 def drop_unchanged(
     frames: DataFrame,
     keys: Sequence[str] = ("camera_id",),

@@ -33,20 +33,20 @@ def time_cuts(df: DataFrame, ts: str = "ts", slices: int | None = None) -> list[
     if slices == 1:
         return []
     probabilities = [i / slices for i in range(1, slices)]
-    micros = df.select(epoch_us(ts).cast("double").alias("us"))
-    return sorted(set(micros.approxQuantile("us", probabilities, 1 / (2 * slices))))
+    found = df.agg(F.percentile_approx(epoch_us(ts), probabilities, 4 * slices)).first()[0]
+    return sorted({float(cut) for cut in found or []})
 
 
 def with_slice(df: DataFrame, ts: str, cuts: Sequence[float]) -> DataFrame:
     """Add the slice number of each row."""
     if not cuts:
-        return df.withColumn(SLICE, F.lit(0.0))
+        return df.withColumn(SLICE, F.lit(0))
     micros = "__us"
     splits = [float("-inf"), *cuts, float("inf")]
     placed = Bucketizer(splits=splits, inputCol=micros, outputCol=SLICE).transform(
         df.withColumn(micros, epoch_us(ts).cast("double"))
     )
-    return placed.drop(micros)
+    return placed.drop(micros).withColumn(SLICE, F.col(SLICE).cast("int"))
 
 
 def with_previous(
@@ -97,7 +97,7 @@ def _neighbour(df, keys, order, value, out, cuts, initial, forward) -> DataFrame
     handed = sliced.groupBy(*keys, SLICE).agg(pick(boxed, F.struct(*order)).alias("__last"))
     if initial is not None:
         before = initial.select(
-            *keys, F.lit(-1.0).alias(SLICE), F.struct(F.col("v")).alias("__last")
+            *keys, F.lit(-1).alias(SLICE), F.struct(F.col("v")).alias("__last")
         )
         handed = handed.unionByName(before)
     across = Window.partitionBy(*keys).orderBy(*sort([SLICE]))

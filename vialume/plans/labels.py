@@ -118,7 +118,7 @@ def merge_counts(spark, sf_dir):
 @query("E2", f"""WITH {s.HASHED} SELECT fecha, filename, md5, min(filename) OVER (PARTITION BY fecha, md5) AS kept_name,
   filename <> min(filename) OVER (PARTITION BY fecha, md5) AS is_duplicate FROM hsh""")
 def dedup_content(spark, sf_dir):
-    return dedup.dedup_content(dedup.with_md5(s.hashed_frames(spark, sf_dir)))
+    return dedup.dedup_content(dedup.store_md5(s.hashed_frames(spark, sf_dir), scratch_path(spark, "hashes")))
 
 
 @query("E2", f"WITH {s.HASHED} SELECT fecha, min(filename) AS filename, md5 FROM hsh GROUP BY fecha, md5")
