@@ -139,8 +139,10 @@ def overlap_ratios(spark, sf_dir):
     return boxes(spark, sf_dir).select("frame_id", "box_id", F.inline(ratios))
 
 
-BEST = f"""rat AS (SELECT *, {RATIO} AS overlap FROM boxes, zones),
-best AS (SELECT * FROM rat QUALIFY row_number() OVER (PARTITION BY frame_id, box_id ORDER BY overlap DESC, ord) = 1)"""
+# Two lines of an order may be alike in all their columns, so each row gets a number of its own.
+BEST = f"""num AS MATERIALIZED (SELECT *, row_number() OVER () AS row FROM boxes),
+rat AS (SELECT *, {RATIO} AS overlap FROM num, zones),
+best AS (SELECT * FROM rat QUALIFY row_number() OVER (PARTITION BY row ORDER BY overlap DESC, ord) = 1)"""
 
 
 @query("C8", f"WITH {BOXES}, {ZONES_SQL}, {BEST} SELECT frame_id, box_id, zone, overlap FROM best WHERE overlap >= 0.25::DOUBLE")
@@ -148,8 +150,9 @@ def assign_best_zone(spark, sf_dir):
     return ops.assign_best_zone(boxes(spark, sf_dir)).select("frame_id", "box_id", "zone", "overlap")
 
 
-@query("C9", f"""WITH {BOXES}, {ZONES_SQL} SELECT frame_id, count(*) FILTER (hit) AS vehicle_count FROM
-  (SELECT frame_id, box_id, bool_or({RATIO} >= 0.5::DOUBLE) AS hit FROM boxes, zones GROUP BY frame_id, box_id) GROUP BY frame_id""")
+@query("C9", f"""WITH {BOXES}, {ZONES_SQL}, num AS MATERIALIZED (SELECT *, row_number() OVER () AS row FROM boxes)
+  SELECT frame_id, count(*) FILTER (hit) AS vehicle_count FROM
+  (SELECT frame_id, row, bool_or({RATIO} >= 0.5::DOUBLE) AS hit FROM num, zones GROUP BY frame_id, row) GROUP BY frame_id""")
 def count_overlapping(spark, sf_dir):
     return ops.count_overlapping(boxes(spark, sf_dir))
 
