@@ -62,13 +62,13 @@ def run(df, sink, checkpoint):
 
 def test_windows_of_a_stream_equal_those_of_the_batch(spark, feed, history, tmp_path):
     """Several micro-batches and a restart; every closed window comes once."""
-    out = str(tmp_path / "out")
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
     for part in (history[:40], history[40:80]):
         feed.add(part)
-    stream = jobs.stream_windows(feed.events(), 300, 60)
-    run(stream, write_windows(out), tmp_path / "cp")
+    jobs.stream_windows(feed.events(), out, cp, 300, 60).awaitTermination()
     feed.add(history[80:])
-    run(jobs.stream_windows(feed.events(), 300, 60), write_windows(out), tmp_path / "cp")
+    jobs.stream_windows(feed.events(), out, cp, 300, 60).awaitTermination()
+    assert [r.late for r in jobs.late_rows(spark, cp).collect()] == [0, 0, 0]
 
     got = scan_windows(spark, out)
     newest = max(m["timestamp"] for m in history)
@@ -79,13 +79,36 @@ def test_windows_of_a_stream_equal_those_of_the_batch(spark, feed, history, tmp_
     assert got.count() > 30
 
 
-def test_late_rows_are_left_out(spark, feed, tmp_path):
+def test_native_statistics_equal_those_of_the_batch(spark, feed, history, tmp_path):
+    out = str(tmp_path / "out")
+    for part in (history[:60], history[60:]):
+        feed.add(part)
+    run(jobs.stream_window_stats(feed.events(), 300, 60), write_windows(out), tmp_path / "cp")
+    got = scan_batches(spark, out)
+    newest = max(m["timestamp"] for m in history)
+    closed = F.lit(newest).cast("timestamp") - F.expr("INTERVAL 1 MINUTE")
+    want = windows.sliding_windows(batch(spark, history), 300, 60).filter(F.col("window_end") <= closed)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+
+
+def test_late_rows_are_left_out_and_counted(spark, feed, tmp_path):
+    feed.add([message(0, 0, 1), message(1, 1000, 1)])
+    feed.add([message(2, 5, 99), message(3, 930, 7), message(4, 2000, 1)])  # second 5 is too late, 930 is not
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    jobs.stream_windows(feed.events(), out, cp, 60, 60).awaitTermination()
+    rows = {int((r.window_start - T0).total_seconds()): r for r in scan_windows(spark, out).collect()}
+    assert (rows[0].max_vehicles, rows[0].n_samples) == (1, 1)
+    assert (rows[900].max_vehicles, rows[900].n_samples) == (7, 1)
+    assert sorted(r.late for r in jobs.late_rows(spark, cp).collect()) == [0, 1]
+
+
+def test_native_late_rows_are_left_out(spark, feed, tmp_path):
     feed.add([message(0, 0, 1), message(1, 1000, 1)])
     feed.add([message(2, 2000, 1)])
     feed.add([message(3, 5, 99), message(4, 3000, 1)])  # second 5 lies behind the watermark of the batch before
     out = str(tmp_path / "out")
-    run(jobs.stream_windows(feed.events(), 60, 60), write_windows(out), tmp_path / "cp")
-    rows = {r.window_start: r for r in scan_windows(spark, out).collect()}
+    run(jobs.stream_window_stats(feed.events(), 60, 60), write_windows(out), tmp_path / "cp")
+    rows = {r.window_start: r for r in scan_batches(spark, out).collect()}
     assert rows[T0].max_vehicles == 1 and rows[T0].n_samples == 1
 
 
@@ -145,8 +168,10 @@ def test_bad_messages(spark):
 def test_scored_windows_without_a_model(spark, feed, history, tmp_path):
     feed.add(history)
     out = str(tmp_path / "out")
-    closed = jobs.stream_windows(feed.events(), 300, 300, last_sample=("vehicle_count", "hour"))
-    run(jobs.score_last(closed, None), batch_sink(out), tmp_path / "cp")
+    jobs.stream_windows(
+        feed.events(), out, str(tmp_path / "cp"), 300, 300, last_sample=("vehicle_count", "hour"),
+        finish=lambda rows: jobs.score_last(rows, None),
+    ).awaitTermination()
     rows = scan_batches(spark, out).collect()
     assert rows and all(r.estado_predicho == r.estado_ventana for r in rows)
     newest = {}

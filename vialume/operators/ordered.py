@@ -17,20 +17,18 @@ from pyspark.sql import functions as F
 from vialume.functions.calendar import epoch_us
 
 SLICE = "__slice"
-MAX_SLICES = 2000
+SLICES = 2000
 
 
-def time_cuts(df: DataFrame, ts: str = "ts", slices: int | None = None) -> list[float]:
+def time_cuts(df: DataFrame, ts: str = "ts", slices: int = SLICES) -> list[float]:
     """Cut points, in microseconds, that split the rows into slices of about equal size.
 
-    Runs one pass over the time column alone; the result has at most ``MAX_SLICES`` numbers.
+    Runs one pass over the time column alone; the result has ``slices`` numbers at most. Slices
+    cost next to nothing, so there are many, and a hot camera spreads over all of a cluster.
     Where rows pile up in a short time the cuts lie closer together. Wrong guesses of the
     quantile sketch change the balance of the slices only, never a result.
     """
-    if slices is None:
-        slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(1, min(slices, MAX_SLICES))
-    if slices == 1:
+    if slices <= 1:
         return []
     probabilities = [i / slices for i in range(1, slices)]
     found = df.agg(F.percentile_approx(epoch_us(ts), probabilities, 4 * slices)).first()[0]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import gcd
 
-from pyspark.sql import Column, DataFrame, GroupedData, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialume.config import SLIDE_SECONDS, WINDOW_SECONDS
@@ -22,7 +22,6 @@ from vialume.functions.states import dominant_state, state_counts, trend_label
 _MICROS = 1_000_000
 TREND_SAMPLES = 3
 N_STATES = ("n_fluido", "n_denso", "n_colapso")
-_SAMPLE = "struct<us:bigint,tie:bigint,vehicle_count:int>"
 
 
 def pane_seconds(duration: int, slide: int) -> int:
@@ -30,6 +29,11 @@ def pane_seconds(duration: int, slide: int) -> int:
     return gcd(duration, slide)
 
 
+def closing_time(pane: Column, duration: int, slide: int) -> Column:
+    """End, in microseconds, of the last window that contains a pane."""
+    return pane - F.pmod(pane, F.lit(slide * _MICROS)) + F.lit(duration * _MICROS)
+
+
 def pane_start(ts: Column | str, seconds: int) -> Column:
     """Start of the epoch-aligned pane of a timestamp, in microseconds."""
     step = seconds * _MICROS
@@ -46,10 +50,13 @@ def window_starts(pane: Column, duration: int, slide: int) -> Column:
     return F.filter(starts, lambda s: s + F.lit(span) >= pane + F.lit(width))
 
 
-def pane_partials(df: DataFrame, seconds: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def pane_partials(
+    df: DataFrame, seconds: int, keys: Sequence[str], order: Sequence[str], newest: Sequence[str] = ()
+) -> DataFrame:
     """One row per key and pane: counts, sum, maximum and the outermost samples.
 
-    ``order`` holds the timestamp and an integer that breaks ties.
+    ``order`` holds the timestamp and an integer that breaks ties. The columns of ``newest`` are
+    kept from the last row of the pane, in struct ``newest``.
     """
     ts, tie = order
     slim = df.select(
@@ -59,13 +66,16 @@ def pane_partials(df: DataFrame, seconds: int, keys: Sequence[str], order: Seque
         F.col(tie).cast("long").alias("tie"),
         "vehicle_count",
         "estado",
+        *[F.struct(*newest).alias("row")] * bool(newest),
     )
     group = [*keys, "pane"]
+    at = F.struct("us", "tie")
     totals = slim.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("vehicle_count").alias("total"),
         F.max("vehicle_count").alias("peak"),
         *[c.alias(name) for name, c in state_counts(F.col("estado")).items()],
+        *[F.max_by("row", at).alias("newest"), F.max(at).alias("newest_at")] * bool(newest),
     )
 
     # Each row twice, once with the order reversed, so that one ranking finds both ends.
@@ -75,26 +85,34 @@ def pane_partials(df: DataFrame, seconds: int, keys: Sequence[str], order: Seque
     near = Window.partitionBy(*group, "side").orderBy(F.col("us") * F.col("side"), F.col("tie") * F.col("side"))
     outer = sided.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= TREND_SAMPLES)
     sample = F.struct("us", "tie", "vehicle_count")
-
-    none = F.lit(None)
-    parts = totals.withColumns({"first": none.cast(_SAMPLE), "last": none.cast(_SAMPLE)}).unionByName(
-        outer.select(
-            *group,
-            F.when(F.col("side") == 1, sample).alias("first"),
-            F.when(F.col("side") == -1, sample).alias("last"),
-        ),
-        allowMissingColumns=True,
+    ends = outer.select(
+        *group,
+        F.array(F.when(F.col("side") == 1, sample)).alias("first"),
+        F.array(F.when(F.col("side") == -1, sample)).alias("last"),
     )
-    return parts.groupBy(*group).agg(
-        F.sum("n").alias("n"),
-        F.sum("total").alias("total"),
+    return merge_partials(totals.unionByName(ends, allowMissingColumns=True), keys)
+
+
+def merge_partials(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add up partial rows of the same key and pane, of which there are a few each."""
+    outermost = {
+        "first": F.slice(F.array_sort(_samples("first")), 1, TREND_SAMPLES),
+        "last": F.slice(F.sort_array(_samples("last"), asc=False), 1, TREND_SAMPLES),
+    }
+    newest = [F.max_by("newest", "newest_at").alias("newest"), F.max("newest_at").alias("newest_at")]
+    return parts.groupBy(*keys, "pane").agg(
+        *[F.sum(c).alias(c) for c in ("n", "total")],
         F.max("peak").alias("peak"),
         *[F.sum(name).alias(name) for name in N_STATES],
-        F.collect_list("first").alias("first"),
-        F.collect_list("last").alias("last"),
+        *[c.alias(name) for name, c in outermost.items()],
+        *newest * ("newest" in parts.columns),
     )
 
 
+def _samples(column: str) -> Column:
+    return F.array_compact(F.flatten(F.collect_list(column)))
+
+
 def trend_of(samples_first: Column, samples_last: Column, n: Column) -> Column:
     """Trend from arrays that contain the first and the last three samples of a window."""
 
@@ -107,21 +125,8 @@ def trend_of(samples_first: Column, samples_last: Column, n: Column) -> Column:
     return trend_label(n, mean(newest), mean(oldest))
 
 
-def merge_panes(group: GroupedData, *extra: Column) -> DataFrame:
-    """Combine the pane rows of a grouping (keys and window) into partial window rows."""
-    return group.agg(
-        F.sum("n").alias("n_samples"),
-        F.sum("total").alias("total"),
-        F.max("peak").alias("max_vehicles"),
-        *[F.sum(name).alias(name) for name in N_STATES],
-        F.flatten(F.collect_list("first")).alias("first"),
-        F.flatten(F.collect_list("last")).alias("last"),
-        *extra,
-    )
-
-
 def window_columns() -> list[Column]:
-    """The measures of a window row, from the output of :func:`merge_panes`."""
+    """The measures of a window row, from the sums over its panes."""
     state = dominant_state({name: F.col(name) for name in N_STATES})
     return [
         (F.col("total") / F.col("n_samples")).alias("avg_vehicles"),
@@ -146,13 +151,28 @@ def sliding_windows(
     empty windows do not appear. ``estado_predicho`` repeats the dominant state.
     """
     panes = pane_partials(df, pane_seconds(duration, slide), keys, order)
+    return windows_of_panes(panes, duration, slide, keys)
+
+
+def windows_of_panes(panes: DataFrame, duration: int, slide: int, keys: Sequence[str] = ("camera_id",)) -> DataFrame:
+    """Window rows from the rows of :func:`pane_partials`; at most duration / pane rows meet."""
+    extra = "newest" in panes.columns
     spread = panes.withColumn("start", F.explode(window_starts(F.col("pane"), duration, slide)))
-    merged = merge_panes(spread.groupBy(*keys, "start"))
+    merged = spread.groupBy(*keys, "start").agg(
+        F.sum("n").alias("n_samples"),
+        F.sum("total").alias("total"),
+        F.max("peak").alias("max_vehicles"),
+        *[F.sum(name).alias(name) for name in N_STATES],
+        _samples("first").alias("first"),
+        _samples("last").alias("last"),
+        *[F.max_by("newest", "newest_at").alias("newest")] * extra,
+    )
     return merged.select(
         *keys,
         from_epoch_us(F.col("start")).alias("window_start"),
         from_epoch_us(F.col("start") + F.lit(duration * _MICROS)).alias("window_end"),
         *window_columns(),
+        *["newest"] * extra,
     )
 
 

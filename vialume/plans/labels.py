@@ -141,7 +141,7 @@ def labels_from_csv(spark, sf_dir):
     root = scratch_path(spark, "labels")
     files.write_labels(rows.filter(F.col("vehicle_count").isNotNull()), root, mode="append")
     short = rows.filter(F.col("vehicle_count").isNull()).select("fecha", *LABEL_FIELDS[:-1])
-    short.write.partitionBy("fecha").mode("append").csv(root, header=True)
+    short.hint("rebalance", "fecha").write.partitionBy("fecha").mode("append").csv(root, header=True)
     back = files.read_labels(spark, root, "fecha=*/*.csv")
     return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in LABEL_FIELDS[:-1]], "vehicle_count", "fecha")
 

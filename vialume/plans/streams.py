@@ -30,21 +30,30 @@ def _run(df, sink, root):
 
 def _windows(spark, sf_dir, duration, slide):
     root = scratch_path(spark, "windows")
-    closed = jobs.stream_windows(jobs.classify_events(event_stream(spark, sf_dir)), duration, slide)
-    _run(closed, write_windows(f"{root}/table"), root)
+    events = jobs.classify_events(event_stream(spark, sf_dir))
+    jobs.stream_windows(events, f"{root}/table", f"{root}/checkpoint", duration, slide).awaitTermination()
     return scan_windows(spark, f"{root}/table")
 
 
-@query("I1 I2 I3 I4 I5 I7 I8 A8", f"WITH {DET}, {RECENT} SELECT {WINDOW_COLUMNS} FROM win WHERE {_CLOSED}")
+@query("I1 I2 I3 I4 I5 I7 A8", f"WITH {DET}, {RECENT} SELECT {WINDOW_COLUMNS} FROM win WHERE {_CLOSED}")
 def stream_windows(spark, sf_dir):
     return _windows(spark, sf_dir, LONG, STEP)
 
 
-@query("I1 I2 I3 I4 I5 I7 I8 A8", f"WITH {DET}, {windows_sql(300, 30)} SELECT {WINDOW_COLUMNS} FROM win WHERE {_CLOSED}")
+@query("I1 I2 I3 I4 I5 I7 A8", f"WITH {DET}, {windows_sql(300, 30)} SELECT {WINDOW_COLUMNS} FROM win WHERE {_CLOSED}")
 def stream_windows_5min(spark, sf_dir):
     return _windows(spark, sf_dir, 300, 30)
 
 
+@query("I1 I2 I3 I5 I7 I8 A8", f"""WITH {DET}, {RECENT} SELECT camera_id, window_start, window_end, avg_vehicles, max_vehicles, estado_ventana, n_samples
+  FROM win WHERE {_CLOSED}""")
+def stream_window_stats(spark, sf_dir):
+    root = scratch_path(spark, "stats")
+    closed = jobs.stream_window_stats(jobs.classify_events(event_stream(spark, sf_dir)), LONG, STEP)
+    _run(closed, write_windows(f"{root}/table"), root)
+    return scan_batches(spark, f"{root}/table")
+
+
 @query("I11 A7", f"""WITH {DET} SELECT camera_id, event_id, ts, vehicle_count, weekday, hour, minute, is_rush_hour, {SCORE} AS congestion_hour_score,
   CAST(hour BETWEEN 11 AND 16 AS INTEGER) AS is_peak_hour, estado, 1.0::DOUBLE AS confianza, 'umbral' AS metodo FROM det""")
 def stream_classified(spark, sf_dir):
@@ -124,6 +133,8 @@ def stream_scored_windows(spark, sf_dir):
     root = scratch_path(spark, "scored")
     events = jobs.classify_events(event_stream(spark, sf_dir)).withColumn("is_rush_hour", F.col("is_rush_hour").cast("int"))
     events = events.withColumns({name: F.lit(0.0) for name in VISUAL_FEATURES})
-    windows = jobs.stream_windows(events, LONG, STEP, last_sample=ml.feature_order(model))
-    _run(jobs.score_last(windows, model), write_windows(f"{root}/table"), root)
+    jobs.stream_windows(
+        events, f"{root}/table", f"{root}/checkpoint", LONG, STEP,
+        last_sample=ml.feature_order(model), finish=lambda rows: jobs.score_last(rows, model),
+    ).awaitTermination()
     return scan_batches(spark, f"{root}/table")

@@ -58,7 +58,7 @@ def write_labels(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errori
 
     Write to a new path and switch over afterwards; Spark cannot overwrite what it still reads.
     """
-    rows = df.select("fecha", *LABEL_FIELDS)
+    rows = df.select("fecha", *LABEL_FIELDS).hint("rebalance", "fecha")
     writer = rows.write.partitionBy("fecha").mode(mode)
     writer.csv(path, header=True) if fmt == "csv" else writer.json(path)
 
@@ -77,7 +77,7 @@ def write_counts(df: DataFrame, path: str, per_object: int = 250) -> None:
     placed = df.join(F.broadcast(sizes), "fecha").withColumn("__part", F.pmod(F.xxhash64("filename"), F.col("__parts")))
     entry = F.struct(F.col("filename").alias("key"), F.col("vehicle_count").cast("int").alias("value"))
     maps = placed.groupBy("fecha", "__part").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
-    maps.select("fecha", "value").write.partitionBy("fecha").text(path)
+    maps.select("fecha", "value").hint("rebalance", "fecha").write.partitionBy("fecha").text(path)
 
 
 def read_labels_json(spark: SparkSession, root: str, pattern: str = "*/labels.json", lines: bool = False) -> DataFrame:

@@ -1,9 +1,10 @@
 """Streams of detections: classify, window, score, alert.
 
-Windows use event time. Panes are closed first (one streaming aggregation), then combined into
-sliding windows (a second one), so a row is stored once and not once per window. Alerts and
-unchanged frames need the last value of each camera: it is kept in a small table per micro-batch
-in the shared folder, so the batch operators, which split hot cameras, serve the stream as well.
+Mean, maximum, count and dominant state of a window are plain aggregates: Spark keeps them in its
+state store and closes windows by the watermark. The trend needs single samples, and alerts and
+unchanged frames need the last value of each camera. These jobs keep small tables per micro-batch
+in the shared folder (a few samples per open pane, one row per camera), so that the batch
+operators, which bound every group and split hot cameras, serve the streams as well.
 """
 
 from __future__ import annotations
@@ -11,22 +12,25 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vialume.config import SLIDE_SECONDS, WINDOW_SECONDS
 from vialume.functions.calendar import epoch_us, is_peak_hour, with_calendar
-from vialume.functions.states import congestion_score, state_counts, threshold_class
+from vialume.functions.states import congestion_score, dominant_state, state_counts, threshold_class
 from vialume.operators.alerts import collapse_starts
 from vialume.operators.dedup import drop_unchanged
 from vialume.operators.ml import score
 from vialume.operators.ordered import last_values
-from vialume.operators.windows import TREND_SAMPLES, merge_panes, pane_seconds, window_columns
+from vialume.operators.windows import (
+    N_STATES, closing_time, merge_partials, pane_partials, pane_seconds, pane_start, windows_of_panes,
+)
 from vialume.sources.tables import batch_sink
 
-DELAY = "1 minute"
-SALTS = 8
+DELAY_SECONDS = 60
+DELAY = f"{DELAY_SECONDS} seconds"
+_CLOCK = "watermark bigint, late bigint"
 
 
 def with_event_time(df: DataFrame, ts: str = "ts", delay: str = DELAY) -> DataFrame:
@@ -34,65 +38,110 @@ def with_event_time(df: DataFrame, ts: str = "ts", delay: str = DELAY) -> DataFr
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def stream_windows(
+def stream_window_stats(
     events: DataFrame,
     duration: int = WINDOW_SECONDS,
     slide: int = SLIDE_SECONDS,
     delay: str = DELAY,
-    order: Sequence[str] = ("ts", "event_id"),
-    last_sample: Sequence[str] = (),
-    salts: int = SALTS,
+    ts: str = "ts",
 ) -> DataFrame:
-    """Window rows of a stream, each once, when the watermark has passed its end (append mode).
+    """Mean, maximum, samples and dominant state of the windows of a stream, in append mode.
 
-    The panes of a camera are split by a salt, and each keeps the outermost samples for the trend.
-    ``last_sample`` names columns whose newest values are carried along in struct ``last``.
+    Panes are closed first, then combined, so that a row is counted once and not once per window.
     """
-    ts, tie = order
     pane = pane_seconds(duration, slide)
-    at = F.struct(epoch_us(ts).alias("us"), F.col(tie).cast("long").alias("tie"))
-    sample = F.struct(epoch_us(ts).alias("us"), F.col(tie).cast("long").alias("tie"), F.col("vehicle_count"))
-    newest = F.struct(*(last_sample or ("vehicle_count",)))
-    salted = with_event_time(events, ts, delay).withColumn("salt", F.pmod(F.xxhash64(tie), F.lit(salts)))
-    panes = salted.groupBy("camera_id", "salt", F.window(ts, f"{pane} seconds").alias("pane")).agg(
+    panes = with_event_time(events, ts, delay).groupBy("camera_id", F.window(ts, f"{pane} seconds").alias("pane")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("vehicle_count").alias("total"),
         F.max("vehicle_count").alias("peak"),
         *[c.alias(name) for name, c in state_counts(F.col("estado")).items()],
-        F.array_sort(F.collect_list(sample)).alias("samples"),
-        F.max_by(newest, at).alias("last"),
-        F.max(at).alias("last_at"),
     )
-    n = F.size("samples")
-    trimmed = panes.withColumns({
-        "first": F.slice("samples", 1, TREND_SAMPLES),
-        "tail": F.slice("samples", F.greatest(F.lit(1), n - TREND_SAMPLES + 1), F.lit(TREND_SAMPLES)),
-        "pane_ts": F.window_time("pane"),
-    })
-    shaped = trimmed.select(
-        "camera_id", "pane_ts", "n", "total", "peak", "n_fluido", "n_denso", "n_colapso", "first",
-        F.col("tail").alias("last"), F.col("last").alias("newest"), "last_at",
+    timed = panes.withColumn("at", F.window_time("pane"))
+    merged = timed.groupBy("camera_id", F.window("at", f"{duration} seconds", f"{slide} seconds").alias("w")).agg(
+        F.sum("n").alias("n_samples"),
+        F.sum("total").alias("total"),
+        F.max("peak").alias("max_vehicles"),
+        *[F.sum(name).alias(name) for name in N_STATES],
     )
-    windows = shaped.groupBy("camera_id", F.window("pane_ts", f"{duration} seconds", f"{slide} seconds").alias("w"))
-    merged = merge_panes(windows, F.max_by("newest", "last_at").alias("newest"))
     return merged.select(
         "camera_id",
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),
-        *window_columns(),
-        *([F.col("newest").alias("last")] if last_sample else []),
+        (F.col("total") / F.col("n_samples")).alias("avg_vehicles"),
+        "max_vehicles",
+        dominant_state({name: F.col(name) for name in N_STATES}).alias("estado_ventana"),
+        "n_samples",
     )
 
 
+def stream_windows(
+    events: DataFrame,
+    out: str,
+    checkpoint: str,
+    duration: int = WINDOW_SECONDS,
+    slide: int = SLIDE_SECONDS,
+    delay_seconds: int = DELAY_SECONDS,
+    order: Sequence[str] = ("ts", "event_id"),
+    last_sample: Sequence[str] = (),
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Store full window rows of a stream, each once, when ``delay_seconds`` have passed its end.
+
+    A micro-batch is reduced to panes, and these are added to the open panes of the batch before.
+    A pane holds sums and six samples however many rows it has. Rows whose windows are all closed
+    are left out and counted in the ``clock`` table. ``last_sample`` names columns of the newest
+    row, carried in struct ``newest``; ``finish`` may change the window rows before they are stored.
+    """
+    keys = ["camera_id"]
+    ts = order[0]
+    pane = pane_seconds(duration, slide)
+    store, clock = f"{checkpoint}/panes", f"{checkpoint}/clock"
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        earlier = spark.read.schema(_CLOCK).parquet(f"{clock}/batch_id={batch_id - 1}").first() if batch_id else None
+        closed = earlier["watermark"] if earlier else None
+        batch = batch.persist()
+        try:
+            last_end = closing_time(pane_start(ts, pane), duration, slide)
+            late = F.lit(False) if closed is None else last_end <= F.lit(closed)
+            seen = batch.agg(F.max(epoch_us(ts)).alias("newest"), F.count_if(late).alias("late")).first()
+            parts = pane_partials(batch.filter(~late), pane, keys, order, last_sample)
+            if batch_id:
+                known = spark.read.schema(parts.schema).parquet(f"{store}/batch_id={batch_id - 1}")
+                still_open = closing_time(F.col("pane"), duration, slide) > F.lit(closed)
+                parts = merge_partials(parts.unionByName(known if closed is None else known.filter(still_open)), keys)
+            parts.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+        moved = [t for t in (closed, seen["newest"] and seen["newest"] - delay_seconds * 1_000_000) if t is not None]
+        watermark = max(moved, default=None)
+        panes = spark.read.schema(parts.schema).parquet(f"{store}/batch_id={batch_id}")
+        windows = windows_of_panes(panes, duration, slide, keys)
+        end = epoch_us("window_end")
+        due = F.lit(False) if watermark is None else end <= F.lit(watermark)
+        fresh = windows.filter(due if closed is None else due & (end > F.lit(closed)))
+        batch_sink(out)(finish(fresh) if finish else fresh, batch_id)
+        tick = spark.createDataFrame([(watermark, seen["late"])], _CLOCK)
+        tick.write.mode("overwrite").parquet(f"{clock}/batch_id={batch_id}")
+
+    return start_stream(events, run, f"{checkpoint}/query", every)
+
+
+def late_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Rows that :func:`stream_windows` left out, per micro-batch."""
+    return spark.read.parquet(f"{checkpoint}/clock").select("batch_id", "late")
+
+
 def score_last(windows: DataFrame, model: PipelineModel | None, count: str = "vehicle_count") -> DataFrame:
     """Add ``estado_modelo``: the model's state for the newest sample of each window.
 
-    ``windows`` carries the samples in ``last``. ``estado_predicho`` stays the dominant state.
+    ``windows`` carries the samples in ``newest``. ``estado_predicho`` stays the dominant state.
     """
-    columns = windows.columns
-    flat = windows.select(*[c for c in columns if c != "last"], F.col("last.*"))
-    scored = score(flat, model, count=count)
-    return scored.select(*[c for c in columns if c != "last"], F.col("estado").alias("estado_modelo"))
+    columns = [c for c in windows.columns if c != "newest"]
+    scored = score(windows.select(*columns, "newest.*"), model, count=count)
+    return scored.select(*columns, F.col("estado").alias("estado_modelo"))
 
 
 def classify_events(counts: DataFrame, ts: str = "ts", tz: str | None = None) -> DataFrame:
