@@ -30,8 +30,8 @@ def time_cuts(df: DataFrame, ts: str = "ts", slices: int = SLICES) -> list[float
     """
     if slices <= 1:
         return []
-    probabilities = [i / slices for i in range(1, slices)]
-    found = df.agg(F.percentile_approx(epoch_us(ts), probabilities, 4 * slices)).first()[0]
+    shares = F.expr(f"array({', '.join(f'{i / slices}D' for i in range(1, slices))})")
+    found = df.agg(F.percentile_approx(epoch_us(ts), shares, 4 * slices)).first()[0]
     return sorted({float(cut) for cut in found or []})
 
 

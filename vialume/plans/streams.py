@@ -31,7 +31,7 @@ def _run(df, sink, root):
 def _windows(spark, sf_dir, duration, slide):
     root = scratch_path(spark, "windows")
     events = jobs.classify_events(event_stream(spark, sf_dir))
-    jobs.stream_windows(events, f"{root}/table", f"{root}/checkpoint", duration, slide).awaitTermination()
+    jobs.stream_windows(events, f"{root}/table", f"{root}/checkpoint", duration, slide, keep_batch=False).awaitTermination()
     return scan_windows(spark, f"{root}/table")
 
 
@@ -66,7 +66,7 @@ def stream_classified(spark, sf_dir):
 def stream_collapse_starts(spark, sf_dir):
     root = scratch_path(spark, "collapses")
     events = jobs.classify_events(event_stream(spark, sf_dir))
-    jobs.stream_collapse_starts(events, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    jobs.stream_collapse_starts(events, f"{root}/table", f"{root}/checkpoint", keep_batch=False).awaitTermination()
     return scan_batches(spark, f"{root}/table").select("camera_id", "event_id", "ts", "vehicle_count")
 
 
@@ -75,7 +75,7 @@ def stream_collapse_starts(spark, sf_dir):
 def stream_drop_unchanged(spark, sf_dir):
     root = scratch_path(spark, "unchanged")
     frames = camera_frames(stream_table(spark, sf_dir, "events"))
-    jobs.stream_drop_unchanged(frames, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    jobs.stream_drop_unchanged(frames, f"{root}/table", f"{root}/checkpoint", keep_batch=False).awaitTermination()
     return scan_batches(spark, f"{root}/table").select("camera_id", "frame_id", "ts", "md5")
 
 
@@ -135,6 +135,6 @@ def stream_scored_windows(spark, sf_dir):
     events = events.withColumns({name: F.lit(0.0) for name in VISUAL_FEATURES})
     jobs.stream_windows(
         events, f"{root}/table", f"{root}/checkpoint", LONG, STEP,
-        last_sample=ml.feature_order(model), finish=lambda rows: jobs.score_last(rows, model),
+        last_sample=ml.feature_order(model), finish=lambda rows: jobs.score_last(rows, model), keep_batch=False,
     ).awaitTermination()
     return scan_batches(spark, f"{root}/table")

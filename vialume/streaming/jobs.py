@@ -9,7 +9,8 @@ operators, which bound every group and split hot cameras, serve the streams as w
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,7 @@ def stream_windows(
     last_sample: Sequence[str] = (),
     finish: Callable[[DataFrame], DataFrame] | None = None,
     every: str | None = None,
+    keep_batch: bool = True,
 ) -> StreamingQuery:
     """Store full window rows of a stream, each once, when ``delay_seconds`` have passed its end.
 
@@ -92,6 +94,7 @@ def stream_windows(
     A pane holds sums and six samples however many rows it has. Rows whose windows are all closed
     are left out and counted in the ``clock`` table. ``last_sample`` names columns of the newest
     row, carried in struct ``newest``; ``finish`` may change the window rows before they are stored.
+    ``keep_batch`` as for :func:`stream_collapse_starts`.
     """
     keys = ["camera_id"]
     ts = order[0]
@@ -102,8 +105,7 @@ def stream_windows(
         spark = batch.sparkSession
         earlier = spark.read.schema(_CLOCK).parquet(f"{clock}/batch_id={batch_id - 1}").first() if batch_id else None
         closed = earlier["watermark"] if earlier else None
-        batch = batch.persist()
-        try:
+        with _kept(batch, keep_batch):
             last_end = closing_time(pane_start(ts, pane), duration, slide)
             late = F.lit(False) if closed is None else last_end <= F.lit(closed)
             seen = batch.agg(F.max(epoch_us(ts)).alias("newest"), F.count_if(late).alias("late")).first()
@@ -113,8 +115,6 @@ def stream_windows(
                 still_open = closing_time(F.col("pane"), duration, slide) > F.lit(closed)
                 parts = merge_partials(parts.unionByName(known if closed is None else known.filter(still_open)), keys)
             parts.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
         moved = [t for t in (closed, seen["newest"] and seen["newest"] - delay_seconds * 1_000_000) if t is not None]
         watermark = max(moved, default=None)
         panes = spark.read.schema(parts.schema).parquet(f"{store}/batch_id={batch_id}")
@@ -175,6 +175,18 @@ def classify_stream(counts: DataFrame, path: str, checkpoint: str, every: str |
     return start_stream(classify_events(counts), batch_sink(path), checkpoint, every)
 
 
+@contextmanager
+def _kept(batch: DataFrame, keep: bool) -> Iterator[None]:
+    """Keep a micro-batch while it is read several times."""
+    if keep:
+        batch.persist()
+    try:
+        yield
+    finally:
+        if keep:
+            batch.unpersist()
+
+
 def _with_memory(
     step: Callable[[DataFrame, DataFrame | None], DataFrame],
     out: str,
@@ -182,6 +194,7 @@ def _with_memory(
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
+    keep_batch: bool,
 ) -> Callable[[DataFrame, int], None]:
     """A micro-batch function for a step that needs the last value of each key so far.
 
@@ -191,8 +204,7 @@ def _with_memory(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.persist()
-        try:
+        with _kept(batch, keep_batch):
             kinds = ", ".join(f"`{c}` {batch.schema[c].dataType.simpleString()}" for c in keys)
             schema = f"{kinds}, v {batch.schema[value].dataType.simpleString()}"
             before = spark.read.schema(schema).parquet(f"{memory}/batch_id={batch_id - 1}") if batch_id else None
@@ -201,8 +213,6 @@ def _with_memory(
             if before is not None:
                 now = now.unionByName(before.join(now.select(*keys), list(keys), "left_anti"))
             now.write.mode("overwrite").parquet(f"{memory}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
 
     return run
 
@@ -214,11 +224,17 @@ def stream_collapse_starts(
     keys: Sequence[str] = ("camera_id",),
     order: Sequence[str] = ("ts", "event_id"),
     every: str | None = None,
+    keep_batch: bool = True,
 ) -> StreamingQuery:
-    """Store the rows that start a collapse, also when the row before came in an earlier batch."""
+    """Store the rows that start a collapse, also when the row before came in an earlier batch.
+
+    A micro-batch is read a few times. ``keep_batch`` stores it meanwhile, which pays for messages
+    that are parsed or come from afar. Leave it off for very large batches from columnar files:
+    each reading takes only the columns it needs.
+    """
     run = _with_memory(
         lambda batch, before: collapse_starts(batch, keys, order, initial=before),
-        out, f"{checkpoint}/last-state", keys, order, "estado",
+        out, f"{checkpoint}/last-state", keys, order, "estado", keep_batch,
     )
     return start_stream(detections, run, f"{checkpoint}/query", every)
 
@@ -231,10 +247,11 @@ def stream_drop_unchanged(
     order: Sequence[str] = ("ts", "frame_id"),
     md5: str = "md5",
     every: str | None = None,
+    keep_batch: bool = True,
 ) -> StreamingQuery:
     """Store the frames that differ from the one before, across batches."""
     run = _with_memory(
         lambda batch, before: drop_unchanged(batch, keys, order, md5, initial=before),
-        out, f"{checkpoint}/last-hash", keys, order, md5,
+        out, f"{checkpoint}/last-hash", keys, order, md5, keep_batch,
     )
     return start_stream(frames, run, f"{checkpoint}/query", every)
