@@ -106,3 +106,21 @@ def test_round_trip_of_labels(spark, root, tmp_path_factory):
     assert sorted((r.fecha, r.filename, r.vehicle_count) for r in back.collect()) == sorted(
         (r.fecha, r.filename, r.vehicle_count) for r in labels.collect()
     )
+
+
+def test_count_maps_are_split_into_small_objects(spark, tmp_path):
+    df = spark.range(1000).select(
+        F.lit("20240101").alias("fecha"), F.format_string("f%04d.jpg", "id").alias("filename"), (F.col("id") % 9).cast("int").alias("vehicle_count")
+    )
+    out = str(tmp_path / "maps")
+    files.write_counts(df, out, per_object=50)
+    sizes = [len(json.loads(r.value)) for r in spark.read.text(out).collect()]
+    assert sum(sizes) == 1000 and max(sizes) < 120
+    back = files.read_counts(spark, out, "fecha=*/*.txt", lines=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_broken_metadata_gives_nulls(spark):
+    texts = spark.createDataFrame([("a", '{"hour": 5}'), ("b", "nothing"), ("c", None), ("d", '{"hour": "x", "minute": 3}')], "stem string, value string")
+    got = {r.stem: r.hour for r in files.parse_meta(texts).collect()}
+    assert got == {"a": 5, "b": None, "c": None, "d": None}

@@ -86,6 +86,11 @@ def test_copies_of_one_content(spark):
     assert report == {"d1": (51, 449), "d2": (1, 0)}
 
 
+def test_frames_without_a_hash_are_no_copies(spark):
+    df = spark.createDataFrame([("d", "a", None), ("d", "b", None)], "fecha string, filename string, md5 string")
+    assert [(r.kept_name, r.is_duplicate) for r in dedup.dedup_content(df).orderBy("filename").collect()] == [("a", False), ("b", False)]
+
+
 def test_slices_are_balanced_where_rows_pile_up(spark):
     df = spark.range(20000).select(
         F.timestamp_micros(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.col("id") * 10_000_000)).alias("ts")

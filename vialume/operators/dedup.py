@@ -43,15 +43,16 @@ def dedup_content(frames: DataFrame, day: str = "fecha", md5: str = "md5", name:
 
     ``is_duplicate`` is false for the kept frame. One content may be copied into a third of all
     rows, so the first name is found per salted part of a group, then over the parts (``salts``
-    rows per group at most), and is brought back to the rows by the salted key.
+    rows per group at most), and is brought back to the rows by the salted key. A frame without a
+    hash is a copy of nothing.
     """
     salted = frames.withColumn("__salt", F.pmod(F.xxhash64(name), F.lit(salts)))
     part = [day, md5, "__salt"]
     firsts = salted.groupBy(*part).agg(F.min(name).alias("__first"))
     overall = F.min("__first").over(Window.partitionBy(day, md5))
     kept = firsts.select(*part, overall.alias("kept_name"))
-    marked = salted.join(kept, part, "left").drop("__salt")
-    return marked.withColumn("is_duplicate", F.col(name) != F.col("kept_name"))
+    marked = salted.join(kept, part, "left").withColumn("kept_name", F.coalesce("kept_name", name))
+    return marked.drop("__salt").withColumn("is_duplicate", F.col(name) != F.col("kept_name"))
 
 
 def unique_frames(frames: DataFrame, day: str = "fecha", md5: str = "md5", name: str = "filename") -> DataFrame:

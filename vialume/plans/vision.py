@@ -11,7 +11,7 @@ from vialume.operators.imaging import pixel_zone_stats, zone_image_features
 from vialume.operators.nms import nms
 from vialume.plans.registry import query
 from vialume.plans.standins import (
-    BOXES, CENTER_IN, DENSE, EDGES_SQL, RATIO, ZONES_SQL, box_frames, boxes, dense_boxes, table,
+    BOXES, CENTER_IN, DENSE, EDGES_SQL, RATIO, ZONES_SQL, box_frames, boxes, dense_boxes, frames, table,
 )
 
 VEHICLE = "cls IN (2, 3, 5, 7)"
@@ -227,8 +227,6 @@ def mean_vehicles(spark, sf_dir):
 
 @query("F6", "SELECT doc_id, printf('frame_%010d.jpg', doc_id) AS filename FROM documents ORDER BY filename LIMIT 10")
 def first_images(spark, sf_dir):
-    from vialume.plans.standins import frames
-
     return ops.first_images(frames(spark, sf_dir)).select("doc_id", "filename")
 
 
