@@ -23,6 +23,7 @@ import tempfile
 from collections.abc import Iterator
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -32,24 +33,34 @@ from vialume.llm.common import table
 
 QUERY = "op8_byte_bpe"
 LONG = 256
-#: Words a task remembers; beyond that it starts anew.
-REMEMBERED = 200_000
+#: Words a process remembers; beyond that only those in use stay.
+REMEMBERED = 300_000
 #: Characters that are split before their new words are encoded together.
 TOGETHER = 3_000_000
 
+#: A row is a token with the place and token that follow it and what both make together, if anything.
+#: ``best`` has one row for each word that is not done: its leftmost pair of minimum rank (place and
+#: follower fit into 10 bits each, as words have at most LONG bytes) and what follows that pair.
 ENCODE = """
 WITH RECURSIVE state AS (
-  SELECT word, pos, token, 0 AS step FROM letters
+  SELECT l.word, l.pos, l.token, l.fpos, l.ftoken, m.merged, 0 AS step
+  FROM letters l LEFT JOIN merges m ON l.token = m.first AND l.ftoken = m.second
   UNION ALL
-  SELECT word, pos, CASE WHEN pair = best THEN merged ELSE token END, step + 1
-  FROM (SELECT *, min(pair) OVER (PARTITION BY word) AS best, lag(pair) OVER (PARTITION BY word ORDER BY pos) AS before
-        FROM (SELECT s.*, m.merged, (CAST(m.merged AS BIGINT) << 20) + s.pos AS pair
-              FROM (SELECT *, lead(token) OVER (PARTITION BY word ORDER BY pos) AS follower FROM state) s
-              LEFT JOIN merges m ON s.token = m.first AND s.follower = m.second))
-  WHERE best IS NOT NULL AND before IS DISTINCT FROM best
-)
-SELECT word, string_agg(token, ' ' ORDER BY pos) AS ids FROM state
-WHERE (word, step) IN (SELECT (word, max(step)) FROM state GROUP BY word) GROUP BY word ORDER BY word
+  (WITH best AS (
+    SELECT b.word, b.pair >> 20 AS merged, (b.pair >> 10) & 1023 AS pos, b.pair & 1023 AS fpos, q.fpos AS nfpos, q.ftoken AS nftoken
+    FROM (SELECT word, min((CAST(merged AS BIGINT) << 20) + (pos << 10) + fpos) AS pair FROM state WHERE merged IS NOT NULL GROUP BY word) b
+    JOIN state q ON q.word = b.word AND q.pos = b.pair & 1023)
+  SELECT n.word, n.pos, n.token, n.fpos, n.ftoken, m.merged, n.step
+  FROM (SELECT s.word, s.pos, CAST(CASE WHEN s.pos = b.pos THEN b.merged ELSE s.token END AS INT) AS token,
+          CASE WHEN s.pos = b.pos THEN b.nfpos ELSE s.fpos END AS fpos,
+          CAST(CASE WHEN s.pos = b.pos THEN b.nftoken WHEN s.fpos = b.pos THEN b.merged ELSE s.ftoken END AS INT) AS ftoken,
+          s.step + 1 AS step
+        FROM state s JOIN best b ON s.word = b.word WHERE s.pos <> b.fpos) n
+  LEFT JOIN merges m ON n.token = m.first AND n.ftoken = m.second)
+),
+done AS (SELECT s.word, s.pos, s.token FROM state s JOIN (SELECT word, max(step) AS step FROM state GROUP BY word) e ON s.word = e.word AND s.step = e.step)
+SELECT word, string_agg(d.token, ' ' ORDER BY pos) AS ids, string_agg(v.bytes, '' ORDER BY pos) AS bytes
+FROM done d JOIN vocabulary v ON v.token = d.token GROUP BY word
 """
 DECODE = """
 SELECT d.id, coalesce(string_agg(v.bytes, '' ORDER BY d.pos), '') AS bytes
@@ -80,6 +91,8 @@ class Codec:
 
     def __init__(self, ranks_path: str, pattern: str):
         self.ranks = read_ranks(ranks_path)
+        self.entries = {r: t for t, r in self.ranks.items()}
+        self.letters = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.split = regex.compile(pattern).findall
         self.words: dict[str, tuple[str, bytes]] = {}
         self.db = duckdb.connect(config={"threads": "1", "memory_limit": "300MB", "temp_directory": os.path.join(tempfile.gettempdir(), "byte-bpe")})
@@ -115,44 +128,46 @@ class Codec:
             i = end[i]
         return ids
 
-    def encode_words(self, words: list[bytes]) -> list[str]:
-        """Decimal ids of each word, joined by spaces."""
-        out, rest = [""] * len(words), []
+    def encode_words(self, words: list[bytes]) -> list[tuple[str, bytes]]:
+        """Decimal ids of each word, joined by spaces, and the bytes the ids stand for."""
+        out, rest = [("", b"")] * len(words), []
         for i, word in enumerate(words):
             if (rank := self.ranks.get(word)) is not None:
-                out[i] = str(rank)
+                out[i] = (str(rank), self.entries[rank])
             elif len(word) > LONG:
-                out[i] = " ".join(map(str, self.merge_long(word)))
+                ids = self.merge_long(word)
+                out[i] = (" ".join(map(str, ids)), b"".join([self.entries[x] for x in ids]))
             elif word:
                 rest.append(i)
         for at in range(0, len(rest), 50_000):
             part = rest[at:at + 50_000]
-            one = [self.ranks[bytes([b])] for b in range(256)]
-            letters = pa.table({
-                "word": pa.array([i for i in part for _ in words[i]], pa.int32()),
-                "pos": pa.array([p for i in part for p in range(len(words[i]))], pa.int32()),
-                "token": pa.array([one[b] for i in part for b in words[i]], pa.int32())})
-            self.db.register("letters", letters)
-            found = self.db.execute(ENCODE).to_arrow_table()
+            size = np.array([len(words[i]) for i in part])
+            of = np.repeat(np.arange(len(part)), size)
+            pos = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+            token = self.letters[np.frombuffer(b"".join([words[i] for i in part]), np.uint8)]
+            last = pos == size[of] - 1
+            follower = np.append(token[1:], 0)
+            self.db.register("letters", pa.table({
+                "word": pa.array(of, pa.int32()), "pos": pa.array(pos, pa.int32()), "token": pa.array(token, pa.int32()),
+                "fpos": pa.array(pos + 1, pa.int32(), mask=last), "ftoken": pa.array(follower, pa.int32(), mask=last)}))
+            found = self.db.sql(ENCODE).to_arrow_table()
             self.db.unregister("letters")
-            for i, ids in zip(found["word"].to_pylist(), found["ids"].to_pylist(), strict=True):
-                out[i] = ids
+            for i, ids, text in zip(found["word"].to_pylist(), found["ids"].to_pylist(), found["bytes"].to_pylist(), strict=True):
+                out[part[i]] = (ids, bytes.fromhex(text))
         return out
 
     def decode_all(self, sequences: list[list[int]]) -> list[bytes]:
         """Bytes of each list of ids."""
         out = [b""] * len(sequences)
         self.db.register("sequences", pa.table({"id": pa.array(range(len(sequences)), pa.int32()), "ids": pa.array(sequences, pa.list_(pa.int32()))}))
-        found = self.db.execute(DECODE).to_arrow_table()
+        found = self.db.sql(DECODE).to_arrow_table()
         self.db.unregister("sequences")
         for i, text in zip(found["id"].to_pylist(), found["bytes"].to_pylist(), strict=True):
             out[i] = bytes.fromhex(text)
         return out
 
     def learn(self, words: list[str]) -> None:
-        ids = self.encode_words([w.encode() for w in words])
-        for w, i, b in zip(words, ids, self.decode_all([[int(x) for x in i.split()] for i in ids]), strict=True):
-            self.words[w] = (i, b)
+        self.words.update(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[str, bytes]]:
         """Ids of each text as decimals joined by spaces, and the bytes these ids stand for."""
@@ -165,10 +180,9 @@ class Codec:
             split = [self.split(t or "") for t in texts[at:stop]]
             distinct = set().union(*split)
             if new := [w for w in distinct if w not in self.words]:
-                if len(self.words) + len(new) > REMEMBERED:
-                    self.words.clear()
-                    new = list(distinct)
-                self.learn(sorted(new))
+                if len(self.words) + len(new) > REMEMBERED:  # what this text needs is kept
+                    self.words = {w: self.words[w] for w in distinct if w in self.words}
+                self.learn(new)
             for words in split:
                 found = [self.words[w] for w in words]
                 yield " ".join([f[0] for f in found]), b"".join([f[1] for f in found])

@@ -29,7 +29,7 @@ from vialume.llm.common import gapless, stored, table
 QUERY = "op10_best_fit_packing"
 CAPACITY = 2048
 SEPARATOR = 0
-#: Words remembered by a Python worker; beyond that it starts anew.
+#: Words remembered by a Python worker; beyond that only those in use stay.
 REMEMBERED = 400_000
 PLAN = "length long, rank_from long, rank_to long, bin_from long, bins long, place long"
 
@@ -57,8 +57,9 @@ def encode_texts(texts: list[str | None], tokenizer: str) -> Iterator[bytes]:
         new = [w for w in set(words) if w not in known] if words else []
         if new:
             if len(known) > REMEMBERED:
+                kept = {w: known[w] for w in set(words) if w in known}
                 known.clear()
-                new = list(set(words))
+                known.update(kept)
             for at in range(0, len(new), 10_000):
                 part = new[at:at + 10_000]
                 for w, e in zip(part, model.encode_batch_fast(part, add_special_tokens=False), strict=True):
