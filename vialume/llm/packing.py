@@ -15,7 +15,9 @@ Null ids are carried. An empty table gives an empty table. Other columns are not
 from __future__ import annotations
 
 import re
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -30,13 +32,28 @@ QUERY = "op10_best_fit_packing"
 CAPACITY = 2048
 SEPARATOR = 0
 #: Words remembered by a Python worker; beyond that only those in use stay.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 PLAN = "length long, rank_from long, rank_to long, bin_from long, bins long, place long"
 
 _known: dict[str, dict[str, bytes]] = {}
 _loaded: dict[str, object] = {}
 #: The tokenizer splits at all of these at least, so words between them can be encoded alone.
 _RUNS = re.compile(r"[^ \t\n\r]+")
+#: Texts without other characters need no composition, and lower case means the same to Python and tokenizer.
+_OTHER = re.compile("[^\x00-\u012f\u0131-\u024f]")
+_LETTER = "[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u024f]"
+_MARK = r"[,.!?;:*&%$#|()\-]"
+#: In those, the tokenizer also splits a run of letters from the marks after it at the end of a word.
+_PARTS = re.compile(rf"{_LETTER}+(?={_MARK}*(?:[ \t\n\r]|\Z))|{_MARK}+(?=[ \t\n\r]|\Z)|[^ \t\n\r]+")
+
+
+#: The vocabulary writes bytes as letters: those without a visible sign follow from U+0100 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
 
 def default_tokenizer() -> str:
@@ -52,18 +69,24 @@ def encode_texts(texts: list[str | None], tokenizer: str) -> Iterator[bytes]:
     if tokenizer not in _loaded:
         _loaded[tokenizer] = Tokenizer.from_file(tokenizer)
     model, known = _loaded[tokenizer], _known.setdefault(tokenizer, {})
-    for text in texts:
-        words = _RUNS.findall(text or "")
-        new = [w for w in set(words) if w not in known] if words else []
-        if new:
-            if len(known) > REMEMBERED:
-                kept = {w: known[w] for w in set(words) if w in known}
-                known.clear()
-                known.update(kept)
-            for at in range(0, len(new), 10_000):
-                part = new[at:at + 10_000]
-                for w, e in zip(part, model.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
+    split = [_RUNS.findall(t) if _OTHER.search(t) else _PARTS.findall(t.lower()) for t in (t or "" for t in texts)]
+    every = set().union(*split)
+    if new := [w for w in every if w not in known]:
+        if len(known) + len(new) > REMEMBERED:
+            kept = {w: known[w] for w in every if w in known}
+            known.clear()
+            known.update(kept)
+        rest, merge = [], model.model.tokenize
+        for w in new:
+            if w.isalpha() and w.islower() and not _OTHER.search(w):  # one run of letters: only the merges are left to do
+                known[w] = _packed([t.id for t in merge(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES))])
+            else:
+                rest.append(w)
+        for at in range(0, len(rest), 10_000):
+            part = rest[at:at + 10_000]
+            for w, e in zip(part, model.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                known[w] = _packed(e.ids)
+    for words in split:
         yield b"".join(map(known.__getitem__, words))
 
 
