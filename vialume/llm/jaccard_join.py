@@ -40,7 +40,10 @@ from vialume.llm.components import components
 from vialume.llm.textkernel import mix, text_windows
 
 QUERY = "op3_jaccard_join"
-GROUPS = 32
+GROUPS = 128
+#: Sets from FINE_FROM shingles on have FINE_GROUPS groups, a multiple; groups with equal rest are summed to compare both kinds.
+FINE_GROUPS = 1024
+FINE_FROM = 1000
 #: Shingles moved to the end of the order: at most so many, each in so many rows at least.
 FREQUENT = 1 << 17
 FREQUENT_ROWS = 24
@@ -127,7 +130,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
                 for _, s in text_windows(batch.column(0).slice(at, 500)):
                     if len(s) and (name := set_id(s)) not in seen:
                         seen.add(name)
-                        rows.append((name, len(s), np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS), s.view(np.int64)))
+                        rows.append((name, len(s), point_of(s), s.view(np.int64)))
                 if rows:
                     columns = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([
@@ -137,7 +140,13 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(read, "set long, n long, point array<int>, shingles array<long>")
 
 
+def point_of(shingles: np.ndarray) -> np.ndarray:
+    groups = GROUPS if len(shingles) < FINE_FROM else FINE_GROUPS
+    return np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups)
+
+
 def bound(a: str, b: str):
+    """Sum of the smaller coordinates of two points of one kind."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
 
 
@@ -147,7 +156,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         left = left.join(points.select(F.col("set").alias(side), F.col("n").alias(f"n_{side}"), F.col("point").alias(f"p_{side}")), side)
     need = F.ceil(4 * (F.col("n_a") + F.col("n_b")) / F.lit(9))
-    left = left.where((5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")) & (bound("p_a", "p_b") >= need)).select("a", "b", "n_a", "n_b")
+    left = left.where((5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")) & ((F.size("p_a") != F.size("p_b")) | (bound("p_a", "p_b") >= need))).select("a", "b", "n_a", "n_b")
     for side in ("b", "a"):
         left = left.join(sets.select(F.col("set").alias(side), F.col("shingles").alias(f"s_{side}")), side)
     shared = F.size(F.array_intersect("s_a", "s_b"))
@@ -178,6 +187,8 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: n
         return [r[np.argsort(points[r, axis], kind="stable")][i:i + LEAF] for s in range(0, len(rows), LEAF * 8)
                 for r in [rows[s:s + LEAF * 8]] for i in range(0, len(r), LEAF)]
 
+    if not (len(left) and len(right)):
+        return
     a, b = leaves(left), leaves(right)
     b_most, b_size = np.array([points[r].max(axis=0) for r in b]), np.array([sizes[r].min() for r in b])
     for rows in a:
@@ -192,34 +203,63 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: n
                 yield rows[i], other[j]
 
 
-def tile_links(rows: dict, verify: bool) -> list:
-    """Of the members of one tile: those with a partner in another component, or, verified, the links of a forest."""
-    n = len(rows["set"])
-    side = np.array(rows["side"])
+def tile_points(column: pa.ListArray) -> np.ndarray:
+    """Points of the members as rows of one matrix: fine ones only if all are."""
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+    if (np.diff(ends) == FINE_GROUPS).all():
+        return values[ends[0]:ends[-1]].reshape(-1, FINE_GROUPS)
+    return np.array([values[a:b].reshape(-1, GROUPS).sum(axis=0) for a, b in zip(ends, ends[1:], strict=False)])
+
+
+def shared_heads(values: np.ndarray, ends: np.ndarray) -> list[frozenset]:
+    """The first shingles of each set that another set of the tile has too, in the order of rising counts in the tile.
+
+    Two sets that link have one in common.
+    """
+    _, which, counts = np.unique(values[ends[0]:ends[-1]], return_inverse=True, return_counts=True)
+    heads = []
+    for a, b in zip(ends - ends[0], ends[1:] - ends[0], strict=False):
+        of = which[a:b]
+        order = np.lexsort((of, counts[of]))[:prefix_length(int(b - a))]
+        heads.append(frozenset(of[order][counts[of[order]] > 1].tolist()))
+    return heads
+
+
+def tile_links(rows: pa.Table, verify: bool) -> list[tuple[int, int]]:
+    """A forest over the members of one tile: of pairs that the bound lets pass, or, verified, of links.
+
+    Pairs of one component are passed over. A verified link also joins the components of its ends.
+    """
+    column = {c: rows.column(c).combine_chunks() for c in rows.column_names}
+    name, side, sizes = column["set"].to_numpy(), column["side"].to_numpy(), column["n"].to_numpy()
+    points = tile_points(column["point"])
     left, right = np.flatnonzero(side < 2), np.flatnonzero(side > 0)  # 0: left only, 1: both, 2: right only
-    points, sizes = np.array(rows["point"], dtype=np.int64).reshape(n, GROUPS), np.array(rows["n"], dtype=np.int64)
-    forest = Forest(rows["component"])
-    start = np.array(forest.parent)
-    out: list = []
-    found: set[int] = set()
-    sets = [np.asarray(s) for s in rows["shingles"]] if verify else None
+    component = column["component"].to_numpy()
+    forest = Forest(component.tolist() if verify else range(len(name)))
+    if verify:
+        ends, values = column["shingles"].offsets.to_numpy(), column["shingles"].values.to_numpy()
+        heads = shared_heads(values, ends)
+        left, right = (np.array([i for i in rows if heads[i]], dtype=np.int64) for rows in (left, right))
+    out = []
     for i, j in tree_pairs(points, sizes, left, right):
-        other = start[i] != start[j]
-        if not verify:
-            found.update(i[other].tolist(), j[other].tolist())
-            continue
+        other = component[i] != component[j]
         for x, y in zip(i[other].tolist(), j[other].tolist(), strict=True):
             p, q = forest.root(x), forest.root(y)
-            if p != q:
-                shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if 100 * shared >= 80 * (len(sets[x]) + len(sets[y]) - shared):
-                    forest.parent[p] = q
-                    out.append((rows["set"][x], rows["set"][y]))
-    return out if verify else [rows["set"][i] for i in found]
+            if p == q:
+                continue
+            if verify:
+                if heads[x].isdisjoint(heads[y]):
+                    continue
+                shared = len(np.intersect1d(values[ends[x]:ends[x + 1]], values[ends[y]:ends[y + 1]], assume_unique=True))
+                if 100 * shared < 80 * (int(sizes[x]) + int(sizes[y]) - shared):
+                    continue
+            forest.parent[p] = q
+            out.append((int(name[x]), int(name[y])))
+    return out
 
 
 def tiles(members: DataFrame) -> DataFrame:
-    """Members (tree, set, n, ...) dealt to tiles; a pair that can link meets in one tile at least.
+    """Members (tree, set, n, component) dealt to tiles; a pair that can link meets in one tile at least.
 
     A tree is cut by classes of size, each with the members of the next class; a cut of more than TILE members into
     shares, and each pair of shares is a tile. The split is by hash and sizes are counted first.
@@ -237,36 +277,33 @@ def tiles(members: DataFrame) -> DataFrame:
         ":", "tree", "cut", F.least("share", "other"), F.greatest("share", "other"))).drop("share", "other", "shares", "cut", "_next")
 
 
-def in_tiles(dealt: DataFrame, verify: bool) -> DataFrame:
+def in_tiles(members: DataFrame, sets: DataFrame, verify: bool) -> DataFrame:
     """Run ``tile_links`` over tiles that stream through sorted partitions; one tile is held at a time."""
-    columns = ["tile", "side", "set", "n", "point", "component", *(["shingles"] if verify else [])]
+    columns = ["tile", "tree", "side", "set", "n", "component", "point", *(["shingles"] if verify else [])]
+    dealt = tiles(members.select("tree", "set", "n", "component")).join(sets.select("set", *columns[6:]), "set")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {c: [] for c in columns}
-        results: list = []
+        held: list[pa.RecordBatch] = []
+        now, results = None, []
 
         def flush() -> None:
-            if len(held["set"]) > 1:
-                results.extend(tile_links(held, verify))
-            for c in columns:
-                held[c] = []
+            if sum(part.num_rows for part in held) > 1:
+                results.extend(tile_links(pa.Table.from_batches(held), verify))
+            held.clear()
 
         def result() -> pa.RecordBatch:
-            a = pa.array([r[0] for r in results] if verify else results, pa.int64())
-            b = pa.array([r[1] for r in results] if verify else results, pa.int64())
+            pairs = pa.RecordBatch.from_arrays([pa.array([r[k] for r in results], pa.int64()) for k in (0, 1)], names=["a", "b"])
             results.clear()
-            return pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+            return pairs
 
         for batch in batches:
             tile = batch.column(0).to_pylist()
-            edges = [0, *[i for i in range(1, len(tile)) if tile[i] != tile[i - 1]], len(tile)] if tile else [0]
-            for i, j in zip(edges, edges[1:], strict=False):
-                if held["tile"] and held["tile"][-1] != tile[i]:
+            edges = [i for i in range(len(tile)) if i == 0 or tile[i] != tile[i - 1]]
+            for i, j in zip(edges, [*edges[1:], len(tile)], strict=True):
+                if tile[i] != now:
                     flush()
-                part = batch.slice(i, j - i)
-                for k, c in enumerate(columns):
-                    column = part.column(k)
-                    held[c].extend([np.array(v) for v in column.to_pylist()] if c == "shingles" else column.to_pylist())
+                    now = tile[i]
+                held.append(batch.slice(i, j - i))
             if results:
                 yield result()
         flush()
@@ -276,21 +313,24 @@ def in_tiles(dealt: DataFrame, verify: bool) -> DataFrame:
     return dealt.select(*columns).repartition("tile").sortWithinPartitions("tile").mapInArrow(walk, "a long, b long")
 
 
-def tree_links(members: DataFrame, sets: DataFrame, done: DataFrame) -> DataFrame | None:
-    """Links between different components of ``done`` (node, root) under one shingle, beyond those with the centre."""
+def tree_links(members: DataFrame, sets: DataFrame, done: DataFrame) -> DataFrame:
+    """Links between different components of ``done`` (node, root) under one shingle, beyond those with the centre.
+
+    Points alone go through the trees of all shingles. What the bound lets pass, as a forest, makes groups of near sets;
+    the sets themselves are sent once, to the tree of their group, and verified there.
+    """
     named = members.join(done, F.col("set") == F.col("node"), "left").select("shingle", "set", F.coalesce("root", "set").alias("component"))
     trees = named.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("_n"), F.min("component").alias("_a"), F.max("component").alias("_b"),
         F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("_sum"), F.bit_xor(F.xxhash64("set", F.lit(1))).alias("_xor"))
     trees = trees.where("_n > 2 AND _a <> _b").groupBy("_n", "_sum", "_xor").agg(F.min("shingle").alias("tree"))  # equal trees are one
     members = named.join(trees.select("tree"), F.col("shingle") == F.col("tree")).select("tree", "set", "component")
-    open_members = stored(members.join(sets.select("set", "n", "point"), "set"), "open")
-    if open_members.isEmpty():
-        return None
-    near = in_tiles(tiles(open_members), verify=False).select(F.col("a").alias("set")).distinct()
-    near = stored(near, "near")
-    rest = open_members.join(near, "set").join(sets.select("set", "shingles"), "set")
-    return stored(in_tiles(tiles(rest), verify=True), "tree-links")
+    members = stored(members.join(sets.select("set", "n"), "set"), "open")
+    near = components(in_tiles(members, sets, verify=False), "near")
+    near = near.select(F.col("node").alias("set"), F.col("root").alias("tree")).unionAll(
+        near.select(F.col("root").alias("set"), F.col("root").alias("tree")).distinct())
+    near = stored(near.join(members.select("set", "n", "component").distinct(), "set"), "near")
+    return stored(in_tiles(near, sets, verify=True), "tree-links")
 
 
 def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -311,7 +351,7 @@ def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = stored(verified(star, sets), "star-links")
     found = components(links)
     more = tree_links(members, sets, found)
-    if more is not None and not more.isEmpty():
+    if not more.isEmpty():
         found = components(links.unionAll(more))
     return of, found
 
