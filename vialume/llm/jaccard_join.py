@@ -66,24 +66,36 @@ def prefix_length(n: int) -> int:
     return n - -(-4 * n // 5) + 1
 
 
+def point_of(shingles: np.ndarray) -> np.ndarray:
+    groups = GROUPS if len(shingles) < FINE_FROM else FINE_GROUPS
+    return np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups).astype(np.int32)
+
+
 def read_sets(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds: (doc_id, set, n) of each document; and (null, shingle, -count) of shingles that are frequent in a batch."""
+    """Rows of two kinds: (doc_id, set, n, point) of each document; and (null, shingle, -count, null) of shingles that are frequent in a batch.
+
+    Of equal sets in a batch only the first has its point.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, every = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), []
+            ids, sizes, every, points = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), [], []
+            seen = set()
             for i, s in text_windows(batch.column(1)):
                 sizes[i] = len(s)
-                if len(s):
-                    ids[i] = set_id(s)
-                    every.append(s)
+                ids[i] = set_id(s) if len(s) else 0
+                points.append(point_of(s) if len(s) and ids[i] not in seen else None)
+                seen.add(ids[i])
+                every.append(s)
             values, counts = np.unique(np.concatenate(every), return_counts=True) if every else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             often = counts >= max(3, int(batch.num_rows / 2000))
+            n = int(often.sum())
             yield pa.RecordBatch.from_arrays([
-                pa.concat_arrays([batch.column(0), pa.nulls(int(often.sum()), pa.int64())]),
-                pa.array(np.concatenate((ids, values[often].view(np.int64)))), pa.array(np.concatenate((sizes, -counts[often])))], names=["doc_id", "set", "n"])
+                pa.concat_arrays([batch.column(0), pa.nulls(n, pa.int64())]),
+                pa.array(np.concatenate((ids, values[often].view(np.int64)))), pa.array(np.concatenate((sizes, -counts[often]))),
+                pa.array([*points, *[None] * n], pa.list_(pa.int32()))], names=["doc_id", "set", "n", "point"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, "doc_id long, set long, n long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, "doc_id long, set long, n long, point array<int>")
 
 
 def frequent_shingles(sets: DataFrame) -> np.ndarray:
@@ -119,30 +131,24 @@ def prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(first, "shingle long, set long")
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """Rows (set, n, point, shingles) of documents with shingles."""
+def full_sets(docs: DataFrame, named: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows (set, shingles) of the ``wanted`` sets, read again from one document each (``named``: set, doc_id)."""
+    ids = wanted.distinct().join(named, "set").select("set", F.col("doc_id").alias("_named"))
+    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_named"))).select("set", "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                rows = []
-                for _, s in text_windows(batch.column(0).slice(at, 500)):
-                    if len(s) and (name := set_id(s)) not in seen:
-                        seen.add(name)
-                        rows.append((name, len(s), point_of(s), s.view(np.int64)))
-                if rows:
-                    columns = list(zip(*rows, strict=True))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.array(columns[0])), pa.array(columns[1], pa.int64()),
-                        pa.array(columns[2], pa.list_(pa.int32())), pa.array(columns[3], pa.list_(pa.int64()))], names=["set", "n", "point", "shingles"])
+                part = batch.slice(at, 500)
+                names, rows = part.column(0).to_pylist(), {}
+                for i, s in text_windows(part.column(1)):
+                    if names[i] not in seen and len(s) and set_id(s) == names[i]:  # an id may stand for several texts
+                        seen.add(names[i])
+                        rows[names[i]] = s.view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(rows.keys(), pa.int64()), pa.array(rows.values(), pa.list_(pa.int64()))], names=["set", "shingles"])
 
-    return docs.select("text").mapInArrow(read, "set long, n long, point array<int>, shingles array<long>")
-
-
-def point_of(shingles: np.ndarray) -> np.ndarray:
-    groups = GROUPS if len(shingles) < FINE_FROM else FINE_GROUPS
-    return np.bincount((shingles % np.uint64(groups)).astype(np.int64), minlength=groups)
+    return texts.mapInArrow(read, "set long, shingles array<long>")
 
 
 def bound(a: str, b: str):
@@ -150,17 +156,21 @@ def bound(a: str, b: str):
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) that link: first by the bound of their points, then by their sets."""
-    points, left = sets.select("set", "n", "point"), pairs
+def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose points let them link, with both sizes."""
     for side in ("a", "b"):
-        left = left.join(points.select(F.col("set").alias(side), F.col("n").alias(f"n_{side}"), F.col("point").alias(f"p_{side}")), side)
+        pairs = pairs.join(points.select(F.col("set").alias(side), F.col("n").alias(f"n_{side}"), F.col("point").alias(f"p_{side}")), side)
     need = F.ceil(4 * (F.col("n_a") + F.col("n_b")) / F.lit(9))
-    left = left.where((5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")) & ((F.size("p_a") != F.size("p_b")) | (bound("p_a", "p_b") >= need))).select("a", "b", "n_a", "n_b")
+    near = (F.size("p_a") != F.size("p_b")) | (bound("p_a", "p_b") >= need)
+    return pairs.where((5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b")) & near).select("a", "b", "n_a", "n_b")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b, n_a, n_b) that link, by their sets."""
     for side in ("b", "a"):
-        left = left.join(sets.select(F.col("set").alias(side), F.col("shingles").alias(f"s_{side}")), side)
+        pairs = pairs.join(sets.select(F.col("set").alias(side), F.col("shingles").alias(f"s_{side}")), side)
     shared = F.size(F.array_intersect("s_a", "s_b"))
-    return left.where(100 * shared >= 80 * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
+    return pairs.where(100 * shared >= 80 * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
 
 
 class Forest:
@@ -277,10 +287,13 @@ def tiles(members: DataFrame) -> DataFrame:
         ":", "tree", "cut", F.least("share", "other"), F.greatest("share", "other"))).drop("share", "other", "shares", "cut", "_next")
 
 
-def in_tiles(members: DataFrame, sets: DataFrame, verify: bool) -> DataFrame:
+def in_tiles(members: DataFrame, points: DataFrame, sets: DataFrame | None = None) -> DataFrame:
     """Run ``tile_links`` over tiles that stream through sorted partitions; one tile is held at a time."""
+    verify = sets is not None
     columns = ["tile", "tree", "side", "set", "n", "component", "point", *(["shingles"] if verify else [])]
-    dealt = tiles(members.select("tree", "set", "n", "component")).join(sets.select("set", *columns[6:]), "set")
+    dealt = tiles(members.select("tree", "set", "n", "component")).join(points.select("set", "point"), "set")
+    if verify:
+        dealt = dealt.join(sets, "set")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -313,7 +326,7 @@ def in_tiles(members: DataFrame, sets: DataFrame, verify: bool) -> DataFrame:
     return dealt.select(*columns).repartition("tile").sortWithinPartitions("tile").mapInArrow(walk, "a long, b long")
 
 
-def tree_links(members: DataFrame, sets: DataFrame, done: DataFrame) -> DataFrame:
+def tree_links(docs: DataFrame, members: DataFrame, points: DataFrame, done: DataFrame) -> DataFrame:
     """Links between different components of ``done`` (node, root) under one shingle, beyond those with the centre.
 
     Points alone go through the trees of all shingles. What the bound lets pass, as a forest, makes groups of near sets;
@@ -325,32 +338,33 @@ def tree_links(members: DataFrame, sets: DataFrame, done: DataFrame) -> DataFram
         F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("_sum"), F.bit_xor(F.xxhash64("set", F.lit(1))).alias("_xor"))
     trees = trees.where("_n > 2 AND _a <> _b").groupBy("_n", "_sum", "_xor").agg(F.min("shingle").alias("tree"))  # equal trees are one
     members = named.join(trees.select("tree"), F.col("shingle") == F.col("tree")).select("tree", "set", "component")
-    members = stored(members.join(sets.select("set", "n"), "set"), "open")
-    near = components(in_tiles(members, sets, verify=False), "near")
+    members = stored(members.join(points.select("set", "n"), "set"), "open")
+    near = components(in_tiles(members, points), "near")
     near = near.select(F.col("node").alias("set"), F.col("root").alias("tree")).unionAll(
         near.select(F.col("root").alias("set"), F.col("root").alias("tree")).distinct())
     near = stored(near.join(members.select("set", "n", "component").distinct(), "set"), "near")
-    return stored(in_tiles(near, sets, verify=True), "tree-links")
+    return stored(in_tiles(near, points, full_sets(docs, points, near.select("set"))), "tree-links")
 
 
 def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, set, n) of every row, and (node, root) of the sets that are not the root of their component."""
     read = stored(read_sets(docs), "sets")
-    of = read.where("n >= 0")
+    of = read.where("n >= 0").select("doc_id", "set", "n")
     rows = stored(prefixes(docs, frequent_shingles(read)), "prefixes")
-    shared = rows.groupBy("shingle").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).where("lo < hi").select("shingle")
+    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("shingle")
     members = stored(rows.join(shared, "shingle").distinct(), "members")
-    sizes = of.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
-    wanted = stored(sizes.join(members.groupBy("set").agg(F.count(F.lit(1)).alias("held")), "set"), "wanted")
-    texts = docs.join(wanted.select(F.col("doc_id").alias("_wanted")), F.col("doc_id").eqNullSafe(F.col("_wanted")), "left_semi")
-    sets = stored(full_sets(texts).join(wanted.select("set", "held"), "set"), "full-sets")
+    sizes = members.groupBy("set").agg(F.count(F.lit(1)).alias("held")).join(
+        of.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")), "set")
+    points = stored(read.where("point IS NOT NULL").select("set", "point").join(sizes, "set").dropDuplicates(["set"]), "points")
     alone = F.col("n") - F.ceil(4 * F.col("n") / F.lit(5)) + 1 - F.col("held")  # first shingles that no other set has
-    central = members.join(sets.select("set", alone.alias("alone")), "set")
+    central = members.join(points.select("set", alone.alias("alone")), "set")
     centre = central.groupBy("shingle").agg(F.min(F.struct("alone", "set"))["set"].alias("a"))
     star = members.join(centre, "shingle").where("set <> a").select("a", F.col("set").alias("b")).distinct()
-    links = stored(verified(star, sets), "star-links")
+    star = stored(bounded(star, points), "star")
+    wanted = star.select(F.col("a").alias("set")).unionAll(star.select(F.col("b").alias("set")))
+    links = stored(verified(star, full_sets(docs, points, wanted)), "star-links")
     found = components(links)
-    more = tree_links(members, sets, found)
+    more = tree_links(docs, members, points, found)
     if not more.isEmpty():
         found = components(links.unionAll(more))
     return of, found
