@@ -40,8 +40,8 @@ def _repeats(group: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray
     order = np.lexsort((key, group))
     g, k = group[order], key[order]
     same = (g[1:] == g[:-1]) & (k[1:] == k[:-1])
-    later = np.concatenate(([False], same))
-    return order[later | np.concatenate((same, [False]))], order[later]
+    later = np.concatenate(([False], same))[:len(order)]
+    return order[later | np.concatenate((same, [False]))[:len(order)]], order[later]
 
 
 def text_counts(texts: pa.Array) -> dict[str, np.ndarray]:
