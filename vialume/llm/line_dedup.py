@@ -50,16 +50,15 @@ def row_key(doc_id: str):
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with the text that is left, and the columns n_lines and n_removed."""
-    covered = repeated_lines(docs, doc_id)
-    rid, th = row_key(doc_id)
-    rows = docs.withColumns({"_rid": rid, "_th": th})
-    joined = rows.join(covered, (rows["_rid"] == covered["rid"]) & (rows["_th"] == covered["th"]), "left")
-    lines = F.split(text_or_empty(), "\n", -1)
-    total = F.when(text_or_empty() == "", 0).otherwise(F.size(lines))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_key(doc_id))
+    joined = rows.join(repeated_lines(docs, doc_id), ["rid", "th"], "left")
+    row = F.col("row")
+    lines = F.split(text_or_empty(row["text"]), "\n", -1)
+    total = F.when(text_or_empty(row["text"]) == "", 0).otherwise(F.size(lines))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("covered"))
-    text = F.when(F.col("covered").isNull(), F.col("text")).otherwise(
+    text = F.when(F.col("covered").isNull(), row["text"]).otherwise(
         F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    kept = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    kept = [(text if c == "text" else row[c]).alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
     return joined.select(*kept, total.cast("long").alias("n_lines"),
                          F.coalesce(F.size(F.col("covered")), F.lit(0)).cast("long").alias("n_removed"))
 
