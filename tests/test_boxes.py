@@ -140,3 +140,14 @@ def test_centre_filter_and_mask_agree_with_zones(spark):
     assert [r.box_id for r in ops.in_mask(df).collect()] == [0]
     assert ops.first_images(spark.createDataFrame([("b",), ("a",)], "filename string"), 1).first().filename == "a"
     assert df.filter(F.col("cls") == 2).count() == 2
+
+
+@pytest.mark.parametrize("threshold", [0.45, 1.0])
+def test_rounds_agree_with_one_fold_on_awkward_boxes(spark, threshold):
+    wide = [(None, None, i, float(i % 3), 0.0, i % 3 + 10.0, 10.0, None if i % 4 == 0 else 0.9 - i % 2 / 10) for i in range(12)]
+    tiny = [(1, "car", 100 + i, 0.1, 0.1, 0.6, 0.6, 0.5) for i in range(4)]
+    copies = [(1, "bus", 200 + i, 0.0, 0.0, 50.0, 50.0, None) for i in range(4)]
+    df = spark.createDataFrame([*wide, *tiny, *copies], "frame_id long, cls string, box_id long, x1 double, y1 double, x2 double, y2 double, conf double")
+    one = sorted(map(tuple, nms(df, threshold).select(*df.columns).collect()), key=repr)
+    rounds = sorted(map(tuple, nms(df, threshold, max_group=2, block=2).select(*df.columns).collect()), key=repr)
+    assert one == rounds and one

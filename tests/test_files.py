@@ -124,3 +124,12 @@ def test_broken_metadata_gives_nulls(spark):
     texts = spark.createDataFrame([("a", '{"hour": 5}'), ("b", "nothing"), ("c", None), ("d", '{"hour": "x", "minute": 3}')], "stem string, value string")
     got = {r.stem: r.hour for r in files.parse_meta(texts).collect()}
     assert got == {"a": 5, "b": None, "c": None, "d": None}
+
+
+def test_label_file_with_foreign_header_is_an_error(spark, root):
+    from pathlib import Path
+
+    found = next(Path(root).glob("*/labels.csv"))
+    found.write_text("filename,state\nz.jpg,FLUIDO\n")
+    with pytest.raises(ValueError, match="estado"):
+        files.read_labels(spark, str(root))

@@ -99,7 +99,8 @@ def test_range_takes_both_days_whole(spark):
 def test_history_minutes_is_strict_and_capped(spark):
     df = detections(spark, [(1, 0, 1), (1, 1, 2), (1, 86400, 3)])
     now = T0 + dt.timedelta(days=1)
-    assert [r.vehicle_count for r in history.history_minutes(df, now, 9999).collect()] == [2, 3]
+    assert [r.vehicle_count for r in history.history_minutes(df, now, 9999, max_minutes=1440).collect()] == [2, 3]
+    assert [r.vehicle_count for r in history.history_minutes(df, now, 9999).collect()] == [1, 2, 3]
 
 
 def test_adaptive_thresholds_need_ten_rows(spark):

@@ -12,8 +12,6 @@ from vialume.config import COLAPSO, COLLAPSE_FROM, DENSE_FROM, DENSO, FLUIDO, ST
 from vialume.functions.calendar import local_time
 
 DEFAULT_MINUTES = 60
-MAX_MINUTES = 1440
-RANGE_LIMIT = 5000
 SPARK_BARS = 20
 MIN_BAR = 10
 
@@ -31,9 +29,10 @@ def same_type(df: DataFrame, ts: str, moment: dt.datetime) -> Column:
     return F.lit(text).cast("timestamp_ntz") if kind == "timestamp_ntz" else F.lit(f"{text}+00:00").cast("timestamp")
 
 
-def history_minutes(df: DataFrame, now: dt.datetime, minutes: int = DEFAULT_MINUTES, ts: str = "ts") -> DataFrame:
-    """Rows of the last ``minutes`` before ``now``, oldest first; a day at most."""
-    since = now - dt.timedelta(minutes=min(minutes, MAX_MINUTES))
+def history_minutes(df: DataFrame, now: dt.datetime, minutes: int = DEFAULT_MINUTES, ts: str = "ts",
+                    max_minutes: int | None = None) -> DataFrame:
+    """Rows of the last ``minutes`` before ``now``, oldest first; ``max_minutes`` is the caller's bound, if any."""
+    since = now - dt.timedelta(minutes=minutes if max_minutes is None else min(minutes, max_minutes))
     return df.filter(F.col(ts) > same_type(df, ts, since)).orderBy(ts)
 
 
@@ -47,11 +46,12 @@ def history_range(
     df: DataFrame,
     desde: dt.date | str,
     hasta: dt.date | str,
-    limit: int = RANGE_LIMIT,
+    limit: int | None = None,
     order: Sequence[str] = ("ts",),
 ) -> DataFrame:
-    """The oldest ``limit`` rows of a span of days, in order; the limit is part of the query."""
-    return in_days(df, desde, hasta, order[0]).orderBy(*order).limit(limit)
+    """The rows of a span of days in order; with ``limit`` only the oldest."""
+    found = in_days(df, desde, hasta, order[0]).orderBy(*order)
+    return found if limit is None else found.limit(limit)
 
 
 def on_day(df: DataFrame, day: dt.date | str, ts: str = "ts") -> DataFrame:

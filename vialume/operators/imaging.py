@@ -140,6 +140,14 @@ def _polygon_mask(corners: np.ndarray) -> np.ndarray:
     return inside
 
 
+# The weights of blue, green and red in the published 8-bit grey, over 2**15.
+_GRAY = (3735, 19235, 9798)
+
+
+def _gray(canvas: np.ndarray) -> np.ndarray:
+    return ((canvas.astype(np.int32) @ np.array(_GRAY, dtype=np.int32) + (1 << 14)) >> 15).astype(np.int16)
+
+
 def _features(img: np.ndarray) -> list[float]:
     canvas, (w, h) = _fit(img)
     mask, rects = _geometry(w, h)
@@ -147,8 +155,7 @@ def _features(img: np.ndarray) -> list[float]:
         f(f(canvas[:, :, 0], canvas[:, :, 1]), canvas[:, :, 2]).astype(np.int16) for f in (np.maximum, np.minimum)
     )
     saturation = np.rint(np.float32(255) * (value - least) / np.maximum(value, 1))
-    blue, green, red = (canvas[:, :, i].astype(np.float32) for i in range(3))
-    gray = np.rint(0.114 * blue + 0.587 * green + 0.299 * red).astype(np.int16)
+    gray = _gray(canvas)
     edges = _edges(gray).astype(np.int16) * 255
     out: list[float] = []
     for x1, y1, x2, y2 in rects:

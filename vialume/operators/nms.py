@@ -21,7 +21,7 @@ from vialume.session import ensure_checkpoint_dir
 
 MAX_GROUP = 5000
 BLOCK = 1000  # window group limits are pushed below the shuffle up to this rank
-BROADCAST_GROUPS = 2000  # at BLOCK kept boxes each, some 100 MB at the very most
+BROADCAST_GROUPS = 2000  # at the corners of BLOCK kept boxes each, some 100 MB at the very most
 SPREAD = 256
 
 _KEEP = "__kept"
@@ -31,15 +31,20 @@ def _covers(threshold: float, variant: str):
     return lambda kept, box: iou(rect(kept), rect(box), variant) > threshold
 
 
-def _fold(group, threshold: float, variant: str, item: Column, kind: str) -> DataFrame:
-    """Kept boxes of each group, as an array in order of priority."""
+def _rank(conf: str) -> Column:
+    """Highest confidence first, boxes without one last."""
+    return F.coalesce(-F.col(conf).cast("double"), F.lit(float("inf")))
+
+
+def _fold(group, threshold: float, variant: str, item: Column, kind: str, *more: Column) -> DataFrame:
+    """Kept boxes of each group, as an array in order of priority, and ``more`` aggregates."""
     covers = _covers(threshold, variant)
 
     def step(kept: Column, box: Column) -> Column:
         return F.when(F.exists(kept, lambda k: covers(k, box)), kept).otherwise(F.array_append(kept, box))
 
     ranked = F.array_sort(F.collect_list(item))
-    return group.agg(F.aggregate(ranked, F.array().cast(f"array<{kind}>"), step).alias(_KEEP))
+    return group.agg(F.aggregate(ranked, F.array().cast(f"array<{kind}>"), step).alias(_KEEP), *more)
 
 
 def nms(
@@ -72,7 +77,7 @@ def nms(
 def _item(df: DataFrame, keys: list[str], conf: str, tie: str) -> tuple[Column, str, list[str]]:
     """The struct that sorts by priority, its type, and the columns to bring back."""
     rest = [c for c in df.columns if c not in keys]
-    item = F.struct((-F.col(conf)).alias("__p"), F.col(tie).alias("__t"), *rest)
+    item = F.struct(_rank(conf).alias("__p"), F.col(tie).alias("__t"), *rest)
     kind = df.select(item.alias("i")).schema["i"].dataType.simpleString()
     return item, kind, rest
 
@@ -85,34 +90,33 @@ def _small(df, threshold, variant, keys, conf, tie) -> DataFrame:
     )
 
 
-def _without_copies(df: DataFrame, keys: list[str], conf: str, tie: str) -> DataFrame:
-    """Best of the boxes with equal corners. A box without area overlaps nothing and stays."""
-    flat = F.when((F.col("x2") <= F.col("x1")) | (F.col("y2") <= F.col("y1")), F.col(tie))
+def _without_copies(df: DataFrame, covers, keys: list[str], conf: str, tie: str) -> DataFrame:
+    """Best of the boxes with equal corners. A box that does not even cover itself drops no copy."""
+    box = F.struct("x1", "y1", "x2", "y2")
+    flat = F.when(~F.coalesce(covers(box, box), F.lit(False)), F.col(tie))
     corners = ["x1", "y1", "x2", "y2"]
     rest = [c for c in df.columns if c not in (*keys, *corners)]
     best = df.groupBy(*keys, *corners, flat.alias("__flat")).agg(
-        F.min_by(F.struct(*rest), F.struct((-F.col(conf)).alias("p"), F.col(tie))).alias("b")
+        F.min_by(F.struct(*rest), F.struct(_rank(conf).alias("p"), F.col(tie))).alias("b")
     )
     return best.select(*[F.col(f"b.{c}") if c in rest else F.col(c) for c in df.columns])
 
 
 def _rounds(hot, threshold, variant, keys, conf, tie, block) -> DataFrame:
     covers = _covers(threshold, variant)
-    priority = Window.partitionBy(*keys).orderBy(F.desc(conf), F.asc(tie))
-    left = _without_copies(hot, keys, conf, tie).checkpoint()
+    priority = Window.partitionBy(*keys).orderBy(_rank(conf), F.asc(tie))
+    left = _without_copies(hot, covers, keys, conf, tie).checkpoint()
     item, kind, rest = _item(left, keys, conf, tie)
     survivors = []
     while not left.isEmpty():
         top = left.withColumn("__r", F.row_number().over(priority)).filter(F.col("__r") <= block).drop("__r")
-        folded = top.groupBy(*keys)
-        kept = _fold(folded, threshold, variant, item, kind)
-        last = top.groupBy(*keys).agg(F.max(F.struct((-F.col(conf)).alias("p"), F.col(tie).alias("t"))).alias("__end"))
-        step = kept.join(last, keys).checkpoint()
+        at = F.struct(_rank(conf).alias("p"), F.col(tie).alias("t"))
+        step = _fold(top.groupBy(*keys), threshold, variant, item, kind, F.max(at).alias("__end")).checkpoint()
         survivors.append(step.select(*keys, F.explode(_KEEP).alias("b")))
 
-        after = F.struct((-F.col(conf)).alias("p"), F.col(tie).alias("t")) > F.col("__end")
         free = ~F.exists(_KEEP, lambda k: covers(k, F.struct("x1", "y1", "x2", "y2")))
-        left = _meet(left, step, keys, tie, "inner").filter(after & free).select(*left.columns).checkpoint()
+        corners = F.transform(_KEEP, lambda k: F.struct(*[k[c].alias(c) for c in ("x1", "y1", "x2", "y2")])).alias(_KEEP)
+        left = _meet(left, step.select(*keys, corners, "__end"), keys, tie, "inner").filter((at > F.col("__end")) & free).select(*left.columns).checkpoint()
     flat = reduce(DataFrame.unionByName, survivors)
     return flat.select(*[F.col(c) if c in keys else F.col(f"b.{c}") for c in hot.columns])
 
@@ -120,8 +124,11 @@ def _rounds(hot, threshold, variant, keys, conf, tie, block) -> DataFrame:
 def _meet(rows: DataFrame, groups: DataFrame, keys: list[str], tie: str, how: str) -> DataFrame:
     """Join rows with stored group rows: a broadcast while the groups are few, else a join on a
     salted key, so that the rows of one group meet in many tasks."""
+    groups = groups.withColumnsRenamed({k: f"__key_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])  # null is a group too
     if groups.count() <= BROADCAST_GROUPS:
-        return rows.join(F.broadcast(groups), keys, how)
+        return rows.join(F.broadcast(groups), same, how)
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(tie), F.lit(SPREAD)))
     salts = F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))
-    return salted.join(groups.withColumn("__salt", F.explode(salts)), [*keys, "__salt"], how).drop("__salt")
+    salts = groups.withColumn("__other", F.explode(salts))
+    return salted.join(salts, same & (F.col("__salt") == F.col("__other")), how).drop("__salt", "__other")

@@ -27,7 +27,7 @@ def enrich_counts(spark, sf_dir):
 
 @query("C2", f"WITH {s.LABELS}, {s.FRAMES} SELECT fecha, filename, estado FROM lab WHERE EXISTS (SELECT 1 FROM fra WHERE fra.fecha = lab.fecha AND fra.filename = lab.filename AND doc_id % 3 <> 0)")
 def labels_with_frames(spark, sf_dir):
-    stored = s.frames(spark, sf_dir).filter(F.col("doc_id") % 3 != 0)
+    stored = s.stored_frames(spark, sf_dir)
     return catalog.labels_with_frames(s.labels(spark, sf_dir), stored).select("fecha", "filename", "estado")
 
 
@@ -78,7 +78,7 @@ def label_rows(spark, sf_dir):
     CAST(hour BETWEEN 11 AND 16 AS INTEGER) AS is_peak_hour, estado
   FROM (SELECT * REPLACE (CASE WHEN hour = '' THEN 0 ELSE CAST(hour AS INTEGER) END AS hour) FROM enr) WHERE doc_id % 3 <> 0""")
 def build_catalog(spark, sf_dir):
-    stored = s.frames(spark, sf_dir).filter(F.col("doc_id") % 3 != 0)
+    stored = s.stored_frames(spark, sf_dir)
     return catalog.build_catalog(enriched(spark, sf_dir), stored)
 
 

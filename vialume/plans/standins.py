@@ -216,17 +216,30 @@ FRAMES = """fra AS (
   SELECT doc_id, printf('202401%02d', doc_id % 28 + 1) AS fecha, printf('frame_%010d.jpg', doc_id) AS filename FROM documents)"""
 
 
+def _two_in_three(doc: Column) -> Column:
+    """The numbers that 3 does not divide, in order: 1, 2, 4, 5, 7."""
+    return doc + F.floor(doc / 2) + 1
+
+
+def stored_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames whose numbers leave out every third."""
+    doc = _two_in_three(F.col("doc_id"))
+    return table(spark, sf_dir, "documents").select(_day(doc).alias("fecha"), _file(doc).alias("filename"), doc.alias("doc_id"))
+
+
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of every second frame; no counts at all on the last four days."""
-    doc = F.col("doc_id")
-    return table(spark, sf_dir, "documents").filter((doc % 2 == 0) & (doc % 28 < 24)).select(
-        _day(doc).alias("fecha"), _file(doc).alias("filename"), (F.col("n_chars") % 15).cast("int").alias("vehicle_count")
+    """Counts of frames with even numbers; those of the last four days stand in another month."""
+    doc = F.col("doc_id") * 2
+    day = F.when(doc % 28 < 24, _day(doc)).otherwise(F.format_string("202402%02d", (doc % 28 + 1).cast("int")))
+    return table(spark, sf_dir, "documents").select(
+        day.alias("fecha"), _file(doc).alias("filename"), (F.col("n_chars") % 15).cast("int").alias("vehicle_count")
     )
 
 
 COUNTS = """cnt AS (
-  SELECT printf('202401%02d', doc_id % 28 + 1) AS fecha, printf('frame_%010d.jpg', doc_id) AS filename, CAST(n_chars % 15 AS INTEGER) AS vehicle_count
-  FROM documents WHERE doc_id % 2 = 0 AND doc_id % 28 < 24)"""
+  SELECT printf('2024%02d%02d', CASE WHEN k % 28 < 24 THEN 1 ELSE 2 END, k % 28 + 1) AS fecha, printf('frame_%010d.jpg', k) AS filename,
+    CAST(n_chars % 15 AS INTEGER) AS vehicle_count
+  FROM (SELECT doc_id * 2 AS k, n_chars FROM documents))"""
 
 ENRICHED = """enr AS (
   SELECT lab.*, CAST(CASE WHEN lab.fecha IN (SELECT fecha FROM cnt) THEN coalesce(cnt.vehicle_count, 0) END AS INTEGER) AS vehicle_count
@@ -234,9 +247,9 @@ ENRICHED = """enr AS (
 
 
 def meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata of two frames in three; the weekday name is missing in some."""
-    doc = F.col("doc_id")
-    return table(spark, sf_dir, "documents").filter(doc % 3 != 0).select(
+    """Metadata of frames whose numbers leave out every third; the weekday name is missing in some."""
+    doc = _two_in_three(F.col("doc_id"))
+    return table(spark, sf_dir, "documents").select(
         _day(doc).alias("fecha"),
         F.regexp_replace(_file(doc), r"\.jpg$", "").alias("stem"),
         F.concat(F.lit("2024-01-01T00:00:"), (doc % 60).cast("string")).alias("timestamp"),
@@ -252,7 +265,7 @@ META = """met AS (
   SELECT printf('202401%02d', doc_id % 28 + 1) AS fecha, printf('frame_%010d', doc_id) AS stem, '2024-01-01T00:00:' || (doc_id % 60) AS timestamp,
     CAST(doc_id % 7 AS INTEGER) AS weekday, CASE WHEN doc_id % 5 <> 0 THEN 'd' || (doc_id % 7) END AS weekday_name,
     CAST(doc_id % 24 AS INTEGER) AS hour, CAST(doc_id % 60 AS INTEGER) AS minute, doc_id % 2 = 0 AS is_rush_hour
-  FROM documents WHERE doc_id % 3 <> 0)"""
+  FROM (SELECT doc_id + doc_id // 2 + 1 AS doc_id FROM documents))"""
 
 
 def hashed_frames(spark: SparkSession, sf_dir: str) -> DataFrame:

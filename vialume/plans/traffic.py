@@ -62,14 +62,14 @@ def safe_ints(spark, sf_dir):
 @query("B3", f"""WITH {DET} SELECT ts, event_id, vehicle_count, estado FROM det
   WHERE ts > TIMESTAMP '{NOW}' - INTERVAL 1440 MINUTE""")
 def history_minutes(spark, sf_dir):
-    recent = history.history_minutes(detections(spark, sf_dir), NOW, 5000)
+    recent = history.history_minutes(detections(spark, sf_dir), NOW, 5000, max_minutes=1440)
     return recent.select("ts", "event_id", "vehicle_count", "estado")
 
 
 @query("B4 F2", f"""WITH {DET} SELECT ts, event_id, vehicle_count, estado, hour, weekday FROM det
   WHERE {_IN_RANGE} ORDER BY ts, event_id LIMIT 5000""")
 def history_range(spark, sf_dir):
-    rows = history.history_range(detections(spark, sf_dir), FIRST, LAST, order=("ts", "event_id"))
+    rows = history.history_range(detections(spark, sf_dir), FIRST, LAST, limit=5000, order=("ts", "event_id"))
     return rows.select("ts", "event_id", "vehicle_count", "estado", "hour", "weekday")
 
 

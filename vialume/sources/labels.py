@@ -27,8 +27,7 @@ def _header_variants(spark: SparkSession, path: str) -> dict[str, list[str]]:
     lines = spark.read.text(path).select(
         "value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")
     )
-    head = (F.col("file_block_start") == 0) & F.col("value").contains("filename") & F.col("value").contains("estado")
-    first = lines.filter(head).groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    first = lines.filter((F.col("file_block_start") == 0) & (F.trim("value") != "")).groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
     grouped = first.groupBy("header").agg(F.collect_list("file_path").alias("files"))
     return {row["header"].lstrip("﻿"): row["files"] for row in grouped.toLocalIterator()}
 
@@ -42,6 +41,8 @@ def read_labels(spark: SparkSession, root: str, pattern: str = "*/labels.csv") -
     days = []
     for header, files in sorted(_header_variants(spark, f"{root}/{pattern}").items()):
         names = [h.strip().strip('"') for h in header.split(",")]
+        if missing := {"filename", "estado"} - set(names):
+            raise ValueError(f"label files without {sorted(missing)}, such as {files[0]}")
         schema = ", ".join(f"`{n}` string" for n in names)
         days.append(spark.read.schema(schema).csv(files, header=True).withColumn("fecha", _day()))
     if not days:
