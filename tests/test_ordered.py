@@ -15,21 +15,20 @@ def sequence(spark, states, camera=1, step=60):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("slices", [1, 3, 50])
+@pytest.mark.parametrize("slices", [1, 3, 50, 5000])
 def test_previous_and_next_do_not_depend_on_the_slices(spark, slices):
     rng = random.Random(slices)
     rows = []
     for i in range(400):
-        camera = 1 if rng.random() < 0.7 else rng.randrange(2, 5)  # one hot camera
+        camera = 1 if rng.random() < 0.7 else rng.choice([2, 3, None])  # one hot camera, and rows without one
         burst = rng.random() < 0.5  # half of the rows share one second
         ts = T0 + dt.timedelta(seconds=7 if burst else rng.randrange(1000))
         rows.append((camera, ts, i, rng.choice(["a", "b", None])))
     df = spark.createDataFrame(rows, SCHEMA)
-    cuts = ordered.time_cuts(df, "ts", slices)
-    assert len(cuts) < slices
+    seconds = max(1, 1000 // slices)
     keys, order = ["camera_id"], ["ts", "event_id"]
     for forward, fn in ((False, ordered.with_previous), (True, ordered.with_next)):
-        got = {r.event_id: r.n.v if r.n is not None else "none" for r in fn(df, keys, order, "estado", "n", cuts).collect()}
+        got = {r.event_id: r.n.v if r.n is not None else "none" for r in fn(df, keys, order, "estado", "n", seconds).collect()}
         want = {}
         for camera in {r[0] for r in rows}:
             line = sorted((r for r in rows if r[0] == camera), key=lambda r: (r[1], r[2]), reverse=forward)
@@ -41,7 +40,7 @@ def test_previous_and_next_do_not_depend_on_the_slices(spark, slices):
 def test_initial_value_precedes_the_first_row(spark):
     df = sequence(spark, ["b"])
     initial = spark.createDataFrame([(1, "z"), (9, "y")], "camera_id bigint, v string")
-    row = ordered.with_previous(df, ["camera_id"], ["ts", "event_id"], "estado", "p", [], initial).collect()
+    row = ordered.with_previous(df, ["camera_id"], ["ts", "event_id"], "estado", "p", 60, initial).collect()
     assert len(row) == 1 and row[0].p.v == "z"
 
 
@@ -55,13 +54,12 @@ def test_empty_table(spark):
 def test_collapse_starts_and_episodes(spark, slices):
     c, f = "COLAPSO", "FLUIDO"
     df = sequence(spark, [c, c, f, c, f, f, c, "DENSO", c, c])
-    cuts = ordered.time_cuts(df, "ts", slices)
-    starts = [r.event_id for r in alerts.collapse_starts(df, cuts=cuts).orderBy("ts").collect()]
+    starts = [r.event_id for r in alerts.collapse_starts(df, seconds=600 // slices).orderBy("ts").collect()]
     assert starts == [0, 3, 6, 8]
-    episodes = alerts.collapse_episodes(df, cuts=cuts).orderBy("inicio").collect()
+    episodes = alerts.collapse_episodes(df, seconds=600 // slices).orderBy("inicio").collect()
     assert [e.duracion_min for e in episodes] == [2, 1, 1, None]
     assert episodes[-1].fin is None
-    tipos = [r.tipo for r in alerts.alert_rows(alerts.collapse_episodes(df, cuts=cuts)).collect()]
+    tipos = [r.tipo for r in alerts.alert_rows(alerts.collapse_episodes(df, seconds=600 // slices)).collect()]
     assert tipos.count("COLAPSO_INICIO") == 4 and tipos.count("COLAPSO_FIN") == 3
 
 
@@ -91,10 +89,27 @@ def test_frames_without_a_hash_are_no_copies(spark):
     assert [(r.kept_name, r.is_duplicate) for r in dedup.dedup_content(df).orderBy("filename").collect()] == [("a", False), ("b", False)]
 
 
-def test_slices_are_balanced_where_rows_pile_up(spark):
-    df = spark.range(20000).select(
-        F.timestamp_micros(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.col("id") * 10_000_000)).alias("ts")
-    )
-    cuts = ordered.time_cuts(df, "ts", 20)
-    sizes = [r["count"] for r in ordered.with_slice(df, "ts", cuts).groupBy(ordered.SLICE).count().collect()]
-    assert max(sizes) < 3 * 20000 / 20
+@pytest.mark.parametrize("seconds", [1, 7, 40, 100_000])
+def test_trailing_mean_does_not_depend_on_the_slices(spark, seconds):
+    rng = random.Random(seconds)
+    rows = [(c, T0 + dt.timedelta(seconds=t), float(rng.randrange(99))) for c in (1, None) for t in sorted(rng.sample(range(900), 150))]
+    df = spark.createDataFrame(rows, "camera_id bigint, at timestamp, x double")
+    got = {(r.camera_id, r.at): r.m for r in ordered.trailing_mean(df, ["camera_id"], ["at"], "x", 4, "m", seconds).collect()}
+    for camera in (1, None):
+        line = [r for r in rows if r[0] == camera]
+        for i, (_, at, _) in enumerate(line):
+            near = [r[2] for r in line[max(0, i - 3):i + 1]]
+            assert got[camera, at] == pytest.approx(sum(near) / len(near))
+
+
+def test_rows_without_a_camera_are_one_camera(spark):
+    df = sequence(spark, ["COLAPSO"] * 200, camera=None)
+    assert alerts.collapse_starts(df).count() == 1
+    before = spark.createDataFrame([(None, "COLAPSO")], "camera_id bigint, v string")
+    assert alerts.collapse_starts(df, initial=before).count() == 0
+
+
+def test_episodes_read_the_table_once(spark, tmp_path):
+    sequence(spark, ["COLAPSO", "FLUIDO"]).write.parquet(str(tmp_path / "t"))
+    plan = alerts.collapse_episodes(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

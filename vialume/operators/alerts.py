@@ -9,43 +9,48 @@ from pyspark.sql import functions as F
 
 from vialume.config import COLAPSO, COLAPSO_FIN, COLAPSO_INICIO
 from vialume.functions.calendar import epoch_us
-from vialume.operators.ordered import time_cuts, with_next, with_previous
+from vialume.operators.ordered import SLICE_SECONDS, with_next, with_previous
 
 _MINUTE_US = 60_000_000
 
 
-def _collapse_changes(df, keys, order, cuts, initial=None) -> DataFrame:
+def _collapse_changes(df, keys, order, seconds, initial=None) -> DataFrame:
     """Rows where a collapse starts or ends, with ``starts`` telling which."""
-    seen = with_previous(df, keys, order, "estado", "__before", cuts, initial)
-    now = F.col("estado") == COLAPSO
-    before = F.coalesce(F.col("__before.v") == COLAPSO, F.lit(False))
-    return seen.filter(now != before).withColumn("starts", now).drop("__before")
+    now = F.coalesce(F.col("estado") == COLAPSO, F.lit(False))
+
+    def changed(before):
+        return now != F.coalesce(before["v"] == COLAPSO, F.lit(False))
+
+    seen = with_previous(df, keys, order, "estado", "__before", seconds, initial, only=changed)
+    return seen.withColumn("starts", now).drop("__before")
 
 
 def collapse_starts(
     df: DataFrame,
     keys: Sequence[str] = ("camera_id",),
     order: Sequence[str] = ("ts", "event_id"),
-    cuts: Sequence[float] | None = None,
+    seconds: int = SLICE_SECONDS,
     initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows in collapse whose previous row on the same camera is not, or does not exist."""
-    return _collapse_changes(df, keys, order, cuts, initial).filter("starts").select(*df.columns)
+    """Rows in collapse whose previous row on the same camera is not, or does not exist.
+
+    A row without a state is in no collapse; rows without a camera count as one camera.
+    """
+    return _collapse_changes(df, keys, order, seconds, initial).filter("starts").select(*df.columns)
 
 
 def collapse_episodes(
     df: DataFrame,
     keys: Sequence[str] = ("camera_id",),
     order: Sequence[str] = ("ts", "event_id"),
-    cuts: Sequence[float] | None = None,
+    seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
     """Start, end and whole minutes of each collapse.
 
     It ends with the first later row in another state; while there is none, end and minutes are null.
     """
-    cuts = time_cuts(df, order[0]) if cuts is None else cuts
-    changes = _collapse_changes(df.select(*keys, *order, "estado"), keys, order, cuts)
-    paired = with_next(changes, keys, order, order[0], "__end", cuts).filter("starts")
+    changes = _collapse_changes(df.select(*keys, *order, "estado"), keys, order, seconds)
+    paired = with_next(changes, keys, order, order[0], "__end", seconds).filter("starts")
     start, end = F.col(order[0]), F.col("__end.v")
     return paired.select(
         *keys,

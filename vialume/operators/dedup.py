@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vialume.operators.ordered import with_previous
+from vialume.operators.ordered import SLICE_SECONDS, with_previous
 
 COPY_SALTS = 64
 
@@ -28,13 +28,14 @@ def drop_unchanged(
     keys: Sequence[str] = ("camera_id",),
     order: Sequence[str] = ("ts", "frame_id"),
     md5: str = "md5",
-    cuts: Sequence[float] | None = None,
+    seconds: int = SLICE_SECONDS,
     initial: DataFrame | None = None,
 ) -> DataFrame:
     """Drop a frame whose hash equals that of the frame just before it on the same camera."""
-    seen = with_previous(frames, keys, order, md5, "__before", cuts, initial)
-    changed = F.col("__before").isNull() | ~F.col("__before.v").eqNullSafe(F.col(md5))
-    return seen.filter(changed).select(*frames.columns)
+    def changed(before):
+        return before.isNull() | ~before["v"].eqNullSafe(F.col(md5))
+
+    return with_previous(frames, keys, order, md5, "__before", seconds, initial, only=changed).select(*frames.columns)
 
 
 def dedup_content(frames: DataFrame, day: str = "fecha", md5: str = "md5", name: str = "filename",

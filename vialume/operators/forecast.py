@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from vialume.config import FORECAST_WINDOWS
 from vialume.functions.states import next_state
+from vialume.operators.ordered import trailing_mean
+
+#: A day of window rows is a slice: some thousands per key.
+SLICE_SECONDS_WINDOWS = 86_400
 
 
 def rolling_mean(
@@ -21,11 +25,9 @@ def rolling_mean(
 ) -> DataFrame:
     """Add the mean of the last ``n`` window rows, the current one included.
 
-    A key has one row per slide step, so its rows are bounded by the length of the history, not
-    by the number of detections.
+    Each task sorts one time slice of a key, not its whole history.
     """
-    trailing = Window.partitionBy(*keys).orderBy(order).rowsBetween(1 - n, 0)
-    return windows.withColumn(out, F.avg(value).over(trailing))
+    return trailing_mean(windows, keys, [order], value, n, out, SLICE_SECONDS_WINDOWS)
 
 
 def forecast_each(windows: DataFrame, keys: Sequence[str] = ("camera_id",), order: str = "window_start") -> DataFrame:

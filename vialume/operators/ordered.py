@@ -1,50 +1,35 @@
 """Previous and next row of a key, without sorting a whole key in one task.
 
 A plain ``lag`` over a camera puts all rows of that camera in one task, and one camera may hold a
-third of the table. Here the order column is cut into slices of about equal row count; the window
-runs inside (key, slice), and only the first or last value of each slice is carried across. The
-carried table has at most one row per key and slice.
+third of the table. Here time is cut into slices of fixed width. A first window runs inside
+(key, slice). Only the outermost rows of each slice need a look across its border: a second window
+runs over those alone, a few per key and slice. In it the other rows stay in groups of their own
+slices, so that one plan with one scan serves all rows. Keys may be null: null is a key like others.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from vialume.functions.calendar import epoch_us
 
 SLICE = "__slice"
-SLICES = 2000
+SLICE_SECONDS = 3600
+_EDGES = "edges"
 
 
-def time_cuts(df: DataFrame, ts: str = "ts", slices: int = SLICES) -> list[float]:
-    """Cut points, in microseconds, that split the rows into slices of about equal size.
-
-    Runs one pass over the time column alone; the result has ``slices`` numbers at most. Slices
-    cost next to nothing, so there are many, and a hot camera spreads over all of a cluster.
-    Where rows pile up in a short time the cuts lie closer together. Wrong guesses of the
-    quantile sketch change the balance of the slices only, never a result.
-    """
-    if slices <= 1:
-        return []
-    shares = F.expr(f"array({', '.join(f'{i / slices}D' for i in range(1, slices))})")
-    found = df.agg(F.percentile_approx(epoch_us(ts), shares, 4 * slices)).first()[0]
-    return sorted({float(cut) for cut in found or []})
+def with_slice(df: DataFrame, ts: str, seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Add the slice of each row; rows without a time share one."""
+    number = F.floor(epoch_us(ts) / F.lit(seconds * 1_000_000)).cast("string")
+    return df.withColumn(SLICE, F.coalesce(number, F.lit("none")))
 
 
-def with_slice(df: DataFrame, ts: str, cuts: Sequence[float]) -> DataFrame:
-    """Add the slice number of each row."""
-    if not cuts:
-        return df.withColumn(SLICE, F.lit(0))
-    micros = "__us"
-    splits = [float("-inf"), *cuts, float("inf")]
-    placed = Bucketizer(splits=splits, inputCol=micros, outputCol=SLICE).transform(
-        df.withColumn(micros, epoch_us(ts).cast("double"))
-    )
-    return placed.drop(micros).withColumn(SLICE, F.col(SLICE).cast("int"))
+def _across(keys: Sequence[str], edge: Column, sort: Sequence[Column]) -> WindowSpec:
+    """The edges of all slices of a key in one group, the other rows in those of their slices."""
+    return Window.partitionBy(*keys, F.when(edge, F.lit(_EDGES)).otherwise(F.col(SLICE))).orderBy(*sort)
 
 
 def with_previous(
@@ -53,15 +38,26 @@ def with_previous(
     order: Sequence[str],
     value: str,
     out: str = "previous",
-    cuts: Sequence[float] | None = None,
+    seconds: int = SLICE_SECONDS,
     initial: DataFrame | None = None,
+    only: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Add ``out``, a struct with field ``v``: the value of the row before, or null if none.
 
-    ``order`` starts with the timestamp and is unique within a key. ``initial`` (keys, ``v``)
-    gives the value that precedes the first row of a key. Key columns must not be null.
+    ``order`` starts with the timestamp and should be unique within a key; equal rows come in any
+    order. ``initial`` (keys, ``v``) gives the value that precedes the first row of a key. ``only``
+    makes a condition of the neighbour: rows that do not meet it are left out, most of them before
+    the second window.
     """
-    return _neighbour(df, keys, order, value, out, cuts, initial, forward=False)
+    found = _neighbour(df, keys, order, value, out, seconds, False, only if initial is None else None)
+    if initial is None:
+        return found
+    # At most one row per key, and only first rows of a key look at it.
+    known = initial.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.struct("v").alias("__initial"))
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    joined = found.join(known, [F.col(out).isNull(), *same], "left")
+    rows = joined.withColumn(out, F.coalesce(out, "__initial")).select(*df.columns, out)
+    return rows if only is None else rows.filter(only(F.col(out)))
 
 
 def with_next(
@@ -70,40 +66,49 @@ def with_next(
     order: Sequence[str],
     value: str,
     out: str = "following",
-    cuts: Sequence[float] | None = None,
+    seconds: int = SLICE_SECONDS,
+    only: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """As :func:`with_previous`, for the row after."""
-    return _neighbour(df, keys, order, value, out, cuts, None, forward=True)
+    return _neighbour(df, keys, order, value, out, seconds, True, only)
 
 
-def _neighbour(df, keys, order, value, out, cuts, initial, forward) -> DataFrame:
-    cuts = time_cuts(df, order[0]) if cuts is None else cuts
-    keys, order = list(keys), list(order)
-    sliced = with_slice(df, order[0], cuts)
+def _neighbour(df, keys, order, value, out, seconds, forward, only) -> DataFrame:
     boxed = F.struct(F.col(value).alias("v"))
+    sort = [F.desc(c) if forward else F.asc(c) for c in order]
+    inside = Window.partitionBy(*keys, SLICE).orderBy(*sort)
+    rows = with_slice(df, order[0], seconds).withColumns({
+        out: F.lag(boxed).over(inside),
+        "__first": F.row_number().over(inside) == 1,
+        "__last": F.lead(F.lit(1)).over(inside).isNull(),
+    })
+    edge = F.col("__first") | F.col("__last")
+    if only is not None:
+        rows = rows.filter(edge | only(F.col(out)))
+    # Of equal edges of one slice, its last row comes last.
+    carried = F.lag(boxed).over(_across(keys, edge, [*sort, F.asc("__last")]))
+    found = rows.withColumn(out, F.when(F.col("__first"), carried).otherwise(F.col(out))).select(*df.columns, out)
+    return found if only is None else found.filter(only(F.col(out)))
+
+
+def trailing_mean(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, n: int, out: str, seconds: int = SLICE_SECONDS
+) -> DataFrame:
+    """Add the mean of ``value`` over the last ``n`` rows, the current one included.
 
-    def sort(columns: list[str]) -> list[Column]:
-        return [F.desc(c) if forward else F.asc(c) for c in columns]
-
-    inside = Window.partitionBy(*keys, SLICE).orderBy(*sort(order))
-    rows = sliced.withColumn(out, F.lag(boxed).over(inside)).withColumn(
-        "__edge", F.row_number().over(inside) == 1
-    )
-
-    # The value a slice hands over: its last row, or its first when looking ahead.
-    pick = F.min_by if forward else F.max_by
-    handed = sliced.groupBy(*keys, SLICE).agg(pick(boxed, F.struct(*order)).alias("__last"))
-    if initial is not None:
-        before = initial.select(
-            *keys, F.lit(-1).alias(SLICE), F.struct(F.col("v")).alias("__last")
-        )
-        handed = handed.unionByName(before)
-    across = Window.partitionBy(*keys).orderBy(*sort([SLICE]))
-    carried = handed.select(*keys, SLICE, F.lag("__last").over(across).alias("__carried"))
-
-    joined = rows.join(carried, [*keys, SLICE], "left")
-    neighbour = F.when(F.col("__edge"), F.col("__carried")).otherwise(F.col(out))
-    return joined.withColumn(out, neighbour).select(*df.columns, out)
+    The first and last ``n - 1`` rows of a slice are its edges: the rows before one of its first
+    rows are edges of this slice or of those before, without a gap.
+    """
+    inside = Window.partitionBy(*keys, SLICE)
+    ahead, back = inside.orderBy(*order), inside.orderBy(*[F.desc(c) for c in order])
+    rows = with_slice(df, order[0], seconds).withColumns({
+        out: F.avg(value).over(ahead.rowsBetween(1 - n, 0)),
+        "__rank": F.row_number().over(ahead),
+        "__back": F.row_number().over(back),
+    })
+    edge = (F.col("__rank") < n) | (F.col("__back") < n)
+    carried = F.avg(value).over(_across(keys, edge, [*map(F.asc, order), F.asc("__rank")]).rowsBetween(1 - n, 0))
+    return rows.withColumn(out, F.when(F.col("__rank") < n, carried).otherwise(F.col(out))).select(*df.columns, out)
 
 
 def last_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
