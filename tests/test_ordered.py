@@ -37,13 +37,6 @@ def test_previous_and_next_do_not_depend_on_the_slices(spark, slices):
         assert got == want
 
 
-def test_initial_value_precedes_the_first_row(spark):
-    df = sequence(spark, ["b"])
-    initial = spark.createDataFrame([(1, "z"), (9, "y")], "camera_id bigint, v string")
-    row = ordered.with_previous(df, ["camera_id"], ["ts", "event_id"], "estado", "p", 60, initial).collect()
-    assert len(row) == 1 and row[0].p.v == "z"
-
-
 def test_empty_table(spark):
     df = sequence(spark, ["x"]).limit(0)
     assert ordered.with_previous(df, ["camera_id"], ["ts", "event_id"], "estado").count() == 0
@@ -105,8 +98,6 @@ def test_trailing_mean_does_not_depend_on_the_slices(spark, seconds):
 def test_rows_without_a_camera_are_one_camera(spark):
     df = sequence(spark, ["COLAPSO"] * 200, camera=None)
     assert alerts.collapse_starts(df).count() == 1
-    before = spark.createDataFrame([(None, "COLAPSO")], "camera_id bigint, v string")
-    assert alerts.collapse_starts(df, initial=before).count() == 0
 
 
 def test_episodes_read_the_table_once(spark, tmp_path):

@@ -68,7 +68,6 @@ def test_windows_of_a_stream_equal_those_of_the_batch(spark, feed, history, tmp_
     jobs.stream_windows(feed.events(), out, cp, 300, 60).awaitTermination()
     feed.add(history[80:])
     jobs.stream_windows(feed.events(), out, cp, 300, 60).awaitTermination()
-    assert [r.late for r in jobs.late_rows(spark, cp).collect()] == [0, 0, 0]
 
     got = scan_windows(spark, out)
     newest = max(m["timestamp"] for m in history)
@@ -93,13 +92,15 @@ def test_native_statistics_equal_those_of_the_batch(spark, feed, history, tmp_pa
 
 def test_late_rows_are_left_out_and_counted(spark, feed, tmp_path):
     feed.add([message(0, 0, 1), message(1, 1000, 1)])
-    feed.add([message(2, 5, 99), message(3, 930, 7), message(4, 2000, 1)])  # second 5 is too late, 930 is not
+    feed.add([message(5, 1001, 1)])
+    feed.add([message(2, 5, 99), message(3, 945, 7), message(4, 2000, 1)])  # second 5 is too late, 945 is not
     out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
-    jobs.stream_windows(feed.events(), out, cp, 60, 60).awaitTermination()
+    query = jobs.stream_windows(feed.events(), out, cp, 60, 60)
+    query.awaitTermination()
     rows = {int((r.window_start - T0).total_seconds()): r for r in scan_windows(spark, out).collect()}
     assert (rows[0].max_vehicles, rows[0].n_samples) == (1, 1)
     assert (rows[900].max_vehicles, rows[900].n_samples) == (7, 1)
-    assert sorted(r.late for r in jobs.late_rows(spark, cp).collect()) == [0, 1]
+    assert jobs.late_rows(query) == 1
 
 
 def test_native_late_rows_are_left_out(spark, feed, tmp_path):
@@ -120,20 +121,48 @@ def test_sink_replaces_a_repeated_batch(spark, tmp_path):
     assert scan_batches(spark, out).count() == 8
 
 
-def test_collapses_across_batches(spark, feed, history, tmp_path):
+def left(rows):
+    """Messages whose minute had ended one minute before the newest of them."""
+    at = {m["event_id"]: int((dt.datetime.fromisoformat(m["timestamp"]) - T0).total_seconds()) for m in rows}
+    return {i for i, t in at.items() if t // 60 * 60 + 60 <= max(at.values()) - 60}
+
+
+@pytest.mark.parametrize("camera", [1, None])
+def test_collapses_across_batches(spark, feed, history, tmp_path, camera):
+    """Several micro-batches, rows out of order within each, and a restart; null is a camera too."""
+    history = [{**m, "camera_id": camera if m["camera_id"] == 1 else 2} for m in history]
     for i in range(0, 120, 30):
-        feed.add(history[i:i + 30])
-    out = str(tmp_path / "out")
-    jobs.stream_collapse_starts(feed.events(), out, str(tmp_path / "cp")).awaitTermination()
-    got = sorted(r.event_id for r in scan_batches(spark, out).collect())
-    want = sorted(r.event_id for r in alerts.collapse_starts(batch(spark, history)).collect())
-    assert got == want and len(want) > 5
+        feed.add(history[i + 2:i + 30] + history[i:i + 2])
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    events = feed.events().withColumn("camera_id", F.when(F.col("camera_id") != 0, F.col("camera_id")))
+    jobs.stream_collapse_starts(events, out, cp).awaitTermination()
+    known = batch(spark, history).withColumn("camera_id", F.when(F.col("camera_id") != 0, F.col("camera_id")))
 
-    more = [message(200 + i, 4000 + i, 20, camera=c) for i, c in enumerate((1, 2, 7))]
+    def starts(rows):
+        return {r.event_id for r in alerts.collapse_starts(rows).collect()}
+
+    got = [r.event_id for r in scan_batches(spark, out).collect()]
+    want = starts(known) & left(history)
+    assert sorted(got) == sorted(want) and len(want) > 5
+
+    more = [message(200 + i, 4000 + i, 20, camera=c) for i, c in enumerate((camera or 0, 2, 7))] + [message(300, 9000, 0, camera=9)]
     feed.add(more)  # after a restart the last states are still known
-    jobs.stream_collapse_starts(feed.events(), out, str(tmp_path / "cp")).awaitTermination()
-    got = sorted(r.event_id for r in scan_batches(spark, out).collect())
-    assert got == sorted(r.event_id for r in alerts.collapse_starts(batch(spark, history + more)).collect())
+    jobs.stream_collapse_starts(events, out, cp).awaitTermination()
+    rows = batch(spark, history + more).withColumn("camera_id", F.when(F.col("camera_id") != 0, F.col("camera_id")))
+    got = [r.event_id for r in scan_batches(spark, out).collect()]
+    assert sorted(got) == sorted(starts(rows) & left(history + more))
+
+
+def test_alert_rows_across_batches(spark, feed, history, tmp_path):
+    for i in range(0, 120, 40):
+        feed.add(history[i:i + 40])
+    feed.add([message(999, 9000, 0, camera=5)])
+    out = str(tmp_path / "out")
+    jobs.stream_alerts(feed.events(), out, str(tmp_path / "cp")).awaitTermination()
+    got = alerts.alert_lengths(scan_batches(spark, out))
+    want = alerts.alert_rows(alerts.collapse_episodes(batch(spark, history)))
+    key = lambda r: (r.camera_id, r.ts, r.tipo, r.duracion_min, r.notificado)
+    assert sorted(map(key, got.collect()), key=repr) == sorted(map(key, want.collect()), key=repr)
 
 
 def test_unchanged_frames_across_batches(spark, feed, history, tmp_path):
@@ -146,7 +175,17 @@ def test_unchanged_frames_across_batches(spark, feed, history, tmp_path):
     out = str(tmp_path / "out")
     jobs.stream_drop_unchanged(frames(feed.events()), out, str(tmp_path / "cp")).awaitTermination()
     got = sorted(r.frame_id for r in scan_batches(spark, out).collect())
-    assert got == sorted(r.frame_id for r in dedup.drop_unchanged(frames(batch(spark, history))).collect())
+    assert got == sorted(left(history) & {r.frame_id for r in dedup.drop_unchanged(frames(batch(spark, history))).collect()})
+
+
+def test_messages_of_a_single_camera(spark):
+    """Six fields: the camera is the default, the number comes from the line."""
+    line = {k: v for k, v in message(0, 3, 12).items() if k not in ("camera_id", "event_id")}
+    df = spark.createDataFrame([(json.dumps(line),), (json.dumps(line),), (json.dumps({**line, "vehicle_count": 4}),)], "value string")
+    ok, rejected = split_invalid(df, camera=8)
+    rows = ok.collect()
+    assert rejected.count() == 0 and {r.camera_id for r in rows} == {8}
+    assert len({r.event_id for r in rows}) == 2 and all(r.event_id is not None for r in rows)
 
 
 def test_bad_messages(spark):

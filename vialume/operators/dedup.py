@@ -29,13 +29,12 @@ def drop_unchanged(
     order: Sequence[str] = ("ts", "frame_id"),
     md5: str = "md5",
     seconds: int = SLICE_SECONDS,
-    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Drop a frame whose hash equals that of the frame just before it on the same camera."""
     def changed(before):
         return before.isNull() | ~before["v"].eqNullSafe(F.col(md5))
 
-    return with_previous(frames, keys, order, md5, "__before", seconds, initial, only=changed).select(*frames.columns)
+    return with_previous(frames, keys, order, md5, "__before", seconds, only=changed).select(*frames.columns)
 
 
 def dedup_content(frames: DataFrame, day: str = "fecha", md5: str = "md5", name: str = "filename",

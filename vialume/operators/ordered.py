@@ -39,25 +39,15 @@ def with_previous(
     value: str,
     out: str = "previous",
     seconds: int = SLICE_SECONDS,
-    initial: DataFrame | None = None,
     only: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Add ``out``, a struct with field ``v``: the value of the row before, or null if none.
 
     ``order`` starts with the timestamp and should be unique within a key; equal rows come in any
-    order. ``initial`` (keys, ``v``) gives the value that precedes the first row of a key. ``only``
-    makes a condition of the neighbour: rows that do not meet it are left out, most of them before
-    the second window.
+    order. ``only`` makes a condition of the neighbour: rows that do not meet it are left out, most
+    of them before the second window.
     """
-    found = _neighbour(df, keys, order, value, out, seconds, False, only if initial is None else None)
-    if initial is None:
-        return found
-    # At most one row per key, and only first rows of a key look at it.
-    known = initial.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.struct("v").alias("__initial"))
-    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
-    joined = found.join(known, [F.col(out).isNull(), *same], "left")
-    rows = joined.withColumn(out, F.coalesce(out, "__initial")).select(*df.columns, out)
-    return rows if only is None else rows.filter(only(F.col(out)))
+    return _neighbour(df, keys, order, value, out, seconds, False, only)
 
 
 def with_next(
@@ -109,9 +99,3 @@ def trailing_mean(
     edge = (F.col("__rank") < n) | (F.col("__back") < n)
     carried = F.avg(value).over(_across(keys, edge, [*map(F.asc, order), F.asc("__rank")]).rowsBetween(1 - n, 0))
     return rows.withColumn(out, F.when(F.col("__rank") < n, carried).otherwise(F.col(out))).select(*df.columns, out)
-
-
-def last_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
-    """The newest value ``v`` of each key."""
-    newest = F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order))
-    return df.groupBy(*keys).agg(newest.alias("__last")).select(*keys, F.col("__last.v").alias("v"))

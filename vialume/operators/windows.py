@@ -29,11 +29,6 @@ def pane_seconds(duration: int, slide: int) -> int:
     return gcd(duration, slide)
 
 
-def closing_time(pane: Column, duration: int, slide: int) -> Column:
-    """End, in microseconds, of the last window that contains a pane."""
-    return pane - F.pmod(pane, F.lit(slide * _MICROS)) + F.lit(duration * _MICROS)
-
-
 def pane_start(ts: Column | str, seconds: int) -> Column:
     """Start of the epoch-aligned pane of a timestamp, in microseconds."""
     step = seconds * _MICROS
@@ -95,18 +90,26 @@ def pane_partials(
 
 def merge_partials(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add up partial rows of the same key and pane, of which there are a few each."""
-    outermost = {
-        "first": F.slice(F.array_sort(_samples("first")), 1, TREND_SAMPLES),
-        "last": F.slice(F.sort_array(_samples("last"), asc=False), 1, TREND_SAMPLES),
-    }
-    newest = [F.max_by("newest", "newest_at").alias("newest"), F.max("newest_at").alias("newest_at")]
-    return parts.groupBy(*keys, "pane").agg(
+    return parts.groupBy(*keys, "pane").agg(*merged_columns("newest" in parts.columns))
+
+
+def sample_columns(first: Column, last: Column) -> list[Column]:
+    """``first`` and ``last``: the outermost samples of two arrays."""
+    return [
+        F.slice(F.array_sort(first), 1, TREND_SAMPLES).alias("first"),
+        F.slice(F.sort_array(last, asc=False), 1, TREND_SAMPLES).alias("last"),
+    ]
+
+
+def merged_columns(newest: bool = False) -> list[Column]:
+    """Aggregates that add up partial rows."""
+    return [
         *[F.sum(c).alias(c) for c in ("n", "total")],
         F.max("peak").alias("peak"),
         *[F.sum(name).alias(name) for name in N_STATES],
-        *[c.alias(name) for name, c in outermost.items()],
-        *newest * ("newest" in parts.columns),
-    )
+        *sample_columns(_samples("first"), _samples("last")),
+        *[F.max_by("newest", "newest_at").alias("newest"), F.max("newest_at").alias("newest_at")] * newest,
+    ]
 
 
 def _samples(column: str) -> Column:

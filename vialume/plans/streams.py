@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from vialume.config import VISUAL_FEATURES
 from vialume.operators import ml
+from vialume.operators.alerts import alert_lengths
 from vialume.plans.registry import query
 from vialume.plans.standins import (
     CAMERA_FRAMES, DET, SCORE, WINDOW_COLUMNS, camera_frames, detections, feature_rows, raw_counts, stream_table, windows_sql,
 )
-from vialume.plans.traffic import LONG, RECENT, STARTS, STEP
+from vialume.plans.traffic import EPISODES, LONG, RECENT, STARTS, STEP
 from vialume.session import scratch_path
 from vialume.sources.events import parse_events, read_event_stream, split_invalid
 from vialume.sources.tables import batch_sink, scan_batches, scan_windows, write_windows
@@ -31,7 +32,7 @@ def _run(df, sink, root):
 def _windows(spark, sf_dir, duration, slide):
     root = scratch_path(spark, "windows")
     events = jobs.classify_events(event_stream(spark, sf_dir))
-    jobs.stream_windows(events, f"{root}/table", f"{root}/checkpoint", duration, slide, keep_batch=False).awaitTermination()
+    jobs.stream_windows(events, f"{root}/table", f"{root}/checkpoint", duration, slide).awaitTermination()
     return scan_windows(spark, f"{root}/table")
 
 
@@ -62,20 +63,34 @@ def stream_classified(spark, sf_dir):
     return scan_batches(spark, f"{root}/table")
 
 
-@query("I9 A13", f"WITH {DET} {STARTS}")
+# Rows leave with their minute, one minute after its end.
+_LEFT = """make_timestamp(epoch_us(ts) - epoch_us(ts) % 60000000 + 60000000) <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM {})"""
+
+
+@query("I9", f"WITH {DET} SELECT * FROM ({STARTS}) WHERE {_LEFT.format('det')}")
 def stream_collapse_starts(spark, sf_dir):
     root = scratch_path(spark, "collapses")
     events = jobs.classify_events(event_stream(spark, sf_dir))
-    jobs.stream_collapse_starts(events, f"{root}/table", f"{root}/checkpoint", keep_batch=False).awaitTermination()
+    jobs.stream_collapse_starts(events, f"{root}/table", f"{root}/checkpoint").awaitTermination()
     return scan_batches(spark, f"{root}/table").select("camera_id", "event_id", "ts", "vehicle_count")
 
 
+@query("A13 I9", f"""WITH {DET}, {EPISODES}, rws AS (SELECT camera_id, inicio AS ts, 'COLAPSO_INICIO' AS tipo, CAST(NULL AS INTEGER) AS duracion_min FROM epi
+  UNION ALL SELECT camera_id, fin, 'COLAPSO_FIN', duracion_min FROM epi WHERE fin IS NOT NULL)
+  SELECT *, false AS notificado FROM rws WHERE {_LEFT.format('det')}""")
+def stream_alerts(spark, sf_dir):
+    root = scratch_path(spark, "alerts")
+    events = jobs.classify_events(event_stream(spark, sf_dir))
+    jobs.stream_alerts(events, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return alert_lengths(scan_batches(spark, f"{root}/table"))
+
+
 @query("I10", f"""WITH {CAMERA_FRAMES} SELECT camera_id, frame_id, ts, md5 FROM
-  (SELECT *, lag(md5) OVER (PARTITION BY camera_id ORDER BY ts, frame_id) AS p FROM cam) WHERE p IS DISTINCT FROM md5""")
+  (SELECT *, lag(md5) OVER (PARTITION BY camera_id ORDER BY ts, frame_id) AS p FROM cam) WHERE p IS DISTINCT FROM md5 AND {_LEFT.format('cam')}""")
 def stream_drop_unchanged(spark, sf_dir):
     root = scratch_path(spark, "unchanged")
     frames = camera_frames(stream_table(spark, sf_dir, "events"))
-    jobs.stream_drop_unchanged(frames, f"{root}/table", f"{root}/checkpoint", keep_batch=False).awaitTermination()
+    jobs.stream_drop_unchanged(frames, f"{root}/table", f"{root}/checkpoint").awaitTermination()
     return scan_batches(spark, f"{root}/table").select("camera_id", "frame_id", "ts", "md5")
 
 
@@ -123,6 +138,35 @@ def stream_messages(spark, sf_dir):
     return scan_batches(spark, f"{root}/table").select("camera_id", "event_id", "ts", "vehicle_count", "estado")
 
 
+def _six_fields(spark, sf_dir):
+    """Messages as a single camera sends them, without camera and number."""
+    text = F.to_json(F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"), "vehicle_count", "estado", "hour", "weekday",
+        F.col("is_rush_hour").cast("int").alias("is_rush_hour"),
+    ))
+    path = scratch_path(spark, "single")
+    detections(spark, sf_dir).select(text.alias("value")).write.text(path)
+    return split_invalid(read_event_stream(spark, path))[0]
+
+
+_SINGLE = "one AS (SELECT * REPLACE (0 AS camera_id) FROM det)"
+
+
+@query("A6 I2 I4", f"""WITH {DET}, {_SINGLE}, {windows_sql(LONG, STEP, 'one')} SELECT {WINDOW_COLUMNS} FROM win WHERE {_CLOSED}""")
+def stream_messages_single_camera(spark, sf_dir):
+    root = scratch_path(spark, "single-windows")
+    jobs.stream_windows(_six_fields(spark, sf_dir), f"{root}/table", f"{root}/checkpoint", LONG, STEP).awaitTermination()
+    return scan_windows(spark, f"{root}/table")
+
+
+@query("A6 I9", f"""WITH {DET}, {_SINGLE} SELECT camera_id, ts, vehicle_count FROM
+  ({STARTS.replace('FROM det', 'FROM one')}) WHERE {_LEFT.format('det')}""")
+def stream_single_camera_starts(spark, sf_dir):
+    root = scratch_path(spark, "single-starts")
+    jobs.stream_collapse_starts(_six_fields(spark, sf_dir), f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return scan_batches(spark, f"{root}/table").select("camera_id", "ts", "vehicle_count")
+
+
 @query("I6 J8")
 def stream_scored_windows(spark, sf_dir):
     """The model's state for the newest sample of each closed window.
@@ -135,6 +179,6 @@ def stream_scored_windows(spark, sf_dir):
     events = events.withColumns({name: F.lit(0.0) for name in VISUAL_FEATURES})
     jobs.stream_windows(
         events, f"{root}/table", f"{root}/checkpoint", LONG, STEP,
-        last_sample=ml.feature_order(model), finish=lambda rows: jobs.score_last(rows, model), keep_batch=False,
+        last_sample=ml.feature_order(model), finish=lambda rows: jobs.score_last(rows, model),
     ).awaitTermination()
     return scan_batches(spark, f"{root}/table")

@@ -1,37 +1,35 @@
 """Streams of detections: classify, window, score, alert.
 
-Mean, maximum, count and dominant state of a window are plain aggregates: Spark keeps them in its
-state store and closes windows by the watermark. The trend needs single samples, and alerts and
-unchanged frames need the last value of each camera. These jobs keep small tables per micro-batch
-in the shared folder (a few samples per open pane, one row per camera), so that the batch
-operators, which bound every group and split hot cameras, serve the streams as well.
+All memory lies in Spark's own state store, and all closing follows its watermark. Rows are first
+aggregated by camera and a short span of time, which splits hot cameras and bounds every group by the
+rate of one camera; what leaves a span is a few samples, or the rows where a value changes. Windows
+are then two more aggregations. Alerts and unchanged frames also need the last value of each camera:
+a stateful operator that gets the reduced rows only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from vialume.config import SLIDE_SECONDS, WINDOW_SECONDS
+from vialume.config import COLAPSO, COLAPSO_FIN, COLAPSO_INICIO, SLIDE_SECONDS, WINDOW_SECONDS
 from vialume.functions.calendar import epoch_us, is_peak_hour, with_calendar
 from vialume.functions.states import congestion_score, dominant_state, state_counts, threshold_class
-from vialume.operators.alerts import collapse_starts
-from vialume.operators.dedup import drop_unchanged
 from vialume.operators.ml import score
-from vialume.operators.ordered import last_values
-from vialume.operators.windows import (
-    N_STATES, closing_time, merge_partials, pane_partials, pane_seconds, pane_start, windows_of_panes,
-)
-from vialume.sources.tables import batch_sink
+from vialume.operators.windows import N_STATES, merged_columns, pane_seconds, sample_columns, window_columns
+from vialume.sources.tables import batch_sink, write_alerts
 
+SAMPLE_SECONDS = 1
+CHANGE_SECONDS = 60
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 DELAY_SECONDS = 60
 DELAY = f"{DELAY_SECONDS} seconds"
-_CLOCK = "watermark bigint, late bigint"
 
 
 def with_event_time(df: DataFrame, ts: str = "ts", delay: str = DELAY) -> DataFrame:
@@ -75,6 +73,48 @@ def stream_window_stats(
     )
 
 
+def closed_windows(
+    events: DataFrame,
+    duration: int = WINDOW_SECONDS,
+    slide: int = SLIDE_SECONDS,
+    delay: str = DELAY,
+    order: Sequence[str] = ("ts", "event_id"),
+    last_sample: Sequence[str] = (),
+) -> DataFrame:
+    """Full window rows of a stream, in append mode, each once when the watermark has passed its end.
+
+    Seconds are closed first, then panes, then windows. Each holds sums and six samples, however
+    many rows it has. ``last_sample`` names columns of the newest row, carried in struct ``newest``.
+    """
+    ts, tie = order
+    extra = bool(last_sample)
+    at = F.struct(epoch_us(ts).alias("us"), F.col(tie).cast("long").alias("tie"))
+    sample = F.struct(at["us"].alias("us"), at["tie"].alias("tie"), "vehicle_count")
+    seconds = with_event_time(events, ts, delay).groupBy("camera_id", F.window(ts, f"{SAMPLE_SECONDS} seconds").alias("w")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("vehicle_count").alias("total"),
+        F.max("vehicle_count").alias("peak"),
+        *[c.alias(name) for name, c in state_counts(F.col("estado")).items()],
+        *sample_columns(F.collect_list(sample), F.collect_list(sample)),
+        *[F.max_by(F.struct(*last_sample), at).alias("newest"), F.max(at).alias("newest_at")] * extra,
+    )
+
+    def regrouped(parts: DataFrame, *spans: str) -> DataFrame:
+        timed = parts.withColumn("at", F.window_time("w")).drop("w")
+        return timed.groupBy("camera_id", F.window("at", *spans).alias("w")).agg(*merged_columns(extra))
+
+    panes = regrouped(seconds, f"{pane_seconds(duration, slide)} seconds")
+    merged = regrouped(panes, f"{duration} seconds", f"{slide} seconds")
+    named = merged.withColumnsRenamed({"n": "n_samples", "peak": "max_vehicles"})
+    return named.select(
+        "camera_id",
+        F.col("w.start").alias("window_start"),
+        F.col("w.end").alias("window_end"),
+        *window_columns(),
+        *["newest"] * extra,
+    )
+
+
 def stream_windows(
     events: DataFrame,
     out: str,
@@ -86,52 +126,26 @@ def stream_windows(
     last_sample: Sequence[str] = (),
     finish: Callable[[DataFrame], DataFrame] | None = None,
     every: str | None = None,
-    keep_batch: bool = True,
 ) -> StreamingQuery:
-    """Store full window rows of a stream, each once, when ``delay_seconds`` have passed its end.
+    """Store the rows of :func:`closed_windows`. ``finish`` may change them before they are stored.
 
-    A micro-batch is reduced to panes, and these are added to the open panes of the batch before.
-    A pane holds sums and six samples however many rows it has. Rows whose windows are all closed
-    are left out and counted in the ``clock`` table. ``last_sample`` names columns of the newest
-    row, carried in struct ``newest``; ``finish`` may change the window rows before they are stored.
-    ``keep_batch`` as for :func:`stream_collapse_starts`.
+    :func:`late_rows` tells how many rows came too late.
     """
-    keys = ["camera_id"]
-    ts = order[0]
-    pane = pane_seconds(duration, slide)
-    store, clock = f"{checkpoint}/panes", f"{checkpoint}/clock"
+    closed = closed_windows(events, duration, slide, f"{delay_seconds} seconds", order, last_sample)
+    store = batch_sink(out)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        earlier = spark.read.schema(_CLOCK).parquet(f"{clock}/batch_id={batch_id - 1}").first() if batch_id else None
-        closed = earlier["watermark"] if earlier else None
-        with _kept(batch, keep_batch):
-            last_end = closing_time(pane_start(ts, pane), duration, slide)
-            late = F.lit(False) if closed is None else last_end <= F.lit(closed)
-            seen = batch.agg(F.max(epoch_us(ts)).alias("newest"), F.count_if(late).alias("late")).first()
-            parts = pane_partials(batch.filter(~late), pane, keys, order, last_sample)
-            if batch_id:
-                known = spark.read.schema(parts.schema).parquet(f"{store}/batch_id={batch_id - 1}")
-                still_open = closing_time(F.col("pane"), duration, slide) > F.lit(closed)
-                parts = merge_partials(parts.unionByName(known if closed is None else known.filter(still_open)), keys)
-            parts.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
-        moved = [t for t in (closed, seen["newest"] and seen["newest"] - delay_seconds * 1_000_000) if t is not None]
-        watermark = max(moved, default=None)
-        panes = spark.read.schema(parts.schema).parquet(f"{store}/batch_id={batch_id}")
-        windows = windows_of_panes(panes, duration, slide, keys)
-        end = epoch_us("window_end")
-        due = F.lit(False) if watermark is None else end <= F.lit(watermark)
-        fresh = windows.filter(due if closed is None else due & (end > F.lit(closed)))
-        batch_sink(out)(finish(fresh) if finish else fresh, batch_id)
-        tick = spark.createDataFrame([(watermark, seen["late"])], _CLOCK)
-        tick.write.mode("overwrite").parquet(f"{clock}/batch_id={batch_id}")
-
-    return start_stream(events, run, f"{checkpoint}/query", every)
-
-
-def late_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """Rows that :func:`stream_windows` left out, per micro-batch."""
-    return spark.read.parquet(f"{checkpoint}/clock").select("batch_id", "late")
+        store(finish(batch) if finish else batch, batch_id)
+
+    return start_stream(closed, run, f"{checkpoint}/query", every)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a query left out as too late, over the progress it still remembers.
+
+    Spark counts after a partial aggregation: rows of one camera and second count once.
+    """
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
 def score_last(windows: DataFrame, model: PipelineModel | None, count: str = "vehicle_count") -> DataFrame:
@@ -175,46 +189,48 @@ def classify_stream(counts: DataFrame, path: str, checkpoint: str, every: str |
     return start_stream(classify_events(counts), batch_sink(path), checkpoint, every)
 
 
-@contextmanager
-def _kept(batch: DataFrame, keep: bool) -> Iterator[None]:
-    """Keep a micro-batch while it is read several times."""
-    if keep:
-        batch.persist()
-    try:
-        yield
-    finally:
-        if keep:
-            batch.unpersist()
+class MarksThatChange(StatefulProcessor):
+    """Rows whose mark differs from that of the row before, which may lie in an earlier micro-batch."""
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "mark string")
 
-def _with_memory(
-    step: Callable[[DataFrame, DataFrame | None], DataFrame],
-    out: str,
-    memory: str,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    keep_batch: bool,
-) -> Callable[[DataFrame, int], None]:
-    """A micro-batch function for a step that needs the last value of each key so far.
-
-    The last values, one row per key, are stored under the number of the batch. Batch ``n`` reads
-    those of ``n - 1``, so a repeated batch sees and leaves the same.
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        found = pd.concat(list(rows)).sort_values(["us", "tie"], kind="stable")
+        marks = [None if pd.isna(m) else m for m in found["mark"]]
+        known = self.last.get()
+        before = [known[0] if known else None, *marks[:-1]]
+        found["opens"] = [known is None] + [False] * (len(found) - 1)
+        self.last.update((marks[-1],))
+        yield found.loc[[o or m != b for o, m, b in zip(found["opens"], marks, before)], ["row", "opens"]]
+
+    def close(self) -> None:
+        pass
+
+
+def stream_changes(
+    df: DataFrame, mark: Column, keys: Sequence[str], order: Sequence[str], delay: str = DELAY, seconds: int = CHANGE_SECONDS
+) -> DataFrame:
+    """Rows whose text ``mark`` differs from that of the row before with the same key, in append mode.
+
+    The first row of a key is among them, with ``opens`` true. Rows leave when the watermark passes the
+    end of their span of ``seconds``; they may arrive in any order until then. Of each span only its
+    ends and changes reach the stateful operator. Null keys and null marks are values like others.
     """
+    ts, tie = order
+    timed = with_event_time(df, ts, delay)
+    row = F.to_json(F.struct(*df.columns), _JSON)
+    item = F.struct(epoch_us(ts).alias("us"), F.coalesce(F.col(tie).cast("long"), F.lit(0)).alias("tie"), mark.alias("mark"), row.alias("row"))
+    spans = timed.groupBy(*keys, F.window(ts, f"{seconds} seconds").alias("span")).agg(F.array_sort(F.collect_list(item)).alias("s"))
+    s = F.col("s")
+    kept = F.filter(s, lambda x, i: (i == 0) | (i == F.size(s) - 1) | ~x["mark"].eqNullSafe(F.get(s, i - 1)["mark"]))
+    edges = spans.select(*keys, F.inline(kept))
+    changed = edges.groupBy(*keys).transformWithStateInPandas(MarksThatChange(), "row string, opens boolean", "append", "none")
+    return changed.select(F.from_json("row", timed.schema, _JSON).alias("r"), "opens").select("r.*", "opens")
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        with _kept(batch, keep_batch):
-            kinds = ", ".join(f"`{c}` {batch.schema[c].dataType.simpleString()}" for c in keys)
-            schema = f"{kinds}, v {batch.schema[value].dataType.simpleString()}"
-            before = spark.read.schema(schema).parquet(f"{memory}/batch_id={batch_id - 1}") if batch_id else None
-            step(batch, before).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-            now = last_values(batch, keys, order, value)
-            if before is not None:
-                now = now.unionByName(before.join(now.select(*keys), list(keys), "left_anti"))
-            now.write.mode("overwrite").parquet(f"{memory}/batch_id={batch_id}")
 
-    return run
+def _in_collapse() -> Column:
+    return F.coalesce(F.col("estado") == COLAPSO, F.lit(False))
 
 
 def stream_collapse_starts(
@@ -224,19 +240,35 @@ def stream_collapse_starts(
     keys: Sequence[str] = ("camera_id",),
     order: Sequence[str] = ("ts", "event_id"),
     every: str | None = None,
-    keep_batch: bool = True,
+    delay: str = DELAY,
+) -> StreamingQuery:
+    """Store the rows that start a collapse, also when the row before came in an earlier batch."""
+    changes = stream_changes(detections, _in_collapse().cast("string"), keys, order, delay)
+    return start_stream(changes.filter(_in_collapse()).drop("opens"), batch_sink(out), f"{checkpoint}/query", every)
+
+
+def stream_alerts(
+    detections: DataFrame,
+    out: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("camera_id",),
+    order: Sequence[str] = ("ts", "event_id"),
+    every: str | None = None,
+    delay: str = DELAY,
 ) -> StreamingQuery:
-    """Store the rows that start a collapse, also when the row before came in an earlier batch.
+    """Store an alert row for each start and each end of a collapse.
 
-    A micro-batch is read a few times. ``keep_batch`` stores it meanwhile, which pays for messages
-    that are parsed or come from afar. Leave it off for very large batches from columnar files:
-    each reading takes only the columns it needs.
+    The length of an episode is found from the stored rows: :func:`vialume.operators.alerts.alert_lengths`.
     """
-    run = _with_memory(
-        lambda batch, before: collapse_starts(batch, keys, order, initial=before),
-        out, f"{checkpoint}/last-state", keys, order, "estado", keep_batch,
+    changes = stream_changes(detections, _in_collapse().cast("string"), keys, order, delay)
+    rows = changes.filter(_in_collapse() | ~F.col("opens")).select(
+        *keys,
+        F.col(order[0]).alias("ts"),
+        F.when(_in_collapse(), COLAPSO_INICIO).otherwise(COLAPSO_FIN).alias("tipo"),
+        F.lit(None).cast("int").alias("duracion_min"),
+        F.lit(False).alias("notificado"),
     )
-    return start_stream(detections, run, f"{checkpoint}/query", every)
+    return start_stream(rows, write_alerts(out), f"{checkpoint}/query", every)
 
 
 def stream_drop_unchanged(
@@ -247,11 +279,8 @@ def stream_drop_unchanged(
     order: Sequence[str] = ("ts", "frame_id"),
     md5: str = "md5",
     every: str | None = None,
-    keep_batch: bool = True,
+    delay: str = DELAY,
 ) -> StreamingQuery:
     """Store the frames that differ from the one before, across batches."""
-    run = _with_memory(
-        lambda batch, before: drop_unchanged(batch, keys, order, md5, initial=before),
-        out, f"{checkpoint}/last-hash", keys, order, md5, keep_batch,
-    )
-    return start_stream(frames, run, f"{checkpoint}/query", every)
+    changes = stream_changes(frames, F.col(md5), keys, order, delay)
+    return start_stream(changes.drop("opens"), batch_sink(out), f"{checkpoint}/query", every)
