@@ -1,3 +1,5 @@
+import pytest
+
 from vialume import session
 
 
@@ -24,3 +26,9 @@ def test_a_local_folder_is_made_once_where_none_is_named():
     spark = FakeSpark()
     assert session.shared_dir(spark) == session.shared_dir(spark)
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_its_folder(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(FakeSpark(**{"spark.master": master}))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vialume.config import FLUIDO
+from vialume.config import FEATURES, FLUIDO
 from vialume.functions.calendar import is_peak_hour
 from vialume.functions.parsing import safe_int, stem
 from vialume.functions.states import congestion_score
@@ -117,6 +117,14 @@ def build_catalog(labels: DataFrame, frames: DataFrame | None = None) -> DataFra
     )
 
 
+def training_rows(catalogue: DataFrame, features: DataFrame, keys: Sequence[str] = ("fecha", "filename")) -> DataFrame:
+    """Catalogue rows with the visual features of their frames; rows without features are left out.
+
+    Gives the keys, all features in order, and the state. Features must be unique by key.
+    """
+    return catalogue.join(features, list(keys)).select(*keys, *FEATURES, "estado")
+
+
 def union_days(days: Sequence[DataFrame]) -> DataFrame:
     """All day tables in one, whatever columns each has."""
     first, *others = days

@@ -117,7 +117,7 @@ def by_hour(df: DataFrame, ts: str = "ts", tz: str | None = None) -> DataFrame:
 def window_state_share(windows: DataFrame) -> DataFrame:
     """Whole percent of the window rows in each of the three states, half up; 0 when absent."""
     n = F.count(F.lit(1))
-    share = {s: F.round(F.count_if(F.col("estado_ventana") == s) / n * 100).cast("int") for s in STATES}
+    share = {s: F.coalesce(F.round(F.try_divide(F.count_if(F.col("estado_ventana") == s), n) * 100).cast("int"), F.lit(0)) for s in STATES}
     row = windows.agg(*[c.alias(s) for s, c in share.items()])
     return row.select(F.explode(F.create_map(*[x for s in STATES for x in (F.lit(s), F.col(s))])).alias("estado", "pct"))
 

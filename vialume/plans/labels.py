@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vialume.config import LABEL_FIELDS
-from vialume.operators import catalog, dedup, history
+from vialume.config import FEATURES, LABEL_FIELDS
+from vialume.operators import catalog, dedup, history, ml
 from vialume.plans import standins as s
 from vialume.plans.registry import query
 from vialume.session import scratch_path
@@ -82,6 +82,30 @@ def build_catalog(spark, sf_dir):
     return catalog.build_catalog(enriched(spark, sf_dir), stored)
 
 
+_FIRST, _LAST = "tramo1_rotonda_brightness_mean", FEATURES[-1]
+
+
+@query("J9 G1 D3", f"""WITH {LC}, cat AS (SELECT fecha, filename, doc_id, CASE WHEN hour = '' THEN 0 ELSE CAST(hour AS INTEGER) END AS hour,
+    coalesce(vehicle_count, 0) AS vehicle_count, estado FROM enr WHERE doc_id % 3 <> 0 AND doc_id IN (SELECT doc_id FROM documents)),
+  row AS (SELECT fecha, filename, hour, vehicle_count, CAST(embedding[1] AS DOUBLE) AS {_FIRST}, CAST(embedding[15] AS DOUBLE) AS {_LAST}, estado
+    FROM cat JOIN embeddings ON {s.VECTOR_OF.format('doc_id')})
+  SELECT *, round(CAST((SELECT count(*) FROM row) AS DOUBLE) / ((SELECT count(DISTINCT estado) FROM row) * count(*) OVER (PARTITION BY estado)), 9) AS sample_weight FROM row""")
+def training_table(spark, sf_dir):
+    """Label files to catalogue to features to weights: the rows a model learns from."""
+    known = catalog.build_catalog(enriched(spark, sf_dir), s.stored_frames(spark, sf_dir))
+    rows = ml.with_class_weights(catalog.training_rows(known, s.frame_features(spark, sf_dir)))
+    return rows.select("fecha", "filename", "hour", "vehicle_count", _FIRST, _LAST, "estado", F.round("sample_weight", 9).alias("sample_weight"))
+
+
+@query("J9 J3 J6 G2")
+def catalogue_forest(spark, sf_dir):
+    """Confusion, on the newest day, of a forest fitted on the training table of the other days."""
+    known = catalog.build_catalog(enriched(spark, sf_dir), s.stored_frames(spark, sf_dir))
+    rows = ml.with_class_weights(catalog.training_rows(known, s.frame_features(spark, sf_dir)))
+    train, test = ml.temporal_split(rows)
+    return ml.confusion_matrix(ml.pipeline().fit(train).transform(test))
+
+
 @query("G1", f"""WITH {LC} SELECT fecha, filename, estado, vehicle_count FROM enr""")
 def union_of_days(spark, sf_dir):
     rows = enriched(spark, sf_dir)

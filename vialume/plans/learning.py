@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vialume.config import FEATURES
 from vialume.operators import ml
 from vialume.plans.registry import query
-from vialume.plans.standins import DET, PREDICTIONS, SCORE, detections, feature_rows, predictions
+from vialume.plans.standins import DET, PREDICTIONS, SCORE, VECTOR_OF, detections, feature_rows, predictions
 from vialume.session import scratch_path
 
 WEIGHTS = """wei AS (SELECT estado, CAST((SELECT count(*) FROM det) AS DOUBLE) / ((SELECT count(DISTINCT estado) FROM det) * count(*)) AS sample_weight
@@ -58,7 +58,7 @@ def label_index(spark, sf_dir):
 
 
 _ROW = f"""fea AS (SELECT event_id, hour, CAST(vehicle_count AS DOUBLE) AS vehicle_count, {SCORE} AS score, CAST(embedding[15] AS DOUBLE) AS last
-  FROM det JOIN embeddings ON event_id = vec_id)"""
+  FROM det JOIN embeddings ON {VECTOR_OF.format('event_id')})"""
 
 
 @query("J2", f"""WITH {DET}, {_ROW} SELECT event_id, 22 AS n, CAST(hour AS DOUBLE) AS first, vehicle_count AS count, last FROM fea WHERE event_id % 5 <> 0""")

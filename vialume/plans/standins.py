@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialume.config import MASK_POLYGON, META_FEATURES, VISUAL_FEATURES, ZONES
+from vialume.config import (
+    COLLAPSE_FROM, CONGESTION_BY_HOUR, CONGESTION_DEFAULT, DENSE_FROM, MASK_POLYGON, META_FEATURES, RUSH_HOURS, VISUAL_FEATURES, ZONES,
+)
 from vialume.functions.calendar import is_peak_hour, with_calendar
 from vialume.functions.states import congestion_score, threshold_state
 
@@ -38,15 +40,15 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_calendar(counts).withColumn("estado", threshold_state(F.col("vehicle_count")))
 
 
-DET = """det AS (
-  SELECT *, CASE WHEN vehicle_count >= 10 THEN 'COLAPSO' WHEN vehicle_count >= 5 THEN 'DENSO' ELSE 'FLUIDO' END AS estado,
+_RUSH = " OR ".join(f"hour(ts) BETWEEN {first} AND {last}" for first, last in RUSH_HOURS)
+
+DET = f"""det AS (
+  SELECT *, CASE WHEN vehicle_count >= {COLLAPSE_FROM} THEN 'COLAPSO' WHEN vehicle_count >= {DENSE_FROM} THEN 'DENSO' ELSE 'FLUIDO' END AS estado,
     CAST(isodow(ts) - 1 AS INTEGER) AS weekday, CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute,
-    hour(ts) IN (7, 8, 9, 13, 14, 15, 17, 18, 19) AS is_rush_hour
+    {_RUSH} AS is_rush_hour
   FROM (SELECT user_id % 4 AS camera_id, event_id, ts, CAST(floor(value / 10) AS INTEGER) AS vehicle_count FROM events))"""
 
-SCORE = """CASE hour WHEN 8 THEN 0.203 WHEN 9 THEN 0.163 WHEN 10 THEN 0.238 WHEN 11 THEN 0.322 WHEN 12 THEN 0.437
-  WHEN 13 THEN 0.460 WHEN 14 THEN 0.365 WHEN 15 THEN 0.433 WHEN 16 THEN 0.420 WHEN 17 THEN 0.219 WHEN 18 THEN 0.098
-  WHEN 19 THEN 0.056 ELSE 0.15 END::DOUBLE"""
+SCORE = f"""CASE hour {' '.join(f'WHEN {hour} THEN {share}' for hour, share in CONGESTION_BY_HOUR.items())} ELSE {CONGESTION_DEFAULT} END::DOUBLE"""
 
 
 def windows_sql(duration: int, slide: int, source: str = "det", name: str = "win") -> str:
@@ -281,12 +283,21 @@ HASHED = """hsh AS (
 
 # ---- learning -----------------------------------------------------------------------------------
 
-def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Meta features of a detection with visual features of an embedding."""
-    det = detections(spark, sf_dir)
-    emb = table(spark, sf_dir, "embeddings")
+def with_visual(rows: DataFrame, number: str, embeddings: DataFrame) -> DataFrame:
+    """Add visual features: those of the embedding whose number equals that of the row, counted round."""
+    vectors = max(embeddings.count(), 1)
     visual = [F.col("embedding")[i].cast("double").alias(name) for i, name in enumerate(VISUAL_FEATURES)]
-    rows = det.join(emb, det.event_id == emb.vec_id)
+    slim = embeddings.select(F.col("vec_id").alias("__vec"), *visual)
+    return rows.withColumn("__vec", F.col(number) % vectors).join(slim, "__vec").drop("__vec")
+
+
+#: The vector of a row in SQL; ``embeddings`` are numbered from 0 without gaps.
+VECTOR_OF = "{} % (SELECT count(*) FROM embeddings) = vec_id"
+
+
+def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meta features of every detection with the visual features of an embedding."""
+    rows = with_visual(detections(spark, sf_dir), "event_id", table(spark, sf_dir, "embeddings"))
     hour = F.col("hour")
     metas = {
         "is_rush_hour": F.col("is_rush_hour").cast("int"),
@@ -294,10 +305,16 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_peak_hour": is_peak_hour(hour),
     }
     return rows.withColumns(metas).select(
-        "event_id", "camera_id", F.to_date("ts").alias("fecha"), *META_FEATURES, *visual, "estado"
+        "event_id", "camera_id", F.to_date("ts").alias("fecha"), *META_FEATURES, *VISUAL_FEATURES, "estado"
     )
 
 
+def frame_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visual features of frames, keyed by day and file name."""
+    rows = with_visual(frames(spark, sf_dir), "doc_id", table(spark, sf_dir, "embeddings"))
+    return rows.select("fecha", "filename", *VISUAL_FEATURES)
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels with predictions that are wrong now and then."""
     guess = (F.col("label") + (F.col("vec_id") % 7 == 0).cast("int")) % 10

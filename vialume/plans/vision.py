@@ -131,12 +131,12 @@ def zone_counts(spark, sf_dir):
     return rows.select("frame_id", *[F.col("roi_counts")[n].alias(n) for n in NAMES], "vehicle_count")
 
 
-@query("C7", f"WITH {BOXES}, {ZONES_SQL} SELECT frame_id, box_id, zone, {RATIO} AS overlap FROM boxes, zones")
+@query("C7", f"WITH {BOXES}, {ZONES_SQL} SELECT frame_id, box_id, zone, {RATIO} AS overlap FROM boxes, zones WHERE {RATIO} > 0")
 def overlap_ratios(spark, sf_dir):
     ratios = F.array(*[
         F.struct(F.lit(z.name).alias("zone"), overlap_ratio(rect(), zone_rect(z)).alias("overlap")) for z in ZONES
     ])
-    return boxes(spark, sf_dir).select("frame_id", "box_id", F.inline(ratios))
+    return boxes(spark, sf_dir).select("frame_id", "box_id", F.inline(F.filter(ratios, lambda r: r["overlap"] > 0)))
 
 
 # Two lines of an order may be alike in all their columns, so each row gets a number of its own.

@@ -33,11 +33,14 @@ def build_session(app: str = "vialume", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (tests, local
-    runs) a folder of this machine is taken and remembered for the session.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a local session takes a
+    folder of this machine and remembers it; on a cluster that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("vialume.shared.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", None) or "local"
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} can reach")
         path = tempfile.mkdtemp(prefix="vialume-")
         spark.conf.set("vialume.shared.dir", path)
     return path.rstrip("/")

@@ -89,16 +89,20 @@ def read_labels_json(spark: SparkSession, root: str, pattern: str = "*/labels.js
     text = spark.read.text(f"{root}/{pattern}", wholetext=not lines).select(
         F.trim("value").alias("value"), _day().alias("fecha")
     )
-    item = f"{LABEL_SCHEMA}, image string"
-    as_list = F.when(F.col("value").startswith("["), F.from_json("value", f"array<struct<{item.replace(' string', ':string')}>>"))
-    listed = text.select("fecha", F.inline(as_list))
-    single = text.filter(F.col("value").startswith("{"))
-    parsed = single.select("fecha", F.from_json("value", item).alias("r"), F.from_json("value", "map<string,string>").alias("m"))
-    is_row = F.coalesce(F.col("r.filename"), F.col("r.image")).isNotNull()
-    rows = parsed.filter(is_row).select("fecha", "r.*")
-    mapped = parsed.filter(~is_row).select("fecha", F.explode("m").alias("filename", "estado"))
-    everything = union_days([listed, rows, mapped])
-    return everything.withColumn("filename", F.coalesce("filename", "image")).drop("image")
+    names = [*LABEL_FIELDS, "image"]
+    kind = f"array<struct<{', '.join(f'{n}:string' for n in names)}>>"
+    value = F.col("value")
+    one = F.from_json(F.concat(F.lit("["), value, F.lit("]")), kind)
+
+    def pair(entry: Column) -> Column:
+        filled = {c: entry[f] for c, f in (("filename", "key"), ("estado", "value"))}
+        return F.struct(*[filled.get(n, F.lit(None).cast("string")).alias(n) for n in names])
+
+    is_row = F.coalesce(one[0]["filename"], one[0]["image"]).isNotNull()
+    pairs = F.transform(F.map_entries(F.from_json(value, "map<string,string>")), pair)
+    items = F.when(value.startswith("["), F.from_json(value, kind)).when(value.startswith("{"), F.when(is_row, one).otherwise(pairs))
+    rows = text.select("fecha", F.inline(items))
+    return rows.withColumn("filename", F.coalesce("filename", "image")).drop("image")
 
 
 def parse_meta(texts: DataFrame, value: str = "value") -> DataFrame:
