@@ -7,7 +7,7 @@ from importlib import import_module
 
 MODULES = (
     "line_dedup", "sharding", "jaccard_join", "quality_rules", "license_scan",
-    "url_filter", "multi_index", "byte_bpe", "quality_classifier", "packing", "substring_dedup",
+    "url_filter", "multi_index", "byte_bpe", "quality_classifier", "packing", "centroids", "substring_dedup", "prefix_trie",
 )
 
 
