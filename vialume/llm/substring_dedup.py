@@ -340,7 +340,7 @@ def repeated_words(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     often = np.sort(often.column("c1").to_numpy().view(U))
     found = with_candidates(docs, rows, shape, often)
     of = rows.where(F.col("n") >= shape.window).groupBy("c1", "c2").agg(F.min("rid").alias("first"))
-    of = of.join(removals(found, often, shape), ["c1", "c2"], "left")
+    of = stored(of.join(removals(found, often, shape), ["c1", "c2"], "left"), "classes")  # a large class of copies can then be split
     joined = rows.join(of, ["c1", "c2"], "left")
     copy, cut = F.col("rid") > F.col("first"), F.col("gone") > 0
     return joined.select(
