@@ -108,7 +108,7 @@ def test_suppression_against_a_loop(spark, seed):
 
 
 def test_large_groups_are_suppressed_in_rounds(spark):
-    """A frame far beyond the group limit, full of copies, gives what one long loop gives."""
+    """A frame far beyond one block, full of copies, gives what one long loop gives."""
     rng = random.Random(5)
     rows = []
     for i in range(900):
@@ -120,7 +120,7 @@ def test_large_groups_are_suppressed_in_rounds(spark):
         rows.append((frame, i, *corners, 2, rng.randrange(50) / 50))
     df = spark.createDataFrame(rows, SCHEMA)
     want = plain_nms(rows)
-    assert sorted(map(tuple, nms(df, max_group=60, block=25).select(*df.columns).collect())) == want
+    assert sorted(map(tuple, nms(df, block=25).select(*df.columns).collect())) == want
     assert sorted(map(tuple, nms(df).select(*df.columns).collect())) == want
 
 
@@ -132,7 +132,7 @@ def test_large_groups_without_a_broadcast(spark, monkeypatch):
     rng = random.Random(6)
     rows = [(i % 2, i, x := rng.randrange(80), y := rng.randrange(60), x + 20, y + 20, 2, rng.randrange(50) / 50) for i in range(300)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert sorted(map(tuple, module.nms(df, max_group=20, block=30).select(*df.columns).collect())) == plain_nms(rows)
+    assert sorted(map(tuple, module.nms(df, block=30).select(*df.columns).collect())) == plain_nms(rows)
 
 
 def test_centre_filter_and_mask_agree_with_zones(spark):
@@ -149,5 +149,5 @@ def test_rounds_agree_with_one_fold_on_awkward_boxes(spark, threshold):
     copies = [(1, "bus", 200 + i, 0.0, 0.0, 50.0, 50.0, None) for i in range(4)]
     df = spark.createDataFrame([*wide, *tiny, *copies], "frame_id long, cls string, box_id long, x1 double, y1 double, x2 double, y2 double, conf double")
     one = sorted(map(tuple, nms(df, threshold).select(*df.columns).collect()), key=repr)
-    rounds = sorted(map(tuple, nms(df, threshold, max_group=2, block=2).select(*df.columns).collect()), key=repr)
+    rounds = sorted(map(tuple, nms(df, threshold, block=2).select(*df.columns).collect()), key=repr)
     assert one == rounds and one

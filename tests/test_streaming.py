@@ -122,13 +122,26 @@ def test_sink_replaces_a_repeated_batch(spark, tmp_path):
 
 
 def left(rows):
-    """Messages whose minute had ended one minute before the newest of them."""
+    """Messages whose span had ended one minute before the newest of them."""
+    span = jobs.CHANGE_SECONDS
     at = {m["event_id"]: int((dt.datetime.fromisoformat(m["timestamp"]) - T0).total_seconds()) for m in rows}
-    return {i for i, t in at.items() if t // 60 * 60 + 60 <= max(at.values()) - 60}
+    return {i for i, t in at.items() if t // span * span + span <= max(at.values()) - 60}
+
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@pytest.fixture
+def plain_session(spark):
+    """The state store that a session has by itself."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    yield spark
+    spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
 @pytest.mark.parametrize("camera", [1, None])
-def test_collapses_across_batches(spark, feed, history, tmp_path, camera):
+def test_collapses_across_batches(plain_session, spark, feed, history, tmp_path, camera):
     """Several micro-batches, rows out of order within each, and a restart; null is a camera too."""
     history = [{**m, "camera_id": camera if m["camera_id"] == 1 else 2} for m in history]
     for i in range(0, 120, 30):
@@ -153,7 +166,7 @@ def test_collapses_across_batches(spark, feed, history, tmp_path, camera):
     assert sorted(got) == sorted(starts(rows) & left(history + more))
 
 
-def test_alert_rows_across_batches(spark, feed, history, tmp_path):
+def test_alert_rows_across_batches(plain_session, spark, feed, history, tmp_path):
     for i in range(0, 120, 40):
         feed.add(history[i:i + 40])
     feed.add([message(999, 9000, 0, camera=5)])
@@ -178,6 +191,94 @@ def test_unchanged_frames_across_batches(spark, feed, history, tmp_path):
     assert got == sorted(left(history) & {r.frame_id for r in dedup.drop_unchanged(frames(batch(spark, history))).collect()})
 
 
+def test_a_session_keeps_its_state_store(plain_session, feed, history, tmp_path):
+    before = plain_session.conf.get(PROVIDER)
+    feed.add(history)
+    jobs.stream_alerts(feed.events(), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert plain_session.conf.get(PROVIDER) == before
+
+
+def test_a_path_may_serve_several_checkpoints(spark, feed, history, tmp_path):
+    """Two queries, each with batches 0, 1, ...; nothing is lost and nothing comes twice after a restart."""
+    out = str(tmp_path / "out")
+    feed.add(history[:60])
+    feed.add(history[60:])
+    for _ in range(2):
+        for name in ("a", "b"):
+            jobs.stream_windows(feed.events(), out, str(tmp_path / name), 300, 60).awaitTermination()
+    one = tmp_path / "one"
+    jobs.stream_windows(feed.events(), str(one), str(tmp_path / "c"), 300, 60).awaitTermination()
+    want = sorted(map(tuple, scan_windows(spark, str(one)).collect()))
+    assert sorted(map(tuple, scan_windows(spark, out).collect())) == sorted(want * 2) and want
+
+
+def test_what_a_failed_attempt_left_is_not_read(spark, tmp_path):
+    out = str(tmp_path / "t")
+    batch_sink(out, query="q")(spark.range(3), 0)
+    spark.range(9).write.parquet(f"{out}/data/folder=q-1-lost")  # written, but never committed
+    batch_sink(out, query="q")(spark.range(5), 1)
+    batch_sink(out, query="q")(spark.range(7), 1)  # a new start repeats a batch that was committed
+    assert scan_batches(spark, out).count() == 8
+
+
+def test_windows_of_some_days_open_only_their_files(spark, tmp_path):
+    out = str(tmp_path / "t")
+    for n in range(4):
+        ends = spark.range(48).select("id", (F.lit(T0) + F.make_dt_interval(F.lit(n), F.col("id").cast("int"))).alias("window_end"))
+        write_windows(out)(ends, n)
+    since = T0 + dt.timedelta(days=3, hours=5)
+    found = scan_windows(spark, out, since)
+    assert found.count() == sum(d * 24 + h >= 77 for d in range(4) for h in range(48))
+    assert all(day in f for f in found.inputFiles() for day in ["stored_day=2024-01-0"])
+    assert {f.split("stored_day=")[1][:10] for f in found.inputFiles()} == {"2024-01-04", "2024-01-05"}
+    some = scan_batches(spark, out, dt.date(2024, 1, 2), dt.date(2024, 1, 2))
+    assert {f.split("stored_day=")[1][:10] for f in some.inputFiles()} == {"2024-01-02"} and some.count() == 48
+
+
+def test_late_rows_are_kept_apart(spark, feed, tmp_path):
+    """Rows in time and late ones together are the input, also over a restart."""
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    feed.add([message(0, 0, 1), message(1, 1000, 1)])
+    feed.add([message(2, 5, 9), message(3, 945, 7), message(4, 939, 7)])
+    jobs.split_late(feed.events(), out, cp).awaitTermination()
+    feed.add([message(5, 900, 1), message(6, 3000, 1)])
+    feed.add([message(7, 2939, 1), message(8, 2940, 1)])
+    jobs.split_late(feed.events(), out, cp).awaitTermination()
+    assert {r.event_id: r.late for r in scan_batches(spark, out).collect()} == {
+        0: False, 1: False, 2: True, 3: False, 4: True, 5: True, 6: False, 7: True, 8: False}
+
+
+def test_arrival_stamps_survive_a_failure(spark, feed, tmp_path):
+    """A batch that failed after it was stamped has the same stamps when it is run again."""
+    cp, seen = str(tmp_path / "cp"), []
+    feed.add([message(0, 0, 1), message(1, 50, 2)])
+
+    def sink(batch, batch_id):
+        seen.append(sorted(map(tuple, batch.select("event_id", "arrival").collect())))
+        if len(seen) == 1:
+            raise RuntimeError("lost")
+
+    for _ in range(2):
+        try:
+            jobs.start_stream(jobs.with_arrival(feed.events()), sink, cp, None).awaitTermination()
+        except Exception as e:  # noqa: BLE001 - the first start fails
+            assert "lost" in str(e)
+    assert len(seen) == 2 and seen[0] == seen[1] and len({t for _, t in seen[0]}) == 1
+
+
+def test_a_feed_that_ends_closes_its_windows(spark, feed, history, tmp_path):
+    out, cp, end = (str(tmp_path / n) for n in ("out", "cp", "end"))
+    for part in (history[:50], history[50:]):
+        feed.add(part)
+    events = feed.events()
+    jobs.stream_windows(jobs.with_end(events, end), out, cp, 300, 60).awaitTermination()
+    assert scan_windows(spark, out).count() < windows.sliding_windows(batch(spark, history), 300, 60).count()
+    jobs.end_feed(events, end)
+    jobs.stream_windows(jobs.with_end(events, end), out, cp, 300, 60).awaitTermination()
+    want = windows.sliding_windows(batch(spark, history), 300, 60)
+    assert sorted(map(tuple, scan_windows(spark, out).collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_messages_of_a_single_camera(spark):
     """Six fields: the camera is the default, the number comes from the line."""
     line = {k: v for k, v in message(0, 3, 12).items() if k not in ("camera_id", "event_id")}

@@ -1,10 +1,10 @@
 """Greedy non-maximum suppression per frame and class.
 
-A frame normally holds some hundred boxes: the group is sorted and folded inside Spark. A group
-beyond ``max_group`` is not collected. Exact copies in it are merged first (only the best copy can
-survive). Then rounds run over all large groups at once: the best ``BLOCK`` boxes of a group are
-folded, and every box left in the group, on all executors, is dropped when a kept box covers it.
-The rounds end when no box is left, so the result is the same as for one long fold.
+Rounds run over all groups at once: the best ``BLOCK`` undecided boxes of each group are picked before the
+shuffle (a group limit, so a crowded frame sends that many from each task) and folded in order of priority.
+Only groups that filled their block can have more boxes. Of these, every box behind the block is dropped, on all
+executors, when a kept box covers it; of exact copies that are left only the best can survive. The rounds end
+when no group fills its block, after the first one in normal frames, and the result is that of one long fold.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from vialume.config import NMS_IOU
 from vialume.functions.geometry import iou, rect
 from vialume.session import ensure_checkpoint_dir
 
-MAX_GROUP = 5000
 BLOCK = 1000  # window group limits are pushed below the shuffle up to this rank
 BROADCAST_GROUPS = 2000  # at the corners of BLOCK kept boxes each, some 100 MB at the very most
 SPREAD = 256
@@ -54,24 +53,38 @@ def nms(
     keys: Sequence[str] = ("frame_id", "cls"),
     conf: str = "conf",
     tie: str = "box_id",
-    max_group: int = MAX_GROUP,
     block: int = BLOCK,
 ) -> DataFrame:
     """Boxes that survive: in falling confidence, drop a box that overlaps a kept one too much.
 
-    Equal confidence is settled by the lower ``tie``, which is unique within a group. The check
-    for large groups is one small aggregation that runs at once.
+    Equal confidence is settled by the lower ``tie``, which is unique within a group; boxes without one come last.
     """
     keys = list(keys)
-    large = boxes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_group).select(*keys)
-    if large.isEmpty():
-        return _small(boxes, threshold, variant, keys, conf, tie)
-
     ensure_checkpoint_dir(boxes.sparkSession)
-    large = large.checkpoint()
-    rest = _small(_meet(boxes, large, keys, tie, "left_anti"), threshold, variant, keys, conf, tie)
-    kept = _rounds(_meet(boxes, large, keys, tie, "left_semi"), threshold, variant, keys, conf, tie, block)
-    return rest.unionByName(kept)
+    covers = _covers(threshold, variant)
+    priority = Window.partitionBy(*keys).orderBy(_rank(conf), F.asc(tie))
+    at = F.struct(_rank(conf).alias("p"), F.col(tie).alias("t"))
+    item, kind, rest = _item(boxes, keys, conf, tie)
+    left, kept = boxes, []
+    while True:
+        best = left.withColumn("__r", F.row_number().over(priority)).filter(F.col("__r") <= block).drop("__r")
+        step = _fold(best.groupBy(*keys), threshold, variant, item, kind, F.max(at).alias("__end"), F.count(F.lit(1)).alias("__n")).checkpoint()
+        kept.append(step.select(*keys, F.explode(_KEEP).alias("b")))
+        more = step.filter(F.col("__n") == block)  # only these groups can have boxes beyond the block
+        if more.isEmpty():
+            break
+        left = _undecided(left, more, covers, keys, tie, at)
+        left = (_without_copies(left, covers, keys, conf, tie) if len(kept) == 1 else left).checkpoint()
+    flat = reduce(DataFrame.unionByName, kept)
+    return flat.select(*[F.col(c) if c in keys else F.col(f"b.{c}") for c in boxes.columns])
+
+
+def _undecided(left: DataFrame, step: DataFrame, covers, keys: list[str], tie: str, at: Column) -> DataFrame:
+    """Boxes behind the block of their group that no kept box covers."""
+    corners = F.transform(_KEEP, lambda k: F.struct(*[k[c].alias(c) for c in ("x1", "y1", "x2", "y2")])).alias(_KEEP)
+    free = ~F.coalesce(F.exists(_KEEP, lambda k: covers(k, F.struct("x1", "y1", "x2", "y2"))), F.lit(False))
+    met = _meet(left, step.select(*keys, corners, "__end"), keys, tie, "inner")
+    return met.filter((at > F.col("__end")) & free).select(*left.columns)
 
 
 def _item(df: DataFrame, keys: list[str], conf: str, tie: str) -> tuple[Column, str, list[str]]:
@@ -82,14 +95,6 @@ def _item(df: DataFrame, keys: list[str], conf: str, tie: str) -> tuple[Column,
     return item, kind, rest
 
 
-def _small(df, threshold, variant, keys, conf, tie) -> DataFrame:
-    item, kind, rest = _item(df, keys, conf, tie)
-    folded = _fold(df.groupBy(*keys), threshold, variant, item, kind)
-    return folded.select(*keys, F.explode(_KEEP).alias("b")).select(
-        *[F.col(c) if c in keys else F.col(f"b.{c}") for c in df.columns]
-    )
-
-
 def _without_copies(df: DataFrame, covers, keys: list[str], conf: str, tie: str) -> DataFrame:
     """Best of the boxes with equal corners. A box that does not even cover itself drops no copy."""
     box = F.struct("x1", "y1", "x2", "y2")
@@ -102,25 +107,6 @@ def _without_copies(df: DataFrame, covers, keys: list[str], conf: str, tie: str)
     return best.select(*[F.col(f"b.{c}") if c in rest else F.col(c) for c in df.columns])
 
 
-def _rounds(hot, threshold, variant, keys, conf, tie, block) -> DataFrame:
-    covers = _covers(threshold, variant)
-    priority = Window.partitionBy(*keys).orderBy(_rank(conf), F.asc(tie))
-    left = _without_copies(hot, covers, keys, conf, tie).checkpoint()
-    item, kind, rest = _item(left, keys, conf, tie)
-    survivors = []
-    while not left.isEmpty():
-        top = left.withColumn("__r", F.row_number().over(priority)).filter(F.col("__r") <= block).drop("__r")
-        at = F.struct(_rank(conf).alias("p"), F.col(tie).alias("t"))
-        step = _fold(top.groupBy(*keys), threshold, variant, item, kind, F.max(at).alias("__end")).checkpoint()
-        survivors.append(step.select(*keys, F.explode(_KEEP).alias("b")))
-
-        free = ~F.exists(_KEEP, lambda k: covers(k, F.struct("x1", "y1", "x2", "y2")))
-        corners = F.transform(_KEEP, lambda k: F.struct(*[k[c].alias(c) for c in ("x1", "y1", "x2", "y2")])).alias(_KEEP)
-        left = _meet(left, step.select(*keys, corners, "__end"), keys, tie, "inner").filter((at > F.col("__end")) & free).select(*left.columns).checkpoint()
-    flat = reduce(DataFrame.unionByName, survivors)
-    return flat.select(*[F.col(c) if c in keys else F.col(f"b.{c}") for c in hot.columns])
-
-
 def _meet(rows: DataFrame, groups: DataFrame, keys: list[str], tie: str, how: str) -> DataFrame:
     """Join rows with stored group rows: a broadcast while the groups are few, else a join on a
     salted key, so that the rows of one group meet in many tasks."""

@@ -137,6 +137,23 @@ def dense_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def crowded_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The crowded boxes of many orders in one of twenty frames; every fifth has no confidence."""
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    x1 = (F.col("l_partkey") * 37) % 300
+    y1 = (F.col("l_suppkey") * 11) % 200
+    return table(spark, sf_dir, "lineitem").select(
+        (order % 20).alias("frame_id"),
+        (order * 10 + line).alias("box_id"),
+        x1.cast("int").alias("x1"),
+        y1.cast("int").alias("y1"),
+        (x1 + 40 + F.col("l_quantity")).cast("int").alias("x2"),
+        (y1 + 40 + F.round(F.col("l_tax") * 100)).cast("int").alias("y2"),
+        F.when(line % 2 == 0, 2).otherwise(3).alias("cls"),
+        F.when((order + line) % 5 > 0, F.lit(0.15) + F.col("l_discount") * 8).alias("conf"),
+    )
+
+
 def box_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All frames, with or without boxes."""
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("frame_id"))
@@ -157,6 +174,12 @@ DENSE = """dense AS (
       CAST(round(l_tax * 100) AS INTEGER) AS t, CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 3 END AS cls,
       0.15::DOUBLE + l_discount * 8 AS conf FROM lineitem))"""
 
+CROWDED = """crowded AS (
+  SELECT l_orderkey % 20 AS frame_id, l_orderkey * 10 + l_linenumber AS box_id, CAST(x1 AS INTEGER) AS x1, CAST(y1 AS INTEGER) AS y1,
+    CAST(x1 + 40 + floor(l_quantity) AS INTEGER) AS x2, CAST(y1 + 40 + round(l_tax * 100) AS INTEGER) AS y2,
+    CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 3 END AS cls, CASE WHEN (l_orderkey + l_linenumber) % 5 > 0 THEN 0.15::DOUBLE + l_discount * 8 END AS conf
+  FROM (SELECT *, (l_partkey * 37) % 300 AS x1, (l_suppkey * 11) % 200 AS y1 FROM lineitem))"""
+
 ZONES_SQL = "zones(ord, zone, zx1, zy1, zx2, zy2) AS (VALUES " + ", ".join(
     f"({z.ord}, '{z.name}', {z.x1}, {z.y1}, {z.x2}, {z.y2})" for z in ZONES
 ) + ")"

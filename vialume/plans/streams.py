@@ -63,8 +63,9 @@ def stream_classified(spark, sf_dir):
     return scan_batches(spark, f"{root}/table")
 
 
-# Rows leave with their minute, one minute after its end.
-_LEFT = """make_timestamp(epoch_us(ts) - epoch_us(ts) % 60000000 + 60000000) <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM {})"""
+# Rows leave with their span, one minute after its end.
+_SPAN = jobs.CHANGE_SECONDS * 1_000_000
+_LEFT = f"make_timestamp(epoch_us(ts) - epoch_us(ts) % {_SPAN} + {_SPAN}) <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM {{}})"
 
 
 @query("I9", f"WITH {DET} SELECT * FROM ({STARTS}) WHERE {_LEFT.format('det')}")
@@ -182,3 +183,53 @@ def stream_scored_windows(spark, sf_dir):
         last_sample=ml.feature_order(model), finish=lambda rows: jobs.score_last(rows, model),
     ).awaitTermination()
     return scan_batches(spark, f"{root}/table")
+
+
+# ---- rows behind the watermark, time of arrival, the end of a feed
+
+_BEHIND = """part AS (SELECT event_id, ts, CASE WHEN event_id % 10 = 0 THEN 3
+    ELSE (epoch_us(ts) - epoch_us(lo)) * 3 // (epoch_us(hi) - epoch_us(lo) + 1) END AS part
+  FROM events, (SELECT min(ts) AS lo, max(ts) AS hi FROM events)),
+mark AS (SELECT p.part, max(epoch_ms(q.ts)) - 60000 AS ms FROM (SELECT DISTINCT part FROM part) p JOIN part q ON q.part < p.part GROUP BY p.part)"""
+
+
+@query("I8", f"""WITH {_BEHIND} SELECT event_id, ts, coalesce(epoch_us(ts) < ms * 1000, false) AS late FROM part LEFT JOIN mark USING (part)""")
+def stream_late_rows(spark, sf_dir):
+    """Four deliveries, a tenth of the rows only in the last one."""
+    events = raw_counts(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(us), F.max(us)).first()
+    span = 1 if low is None else high - low + 1
+    part = F.when(F.col("event_id") % 10 == 0, 3).otherwise(F.floor((us - F.lit(low or 0)) * 3 / F.lit(span)))
+    root = scratch_path(spark, "deliveries")
+    feed = None
+    for k in range(4):  # a micro-batch for each delivery
+        events.where(part == k).write.mode("append").parquet(f"{root}/in")
+        feed = feed or spark.readStream.schema(events.schema).parquet(f"{root}/in")
+        jobs.split_late(feed, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return scan_batches(spark, f"{root}/table").select("event_id", "ts", "late")
+
+
+_ARRIVAL = "arr AS (SELECT * REPLACE (ts + INTERVAL 1 SECOND * (event_id % 90) AS ts) FROM det)"
+
+
+@query("I2", f"""WITH {DET}, {_ARRIVAL}, {windows_sql(LONG, STEP, 'arr')} SELECT {WINDOW_COLUMNS} FROM win
+  WHERE window_end <= (SELECT max(ts) FROM arr)""")
+def stream_windows_on_arrival(spark, sf_dir):
+    """The stamps are part of the table, some behind the time of the event."""
+    root = scratch_path(spark, "arrival")
+    late = F.expr("ts + make_interval(0, 0, 0, 0, 0, 0, event_id % 90)")
+    events = jobs.classify_events(event_stream(spark, sf_dir)).withColumn("arrival", late)
+    jobs.stream_windows_on_arrival(events, f"{root}/table", f"{root}/checkpoint", LONG, STEP, "arrival").awaitTermination()
+    return scan_windows(spark, f"{root}/table")
+
+
+@query("I2 I3 I4 I5 I7", f"WITH {DET}, {RECENT} SELECT {WINDOW_COLUMNS} FROM win")
+def stream_windows_to_the_end(spark, sf_dir):
+    """All windows, also those that are open when the feed ends."""
+    root = scratch_path(spark, "ended")
+    events = jobs.classify_events(event_stream(spark, sf_dir))
+    for _ in range(2):
+        jobs.stream_windows(jobs.with_end(events, f"{root}/end"), f"{root}/table", f"{root}/checkpoint", LONG, STEP).awaitTermination()
+        jobs.end_feed(events, f"{root}/end")
+    return scan_windows(spark, f"{root}/table")

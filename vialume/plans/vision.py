@@ -11,7 +11,7 @@ from vialume.operators.imaging import pixel_zone_stats, zone_image_features
 from vialume.operators.nms import nms
 from vialume.plans.registry import query
 from vialume.plans.standins import (
-    BOXES, CENTER_IN, DENSE, EDGES_SQL, RATIO, ZONES_SQL, box_frames, boxes, dense_boxes, frames, table,
+    BOXES, CENTER_IN, CROWDED, DENSE, EDGES_SQL, RATIO, ZONES_SQL, box_frames, boxes, crowded_boxes, dense_boxes, frames, table,
 )
 
 VEHICLE = "cls IN (2, 3, 5, 7)"
@@ -162,7 +162,7 @@ def count_overlapping(spark, sf_dir):
 def nms_sql(source: str, shared: str) -> str:
     """Box by box in order of confidence, as a recursive query; ``shared`` is the measure that
     must stay at or below 0.45."""
-    return f"""rnk AS (SELECT *, row_number() OVER (PARTITION BY frame_id, cls ORDER BY conf DESC, box_id) AS rn FROM {source}),
+    return f"""rnk AS (SELECT *, row_number() OVER (PARTITION BY frame_id, cls ORDER BY conf DESC NULLS LAST, box_id) AS rn FROM {source}),
 stp(frame_id, cls, rn, kept) AS (
   SELECT DISTINCT frame_id, cls, CAST(0 AS BIGINT), CAST([] AS STRUCT(id BIGINT, x1 INTEGER, y1 INTEGER, x2 INTEGER, y2 INTEGER)[]) FROM rnk
   UNION ALL
@@ -192,6 +192,12 @@ def suppress_overlaps_offline(spark, sf_dir):
     return nms(dense_boxes(spark, sf_dir), variant="offline").select("frame_id", "cls", "box_id")
 
 
+@query("C10", f"WITH RECURSIVE {CROWDED}, {nms_sql('crowded', LIVE)} SELECT frame_id, cls, box_id FROM nms")
+def suppress_crowded(spark, sf_dir):
+    """Groups of more boxes than one block, some without confidence."""
+    return nms(crowded_boxes(spark, sf_dir)).select("frame_id", "cls", "box_id")
+
+
 @query("B6 B7 C10 C6 D9", f"""WITH RECURSIVE {BOXES}, use AS (SELECT * FROM boxes WHERE {VEHICLE} AND conf >= 0.20::DOUBLE), {nms_sql('use', LIVE)},
   kep AS (SELECT use.* FROM use JOIN nms USING (frame_id, cls, box_id)),
   t AS (SELECT o_orderkey AS frame_id, {_TALLY} FROM orders LEFT JOIN kep ON frame_id = o_orderkey GROUP BY o_orderkey)

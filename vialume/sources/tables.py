@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import re
+import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vialume.config import Zone, ZONES
 from vialume.operators.history import as_day, same_type
 
-WINDOW_SCHEMA = (
-    "camera_id bigint, window_start timestamp, window_end timestamp, avg_vehicles double, max_vehicles int, "
-    "tendencia string, estado_ventana string, estado_predicho string, n_samples bigint"
-)
+_DAY = "stored_day"
+_MANIFEST = "query string, batch long, folder string, dated boolean, days array<string>, fields string"
 
 
 def write_detections(df: DataFrame, path: str, ts: str = "ts", mode: str = "append") -> None:
@@ -43,41 +46,81 @@ def scan_detections(
     return df.select(*columns) if columns else df.drop("fecha")
 
 
-def batch_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that stores each micro-batch under its own number.
+def batch_sink(path: str, ts: str | None = None, query: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that stores each micro-batch once, partitioned by the day of ``ts`` if given.
 
-    A batch that is run again after a failure replaces what it wrote before, so every row is
-    stored once.
+    A batch is first written to a folder of its own under ``data`` and then committed by one line in ``manifest`` under the
+    id of its query and its number. Readers follow the manifest. What a failed attempt left is never read, and a batch
+    that is committed is not written again. So several queries, or one with a new checkpoint, may share a path.
+    ``query`` names the writer outside of streams; a stream is known by its own id.
     """
+    checked: set[str] = set()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        writer = query or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        line = f"{path}/manifest/query={writer}/batch={batch_id}"
+        if writer not in checked and _committed(spark, line):
+            return  # only the first batch after a start can be one that was committed before
+        checked.add(writer)
+        folder = f"{writer}-{batch_id}-{uuid.uuid4().hex}"
+        out = f"{path}/data/folder={folder}"
+        if ts is None:
+            batch.write.parquet(out)
+            days = []
+        else:
+            batch.withColumn(_DAY, F.to_date(ts)).write.partitionBy(_DAY).parquet(out)
+            files = spark.read.schema(batch.schema).parquet(out).inputFiles()  # of one micro-batch
+            days = sorted({found[1] for f in files if (found := re.search(rf"/{_DAY}=([^/]+)/", f))})
+        row = [(folder, ts is not None, days, batch.schema.json())]
+        spark.createDataFrame(row, "folder string, dated boolean, days array<string>, fields string").coalesce(1).write.mode("overwrite").json(line)
 
     return write
 
 
+def _committed(spark: SparkSession, line: str) -> bool:
+    try:
+        return not spark.read.schema("folder string").json(line).isEmpty()
+    except AnalysisException:  # no such folder
+        return False
+
+
 def write_windows(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink for closed windows."""
-    return batch_sink(path)
+    """Sink for closed windows, by the day of their end."""
+    return batch_sink(path, "window_end")
 
 
-def write_alerts(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink for alert rows."""
-    return batch_sink(path)
+def write_alerts(path: str, ts: str = "ts") -> Callable[[DataFrame, int], None]:
+    """Sink for alert rows, by day."""
+    return batch_sink(path, ts)
 
 
-def scan_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """All rows that a :func:`batch_sink` stored."""
-    reader = spark.read.option("basePath", path)
-    if schema:
-        reader = reader.schema(f"{schema}, batch_id bigint")
-    return reader.parquet(path).drop("batch_id")
+def scan_batches(spark: SparkSession, path: str, desde: dt.date | None = None, hasta: dt.date | None = None) -> DataFrame:
+    """All rows that :func:`batch_sink` committed, or those of a span of days; only folders of these days are opened."""
+    manifest = spark.read.schema(_MANIFEST).json(f"{path}/manifest")
+    day = F.explode_outer(F.when(F.col("dated"), F.col("days")))
+    rows = manifest.select("folder", "dated", "fields", "batch", day.alias("day"))
+    if desde is not None:
+        rows = rows.where(~F.col("dated") | (F.col("day") >= str(desde)))
+    if hasta is not None:
+        rows = rows.where(~F.col("dated") | (F.col("day") <= str(hasta)))
+    fields = manifest.agg(F.max_by("fields", "batch")).first()[0]
+    if fields is None:
+        raise ValueError(f"no committed batch under {path}")
+    schema = StructType.fromJson(json.loads(fields))
+    parts = [r for r in rows.toLocalIterator() if r["day"] or not r["dated"]]  # one short line for each batch and day
+    if not parts:
+        return spark.createDataFrame([], schema)
+    paths = [f"{path}/data/folder={r['folder']}" + (f"/{_DAY}={r['day']}" if r["dated"] else "") for r in parts]
+    return spark.read.schema(schema).parquet(*paths).select(*schema.names)
 
 
 def scan_windows(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:
     """Window rows, all or from a moment on."""
-    df = scan_batches(spark, path, WINDOW_SCHEMA)
-    return df if since is None else df.filter(F.col("window_end") >= same_type(df, "window_end", since))
+    if since is None:
+        return scan_batches(spark, path)
+    df = scan_batches(spark, path, since.date())
+    return df.filter(F.col("window_end") >= same_type(df, "window_end", since))
 
 
 def zones_df(spark: SparkSession, zones: Sequence[Zone] = ZONES) -> DataFrame:

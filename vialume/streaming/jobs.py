@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -23,11 +23,13 @@ from vialume.functions.calendar import epoch_us, is_peak_hour, with_calendar
 from vialume.functions.states import congestion_score, dominant_state, state_counts, threshold_class
 from vialume.operators.ml import score
 from vialume.operators.windows import N_STATES, merged_columns, pane_seconds, sample_columns, window_columns
-from vialume.sources.tables import batch_sink, write_alerts
+from vialume.sources.tables import batch_sink, write_alerts, write_windows
 
 SAMPLE_SECONDS = 1
-CHANGE_SECONDS = 60
+CHANGE_SECONDS = 5
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DELAY_SECONDS = 60
 DELAY = f"{DELAY_SECONDS} seconds"
 
@@ -132,7 +134,7 @@ def stream_windows(
     :func:`late_rows` tells how many rows came too late.
     """
     closed = closed_windows(events, duration, slide, f"{delay_seconds} seconds", order, last_sample)
-    store = batch_sink(out)
+    store = write_windows(out)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         store(finish(batch) if finish else batch, batch_id)
@@ -140,6 +142,80 @@ def stream_windows(
     return start_stream(closed, run, f"{checkpoint}/query", every)
 
 
+def with_arrival(events: DataFrame, name: str = "arrival") -> DataFrame:
+    """A stream with the time of arrival of each row.
+
+    Spark fixes the time of a micro-batch in the checkpoint before it runs, so a batch that is run again has the same stamps.
+    """
+    return events.withColumn(name, F.current_timestamp())
+
+
+def stream_windows_on_arrival(
+    events: DataFrame,
+    out: str,
+    checkpoint: str,
+    duration: int = WINDOW_SECONDS,
+    slide: int = SLIDE_SECONDS,
+    arrival: str | None = None,
+    tie: str = "event_id",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Windows by the time of arrival: ``arrival`` names a column of stamps, else rows are stamped as they come in.
+
+    Rows cannot be late on this clock, so windows close as soon as a later row has arrived.
+    """
+    stamped = events if arrival else with_arrival(events)
+    return stream_windows(stamped, out, checkpoint, duration, slide, 0, (arrival or "arrival", tie), every=every)
+
+
+def with_end(events: DataFrame, folder: str) -> DataFrame:
+    """A stream that :func:`end_feed` can end, so that its last windows close too.
+
+    The mark is a row without any value but a time after all others. It opens groups of its own, which never close.
+    """
+    spark = events.sparkSession
+    spark.createDataFrame([], events.schema).write.mode("append").parquet(folder)
+    return events.unionByName(spark.readStream.schema(events.schema).parquet(folder))
+
+
+def end_feed(events: DataFrame, folder: str, ts: str = "ts", at: str = "9999-01-01") -> None:
+    """Mark a feed as ended: the next micro-batch moves the watermark behind all windows. Later rows are late."""
+    kind = events.schema[ts].dataType
+    row = [F.lit(at).cast(kind).alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema]
+    events.sparkSession.range(1).select(*row).write.mode("append").parquet(folder)
+
+
+def batch_watermark(spark: SparkSession, checkpoint: str, batch_id: int) -> int | None:
+    """The watermark, in milliseconds, that Spark fixed for a micro-batch in its checkpoint before running it; none before the first row."""
+    lines = spark.read.text(f"{checkpoint}/offsets/{batch_id}").where(F.col("value").contains("batchWatermarkMs"))
+    ms = lines.select(F.get_json_object("value", "$.batchWatermarkMs").cast("long")).first()[0]
+    return ms or None
+
+
+def split_late(
+    events: DataFrame,
+    out: str,
+    checkpoint: str,
+    delay_seconds: int = DELAY_SECONDS,
+    ts: str = "ts",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Store every row of a stream with the column ``late``: whether it lay behind the watermark of its micro-batch.
+
+    Nothing is dropped: rows in time and late rows together are the input, once each, also after a restart. Rows without a time are
+    not late.
+    """
+    marked = events.withColumn("__at", F.col(ts).cast("timestamp")).withWatermark("__at", f"{delay_seconds} seconds")
+    store = batch_sink(out, ts)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        ms = batch_watermark(batch.sparkSession, f"{checkpoint}/query", batch_id)
+        late = F.lit(False) if ms is None else F.coalesce(epoch_us("__at") < ms * 1000, F.lit(False))
+        store(batch.withColumn("late", late).drop("__at"), batch_id)
+
+    return start_stream(marked, run, f"{checkpoint}/query", every)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that a query left out as too late, over the progress it still remembers.
 
@@ -184,9 +260,23 @@ def start_stream(
     return writer.outputMode("append").trigger(**trigger).start()
 
 
+def start_keyed_stream(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, every: str | None) -> StreamingQuery:
+    """As :func:`start_stream`, for streams with a keyed state, which only one of Spark's state stores holds.
+
+    A query keeps the store it was started with, so the session gets its own setting back at once.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_PROVIDER, None)
+    conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        return start_stream(df, sink, checkpoint, every)
+    finally:
+        conf.unset(_PROVIDER) if before is None else conf.set(_PROVIDER, before)
+
+
 def classify_stream(counts: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Classify a stream of counts and store the detections."""
-    return start_stream(classify_events(counts), batch_sink(path), checkpoint, every)
+    return start_stream(classify_events(counts), batch_sink(path, "ts"), checkpoint, every)
 
 
 class MarksThatChange(StatefulProcessor):
@@ -214,18 +304,19 @@ def stream_changes(
     """Rows whose text ``mark`` differs from that of the row before with the same key, in append mode.
 
     The first row of a key is among them, with ``opens`` true. Rows leave when the watermark passes the
-    end of their span of ``seconds``; they may arrive in any order until then. Of each span only its
-    ends and changes reach the stateful operator. Null keys and null marks are values like others.
+    end of their span of ``seconds``; they may arrive in any order until then. A span holds what one key sends in that
+    time; only its ends and changes leave it, and only these are written out for the stateful operator.
     """
     ts, tie = order
     timed = with_event_time(df, ts, delay)
-    row = F.to_json(F.struct(*df.columns), _JSON)
-    item = F.struct(epoch_us(ts).alias("us"), F.coalesce(F.col(tie).cast("long"), F.lit(0)).alias("tie"), mark.alias("mark"), row.alias("row"))
+    item = F.struct(
+        epoch_us(ts).alias("us"), F.coalesce(F.col(tie).cast("long"), F.lit(0)).alias("tie"), mark.alias("mark"), F.struct(*df.columns).alias("row"))
     spans = timed.groupBy(*keys, F.window(ts, f"{seconds} seconds").alias("span")).agg(F.array_sort(F.collect_list(item)).alias("s"))
     s = F.col("s")
     kept = F.filter(s, lambda x, i: (i == 0) | (i == F.size(s) - 1) | ~x["mark"].eqNullSafe(F.get(s, i - 1)["mark"]))
-    edges = spans.select(*keys, F.inline(kept))
-    changed = edges.groupBy(*keys).transformWithStateInPandas(MarksThatChange(), "row string, opens boolean", "append", "none")
+    name = F.to_json(F.struct(*keys), {**_JSON, "ignoreNullFields": "false"}).alias("name")  # null is a key too, but not for pandas
+    edges = spans.select(name, F.inline(kept)).withColumn("row", F.to_json("row", _JSON))
+    changed = edges.groupBy("name").transformWithStateInPandas(MarksThatChange(), "row string, opens boolean", "append", "none")
     return changed.select(F.from_json("row", timed.schema, _JSON).alias("r"), "opens").select("r.*", "opens")
 
 
@@ -244,7 +335,7 @@ def stream_collapse_starts(
 ) -> StreamingQuery:
     """Store the rows that start a collapse, also when the row before came in an earlier batch."""
     changes = stream_changes(detections, _in_collapse().cast("string"), keys, order, delay)
-    return start_stream(changes.filter(_in_collapse()).drop("opens"), batch_sink(out), f"{checkpoint}/query", every)
+    return start_keyed_stream(changes.filter(_in_collapse()).drop("opens"), batch_sink(out, order[0]), f"{checkpoint}/query", every)
 
 
 def stream_alerts(
@@ -268,7 +359,7 @@ def stream_alerts(
         F.lit(None).cast("int").alias("duracion_min"),
         F.lit(False).alias("notificado"),
     )
-    return start_stream(rows, write_alerts(out), f"{checkpoint}/query", every)
+    return start_keyed_stream(rows, write_alerts(out), f"{checkpoint}/query", every)
 
 
 def stream_drop_unchanged(
@@ -283,4 +374,4 @@ def stream_drop_unchanged(
 ) -> StreamingQuery:
     """Store the frames that differ from the one before, across batches."""
     changes = stream_changes(frames, F.col(md5), keys, order, delay)
-    return start_stream(changes.drop("opens"), batch_sink(out), f"{checkpoint}/query", every)
+    return start_keyed_stream(changes.drop("opens"), batch_sink(out, order[0]), f"{checkpoint}/query", every)
