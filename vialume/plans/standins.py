@@ -144,7 +144,7 @@ def crowded_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     y1 = (F.col("l_suppkey") * 11) % 200
     return table(spark, sf_dir, "lineitem").select(
         (order % 20).alias("frame_id"),
-        (order * 10 + line).alias("box_id"),
+        ((order * 10 + line) * 10**9 + F.col("l_partkey") * 10**4 + F.col("l_suppkey")).alias("box_id"),
         x1.cast("int").alias("x1"),
         y1.cast("int").alias("y1"),
         (x1 + 40 + F.col("l_quantity")).cast("int").alias("x2"),
@@ -175,7 +175,7 @@ DENSE = """dense AS (
       0.15::DOUBLE + l_discount * 8 AS conf FROM lineitem))"""
 
 CROWDED = """crowded AS (
-  SELECT l_orderkey % 20 AS frame_id, l_orderkey * 10 + l_linenumber AS box_id, CAST(x1 AS INTEGER) AS x1, CAST(y1 AS INTEGER) AS y1,
+  SELECT l_orderkey % 20 AS frame_id, (l_orderkey * 10 + l_linenumber) * 1000000000 + l_partkey * 10000 + l_suppkey AS box_id, CAST(x1 AS INTEGER) AS x1, CAST(y1 AS INTEGER) AS y1,
     CAST(x1 + 40 + floor(l_quantity) AS INTEGER) AS x2, CAST(y1 + 40 + round(l_tax * 100) AS INTEGER) AS y2,
     CASE WHEN l_linenumber % 2 = 0 THEN 2 ELSE 3 END AS cls, CASE WHEN (l_orderkey + l_linenumber) % 5 > 0 THEN 0.15::DOUBLE + l_discount * 8 END AS conf
   FROM (SELECT *, (l_partkey * 37) % 300 AS x1, (l_suppkey * 11) % 200 AS y1 FROM lineitem))"""
