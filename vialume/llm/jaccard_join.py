@@ -348,6 +348,7 @@ def tree_links(docs: DataFrame, members: DataFrame, points: DataFrame, done: Dat
 
 def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, set, n) of every row, and (node, root) of the sets that are not the root of their component."""
+    docs = docs.select("doc_id", "text")
     read = stored(read_sets(docs), "sets")
     of = read.where("n >= 0").select("doc_id", "set", "n")
     rows = stored(prefixes(docs, frequent_shingles(read)), "prefixes")
