@@ -194,7 +194,7 @@ def prefix_trie(turns: DataFrame, lengths: DataFrame, cuts: int = CUTS) -> DataF
     above = nodes.select(*[F.col(c).alias(f"up_{c}") for c in KEY], F.col("conv_id").alias("parent_conv_id"))
     parents = to_parent.join(above, [f"up_{c}" for c in KEY]).select("node.*", "parent_conv_id")
     ends = prefixes.join(lengths.select("conv_id", F.col("length").alias("depth")), ["conv_id", "depth"])
-    parts = [nodes.drop("bytes"), values.select(*KEY, "n_children"), totals, parents, ends_digest(ends)]
+    parts = [nodes.drop("bytes"), values.select(*KEY, "n_children"), totals, stored(parents, "parents"), stored(ends_digest(ends), "ends")]
     rows = parts[0]
     for more in parts[1:]:
         rows = rows.unionByName(more, allowMissingColumns=True)
