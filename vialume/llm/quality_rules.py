@@ -7,8 +7,8 @@ that is estimated from all hosts (method of moments), and hosts whose drawn rate
 Spark broadcasts them only when their measured size is small, and splits a hot host otherwise.
 
 Defined results: a null text is empty (no words, so it fails). A null host is a host of its own.
-Repeated rows count each time. An empty table gives an empty table. Other columns, whatever their
-names, pass through ``host_rules`` unread.
+Repeated rows count each time. An empty table gives an empty table. Other columns pass through ``host_rules``
+unread, whatever their names, but for those named like a result, which are replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialume.llm.common import table
+from vialume.llm.common import stored, table
 from vialume.llm.textkernel import Words, buffers, chunks, run_hashes, windows
 
 QUERY = "op4_quality_rules"
@@ -73,15 +73,15 @@ def text_counts(texts: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
-def count_texts(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and the five counts of ``text``."""
-    slim = docs.select(*keep, F.col("text").alias("_text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema if f.name in keep), *(f"{c} bigint" for c in COUNTS)])
+def count_texts(docs: DataFrame, keep: list[str], host: str) -> DataFrame:
+    """For every row the columns ``keep`` as the struct ``row``, its ``host`` and the five counts of ``text``."""
+    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(host).alias("host"), F.col("text").alias("text"))
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in slim.schema if f.name != "text"), *(f"{c} bigint" for c in COUNTS)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = text_counts(batch.column(len(keep)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], *(pa.array(counts[c]) for c in COUNTS)], names=[*keep, *COUNTS])
+            counts = text_counts(batch.column(2))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(counts[c]) for c in COUNTS)], names=["row", "host", *COUNTS])
 
     return slim.mapInArrow(count, schema)
 
@@ -111,11 +111,17 @@ def host_verdicts(rows: DataFrame, host: str, failed: str, max_rate: float = 0.5
 
 
 def host_rules(docs: DataFrame, keep: list[str], host: str = "source", max_rate: float = 0.5) -> DataFrame:
-    """Columns ``keep``, the counts, ``base_failed``, ``host_rate`` and ``kept`` of every document."""
-    rows = count_texts(docs.withColumn("_of", F.col(host)), [*keep, "_of"]).withColumn("base_failed", base_failed())
-    verdicts = host_verdicts(rows, "_of", "base_failed", max_rate)
-    return rows.join(verdicts, rows["_of"].eqNullSafe(verdicts["_host"]), "left").select(
-        *keep, *COUNTS, "base_failed", "host_rate", (~F.col("base_failed") & F.col("host_kept")).alias("kept"))
+    """Columns ``keep``, the counts, ``base_failed``, ``host_rate`` and ``kept`` of every document.
+
+    Texts are counted once: the counts are stored for the verdicts and for the join. Columns of ``keep`` that are named like
+    one of the results are replaced by it.
+    """
+    own = [*COUNTS, "base_failed", "host_rate", "kept"]
+    keep = [c for c in keep if c not in own]
+    rows = stored(count_texts(docs, keep, host).withColumn("base_failed", base_failed()), "counts")
+    verdicts = host_verdicts(rows, "host", "base_failed", max_rate)
+    return rows.join(verdicts, rows["host"].eqNullSafe(verdicts["_host"]), "left").select(
+        *[F.col("row")[c].alias(c) for c in keep], *COUNTS, "base_failed", "host_rate", (~F.col("base_failed") & F.col("host_kept")).alias("kept"))
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
