@@ -3,14 +3,16 @@
 Texts are split by the tokenizer's pattern; each task keeps the distinct words it has met and gives new ones, many
 at a time, to an in-memory DuckDB. There a word is rows of (position, token). A recursive query joins
 neighbouring tokens with the merge table, contracts the leftmost pair of minimum rank of every word, and ends when
-no pair is left. Decoding joins ids with the vocabulary and aggregates the bytes in order.
+no pair is left. Each text's ids are decoded again by looking them up in order; ``decode_texts`` decodes stored ids by
+joining them with the vocabulary and aggregating the bytes in order.
 
 The merge table holds every split of a vocabulary entry into two entries, as the published encoder ranks
 a pair by the bytes it makes. A word that is an entry itself needs no merge. A word of more than
 ``LONG`` bytes would take a round for each merge, so it goes through a heap of the same pairs.
 
 Defined results: a null or empty text has no ids; the hashes are then those of nothing. White space and any
-other characters are encoded, so decoding gives the bytes back. Repeated rows are encoded each by itself.
+other characters are encoded, so decoding gives the bytes back. Repeated rows are encoded each by itself. Other columns
+are kept, whatever their names, but for those named like a result, which are replaced.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import os
+import sys
 import tempfile
 from collections.abc import Iterator
 
@@ -35,6 +37,8 @@ QUERY = "op8_byte_bpe"
 LONG = 256
 #: Words a process remembers; beyond that only those in use stay.
 REMEMBERED = 300_000
+#: Squared word lengths, so rows of the recursive table, that go through one query.
+ROUNDS_ROWS = 8_000_000
 #: Characters that are split before their new words are encoded together.
 TOGETHER = 3_000_000
 
@@ -59,8 +63,7 @@ WITH RECURSIVE state AS (
   LEFT JOIN merges m ON n.token = m.first AND n.ftoken = m.second)
 ),
 done AS (SELECT s.word, s.pos, s.token FROM state s JOIN (SELECT word, max(step) AS step FROM state GROUP BY word) e ON s.word = e.word AND s.step = e.step)
-SELECT word, string_agg(d.token, ' ' ORDER BY pos) AS ids, string_agg(v.bytes, '' ORDER BY pos) AS bytes
-FROM done d JOIN vocabulary v ON v.token = d.token GROUP BY word
+SELECT word, string_agg(token, ' ' ORDER BY pos) AS ids, list(token ORDER BY pos) AS tokens FROM done GROUP BY word
 """
 DECODE = """
 SELECT d.id, coalesce(string_agg(v.bytes, '' ORDER BY d.pos), '') AS bytes
@@ -91,11 +94,15 @@ class Codec:
 
     def __init__(self, ranks_path: str, pattern: str):
         self.ranks = read_ranks(ranks_path)
-        self.entries = {r: t for t, r in self.ranks.items()}
+        by_rank = {r: t for t, r in self.ranks.items()}
+        every = [by_rank.get(r, b"") for r in range(max(by_rank) + 1)]
+        self.lengths = np.array([len(t) for t in every], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.letters_of = np.frombuffer(b"".join(every), np.uint8)
         self.letters = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.split = regex.compile(pattern).findall
         self.words: dict[str, tuple[str, bytes]] = {}
-        self.db = duckdb.connect(config={"threads": "1", "memory_limit": "300MB", "temp_directory": os.path.join(tempfile.gettempdir(), "byte-bpe")})
+        self.db = duckdb.connect(config={"threads": "1", "memory_limit": "300MB", "temp_directory": tempfile.mkdtemp(prefix="byte-bpe-")})
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         merges = pa.table({c: pa.array(v, pa.int32()) for c, v in zip(("first", "second", "merged"), zip(*pairs, strict=True), strict=True)})
         vocabulary = pa.table({"token": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array([t.hex() for t in self.ranks])})
@@ -129,18 +136,22 @@ class Codec:
         return ids
 
     def encode_words(self, words: list[bytes]) -> list[tuple[str, bytes]]:
-        """Decimal ids of each word, joined by spaces, and the bytes the ids stand for."""
+        """Ids of each word, as decimals joined by spaces and as 32-bit numbers."""
         out, rest = [("", b"")] * len(words), []
         for i, word in enumerate(words):
             if (rank := self.ranks.get(word)) is not None:
-                out[i] = (str(rank), self.entries[rank])
+                out[i] = (str(rank), rank.to_bytes(4, sys.byteorder))
             elif len(word) > LONG:
                 ids = self.merge_long(word)
-                out[i] = (" ".join(map(str, ids)), b"".join([self.entries[x] for x in ids]))
+                out[i] = (" ".join(map(str, ids)), np.array(ids, np.int32).tobytes())
             elif word:
                 rest.append(i)
-        for at in range(0, len(rest), 50_000):
-            part = rest[at:at + 50_000]
+        work = np.cumsum([len(words[i]) ** 2 for i in rest])  # the recursive table keeps every round
+        cuts = [0, *np.searchsorted(work, np.arange(ROUNDS_ROWS, work[-1] if len(work) else 0, ROUNDS_ROWS)).tolist(), len(rest)]
+        for at, stop in zip(cuts, cuts[1:], strict=False):
+            if at == stop:
+                continue
+            part = rest[at:stop]
             size = np.array([len(words[i]) for i in part])
             of = np.repeat(np.arange(len(part)), size)
             pos = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
@@ -152,8 +163,10 @@ class Codec:
                 "fpos": pa.array(pos + 1, pa.int32(), mask=last), "ftoken": pa.array(follower, pa.int32(), mask=last)}))
             found = self.db.sql(ENCODE).to_arrow_table()
             self.db.unregister("letters")
-            for i, ids, text in zip(found["word"].to_pylist(), found["ids"].to_pylist(), found["bytes"].to_pylist(), strict=True):
-                out[part[i]] = (ids, bytes.fromhex(text))
+            tokens = found["tokens"].combine_chunks()
+            raw, ends = tokens.flatten().to_numpy().astype(np.int32).tobytes(), (np.cumsum(tokens.value_lengths().to_numpy()) * 4).tolist()
+            for i, ids, a, b in zip(found["word"].to_pylist(), found["ids"].to_pylist(), [0, *ends], ends):  # the last start has no end
+                out[part[i]] = (ids, raw[a:b])
         return out
 
     def decode_all(self, sequences: list[list[int]]) -> list[bytes]:
@@ -166,11 +179,17 @@ class Codec:
             out[i] = bytes.fromhex(text)
         return out
 
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of one list of ids, each looked up in its place."""
+        size = self.lengths[ids]
+        before = np.cumsum(size) - size
+        return self.letters_of[np.repeat(self.starts[ids] - before, size) + np.arange(int(size.sum()))].tobytes()
+
     def learn(self, words: list[str]) -> None:
         self.words.update(zip(words, self.encode_words([w.encode() for w in words]), strict=True))
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[str, bytes]]:
-        """Ids of each text as decimals joined by spaces, and the bytes these ids stand for."""
+        """Ids of each text as decimals joined by spaces, and what these ids are decoded to."""
         at = 0
         while at < len(texts):
             stop, size = at, 0
@@ -185,7 +204,7 @@ class Codec:
                 self.learn(new)
             for words in split:
                 found = [self.words[w] for w in words]
-                yield " ".join([f[0] for f in found]), b"".join([f[1] for f in found])
+                yield " ".join([f[0] for f in found]), self.decode(np.frombuffer(b"".join([f[1] for f in found]), np.int32))
             at = stop
 
 
@@ -216,19 +235,38 @@ def digest_texts(docs: DataFrame, keep: list[str], ranks: str | None = None, pat
 
 def _mapped(docs: DataFrame, keep: list[str], ranks: str | None, pattern: str | None, more: str, columns) -> DataFrame:
     path, split = ranks or default_ranks(), pattern or default_pattern()
-    rows = docs.select(*keep, F.col("text").alias("_text"))
-    names = [*keep, *(x.split()[0] for x in more.split(", "))]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep), more])
+    names = [x.split()[0] for x in more.split(", ")]
+    keep = [c for c in keep if c not in names]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, split)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                found = list(coder.encode(part.column(len(keep)).to_pylist()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *columns(found)], names=names)
+                found = list(coder.encode(part.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns(found)], names=["row", *names])
+
+    done = rows.mapInArrow(encode, f"row {rows.schema['row'].dataType.simpleString()}, {more}")
+    return done.select(*[F.col("row")[c].alias(c) for c in keep], *names)
+
+
+def decode_texts(rows: DataFrame, ids: str = "ids", name: str = "decoded", ranks: str | None = None, pattern: str | None = None) -> DataFrame:
+    """``rows`` with the bytes that the decimals in ``ids`` stand for; a null or empty list stands for nothing."""
+    path, split = ranks or default_ranks(), pattern or default_pattern()
+    kept = [c for c in rows.columns if c != name]
+    slim = rows.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{ids}`").alias("ids"))
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(path, split)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                lists = [list(map(int, (x or "").split())) for x in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(coder.decode_all(lists), pa.binary())], names=["row", "decoded"])
 
-    return rows.mapInArrow(encode, schema)
+    done = slim.mapInArrow(decode, f"row {slim.schema['row'].dataType.simpleString()}, decoded binary")
+    return done.select(*[F.col("row")[c].alias(c) for c in kept], F.col("decoded").alias(name))
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
