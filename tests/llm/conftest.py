@@ -69,6 +69,6 @@ def empty(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
     for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"),
                          ("labels", "doc_id long, quality int, toxic int"), ("pages", "page_id long, url string"),
-                         ("embeddings", "vec_id long, embedding array<float>")):
+                         ("embeddings", "vec_id long, embedding array<float>"), ("conversations", "conv_id long, turn long, role string, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{folder}/{name}.parquet")
     return folder

@@ -45,5 +45,17 @@ def gapless(df: DataFrame, group: list[str], order: list[str], name: str, parts:
     return placed.select(*columns, F.explode(F.sequence(at, at + F.col("_n") - 1)).alias(name))
 
 
+def smallest_hashes(df: DataFrame, key: list[str], n: int) -> DataFrame:
+    """The ``n`` rows of smallest hash of ``key``, all if there are fewer: a sample that does not depend on partitions.
+
+    Rows are counted first, and only those below a cut that some twice as many rows pass are sorted, so a task gets about
+    2 * n rows, however many there are. The chance that fewer than ``n`` pass the cut is below one in 10**9.
+    """
+    total = df.count()
+    share = 1.0 if total <= 2 * n + 200 else (2 * n + 200) / total
+    low = F.xxhash64(*key) <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64)))
+    return df.where(low).orderBy(F.xxhash64(*key), *key).limit(n)
+
+
 def text_or_empty(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

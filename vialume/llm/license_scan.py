@@ -3,7 +3,7 @@
 Each line of a text is a paragraph. Its words and pairs of words are hashed to a sparse vector and a multinomial
 logistic regression gives a probability for each family and for ``unknown``. The model is trained at each call on
 notices of each family with words left out, on sentences that only sound like licences, and on a bounded
-sample of the corpus (``BACKGROUND`` lines in the order of a hash, without those that share two words
+sample of the corpus (``BACKGROUND`` whole lines in the order of a hash, without those that share two words
 in a row with a notice more than once). The cut below which a paragraph is unknown is calibrated on a
 second such sample: at most one in a thousand of its lines may pass. Then the paragraph is compared
 with the notices of the predicted family, and stays only if at least ``CONFIRM`` of its pairs of words, or of the
@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialume.llm.common import table, text_or_empty
+from vialume.llm.common import smallest_hashes, stored, table, text_or_empty
 
 QUERY = "op5_license_scan"
 FEATURES = 1 << 14
@@ -114,19 +114,21 @@ def train(docs: DataFrame):
     families = [UNKNOWN, *NOTICES]
     number = {f: float(i) for i, f in enumerate(families)}
     known = sorted({p for r in notice_table(spark).collect() for p in r["notice_pairs"]})
-    sample = paragraphs(docs).orderBy(F.xxhash64("doc_id", "paragraph"), "doc_id", "paragraph").limit(2 * BACKGROUND)
-    sample = sample.select(F.substring("_line", 1, 2000).alias("text"))
-    shared = F.size(F.array_intersect(pairs_of(words_of(F.col("text"))), F.array(*map(F.lit, known))))
-    lines = [r["text"] for r in sample.where(shared < 2).collect()]
+    sample = smallest_hashes(paragraphs(docs), ["doc_id", "paragraph"], 2 * BACKGROUND)
+    shared = F.size(F.array_intersect(pairs_of(words_of(F.col("_line"))), F.array(*map(F.lit, known))))
+    lines = stored(sample.where(shared < 2).select("_line", (F.xxhash64("doc_id", "paragraph") % 2 == 0).alias("learned")), "background")
     rows = [(number[f], v) for f, notices in NOTICES.items() for n in notices for v in variants(n)]
-    rows += [(0.0, t) for t in [*lines[::2], *DECOYS * 5, "", "word"]]
-    examples = with_features(spark.createDataFrame(pd.DataFrame(rows, columns=["label", "text"]), "label double, text string"), "text")
+    rows += [(0.0, t) for t in [*DECOYS * 5, "", "word"]]
+    texts = spark.createDataFrame(pd.DataFrame(rows, columns=["label", "text"]), "label double, text string")
+    texts = texts.unionByName(lines.where("learned").select(F.lit(0.0).alias("label"), F.col("_line").alias("text")))
+    examples = with_features(texts, "text").orderBy("label", "text").select("label", "_features").persist()
     model = LogisticRegression(featuresCol="_features", labelCol="label", probabilityCol="_p", regParam=0.0005, maxIter=60, family="multinomial").fit(examples)
+    examples.unpersist()
     cut = 0.5
-    if held := lines[1::2]:
-        rest = with_features(spark.createDataFrame(pd.DataFrame({"text": held}), "text string"), "text")
-        best = F.array_max(F.slice(vector_to_array("_p"), 2, len(families) - 1))
-        cut = max(cut, rest_quantile([r[0] for r in model.transform(rest).select(best).collect()]))
+    rest = with_features(lines.where("NOT learned"), "_line")
+    best = F.array_max(F.slice(vector_to_array("_p"), 2, len(families) - 1))
+    if held := [r[0] for r in model.transform(rest).select(best).collect()]:  # a number for each sampled line
+        cut = max(cut, rest_quantile(held))
     return model, families, cut
 
 

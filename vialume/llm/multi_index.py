@@ -2,7 +2,7 @@
 
 Both halves of the unit vectors are quantised with codebooks of their own; a cell is a pair of centroids.
 Each query takes the pairs in the order of the summed distances, with a heap, until their cells hold
-``share`` of all rows (``at_least`` rows at least), and is then compared with every row of these cells
+``share`` of all rows, and is then compared with every row of these cells
 in double precision. Codebooks are fitted on a bounded sample of ``SAMPLE`` rows in the order of a
 hash; every row is indexed, and the heap goes on over all cells if needed, so no cell is capped.
 
@@ -29,13 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vialume.llm.common import stored, table
+from vialume.llm.common import smallest_hashes, stored, table
 
 QUERY = "op7_multi_index"
 CENTROIDS = 32
 SAMPLE = 8192
 SHARE = 0.5
-AT_LEAST = 5000
 BLOCK = 16_384
 QUERIES = 4096
 
@@ -76,7 +75,7 @@ def codebook(x: np.ndarray, k: int, rounds: int = 20) -> np.ndarray:
 
 def fit(rows: DataFrame, k: int = CENTROIDS) -> dict | None:
     """Both codebooks, or None without any proper vector."""
-    sample = rows.where("embedding IS NOT NULL").orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow()
+    sample = smallest_hashes(rows.where("embedding IS NOT NULL"), ["vec_id"], SAMPLE).select("embedding").toArrow()
     column = sample.column("embedding").combine_chunks()
     lengths = pd.Series(column.value_lengths().to_pylist(), dtype="int64")
     lengths = lengths[lengths > 0]
@@ -167,7 +166,7 @@ def nearest_rows(queries: pd.DataFrame, rows: pd.DataFrame, cells: int, k: int)
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
-def search(rows: DataFrame, is_query, k: int = 5, share: float = SHARE, at_least: int = AT_LEAST, centroids: int = CENTROIDS) -> DataFrame:
+def search(rows: DataFrame, is_query, k: int = 5, share: float = SHARE, centroids: int = CENTROIDS) -> DataFrame:
     """query_id, rank, vec_id and cosine of the ``k`` nearest found of each row that ``is_query`` picks."""
     spark = rows.sparkSession
     model = fit(rows, centroids)
@@ -179,7 +178,7 @@ def search(rows: DataFrame, is_query, k: int = 5, share: float = SHARE, at_least
     for r in index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
         sizes[r["cell"]] = r["n"]
     first, parts = blocks(sizes)
-    wanted = max(at_least, int(np.ceil(share * sizes.sum())))
+    wanted = int(np.ceil(share * sizes.sum()))
     place = F.broadcast(spark.createDataFrame(
         pd.DataFrame({"cell": np.arange(cells, dtype=np.int32), "first": first, "parts": parts}), "cell int, first long, parts long"))
     asked = index.where(is_query)

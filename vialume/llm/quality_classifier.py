@@ -6,8 +6,9 @@ sizes and the smaller size, both over the length of the text, go through a logis
 weights are fitted on the other fold of the labelled texts, so a score is a calibrated probability.
 
 Fit on a bounded sample: at most ``SAMPLE`` labelled rows of each label and fold, in the order of a hash of
-the id, and the first ``SAMPLE_CHARS`` characters of each. Rows whose crc32 of the id modulo 3 is 1 are
-never learned from. The rows of a label weigh as many as it has. Scoring covers all rows and whole texts.
+the id, whole texts. A dictionary takes the whole of a short text and pieces from begin to end of a long one, the weights are
+fitted on the features of whole texts. Rows whose crc32 of the id modulo 3 is 1 are never learned
+from. The rows of a label weigh as many as it has. Scoring covers all rows and whole texts.
 
 Defined results: null and empty texts have the features 0 and a score from them. Null labels and ids
 are not learned from; several labels of one id count as their smallest. Where one label has no rows,
@@ -16,7 +17,6 @@ every score is the share of label 1, drawn towards 0.5. Repeated rows are scored
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +25,10 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialume.llm.common import table
+from vialume.llm.common import smallest_hashes, stored, table, text_or_empty
 
 QUERY = "op9_quality_classifier"
 SAMPLE = 2000
-SAMPLE_CHARS = 8192
 DICTIONARY = 1 << 18
 BLOCK = 2048
 LEVEL = 3
@@ -39,32 +38,45 @@ def fold(column: str):
     return F.crc32(F.col(column).cast("string").cast("binary")) % 3
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[tuple[int, int, str]], dict[int, int]]:
-    """(fold, label, text) of the sampled rows, and the number of rows of each label."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[DataFrame, dict[int, int]]:
+    """(_fold, quality, text) of the sampled rows, whole texts, and the number of rows of each label."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     known = known.withColumn("_fold", fold("doc_id").cast("int")).where("_fold <> 1")
     counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = None
     for part in (0, 2):
         for label in (0, 1):
-            some = known.where((F.col("_fold") == part) & (F.col("quality") == label)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+            some = smallest_hashes(known.where((F.col("_fold") == part) & (F.col("quality") == label)), ["doc_id"], sample)
             picked = some if picked is None else picked.unionAll(some)
-    texts = docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(
+    texts = docs.select("doc_id", text_or_empty().alias("text")).join(
         F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])  # at most 4 * sample ids are broadcast
-    rows = texts.orderBy(F.xxhash64("doc_id"), "doc_id").select("_fold", "quality", "text").collect()
-    return [(r[0], r[1], r[2] or "") for r in rows], counts
+    return stored(texts.select("doc_id", "_fold", "quality", "text"), "labelled"), counts
 
 
-def build_dictionary(texts: list[str]) -> bytes:
-    """The begin of each text, the first texts last, where zstandard finds them cheapest."""
-    each = max(512, DICTIONARY // max(1, len(texts)))
+def spread_pieces(data: bytes, size: int, piece: int = 256) -> bytes:
+    """At most ``size`` bytes of a text: all of it, or pieces at even distances from its begin to its end."""
+    if len(data) <= size:
+        return data
+    n = max(1, size // piece)
+    return b"".join(data[at:at + piece] for at in np.linspace(0, max(0, len(data) - piece), n).astype(int).tolist())
+
+
+def build_dictionary(sample: DataFrame, texts: int) -> bytes:
+    """Pieces of each of about ``texts`` texts, the first texts last, where zstandard finds them cheapest."""
+    each = max(512, DICTIONARY // max(1, texts))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pieces = [spread_pieces(t.as_py().encode(), each) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pieces, pa.binary())], names=["doc_id", "piece"])
+
+    rows = sample.select("doc_id", "text").mapInArrow(cut, "doc_id long, piece binary").orderBy(F.xxhash64("doc_id"), "doc_id")
     parts, size = [], 0
-    for text in texts:
-        part = text.encode()[:each]
-        if size + len(part) > DICTIONARY:
+    for (piece,) in rows.select("piece").collect():  # at most 512 bytes a text beyond DICTIONARY in all
+        if size + len(piece) > DICTIONARY:
             break
-        parts.append(part)
-        size += len(part)
+        parts.append(bytes(piece))
+        size += len(piece)
     return b"".join(reversed(parts))
 
 
@@ -106,20 +118,28 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     """The two dictionaries and the weights of the logistic function."""
-    rows, counts = labelled_sample(docs, labels, sample)
-    learn = {q: [t for f, label, t in rows if label == q and f == 0] for q in (0, 1)}
-    check = {q: [t for f, label, t in rows if label == q and f == 2] for q in (0, 1)}
+    rows, counts = labelled_sample(docs.select("doc_id", "text"), labels, sample)
+    sizes = {(r[0], r[1]): r[2] for r in rows.groupBy("_fold", "quality").agg(F.count(F.lit(1))).collect()}
+    folds = {}
     for q in (0, 1):  # a fold without a label borrows the other's rows
-        learn[q], check[q] = learn[q] or check[q], check[q] or learn[q]
-    if not (learn[0] and learn[1]):
-        p = (counts.get(1, 0) + 1) / (counts.get(0, 0) + counts.get(1, 0) + 2)
-        return {"dictionaries": (b"", b""), "weights": [float(np.log(p / (1 - p))), 0.0, 0.0]}
-    dictionaries = (build_dictionary(learn[0]), build_dictionary(learn[1]))
-    sizes = Sizes(dictionaries)
-    x = np.array([sizes.features(t) for q in (0, 1) for t in check[q]])
-    y = np.repeat([0.0, 1.0], [len(check[0]), len(check[1])])
-    weight = np.repeat([counts[0] / len(check[0]), counts[1] / len(check[1])], [len(check[0]), len(check[1])])
-    return {"dictionaries": dictionaries, "weights": fit_logistic(x, y, weight / weight.mean()).tolist()}
+        there = [f for f in (0, 2) if sizes.get((f, q))]
+        if not there:
+            p = (counts.get(1, 0) + 1) / (counts.get(0, 0) + counts.get(1, 0) + 2)
+            return {"dictionaries": (b"", b""), "weights": [float(np.log(p / (1 - p))), 0.0, 0.0]}
+        folds[q] = (there[0], there[-1])
+    dictionaries = tuple(build_dictionary(rows.where((F.col("_fold") == folds[q][0]) & (F.col("quality") == q)), sizes[folds[q][0], q]) for q in (0, 1))
+    held = rows.where(" OR ".join(f"_fold = {folds[q][1]} AND quality = {q}" for q in (0, 1))).select("quality", "text")
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = Sizes(dictionaries)
+        for batch in batches:
+            x = [both.features(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), *(pa.array([v[i] for v in x], pa.float64()) for i in (0, 1))], names=["y", "a", "b"])
+
+    found = held.mapInArrow(measure, "y int, a double, b double").orderBy("y", "a", "b").toPandas()  # three numbers a sampled row
+    y = found["y"].to_numpy(dtype=float)
+    weight = np.where(y == 1, counts[1] / max(1, (y == 1).sum()), counts[0] / max(1, (y == 0).sum()))
+    return {"dictionaries": dictionaries, "weights": fit_logistic(found[["a", "b"]].to_numpy(), y, weight / weight.mean()).tolist()}
 
 
 def score(docs: DataFrame, model: dict, name: str = "score") -> DataFrame:
@@ -146,15 +166,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def held_out_accuracy(scored: DataFrame, labels: DataFrame) -> float:
-    """Share of the held out labelled rows that are predicted right."""
-    known = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    right = scored.where("held_out").join(known, "doc_id").agg(F.avg((F.col("quality") == F.col("predicted")).cast("double")))
-    return right.first()[0]
-
-
-def crc32_of(doc_id: int) -> int:
-    return zlib.crc32(str(doc_id).encode())
-
-
 SQL = None  # no SQL engine compresses with a dictionary; tests/llm measures accuracy on held out rows
