@@ -133,3 +133,48 @@ def test_label_file_with_foreign_header_is_an_error(spark, root):
     found.write_text("filename,state\nz.jpg,FLUIDO\n")
     with pytest.raises(ValueError, match="estado"):
         files.read_labels(spark, str(root))
+
+
+def test_relabelling_touches_only_the_changed_days(spark, tmp_path):
+    """Both copies of the changed days are new, all other files keep their time."""
+    root = str(tmp_path / "labels")
+    rows = [(f"2024010{d}", f"f{i}.jpg", "FLUIDO", str(i), i) for d in range(1, 6) for i in range(4)]
+    labels = spark.createDataFrame(rows, "fecha string, filename string, estado string, hour string, vehicle_count int")
+    labels = labels.withColumns({c: F.lit("") for c in ("timestamp", "weekday", "weekday_name", "minute", "is_rush_hour")})
+    files.rewrite_days(labels, root)
+
+    def stamps():
+        return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in (tmp_path / "labels").rglob("part-*")}
+
+    before = stamps()
+    changes = spark.createDataFrame(
+        [("20240102", "f1.jpg", "DENSO", 1), ("20240102", "f1.jpg", "COLAPSO", 2), ("20240104", "f0.jpg", "DENSO", 1),
+         ("20240105", "f0.jpg", "FLUIDO", 1), ("20240109", "f0.jpg", "DENSO", 1)],
+        "fecha string, filename string, estado string, seq int")
+    files.relabel_in_place(spark, root, changes)
+    after = stamps()
+    touched = {"20240102", "20240104"}
+    assert {f for f in before if before[f] == after.get(f)} == {f for f in before if f.split("fecha=")[1][:8] not in touched}
+    assert {f.split("fecha=")[1][:8] for f in set(after) - set(before)} == touched
+    want = {(d, f): s for d, f, s, _, _ in rows} | {("20240102", "f1.jpg"): "COLAPSO", ("20240104", "f0.jpg"): "DENSO"}
+    csv = files.read_labels(spark, f"{root}/csv", "fecha=*/*.csv")
+    lines = files.read_labels_json(spark, f"{root}/json", "fecha=*/*.json", lines=True)
+    for copy in (csv, lines):
+        assert {(r.fecha, r.filename): r.estado for r in copy.collect()} == want
+    files.relabel_in_place(spark, root, changes.limit(0))
+    assert stamps() == after
+
+
+def test_headers_in_any_order_with_quotes_marks_and_more_columns(spark, tmp_path):
+    """Fields are placed by the names of their own file; cells may hold commas, lines may be short or long."""
+    for day, text in (
+        ("20240101", '\ufefffilename,estado,hour\n"a,1.jpg",FLUIDO,5\n\nb.jpg,DENSO\n'),
+        ("20240102", '"estado","note","filename"\nCOLAPSO,"x, y",c.jpg,spare\n'),
+        ("20240103", "filename,estado,hour\n"),
+        ("20240104", ""),
+    ):
+        (tmp_path / day).mkdir()
+        (tmp_path / day / "labels.csv").write_text(text)
+    got = {r.filename: r for r in files.read_labels(spark, str(tmp_path)).collect()}
+    assert {f: (r.estado, r.hour, r.note, r.fecha) for f, r in got.items()} == {
+        "a,1.jpg": ("FLUIDO", "5", None, "20240101"), "b.jpg": ("DENSO", None, None, "20240101"), "c.jpg": ("COLAPSO", None, "x, y", "20240102")}

@@ -6,9 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from vialume.operators import alerts, dedup, windows
+from vialume.operators import alerts, dedup, ml, windows
+from vialume.operators import history as status
 from vialume.sources.events import EVENT_SCHEMA, parse_events, read_event_stream, split_invalid
-from vialume.sources.tables import batch_sink, scan_batches, scan_windows, write_windows, zones_df
+from vialume.sources.tables import batch_sink, live_sink, scan_batches, scan_live, scan_windows, write_windows, zones_df
 from vialume.streaming import jobs
 
 T0 = dt.datetime(2024, 1, 1)
@@ -329,3 +330,37 @@ def test_classified_stream(spark, feed, history, tmp_path):
     rows = {r.event_id: r for r in scan_batches(spark, str(tmp_path / "out")).collect()}
     assert {i: r.estado for i, r in rows.items()} == {m["event_id"]: m["estado"] for m in history}
     assert zones_df(spark).count() == 3
+
+
+def test_live_status_equals_the_batch_after_every_batch(spark, feed, history, tmp_path):
+    out, cp = str(tmp_path / "live"), str(tmp_path / "cp")
+    known = spark.createDataFrame([(c,) for c in (1, 2, 3)], "camera_id long")
+    for i in range(0, 120, 40):
+        feed.add(history[i + 5:i + 40] + history[i:i + 5])
+        jobs.stream_latest_status(feed.events(), out, cp).awaitTermination()
+        got = status.status_rows(scan_live(spark, out), known)
+        want = status.latest_status(batch(spark, history[:i + 40]), known)
+        assert sorted(map(tuple, got.select(*want.columns).drop("roi_counts").collect())) == sorted(map(tuple, want.drop("roi_counts").collect()))
+    assert len(list((tmp_path / "live" / "state").iterdir())) <= 2
+
+
+def test_live_table_applies_a_batch_once_and_keeps_newer_rows(spark, tmp_path):
+    sink, out = live_sink(str(tmp_path / "t"), ["k"], query="q"), str(tmp_path / "t")
+
+    def rows(*values):
+        return spark.createDataFrame(list(values), "k long, s string, at long")
+
+    sink(rows((1, "a", 5), (2, "b", 5)), 0)
+    sink(rows((1, "old", 4), (None, "c", 1)), 1)
+    live_sink(out, ["k"], query="q")(rows((1, "again", 9)), 1)  # a start that repeats batch 1
+    sink(rows((2, "d", 6)), 2)
+    assert sorted(map(tuple, scan_live(spark, out).collect()), key=repr) == [(1, "a", 5), (2, "d", 6), (None, "c", 1)]
+
+
+def test_versions_of_a_model(spark, tmp_path):
+    root = str(tmp_path / "models")
+    assert ml.published_version(spark, root) == 0 and ml.load_version(root, 0) is None
+    rows = spark.createDataFrame([(float(i % 2), "FLUIDO" if i % 2 else "DENSO", 1.0) for i in range(40)], "x double, estado string, sample_weight double")
+    for n in (1, 2):
+        assert ml.publish_model(ml.pipeline(["x"], trees=1, depth=1).fit(rows), root) == n
+    assert ml.published_version(spark, root) == 2 and ml.load_version(root, 2).stages[1].getInputCols() == ["x"]

@@ -166,20 +166,17 @@ def last_state(df: DataFrame, keys: Sequence[str] = ("camera_id",), order: Seque
     return df.groupBy(*keys).agg(F.max_by("estado", F.struct(*order)).alias("estado"))
 
 
-def latest_status(
-    df: DataFrame,
-    cameras: DataFrame | None = None,
-    keys: Sequence[str] = ("camera_id",),
-    order: Sequence[str] = ("ts", "event_id"),
-) -> DataFrame:
-    """Newest snapshot of each camera.
-
-    With ``cameras``, cameras without rows appear as not ready, in free flow. Columns that the
-    detections lack (zone counts, method, confidence) come back null.
-    """
+def newest_snapshots(df: DataFrame, keys: Sequence[str] = ("camera_id",), order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
+    """The newest row of each key as the struct ``s``, and its place in ``order`` as ``at``; for batches and streams."""
     fields = ["vehicle_count", "roi_counts", "estado", "confianza", "metodo", order[0]]
     present = [c for c in fields if c in df.columns]
-    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*present), F.struct(*order)).alias("s"))
+    at = F.struct(*order)
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*present), at).alias("s"), F.max(at).alias("at"))
+
+
+def status_rows(newest: DataFrame, cameras: DataFrame | None = None, keys: Sequence[str] = ("camera_id",)) -> DataFrame:
+    """Status of each camera from its newest snapshot; cameras without one are not ready, in free flow."""
+    present = newest.schema["s"].dataType.names
     if cameras is not None:
         newest = cameras.select(*keys).join(newest, list(keys), "left")
     ready = F.col("s").isNotNull()
@@ -192,6 +189,20 @@ def latest_status(
     return newest.select(*keys, *[c.alias(name) for name, c in out.items()], ready.alias("ready"))
 
 
+def latest_status(
+    df: DataFrame,
+    cameras: DataFrame | None = None,
+    keys: Sequence[str] = ("camera_id",),
+    order: Sequence[str] = ("ts", "event_id"),
+) -> DataFrame:
+    """Newest snapshot of each camera.
+
+    With ``cameras``, cameras without rows appear as not ready, in free flow. Columns that the
+    detections lack (zone counts, method, confidence) come back null.
+    """
+    return status_rows(newest_snapshots(df, keys, order), cameras, keys)
+
+
 def sparkline(
     df: DataFrame,
     n: int = SPARK_BARS,

@@ -15,11 +15,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vialume.config import MASK_POLYGON, PAD_VALUE, TARGET_H, TARGET_W, VISUAL_FEATURES, ZONES, Zone
 from vialume.functions.geometry import in_polygon
+from vialume.session import scratch_path
 
 # Thresholds of the edge detector.
 EDGE_LOW, EDGE_HIGH = 50, 150
@@ -76,6 +78,32 @@ def zone_image_features(frames: DataFrame, keys: Sequence[str] = ("fecha", "file
     return usable.mapInArrow(run, schema)
 
 
+def add_new_features(frames: DataFrame, path: str, md5: str = "md5", image: str = "image", keys: Sequence[str] = ("fecha", "filename")) -> DataFrame:
+    """Append the features of contents that the table at ``path`` lacks, one row for each ``md5``; gives the appended rows.
+
+    Only hashes and keys are compared; pixels are read for the first frame of each new content.
+    """
+    spark = frames.sparkSession
+    names = frames.select(md5, *keys)
+    try:
+        names = names.join(spark.read.parquet(path).select(md5), md5, "left_anti")
+    except AnalysisException:  # no table yet
+        pass
+    first = names.where(F.col(md5).isNotNull()).groupBy(md5).agg(F.min(F.struct(*keys)).alias("k")).select("k.*")
+    done = scratch_path(spark, "features")
+    fresh = zone_image_features(frames.join(first, list(keys), "left_semi"), [md5], image)
+    fresh.dropDuplicates([md5]).write.parquet(done)  # a frame may stand twice
+    rows = spark.read.parquet(done)
+    rows.write.mode("append").parquet(path)
+    return rows
+
+
+def features_of(frames: DataFrame, path: str, md5: str = "md5", keys: Sequence[str] = ("fecha", "filename")) -> DataFrame:
+    """Keys and stored features of frames, by their content; frames whose content has none are left out."""
+    table = frames.sparkSession.read.parquet(path)
+    return frames.select(*keys, md5).join(table, md5).select(*keys, *VISUAL_FEATURES)
+
+
 def _pixels(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     """Height x width x 3 array in blue, green, red order."""
     raw = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)

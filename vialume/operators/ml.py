@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -20,7 +21,6 @@ from vialume.functions.states import threshold_class
 TREES, DEPTH, SEED = 200, 12, 42
 GRID_TREES, GRID_DEPTHS, FOLDS = (100, 200), (8, 12), 5
 TRAIN_SHARE = 0.8
-METRICS = ("accuracy", "weightedPrecision", "weightedRecall", "f1")
 
 FOREST = "randomforest"
 
@@ -153,12 +153,8 @@ def classification_metrics(preds: DataFrame, label: str = "label", prediction: s
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, float]:
-    """The four metrics of a model on a test set."""
-    preds = model.transform(test).persist()
-    try:
-        return {m: MulticlassClassificationEvaluator(metricName=m).evaluate(preds) for m in METRICS}
-    finally:
-        preds.unpersist()
+    """The four metrics of a model on a test set, from its confusion counts."""
+    return classification_metrics(model.transform(test)).first().asDict()
 
 
 def top_features(model: PipelineModel, spark: SparkSession, n: int = 10, names: Sequence[str] = FEATURES) -> DataFrame:
@@ -184,6 +180,28 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def publish_model(model: PipelineModel, root: str) -> int:
+    """Store a model as the next version under ``root``; it counts from the moment its line is written."""
+    spark = SparkSession.active()
+    version = published_version(spark, root) + 1
+    model.write().overwrite().save(f"{root}/version={version}")
+    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("overwrite").json(f"{root}/published/n={version}")
+    return version
+
+
+def published_version(spark: SparkSession, root: str) -> int:
+    """The newest published version; 0 before the first one."""
+    try:
+        return spark.read.schema("version int").json(f"{root}/published").agg(F.max("version")).first()[0] or 0
+    except AnalysisException:  # no such folder
+        return 0
+
+
+def load_version(root: str, version: int) -> PipelineModel | None:
+    """A published model; none for version 0, so that the thresholds answer."""
+    return load_model(f"{root}/version={version}") if version else None
+
+
 def feature_order(model: PipelineModel) -> list[str]:
     return list(model.stages[1].getInputCols())
 

@@ -170,6 +170,28 @@ def labels_from_csv(spark, sf_dir):
     return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in LABEL_FIELDS[:-1]], "vehicle_count", "fecha")
 
 
+_TWO_DAYS = ("20240103", "20240110")
+
+
+@query("A10 C5", f"""WITH {LC}, new AS (SELECT fecha, filename, CASE WHEN fecha IN {_TWO_DAYS} AND hour = '' THEN 'COLAPSO'
+    WHEN fecha IN {_TWO_DAYS} AND minute::INTEGER % 3 = 0 THEN 'DENSO' ELSE estado END AS estado, coalesce(vehicle_count, 0) AS vehicle_count FROM enr)
+  SELECT *, 'csv' AS copy FROM new UNION ALL SELECT *, 'json' AS copy FROM new""")
+def relabel_in_place(spark, sf_dir):
+    """Two days are relabelled where they are stored; the CSV and the JSON copy stay in step."""
+    root = scratch_path(spark, "catalogue")
+    rows = enriched(spark, sf_dir).withColumn("vehicle_count", F.coalesce("vehicle_count", F.lit(0)))
+    files.rewrite_days(rows, root)
+    some = rows.filter(F.col("fecha").isin(*_TWO_DAYS))
+    third = some.filter(F.col("minute").cast("int") % 3 == 0).select("fecha", "filename", F.lit("DENSO").alias("estado"), F.lit(1).alias("seq"))
+    blank = some.filter(F.col("hour") == "").select("fecha", "filename", F.lit("COLAPSO").alias("estado"), F.lit(2).alias("seq"))
+    files.relabel_in_place(spark, root, third.unionByName(blank))
+    csv = files.read_labels(spark, f"{root}/csv", "fecha=*/*.csv").withColumn("copy", F.lit("csv"))
+    lines = files.read_labels_json(spark, f"{root}/json", "fecha=*/*.json", lines=True).withColumn("copy", F.lit("json"))
+    lines = lines.withColumn("vehicle_count", F.col("vehicle_count").cast("int"))
+    columns = ["fecha", "filename", "estado", "vehicle_count", "copy"]
+    return csv.select(*columns).unionByName(lines.select(*columns))
+
+
 @query("A4 A10", f"WITH {LC} SELECT fecha, filename, estado, hour, CAST(vehicle_count AS VARCHAR) AS vehicle_count FROM enr")
 def labels_from_json(spark, sf_dir):
     root = scratch_path(spark, "labels-json")

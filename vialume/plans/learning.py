@@ -120,3 +120,69 @@ def refit_and_score(spark, sf_dir):
     ml.refit(rows, {"trees": ml.TREES, "depth": ml.DEPTH}, path)
     gaps = rows.withColumn(FEATURES[-1], F.when(F.col("event_id") % 5 != 0, F.col(FEATURES[-1])))
     return ml.score(gaps, ml.load_model(path)).select("event_id", "estado", "confianza", "metodo")
+
+
+# ---- what can be said of the fits without repeating them: facts that SQL knows
+
+_SPLIT = """prt AS (SELECT *, CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM det) AS tst FROM det)"""
+
+
+def _small_forest(spark, sf_dir):
+    """A small forest of the rows before the newest day, and the rows of that day."""
+    train, test = ml.temporal_split(_training(spark, sf_dir))
+    return ml.pipeline(trees=20, depth=6).fit(train), test
+
+
+@query("J3 J6 G2 J1", f"""WITH {DET}, {_SPLIT}, o AS (SELECT estado, CAST(row_number() OVER (ORDER BY count(*) DESC, estado) - 1 AS DOUBLE) AS label
+    FROM prt WHERE NOT tst GROUP BY estado)
+  SELECT label, count(*) AS n_rows, true AS mostly_right FROM prt JOIN o USING (estado) WHERE tst GROUP BY label""")
+def forest_facts(spark, sf_dir):
+    """Rows of the newest day by label number. The state follows the count, so the forest gets nine of ten of each label right."""
+    model, test = _small_forest(spark, sf_dir)
+    cells = ml.confusion_matrix(model.transform(test))
+    right = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0))
+    return cells.groupBy("label").agg(F.sum("n").alias("n_rows"), (right >= 0.9 * F.sum("n")).alias("mostly_right"))
+
+
+@query("J3 D5", "SELECT 'accuracy' AS measure, true AS good UNION ALL SELECT 'weightedPrecision', true UNION ALL SELECT 'weightedRecall', true UNION ALL SELECT 'f1', true")
+def forest_measures(spark, sf_dir):
+    """The four measures of the forest on the newest day: all above 0.9 and none above 1."""
+    model, test = _small_forest(spark, sf_dir)
+    found = ml.classification_metrics(model.transform(test))
+    rows = found.select(F.explode(F.create_map(*[x for c in found.columns for x in (F.lit(c), F.col(c))])).alias("measure", "value"))
+    return rows.select("measure", F.col("value").between(0.9, 1.0).alias("good"))
+
+
+@query("J4 J5", """SELECT t AS num_trees, d AS max_depth, true AS plausible, true AS one_best
+  FROM (VALUES (2), (4)) a(t), (VALUES (2), (5)) b(d)""")
+def search_facts(spark, sf_dir):
+    """Every setting of a small search once, its accuracy a share; the best is the one with the highest."""
+    train, _ = ml.temporal_split(_training(spark, sf_dir))
+    report = ml.cv_report(ml.cross_validate(train, trees=(2, 4), depths=(2, 5), folds=2), spark)
+    best = report.agg(F.max("avg_accuracy").alias("top"), F.sum(F.col("is_best").cast("int")).alias("n"))
+    joined = report.join(F.broadcast(best))  # one row
+    one = (F.col("n") == 1) & (~F.col("is_best") | (F.col("avg_accuracy") == F.col("top")))
+    return joined.select("num_trees", "max_depth", F.col("avg_accuracy").between(0.5, 1.0).alias("plausible"), one.alias("one_best"))
+
+
+@query("F4 J6", "SELECT 'vehicle_count' AS feature, true AS first, true AS whole")
+def top_feature_facts(spark, sf_dir):
+    """The count decides the state, so it leads; the shares of all features make one."""
+    model, _ = _small_forest(spark, sf_dir)
+    shares = ml.top_features(model, spark, n=len(FEATURES))
+    whole = shares.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("whole"), F.max("importance").alias("top"))
+    return shares.join(F.broadcast(whole)).where("feature = 'vehicle_count'").select(
+        "feature", (F.col("importance") == F.col("top")).alias("first"), "whole")
+
+
+@query("J7 J8 A11", f"""WITH {DET} SELECT CASE WHEN event_id % 5 = 0 THEN 'umbral' ELSE 'randomforest' END AS metodo, count(*) AS n_rows, true AS mostly_right
+  FROM det GROUP BY ALL""")
+def refit_facts(spark, sf_dir):
+    """Refit, store, load and score: rows with a gap are answered by the thresholds, the others by the stored forest."""
+    path = scratch_path(spark, "model")
+    rows = _training(spark, sf_dir)
+    ml.refit(rows, {"trees": 20, "depth": 6}, path)
+    gaps = rows.withColumn(FEATURES[-1], F.when(F.col("event_id") % 5 != 0, F.col(FEATURES[-1]))).withColumn("known", F.col("estado"))
+    scored = ml.score(gaps, ml.load_model(path))
+    right = F.avg((F.col("known") == F.col("estado")).cast("double"))
+    return scored.groupBy("metodo").agg(F.count(F.lit(1)).alias("n_rows"), (right >= 0.9).alias("mostly_right"))

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vialume.config import VISUAL_FEATURES
-from vialume.operators import ml
+from vialume.config import FEATURES, VISUAL_FEATURES
+from vialume.operators import history, ml
 from vialume.operators.alerts import alert_lengths
 from vialume.plans.registry import query
 from vialume.plans.standins import (
     CAMERA_FRAMES, DET, SCORE, WINDOW_COLUMNS, camera_frames, detections, feature_rows, raw_counts, stream_table, windows_sql,
 )
-from vialume.plans.traffic import EPISODES, LONG, RECENT, STARTS, STEP
+from vialume.plans.traffic import EPISODES, LATEST, LONG, RECENT, STARTS, STATUS, STEP, known_cameras
 from vialume.session import scratch_path
 from vialume.sources.events import parse_events, read_event_stream, split_invalid
-from vialume.sources.tables import batch_sink, scan_batches, scan_windows, write_windows
+from vialume.sources.tables import batch_sink, scan_batches, scan_live, scan_windows, write_windows
 from vialume.streaming import jobs
 
 _CLOSED = "window_end <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM det)"
@@ -233,3 +233,46 @@ def stream_windows_to_the_end(spark, sf_dir):
         jobs.stream_windows(jobs.with_end(events, f"{root}/end"), f"{root}/table", f"{root}/checkpoint", LONG, STEP).awaitTermination()
         jobs.end_feed(events, f"{root}/end")
     return scan_windows(spark, f"{root}/table")
+
+
+# ---- live status, and a model that changes while the stream runs
+
+@query("A14", LATEST)
+def stream_latest_status(spark, sf_dir):
+    """The table of the newest snapshots after the last micro-batch."""
+    root = scratch_path(spark, "status")
+    events = jobs.classify_events(event_stream(spark, sf_dir)).drop("confianza", "metodo")
+    jobs.stream_latest_status(events, f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return history.status_rows(scan_live(spark, f"{root}/table"), known_cameras(spark, sf_dir)).select(*STATUS)
+
+
+def _certain(spark, sf_dir, state):
+    """A forest of one leaf: features without any difference, and states of which two in three are ``state``."""
+    other = "FLUIDO" if state != "FLUIDO" else "DENSO"
+    same = [F.lit(0.0).alias(name) for name in FEATURES]
+    rows = detections(spark, sf_dir).select(*same, F.when(F.col("event_id") % 3 == 0, other).otherwise(state).alias("estado"), F.lit(1.0).alias("sample_weight"))
+    return ml.pipeline(trees=1, depth=1).fit(rows)
+
+
+_HALF = "half AS (SELECT make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2) AS mid FROM det)"
+
+
+@query("I6 A11 J8", f"""WITH {DET}, {RECENT}, {_HALF}, sw AS (SELECT max(ts) - INTERVAL 1 MINUTE AS until FROM det WHERE ts <= (SELECT mid FROM half))
+  SELECT camera_id, window_end, n_samples, CASE WHEN window_end <= (SELECT until FROM sw) THEN 'DENSO' ELSE 'COLAPSO' END AS estado_modelo,
+    CASE WHEN window_end <= (SELECT until FROM sw) THEN 1 ELSE 2 END AS modelo_version FROM win WHERE {_CLOSED}""")
+def stream_model_versions(spark, sf_dir):
+    """The first half of the events is scored by one model, the rest by one that is published in between."""
+    root = scratch_path(spark, "versions")
+    counts = raw_counts(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = counts.agg(F.min(us), F.max(us)).first()
+    first = us <= F.lit(((low or 0) + (high or 0)) // 2)
+    feed, finish = None, jobs.versioned_scorer(f"{root}/model")
+    for half, state in ((first, "DENSO"), (~first, "COLAPSO")):
+        ml.publish_model(_certain(spark, sf_dir, state), f"{root}/model")
+        counts.where(half).write.mode("append").parquet(f"{root}/in")
+        feed = feed or spark.readStream.schema(counts.schema).parquet(f"{root}/in")
+        events = jobs.classify_events(feed).withColumn("is_rush_hour", F.col("is_rush_hour").cast("int"))
+        events = events.withColumns({name: F.lit(0.0) for name in VISUAL_FEATURES})
+        jobs.stream_windows(events, f"{root}/table", f"{root}/checkpoint", LONG, STEP, last_sample=FEATURES, finish=finish).awaitTermination()
+    return scan_batches(spark, f"{root}/table").select("camera_id", "window_end", "n_samples", "estado_modelo", "modelo_version")

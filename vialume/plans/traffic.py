@@ -184,14 +184,20 @@ def last_state(spark, sf_dir):
     return history.last_state(detections(spark, sf_dir))
 
 
-@query("A14", f"""WITH {DET}, n AS (SELECT * FROM det QUALIFY row_number() OVER (PARTITION BY camera_id ORDER BY ts DESC, event_id DESC) = 1),
+LATEST = f"""WITH {DET}, n AS (SELECT * FROM det QUALIFY row_number() OVER (PARTITION BY camera_id ORDER BY ts DESC, event_id DESC) = 1),
   cams AS (SELECT DISTINCT user_id % 6 AS camera_id FROM events)
   SELECT cams.camera_id, n.vehicle_count, coalesce(n.estado, 'FLUIDO') AS estado, 'umbral' AS metodo, n.ts, n.camera_id IS NOT NULL AS ready
-  FROM cams LEFT JOIN n ON n.camera_id = cams.camera_id""")
+  FROM cams LEFT JOIN n ON n.camera_id = cams.camera_id"""
+STATUS = ["camera_id", "vehicle_count", "estado", "metodo", "ts", "ready"]
+
+
+def known_cameras(spark, sf_dir):
+    return table(spark, sf_dir, "events").select((F.col("user_id") % 6).alias("camera_id")).distinct()
+
+
+@query("A14", LATEST)
 def latest_status(spark, sf_dir):
-    cameras = table(spark, sf_dir, "events").select((F.col("user_id") % 6).alias("camera_id")).distinct()
-    status = history.latest_status(detections(spark, sf_dir), cameras)
-    return status.select("camera_id", "vehicle_count", "estado", "metodo", "ts", "ready")
+    return history.latest_status(detections(spark, sf_dir), known_cameras(spark, sf_dir)).select(*STATUS)
 
 
 # ---- windows

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from vialume.config import MASK_POLYGON, ZONES
 from vialume.functions.geometry import adapt_polygon, adapt_zone, letterbox_params, overlap_ratio, rect, zone_rect
 from vialume.operators import boxes as ops
-from vialume.operators.imaging import pixel_zone_stats, zone_image_features
+from vialume.operators.imaging import add_new_features, features_of, pixel_zone_stats, zone_image_features
 from vialume.operators.nms import nms
 from vialume.plans.registry import query
 from vialume.plans.standins import (
     BOXES, CENTER_IN, CROWDED, DENSE, EDGES_SQL, RATIO, ZONES_SQL, box_frames, boxes, crowded_boxes, dense_boxes, frames, table,
 )
+from vialume.session import scratch_path
+from vialume.sources.tables import zones_df
 
 VEHICLE = "cls IN (2, 3, 5, 7)"
 NAMES = [z.name for z in ZONES]
@@ -93,6 +95,17 @@ def adapted_polygon(spark, sf_dir):
 
 # ---- zones
 
+@query("A12 D9", f"WITH {BOXES}, {ZONES_SQL} SELECT ord, zone, count(frame_id) AS n_boxes FROM zones LEFT JOIN boxes ON {CENTER_IN} GROUP BY ord, zone")
+def zone_table_counts(spark, sf_dir):
+    """Boxes of each zone of the zone table, which has a row for each zone."""
+    zones = zones_df(spark)
+    centre = (F.col("x1") + F.col("x2")) / 2, (F.col("y1") + F.col("y2")) / 2
+    found = boxes(spark, sf_dir).select(centre[0].alias("cx"), centre[1].alias("cy"))
+    inside = F.col("cx").between(F.col("z.x1"), F.col("z.x2")) & F.col("cy").between(F.col("z.y1"), F.col("z.y2"))
+    hits = found.join(F.broadcast(zones.alias("z")), inside).groupBy("zone").agg(F.count(F.lit(1)).alias("n"))
+    return zones.join(hits, "zone", "left").select("ord", "zone", F.coalesce("n", F.lit(0)).alias("n_boxes"))
+
+
 @query("C6", f"WITH {BOXES}, {ZONES_SQL} SELECT frame_id, box_id, zone FROM boxes JOIN zones ON {CENTER_IN}")
 def boxes_in_zones(spark, sf_dir):
     return ops.boxes_in_zones(boxes(spark, sf_dir)).select("frame_id", "box_id", "zone")
@@ -266,16 +279,46 @@ def pixel_stats(spark, sf_dir):
     return stats.select("frame_id", "zone", *[F.round(c, 6).alias(c) for c in stats.columns[2:]])
 
 
-@query("D13 J9")
-def image_features(spark, sf_dir):
-    """Features of small pictures painted from the embeddings, eight by eight pixels."""
-    shade = F.transform("embedding", lambda x: F.floor(F.abs(x) * 1000).cast("int") % 256)
+PICTURES_IN_A_TASK = 128
+
+
+def spread_pictures(rows):
+    """A picture takes long for its few bytes, so the rows are dealt to more tasks than their size asks for."""
+    return rows.repartition(max(1, -(-rows.count() // PICTURES_IN_A_TASK)))
+
+
+def painted(embedding="embedding"):
+    """A small picture, eight by eight pixels."""
+    shade = F.transform(embedding, lambda x: F.floor(F.abs(x) * 1000).cast("int") % 256)
     two_digits = F.transform(shade, lambda v: F.lpad(F.hex(v), 2, "0"))
     bgr = F.transform(two_digits, lambda t: F.concat(t, F.reverse(t), F.lit("80")))
-    image = F.struct(
+    return F.struct(
         F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(3).alias("nChannels"), F.unhex(F.array_join(bgr, "")).alias("data")
     )
-    # A picture takes long for its few bytes, so the rows are spread over all cores first.
-    spread = table(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism)
-    frames = spread.select(F.col("vec_id").alias("frame_id"), image.alias("image"))
+
+
+SHADES = "list_transform(embedding, lambda x: CAST(floor(abs(x) * 1000::FLOAT) AS INTEGER) % 256)"
+
+
+@query("J9 E2", f"""WITH pic AS (SELECT vec_id, {SHADES} AS p FROM embeddings), early AS (SELECT DISTINCT p FROM pic WHERE vec_id % 3 = 0)
+  SELECT 1 AS run, (SELECT count(*) FROM early) AS n_computed, (SELECT count(*) FROM pic WHERE vec_id % 3 = 0) AS n_frames
+  UNION ALL SELECT 2, (SELECT count(DISTINCT p) FROM pic) - (SELECT count(*) FROM early), (SELECT count(*) FROM pic) UNION ALL SELECT 3, 0, (SELECT count(*) FROM pic)""")
+def features_by_content(spark, sf_dir):
+    """A third of the frames, then all, then all again: only contents that were not seen are computed."""
+    frames = spread_pictures(table(spark, sf_dir, "embeddings")).select(F.lit("d").alias("fecha"), F.col("vec_id").alias("filename"), painted().alias("image"))
+    path = scratch_path(spark, "pictures")
+    frames.withColumn("md5", F.md5("image.data")).write.parquet(f"{path}/frames")
+    frames = spark.read.parquet(f"{path}/frames")
+    out = []
+    for run, rows in enumerate((frames.where("filename % 3 = 0"), frames, frames), 1):
+        n = add_new_features(rows, f"{path}/features").count()
+        out.append((run, n, features_of(rows, f"{path}/features").count()))
+    return spark.createDataFrame(out, "run int, n_computed long, n_frames long")
+
+
+@query("D13 J9")
+def image_features(spark, sf_dir):
+    """Features of small pictures painted from the embeddings."""
+    image = painted()
+    frames = spread_pictures(table(spark, sf_dir, "embeddings")).select(F.col("vec_id").alias("frame_id"), image.alias("image"))
     return zone_image_features(frames, ["frame_id"])

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vialume.config import LABEL_FIELDS
-from vialume.operators.catalog import union_days
+from vialume.operators.catalog import apply_relabels
+from vialume.session import scratch_path
 
 # Layout of the folders.
 DAY_PATTERN = r"/(?:fecha=)?(\d{8})/"
@@ -21,37 +22,45 @@ def _day() -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), DAY_PATTERN, 1)
 
 
-def _header_variants(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Header line -> files that start with it. One short line per file reaches the driver; the
-    number of files is that of the label files of the days."""
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with content, and the file that each comes from."""
     lines = spark.read.text(path).select(
-        "value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")
-    )
-    first = lines.filter((F.col("file_block_start") == 0) & (F.trim("value") != "")).groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
-    grouped = first.groupBy("header").agg(F.collect_list("file_path").alias("files"))
-    return {row["header"].lstrip("﻿"): row["files"] for row in grouped.toLocalIterator()}
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    return lines.filter(F.trim("value") != "")
+
+
+def _cells(value: Column | str, n: int) -> Column:
+    """The fields of a line as an array of ``n`` texts; missing ones are null."""
+    names = [f"c{i}" for i in range(n)]
+    parsed = F.from_csv(value, ", ".join(f"{c} string" for c in names))
+    return F.array(*[parsed[c] for c in names])
 
 
 def read_labels(spark: SparkSession, root: str, pattern: str = "*/labels.csv") -> DataFrame:
     """All label rows as text, with ``fecha``; ``vehicle_count`` is an int, 0 where a day lacks it.
 
-    Files with unlike headers are read apart and joined by column name. Read in one go, Spark
-    would take one header for all files and fill the others by position.
+    Files may have unlike headers: every line is joined to the header of its own file, and its fields are placed by name.
+    Only the headers that differ reach the driver, one line each, never the files. A null field stays null.
     """
-    days = []
-    for header, files in sorted(_header_variants(spark, f"{root}/{pattern}").items()):
-        names = [h.strip().strip('"') for h in header.split(",")]
-        if missing := {"filename", "estado"} - set(names):
-            raise ValueError(f"label files without {sorted(missing)}, such as {files[0]}")
-        schema = ", ".join(f"`{n}` string" for n in names)
-        days.append(spark.read.schema(schema).csv(files, header=True).withColumn("fecha", _day()))
-    if not days:
+    lines = _lines(spark, f"{root}/{pattern}")
+    headers = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    unlike = headers.groupBy("header").agg(F.min("file").alias("sample")).collect()
+    if not unlike:
         return spark.createDataFrame([], LABEL_SCHEMA.replace("vehicle_count string", "vehicle_count int") + ", fecha string")
-    rows = union_days(days)
-    known = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in LABEL_FIELDS}
-    known["vehicle_count"] = F.coalesce(known["vehicle_count"].try_cast("int"), F.lit(0))
-    others = [c for c in rows.columns if c not in known]
-    return rows.select(*[col.alias(c) for c, col in known.items()], *others)
+    found: dict[str, list[str]] = {}
+    for header, sample in unlike:
+        names = [n.strip().strip('"') for n in header.lstrip("\ufeff").split(",")]
+        if missing := {"filename", "estado"} - set(names):
+            raise ValueError(f"label files without {sorted(missing)}, such as {sample}")
+        found[header] = names
+    others = sorted({n for names in found.values() for n in names} - set(LABEL_FIELDS))
+    places = {header: {n: i for i, n in reversed(list(enumerate(names)))} for header, names in found.items()}
+    named = spark.createDataFrame([(h, [places[h].get(n, -1) for n in (*LABEL_FIELDS, *others)]) for h in found], "header string, places array<int>")
+    rows = lines.select("value", "file").join(headers, "file").join(F.broadcast(named), "header").filter(F.col("value") != F.col("header"))
+    cells = rows.select(_cells("value", max(map(len, found.values()))).alias("cells"), "places", F.regexp_extract("file", DAY_PATTERN, 1).alias("fecha"))
+    fields = {n: F.get("cells", F.get("places", F.lit(i))) for i, n in enumerate((*LABEL_FIELDS, *others))}
+    fields["vehicle_count"] = F.coalesce(fields["vehicle_count"].try_cast("int"), F.lit(0))
+    return cells.select(*[fields[n].alias(n) for n in LABEL_FIELDS], *([] if "fecha" in others else ["fecha"]), *[fields[n].alias(n) for n in others])
 
 
 def write_labels(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:
@@ -64,6 +73,33 @@ def write_labels(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errori
     writer.csv(path, header=True) if fmt == "csv" else writer.json(path)
 
 
+def rewrite_days(labels: DataFrame, root: str) -> None:
+    """Replace the days of ``labels`` in the two copies under ``root``, ``csv`` and ``json``; other days are not touched.
+
+    Each copy is written aside and its days are swapped in by rename at the end. Both come from the same stored rows,
+    so a run that stopped between them is mended by running it again.
+    """
+    rows = labels.select("fecha", *LABEL_FIELDS).hint("rebalance", "fecha")
+    for fmt in ("json", "csv"):
+        writer = rows.write.partitionBy("fecha").mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.json(f"{root}/json") if fmt == "json" else writer.csv(f"{root}/csv", header=True)
+
+
+def relabel_in_place(spark: SparkSession, root: str, changes: DataFrame, order: str = "seq") -> None:
+    """Apply new states to the label tables under ``root``: only days in which a state changes are written again.
+
+    ``changes`` has fecha, filename, estado and an order; of several changes to a file the last one wins.
+    """
+    old = read_labels(spark, f"{root}/csv", "fecha=*/*.csv")
+    new = apply_relabels(old.withColumn("__was", F.col("estado")), changes, order)
+    days = [r[0] for r in new.filter(~F.col("estado").eqNullSafe(F.col("__was"))).select("fecha").distinct().collect()]  # bounded by the calendar
+    if not days:
+        return
+    path = scratch_path(spark, "relabelled")  # the tables cannot be overwritten while they are read
+    new.filter(F.col("fecha").isin(days)).select("fecha", *LABEL_FIELDS).write.parquet(path)
+    rewrite_days(spark.read.parquet(path), root)
+
+
 def read_counts(spark: SparkSession, root: str, pattern: str = "*/yolo/counts.json", lines: bool = False) -> DataFrame:
     """(fecha, filename, vehicle_count) of count maps; one JSON object per file, or per line."""
     text = spark.read.text(f"{root}/{pattern}", wholetext=not lines).select("value", _day().alias("fecha"))

@@ -9,12 +9,13 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vialume.config import Zone, ZONES
 from vialume.operators.history import as_day, same_type
+from vialume.session import remove_path
 
 _DAY = "stored_day"
 _MANIFEST = "query string, batch long, folder string, dated boolean, days array<string>, fields string"
@@ -123,6 +124,50 @@ def scan_windows(spark: SparkSession, path: str, since: dt.datetime | None = Non
     return df.filter(F.col("window_end") >= same_type(df, "window_end", since))
 
 
+_POINTER = "seq long, writer string, batch long, folder string"
+
+
+def live_sink(path: str, keys: Sequence[str], newer: str = "at", query: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that keeps one row for each key: rows of a batch replace older ones by ``newer``.
+
+    The table is written anew beside the old one and then taken over by a line that names it, so a reader sees the state
+    after one batch or after the next. A batch that was taken over is not applied again. The last two states are kept.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        writer = query or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        known = _pointers(spark, path)
+        if any((r["writer"], r["batch"]) == (writer, batch_id) for r in known):
+            return
+        rows = batch if not known else batch.unionByName(spark.read.parquet(f"{path}/{known[-1]['folder']}"))
+        others = [c for c in batch.columns if c not in (*keys, newer)]
+        best = rows.groupBy(*keys).agg(F.max_by(F.struct(newer, *others), newer).alias("r")).select(*keys, "r.*")
+        folder = f"state/{uuid.uuid4().hex}"
+        best.select(*batch.columns).write.parquet(f"{path}/{folder}")
+        seq = known[-1]["seq"] + 1 if known else 0
+        line = spark.createDataFrame([(seq, writer, batch_id, folder)], _POINTER).coalesce(1)
+        line.write.mode("overwrite").json(f"{path}/pointer/n={seq}")
+        for old in known[:-1]:
+            remove_path(spark, f"{path}/{old['folder']}")
+            if old["writer"] != writer or old["batch"] < batch_id - 1:
+                remove_path(spark, f"{path}/pointer/n={old['seq']}")
+
+    return write
+
+
+def _pointers(spark: SparkSession, path: str) -> list[Row]:
+    try:
+        return spark.read.schema(_POINTER).json(f"{path}/pointer").orderBy("seq").collect()  # a few lines
+    except AnalysisException:  # no such folder
+        return []
+
+
+def scan_live(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the newest state that :func:`live_sink` took over."""
+    return spark.read.parquet(f"{path}/{_pointers(spark, path)[-1]['folder']}")
+
+
 def zones_df(spark: SparkSession, zones: Sequence[Zone] = ZONES) -> DataFrame:
     """The zones as a table of a few rows."""
     return spark.createDataFrame(list(zones), "ord int, zone string, x1 int, y1 int, x2 int, y2 int")

@@ -21,9 +21,10 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from vialume.config import COLAPSO, COLAPSO_FIN, COLAPSO_INICIO, SLIDE_SECONDS, WINDOW_SECONDS
 from vialume.functions.calendar import epoch_us, is_peak_hour, with_calendar
 from vialume.functions.states import congestion_score, dominant_state, state_counts, threshold_class
-from vialume.operators.ml import score
+from vialume.operators.history import newest_snapshots
+from vialume.operators.ml import load_version, published_version, score
 from vialume.operators.windows import N_STATES, merged_columns, pane_seconds, sample_columns, window_columns
-from vialume.sources.tables import batch_sink, write_alerts, write_windows
+from vialume.sources.tables import batch_sink, live_sink, write_alerts, write_windows
 
 SAMPLE_SECONDS = 1
 CHANGE_SECONDS = 5
@@ -234,6 +235,23 @@ def score_last(windows: DataFrame, model: PipelineModel | None, count: str = "ve
     return scored.select(*columns, F.col("estado").alias("estado_modelo"))
 
 
+def versioned_scorer(root: str, count: str = "vehicle_count") -> Callable[[DataFrame], DataFrame]:
+    """A ``finish`` function for :func:`stream_windows`: :func:`score_last` with the published model, and its ``modelo_version``.
+
+    The version is read for every micro-batch, so a model published meanwhile answers from the next one on without a restart.
+    """
+    held: dict[int, PipelineModel] = {}
+
+    def finish(rows: DataFrame) -> DataFrame:
+        version = published_version(rows.sparkSession, root)
+        if version not in held:
+            held.clear()
+            held[version] = load_version(root, version)
+        return score_last(rows, held[version], count).withColumn("modelo_version", F.lit(version))
+
+    return finish
+
+
 def classify_events(counts: DataFrame, ts: str = "ts", tz: str | None = None) -> DataFrame:
     """Detections of raw counts: calendar, hour features, state, confidence and method.
 
@@ -253,11 +271,12 @@ def start_stream(
     sink: Callable[[DataFrame, int], None],
     checkpoint: str,
     every: str | None = f"{SLIDE_SECONDS} seconds",
+    mode: str = "append",
 ) -> StreamingQuery:
     """Run ``sink`` on every micro-batch, each ``every``; ``None`` takes what is there and stops."""
     writer = df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.outputMode("append").trigger(**trigger).start()
+    return writer.outputMode(mode).trigger(**trigger).start()
 
 
 def start_keyed_stream(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, every: str | None) -> StreamingQuery:
@@ -279,6 +298,22 @@ def classify_stream(counts: DataFrame, path: str, checkpoint: str, every: str |
     return start_stream(classify_events(counts), batch_sink(path, "ts"), checkpoint, every)
 
 
+def stream_latest_status(
+    detections: DataFrame,
+    path: str,
+    checkpoint: str,
+    keys: Sequence[str] = ("camera_id",),
+    order: Sequence[str] = ("ts", "event_id"),
+    every: str | None = None,
+) -> StreamingQuery:
+    """Keep the newest snapshot of each camera in a table; :func:`vialume.operators.history.status_rows` reads it as a status.
+
+    Spark's state and the table hold one row for each camera. A batch hands on only the cameras it changes.
+    """
+    newest = newest_snapshots(detections, keys, order)
+    return start_stream(newest, live_sink(path, keys), checkpoint, every, "update")
+
+
 class MarksThatChange(StatefulProcessor):
     """Rows whose mark differs from that of the row before, which may lie in an earlier micro-batch."""
 
