@@ -89,13 +89,12 @@ def trailing_mean(
     The first and last ``n - 1`` rows of a slice are its edges: the rows before one of its first
     rows are edges of this slice or of those before, without a gap.
     """
-    inside = Window.partitionBy(*keys, SLICE)
-    ahead, back = inside.orderBy(*order), inside.orderBy(*[F.desc(c) for c in order])
+    ahead = Window.partitionBy(*keys, SLICE).orderBy(*order)
     rows = with_slice(df, order[0], seconds).withColumns({
         out: F.avg(value).over(ahead.rowsBetween(1 - n, 0)),
         "__rank": F.row_number().over(ahead),
-        "__back": F.row_number().over(back),
+        "__end": F.lead(F.lit(1), n - 1).over(ahead).isNull(),
     })
-    edge = (F.col("__rank") < n) | (F.col("__back") < n)
+    edge = (F.col("__rank") < n) | F.col("__end")
     carried = F.avg(value).over(_across(keys, edge, [*map(F.asc, order), F.asc("__rank")]).rowsBetween(1 - n, 0))
     return rows.withColumn(out, F.when(F.col("__rank") < n, carried).otherwise(F.col(out))).select(*df.columns, out)

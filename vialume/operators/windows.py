@@ -73,18 +73,14 @@ def pane_partials(
         *[F.max_by("row", at).alias("newest"), F.max(at).alias("newest_at")] * bool(newest),
     )
 
-    # Each row twice, once with the order reversed, so that one ranking finds both ends.
-    sided = slim.select(
-        *group, "us", "tie", "vehicle_count", F.explode(F.array(F.lit(1), F.lit(-1))).alias("side")
-    )
-    near = Window.partitionBy(*group, "side").orderBy(F.col("us") * F.col("side"), F.col("tie") * F.col("side"))
-    outer = sided.withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= TREND_SAMPLES)
+    # A limit for each end; both are applied before the shuffle.
     sample = F.struct("us", "tie", "vehicle_count")
-    ends = outer.select(
-        *group,
-        F.array(F.when(F.col("side") == 1, sample)).alias("first"),
-        F.array(F.when(F.col("side") == -1, sample)).alias("last"),
-    )
+    ends = None
+    for name, sort in (("first", F.asc), ("last", F.desc)):
+        near = Window.partitionBy(*group).orderBy(sort("us"), sort("tie"))
+        outer = slim.select(*group, "us", "tie", "vehicle_count").withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= TREND_SAMPLES)
+        outer = outer.select(*group, F.array(sample).alias(name))
+        ends = outer if ends is None else ends.unionByName(outer, allowMissingColumns=True)
     return merge_partials(totals.unionByName(ends, allowMissingColumns=True), keys)
 
 

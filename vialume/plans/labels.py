@@ -9,6 +9,7 @@ from vialume.operators import catalog, dedup, history, ml
 from vialume.plans import standins as s
 from vialume.plans.registry import query
 from vialume.session import scratch_path
+from vialume.sources import frames as frames_of
 from vialume.sources import labels as files
 
 LC = f"{s.LABELS}, {s.COUNTS}, {s.ENRICHED}"
@@ -215,3 +216,18 @@ def parse_frame_meta(spark, sf_dir):
     broken = F.concat(F.lit("{"), text, F.lit("x"))
     texts = s.meta(spark, sf_dir).select("stem", F.when(F.col("minute") % 9 == 0, broken).otherwise(text).alias("value"))
     return files.parse_meta(texts).select("stem", "timestamp", "hour", "weekday_name", "is_rush_hour")
+
+
+@query("A5", f"""WITH {s.FRAMES} SELECT fra.fecha, fra.filename, md5(coalesce(text, '') || chr(10)) AS md5, fra.filename IN (SELECT filename FROM fra WHERE doc_id % 2 = 0) AS even
+  FROM fra JOIN documents USING (doc_id)""")
+def frame_files(spark, sf_dir):
+    """Frames as files in day folders: found by name, and read for their hash."""
+    root = scratch_path(spark, "frames")
+    rows = s.frames(spark, sf_dir).join(s.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("value")), "doc_id")
+    rows = rows.withColumn("file", F.regexp_replace("filename", r"\.jpg$", ""))
+    rows.select("fecha", "file", "value").repartition("fecha").write.partitionBy("fecha", "file").text(root)
+    read = frames_of.read_frames(spark, root, pattern="fecha=*/file=*", glob="*.txt", name=r"file=([^/]+)/")
+    found = read.select("fecha", F.concat("filename", F.lit(".jpg")).alias("filename"), F.md5("content").alias("md5"))
+    listed = frames_of.list_frames(spark, root, "fecha=*/file=*", "*.txt", r"file=([^/]+)/").select(F.concat("filename", F.lit(".jpg")).alias("filename"))
+    even = listed.where(F.regexp_extract("filename", r"(\d)\.jpg$", 1).cast("int") % 2 == 0).withColumn("even", F.lit(True))
+    return found.join(even, "filename", "left").select("fecha", "filename", "md5", F.coalesce("even", F.lit(False)).alias("even"))

@@ -322,3 +322,32 @@ def image_features(spark, sf_dir):
     image = painted()
     frames = spread_pictures(table(spark, sf_dir, "embeddings")).select(F.col("vec_id").alias("frame_id"), image.alias("image"))
     return zone_image_features(frames, ["frame_id"])
+
+
+@query("D13", """WITH c AS (SELECT vec_id AS frame_id, CAST(floor(abs(embedding[1]) * 1000::FLOAT) AS INTEGER) % 256 AS b,
+    CAST(floor(abs(embedding[2]) * 1000::FLOAT) AS INTEGER) % 256 AS g, CAST(floor(abs(embedding[3]) * 1000::FLOAT) AS INTEGER) % 256 AS r FROM embeddings),
+  m AS (SELECT frame_id, greatest(b, g, r) AS v, least(b, g, r) AS l FROM c)
+  SELECT frame_id, v, CAST(round_even(255.0 * (v - l) / greatest(v, 1), 0) AS INTEGER) AS s, true AS even FROM m""")
+def uniform_pictures(spark, sf_dir):
+    """Pictures of one colour: brightness and saturation are the colour's in every zone, nothing spreads and there is no edge.
+
+    A zone's mean divides by its pixels plus one, so the two are compared through their ratio to a white one.
+    """
+    shade = F.transform(F.slice("embedding", 1, 3), lambda x: F.floor(F.abs(x) * 1000).cast("int") % 256)
+    pixel = F.array_join(F.transform(shade, lambda v: F.lpad(F.hex(v), 2, "0")), "")
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("frame_id"), pixel.alias("pixel"))
+    one = rows.limit(1).select(F.lit(-1).cast("long").alias("frame_id"), F.lit("FFFFFF").alias("pixel"))  # white, to know the share of each zone
+    image = F.struct(F.lit(36).alias("height"), F.lit(64).alias("width"), F.lit(3).alias("nChannels"), F.unhex(F.repeat("pixel", 36 * 64)).alias("data"))
+    found = zone_image_features(spread_pictures(rows.unionByName(one)).select("frame_id", image.alias("image")), ["frame_id"])
+    bright = [c for c in found.columns if c.endswith("brightness_mean")]
+    white = found.where("frame_id = -1").select(*[(F.col(c) / 255).alias(f"w_{c}") for c in bright])
+    near = found.where("frame_id >= 0").join(F.broadcast(white))  # one row
+    zones = {c: c.removesuffix("brightness_mean") for c in bright}
+    flat = [F.col(f"{z}{m}") == 0 for z in zones.values() for m in ("brightness_std", "edge_density", "gray_contrast")]
+    values = [F.round(F.col(c) / F.col(f"w_{c}")).cast("int") for c in bright]
+    shades = [F.round(F.col(f"{z}saturation_mean") / F.col(f"w_{c}")).cast("int") for c, z in zones.items()]
+    same = [x == y[0] for y in (values, shades) for x in y[1:]]
+    even = flat[0]
+    for fact in (*flat[1:], *same):
+        even = even & fact
+    return near.select("frame_id", values[0].alias("v"), shades[0].alias("s"), even.alias("even"))

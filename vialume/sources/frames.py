@@ -8,27 +8,31 @@ from pyspark.sql import functions as F
 from vialume.sources.labels import DAY_PATTERN
 
 
-def _named(df: DataFrame, path: str) -> DataFrame:
+#: The name of a frame is the last part of its path.
+NAME = r"([^/]+)$"
+
+
+def _named(df: DataFrame, path: str, name: str) -> DataFrame:
     return df.withColumns({
         "fecha": F.regexp_extract(path, DAY_PATTERN, 1),
-        "filename": F.regexp_extract(path, r"([^/]+)$", 1),
+        "filename": F.regexp_extract(path, name, 1),
     })
 
 
-def read_frames(spark: SparkSession, root: str, decode: bool = False, pattern: str = "*/frames", glob: str = "*.jpg") -> DataFrame:
+def read_frames(spark: SparkSession, root: str, decode: bool = False, pattern: str = "*/frames", glob: str = "*.jpg", name: str = NAME) -> DataFrame:
     """Frames of all day folders.
 
     Without ``decode``: (fecha, filename, content). With it: (fecha, filename, image), where
-    ``image`` holds height, width, channels and the pixels; unreadable files are left out.
+    ``image`` holds height, width, channels and the pixels; unreadable files are left out. ``name`` finds the name in a path.
     """
     where = f"{root}/{pattern}"
     if not decode:
         files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(where)
-        return _named(files, "path").select("fecha", "filename", "content")
+        return _named(files, "path", name).select("fecha", "filename", "content")
     images = spark.read.format("image").option("dropInvalid", True).option("pathGlobFilter", glob).load(where)
-    return _named(images, "image.origin").select("fecha", "filename", "image")
+    return _named(images, "image.origin", name).select("fecha", "filename", "image")
 
 
-def list_frames(spark: SparkSession, root: str, pattern: str = "*/frames", glob: str = "*.jpg") -> DataFrame:
+def list_frames(spark: SparkSession, root: str, pattern: str = "*/frames", glob: str = "*.jpg", name: str = NAME) -> DataFrame:
     """(fecha, filename) of all frames; the contents are not read."""
-    return read_frames(spark, root, False, pattern, glob).select("fecha", "filename")
+    return read_frames(spark, root, False, pattern, glob, name).select("fecha", "filename")

@@ -26,7 +26,7 @@ from vialume.operators.ml import load_version, published_version, score
 from vialume.operators.windows import N_STATES, merged_columns, pane_seconds, sample_columns, window_columns
 from vialume.sources.tables import batch_sink, live_sink, write_alerts, write_windows
 
-SAMPLE_SECONDS = 1
+SAMPLE_SECONDS = 30
 CHANGE_SECONDS = 5
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -86,14 +86,17 @@ def closed_windows(
 ) -> DataFrame:
     """Full window rows of a stream, in append mode, each once when the watermark has passed its end.
 
-    Seconds are closed first, then panes, then windows. Each holds sums and six samples, however
-    many rows it has. ``last_sample`` names columns of the newest row, carried in struct ``newest``.
+    Spans of some seconds that tile a pane are closed first, then panes, if these are longer, then windows. Each holds sums and
+    six samples, however many rows it has; a span is given what one camera sends in ``SAMPLE_SECONDS``
+    at most. ``last_sample`` names columns of the newest row, carried in struct ``newest``.
     """
+    pane = pane_seconds(duration, slide)
+    span = max(s for s in range(1, SAMPLE_SECONDS + 1) if pane % s == 0)
     ts, tie = order
     extra = bool(last_sample)
     at = F.struct(epoch_us(ts).alias("us"), F.col(tie).cast("long").alias("tie"))
     sample = F.struct(at["us"].alias("us"), at["tie"].alias("tie"), "vehicle_count")
-    seconds = with_event_time(events, ts, delay).groupBy("camera_id", F.window(ts, f"{SAMPLE_SECONDS} seconds").alias("w")).agg(
+    spans = with_event_time(events, ts, delay).groupBy("camera_id", F.window(ts, f"{span} seconds").alias("w")).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("vehicle_count").alias("total"),
         F.max("vehicle_count").alias("peak"),
@@ -106,7 +109,7 @@ def closed_windows(
         timed = parts.withColumn("at", F.window_time("w")).drop("w")
         return timed.groupBy("camera_id", F.window("at", *spans).alias("w")).agg(*merged_columns(extra))
 
-    panes = regrouped(seconds, f"{pane_seconds(duration, slide)} seconds")
+    panes = spans if span == pane else regrouped(spans, f"{pane} seconds")
     merged = regrouped(panes, f"{duration} seconds", f"{slide} seconds")
     named = merged.withColumnsRenamed({"n": "n_samples", "peak": "max_vehicles"})
     return named.select(
@@ -220,7 +223,7 @@ def split_late(
 def late_rows(query: StreamingQuery) -> int:
     """Rows that a query left out as too late, over the progress it still remembers.
 
-    Spark counts after a partial aggregation: rows of one camera and second count once.
+    Spark counts after a partial aggregation: rows of one camera and span count once.
     """
     return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
