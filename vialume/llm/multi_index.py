@@ -6,9 +6,9 @@ Each query takes the pairs in the order of the summed distances, with a heap, un
 in double precision. Codebooks are fitted on a bounded sample of ``SAMPLE`` rows in the order of a
 hash; every row is indexed, and the heap goes on over all cells if needed, so no cell is capped.
 
-Rows are cut into blocks of neighbouring cells of about ``BLOCK`` rows, a large cell into several. Queries are sent, in
-runs of at most about ``QUERIES``, to the blocks they need; a task holds one block and one run, and
-returns the best few of each query. Only the sizes of the cells (at most k * k) come to the driver.
+Rows are cut into blocks of neighbouring cells of about ``BLOCK`` rows, a large cell into several, and each row goes to its
+block once. Queries are sent to the blocks they need and stream past the block's rows; a task holds one block at a time,
+and returns the best few of each query. Only the sizes of the cells (at most k * k) come to the driver.
 
 Vectors without direction of their own (as spread evenly over a sphere) cannot be pruned much by any
 index; ``share`` is set for a recall of 0.9 on such. Clustered data allow a smaller one.
@@ -36,7 +36,6 @@ CENTROIDS = 32
 SAMPLE = 8192
 SHARE = 0.5
 BLOCK = 16_384
-QUERIES = 4096
 
 
 def _matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -138,32 +137,63 @@ def blocks(sizes: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarra
     return first, parts
 
 
-def nearest_rows(queries: pd.DataFrame, rows: pd.DataFrame, cells: int, k: int) -> pd.DataFrame:
-    """The best ``k`` ids of each query among the rows whose cell it asks for; equal scores by id."""
-    rows = rows.sort_values("vec_id", kind="stable")
-    ids, cell = rows["vec_id"].to_numpy(), rows["cell"].to_numpy()
-    x = np.array(rows["vector"].tolist(), dtype=np.float64).reshape(len(rows), -1)
-    u, norms = unit(x), np.sqrt((x * x).sum(axis=1))
-    repeated = len(np.unique(ids)) < len(ids)
-    out = []
-    for at in range(0, len(queries), 128):
-        part = queries.iloc[at:at + 128]
-        q = np.array(part["vector"].tolist(), dtype=np.float64)
-        asked = np.unpackbits(np.frombuffer(b"".join(part["cells"]), np.uint8).reshape(len(part), -1), axis=1)[:, :cells].astype(bool)
-        scores = np.where(asked[:, cell], unit(q) @ u.T, -2.0)
-        for row, (qid, v, s) in enumerate(zip(part["query_id"], q, scores, strict=True)):
-            s[ids == qid] = -2.0
+class Block:
+    """Rows of one block in the order of their ids, and what queries need of them."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, cell: np.ndarray) -> None:
+        self.ids, self.x, self.cell = ids, x, cell
+        self.u, self.norms = unit(x), np.sqrt((x * x).sum(axis=1))
+        self.repeated = len(np.unique(ids)) < len(ids)
+
+    def nearest(self, query_ids: np.ndarray, q: np.ndarray, asked: np.ndarray, k: int) -> list[tuple[int, int, float]]:
+        """The best ``k`` ids of each query among the rows whose cell it asks for; equal scores by id."""
+        out = []
+        scores = np.where(asked[:, self.cell], unit(q) @ self.u.T, -2.0)
+        for qid, v, s in zip(query_ids.tolist(), q, scores, strict=True):
+            s[self.ids == qid] = -2.0
             n = min(len(s), k)
-            least = np.partition(s, len(s) - n)[len(s) - n]
-            if repeated:  # an id may stand more than once: all rows are ranked
-                least = -1.5
+            least = -1.5 if self.repeated else np.partition(s, len(s) - n)[len(s) - n]  # an id may stand more than once: all rows are ranked
             near = np.flatnonzero(s >= max(least - 1e-9, -1.5))
-            exact = (x[near] * v).sum(axis=1) / (norms[near] * np.sqrt((v * v).sum()))
+            exact = (self.x[near] * v).sum(axis=1) / (self.norms[near] * np.sqrt((v * v).sum()))
             order = np.argsort(-exact, kind="stable")
-            if repeated:
-                order = order[np.sort(np.unique(ids[near][order], return_index=True)[1])]
-            out.extend((qid, int(ids[near[o]]), float(exact[o])) for o in order[:k])
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+            if self.repeated:
+                order = order[np.sort(np.unique(self.ids[near][order], return_index=True)[1])]
+            out.extend((qid, int(self.ids[near[o]]), float(exact[o])) for o in order[:k])
+        return out
+
+
+def compared(rows: DataFrame, dim: int, cells: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of the best of each block: its rows (``cells`` null) come first, then the queries that ask for it.
+
+    A task holds the rows of one block and a few queries at a time.
+    """
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, block = None, [], None
+        for batch in batches:
+            blocks, query = batch.column(0).to_numpy(), np.asarray(batch.column(4).is_valid())
+            ids, cell = batch.column(1).to_numpy(), batch.column(3).to_numpy()
+            x, _ = _matrix(batch.column(2), dim)
+            edges = np.flatnonzero(np.concatenate(([True], (blocks[1:] != blocks[:-1]) | (query[1:] != query[:-1]))))
+            out = []
+            for a, b in zip(edges, [*edges[1:], len(blocks)], strict=True):
+                if blocks[a] != now:
+                    now, held, block = blocks[a], [], None
+                if not query[a]:
+                    held.append((ids[a:b], x[a:b], cell[a:b]))
+                    continue
+                if block is None and held:
+                    block = Block(*[np.concatenate(part) for part in zip(*held, strict=True)])
+                    held = []
+                for at in range(a, b if block else a, 128):
+                    to = min(b, at + 128)
+                    bits = np.frombuffer(b"".join(batch.column(4).slice(at, to - at).to_pylist()), np.uint8).reshape(to - at, -1)
+                    out += block.nearest(ids[at:to], x[at:to], np.unpackbits(bits, axis=1)[:, :cells].astype(bool), k)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))],
+                                             names=["query_id", "vec_id", "score"])
+
+    inorder = rows.repartition("block").sortWithinPartitions("block", F.col("cells").isNotNull(), "vec_id")
+    return inorder.select("block", "vec_id", "vector", "cell", "cells").mapInArrow(walk, "query_id long, vec_id long, score double")
 
 
 def search(rows: DataFrame, is_query, k: int = 5, share: float = SHARE, centroids: int = CENTROIDS) -> DataFrame:
@@ -181,11 +211,8 @@ def search(rows: DataFrame, is_query, k: int = 5, share: float = SHARE, centroid
     wanted = int(np.ceil(share * sizes.sum()))
     place = F.broadcast(spark.createDataFrame(
         pd.DataFrame({"cell": np.arange(cells, dtype=np.int32), "first": first, "parts": parts}), "cell int, first long, parts long"))
-    asked = index.where(is_query)
-    runs = max(1, -(-asked.count() // QUERIES))
     dealt = index.join(place, "cell").select(
-        (F.col("first") + F.pmod(F.xxhash64("vec_id", "vector"), "parts")).alias("block"), "cell", "vec_id", "vector",
-        F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
+        (F.col("first") + F.pmod(F.xxhash64("vec_id", "vector"), "parts")).alias("block"), "vec_id", "vector", "cell")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,12 +228,9 @@ def search(rows: DataFrame, is_query, k: int = 5, share: float = SHARE, centroid
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary()), pa.array(to, pa.list_(pa.int64()))],
                                              names=["query_id", "vector", "cells", "blocks"])
 
-    sent = asked.select("vec_id", "vector").mapInArrow(ask, "query_id long, vector array<double>, cells binary, blocks array<long>").select(
-        "query_id", "vector", "cells", F.explode("blocks").alias("block"),
-        F.pmod(F.xxhash64("query_id", "vector"), F.lit(runs)).cast("int").alias("run"))
-    found = sent.groupBy("block", "run").cogroup(dealt.groupBy("block", "run")).applyInPandas(
-        lambda q, r: nearest_rows(q, r, cells, k) if len(q) and len(r) else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}),
-        "query_id long, vec_id long, score double")
+    asked = index.where(is_query).select("vec_id", "vector").mapInArrow(ask, "query_id long, vector array<double>, cells binary, blocks array<long>")
+    sent = asked.select(F.explode("blocks").alias("block"), F.col("query_id").alias("vec_id"), "vector", F.lit(-1).alias("cell"), "cells")
+    found = compared(dealt.withColumn("cells", F.lit(None).cast("binary")).unionByName(sent), model["dim"], cells, k)
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
