@@ -31,6 +31,8 @@ QUERY = "op5_license_scan"
 FEATURES = 1 << 14
 BACKGROUND = 3000
 CONFIRM = 0.6
+#: Each round of the training adds up the weights of all families from each task.
+TRAINING_TASKS = 4
 UNKNOWN = "unknown"
 
 #: Short notices by family, as projects put them into their files.
@@ -74,8 +76,8 @@ DECOYS = (
 
 def words_of(text: Column) -> Column:
     """Lower-case runs of letters, digits, points and hyphens, without points and hyphens at their ends."""
-    parts = F.split(F.lower(text), r"[^\p{L}\p{N}.\-]+")
-    return F.filter(F.transform(parts, lambda w: F.btrim(w, F.lit(".-"))), lambda w: w != "")
+    parts = F.split(F.btrim(F.lower(text), F.lit(".-")), r"[.\-]*[^\p{L}\p{N}.\-]+[.\-]*")
+    return F.filter(parts, lambda w: w != "")
 
 
 def pairs_of(words: Column) -> Column:
@@ -121,7 +123,7 @@ def train(docs: DataFrame):
     rows += [(0.0, t) for t in [*DECOYS * 5, "", "word"]]
     texts = spark.createDataFrame(pd.DataFrame(rows, columns=["label", "text"]), "label double, text string")
     texts = texts.unionByName(lines.where("learned").select(F.lit(0.0).alias("label"), F.col("_line").alias("text")))
-    examples = with_features(texts, "text").orderBy("label", "text").select("label", "_features").persist()
+    examples = with_features(texts, "text").orderBy("label", "text").select("label", "_features").coalesce(TRAINING_TASKS).persist()
     model = LogisticRegression(featuresCol="_features", labelCol="label", probabilityCol="_p", regParam=0.0005, maxIter=60, family="multinomial").fit(examples)
     examples.unpersist()
     cut = 0.5
