@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialume.llm.common import stored, table
+from vialume.llm.common import Round, table
 
 QUERY = "op11_centroid_clustering"
 CENTROIDS = 16
@@ -259,14 +259,15 @@ def cluster_vectors(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
     centroids = starts(rows, k, dim, scale, salt)
     if not centroids:
         return rows.select(F.col(vec_id), F.lit(0).alias("cluster"), F.lit(0).cast("decimal(38,0)").alias("distance")).limit(0), []
-    blocks = stored(first_blocks(rows, centroids, dim, scale), "blocks")
+    held = Round("blocks")
+    blocks = held.store(first_blocks(rows, centroids, dim, scale))
     drift = [0.0] * len(centroids)
     for _ in range(rounds):
         counts, sums = cluster_sums(blocks, len(centroids), dim)
         after = [[x // n for x in total] if n else c for n, total, c in zip(counts, sums, centroids, strict=True)]
         drift = [(d + m) * (1 + SLACK) for d, m in zip(drift, moved(centroids, after), strict=True)]
         centroids = after
-        blocks = stored(next_blocks(blocks, centroids, drift, dim), "blocks")
+        blocks = held.store(next_blocks(blocks, centroids, drift, dim))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

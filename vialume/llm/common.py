@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vialume.session import scratch_path
+from vialume.session import remove_path, scratch_path
 
 #: Words are runs of characters other than these.
 SPACE = r"\x20\x09-\x0D"
@@ -17,10 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it again: the lineage ends here."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Round(label).store(df)
+
+
+class Round:
+    """The stored table of a loop: each one takes the place of the one before, which only it was made from."""
+
+    def __init__(self, label: str) -> None:
+        self.label, self.path = label, None
+
+    def store(self, df: DataFrame) -> DataFrame:
+        spark, before = df.sparkSession, self.path
+        self.path = scratch_path(spark, self.label)
+        df.write.parquet(self.path)
+        if before:
+            remove_path(spark, before)
+        return spark.read.schema(df.schema).parquet(self.path)
 
 
 def gapless(df: DataFrame, group: list[str], order: list[str], name: str, parts: int = 1024) -> DataFrame:

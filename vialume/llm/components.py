@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vialume.llm.common import stored
+from vialume.llm.common import Round
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """Rows (node, root) for the nodes of ``links`` (a, b) that are not their own root: the smallest node they reach."""
-    pairs = stored(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label)
+    held = Round(label)
+    pairs = held.store(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
     while True:
         both = pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -25,7 +26,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         least = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
         near = large.join(least, F.col("u") == F.col("w"))
         small = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select(F.col("w").alias("u"), F.col("m").alias("v")))
-        pairs = stored(small.distinct(), label)
+        pairs = held.store(small.distinct())
         now = tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("root"))
