@@ -36,11 +36,11 @@ from vialume.llm.common import table
 QUERY = "op8_byte_bpe"
 LONG = 256
 #: Words a process remembers; beyond that only those in use stay.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: Squared word lengths, so rows of the recursive table, that go through one query.
-ROUNDS_ROWS = 8_000_000
+ROUNDS_ROWS = 2_000_000
 #: Characters that are split before their new words are encoded together.
-TOGETHER = 3_000_000
+TOGETHER = 6_000_000
 
 #: A row is a token with the place and token that follow it and what both make together, if anything.
 #: ``best`` has one row for each word that is not done: its leftmost pair of minimum rank (place and
@@ -242,8 +242,8 @@ def _mapped(docs: DataFrame, keep: list[str], ranks: str | None, pattern: str |
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, split)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
                 found = list(coder.encode(part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns(found)], names=["row", *names])
 
