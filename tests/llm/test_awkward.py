@@ -155,3 +155,21 @@ def test_recall_where_the_index_prunes(spark, n, groups):
         s[q] = -2
         want |= {(q, int(i)) for i in np.argsort(-s)[:5]}
     assert len(got & want) >= 0.9 * len(want)
+
+
+def test_sets_that_share_half_of_their_name_stay_apart(spark, small, documents, monkeypatch):
+    """As if every first half were shared by different sets: the second halves name them then."""
+    whole = jaccard_join.set_names
+    monkeypatch.setattr(jaccard_join, "shared_names", lambda sets: frozenset(r[0] for r in sets.where("n > 0").select("set").distinct().collect()))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.run(spark, small).collect()}
+    assert got == jaccard_join.brute_force([r[:2] for r in documents])
+    a = np.array([1, 2, 3], np.uint64)
+    assert jaccard_join.set_id(a) == whole(a)[0] and jaccard_join.set_id(a, frozenset([whole(a)[0]])) == whole(a)[1] != whole(a)[0]
+
+
+def test_batches_are_cut_by_bytes(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(jaccard_join, "READ_BYTES", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["a" * 4, None, "b" * 30, "", "c" * 6, "d" * 3, "e"])], names=["i", "t"])
+    parts = list(jaccard_join.by_bytes([batch, batch.slice(0, 0)], 1))
+    assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(7)) and len(parts) > 2

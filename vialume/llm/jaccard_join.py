@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,13 +49,24 @@ FINE_FROM = 1000
 FREQUENT = 1 << 17
 FREQUENT_ROWS = 24
 LEAF = 32
+#: Bytes of text that are read into sets at a time.
+READ_BYTES = 1 << 24
+_SECOND = 0x5851F42D4C957F2D
 TILE = 512
 
 
-def set_id(shingles: np.ndarray) -> np.int64:
+def set_names(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, its size included."""
     with np.errstate(over="ignore"):
-        total = mix(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))
-    return mix(np.array([total], dtype=np.uint64)).view(np.int64)[0]
+        once = mix(shingles)
+        totals = np.array([once.sum(dtype=np.uint64), mix(once ^ np.uint64(_SECOND)).sum(dtype=np.uint64)]) + np.uint64(len(shingles))
+    return tuple(mix(totals).view(np.int64).tolist())
+
+
+def set_id(shingles: np.ndarray, shared: frozenset = frozenset()) -> int:
+    """Name of a set: the first half of the 128 bits, or the second where different sets share the first (``shared``)."""
+    first, second = set_names(shingles)
+    return second if first in shared else first
 
 
 def needed(a, b):
@@ -72,18 +84,18 @@ def point_of(shingles: np.ndarray) -> np.ndarray:
 
 
 def read_sets(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds: (doc_id, set, n, point) of each document; and (null, shingle, -count, null) of shingles that are frequent in a batch.
+    """Rows of two kinds: (doc_id, set, also, n, point) of each document; and (null, shingle, null, -count, null) of shingles that are frequent in a batch.
 
-    Of equal sets in a batch only the first has its point.
+    ``also`` is the second half of the set's name. Of equal sets in a batch only the first has its point.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, sizes, every, points = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), [], []
+        for batch in by_bytes(batches, 1):
+            ids, also, sizes, every, points = *(np.zeros(batch.num_rows, np.int64) for _ in range(3)), [], []
             seen = set()
             for i, s in text_windows(batch.column(1)):
                 sizes[i] = len(s)
-                ids[i] = set_id(s) if len(s) else 0
+                ids[i], also[i] = set_names(s) if len(s) else (0, 0)
                 points.append(point_of(s) if len(s) and ids[i] not in seen else None)
                 seen.add(ids[i])
                 every.append(s)
@@ -92,10 +104,27 @@ def read_sets(docs: DataFrame) -> DataFrame:
             n = int(often.sum())
             yield pa.RecordBatch.from_arrays([
                 pa.concat_arrays([batch.column(0), pa.nulls(n, pa.int64())]),
-                pa.array(np.concatenate((ids, values[often].view(np.int64)))), pa.array(np.concatenate((sizes, -counts[often]))),
-                pa.array([*points, *[None] * n], pa.list_(pa.int32()))], names=["doc_id", "set", "n", "point"])
+                pa.array(np.concatenate((ids, values[often].view(np.int64)))), pa.concat_arrays([pa.array(also), pa.nulls(n, pa.int64())]),
+                pa.array(np.concatenate((sizes, -counts[often]))),
+                pa.array([*points, *[None] * n], pa.list_(pa.int32()))], names=["doc_id", "set", "also", "n", "point"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, "doc_id long, set long, also long, n long, point array<int>")
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(read, "doc_id long, set long, n long, point array<int>")
+
+def by_bytes(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each has about ``READ_BYTES`` of text, one row at least."""
+    for batch in batches:
+        size = np.array([0 if n is None else n for n in pc.binary_length(batch.column(text)).to_pylist()], dtype=np.int64)
+        part = np.concatenate(([0], np.cumsum(size)[:-1] // READ_BYTES)) if len(size) else size
+        cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield batch.slice(a, b - a)
+
+
+def shared_names(sets: DataFrame) -> frozenset:
+    """First halves of names that different sets share. Even for 10**12 sets some ten thousand are expected."""
+    rows = sets.where("n > 0").groupBy("set").agg(F.min("also").alias("a"), F.max("also").alias("b")).where("a <> b")
+    return frozenset(r["set"] for r in rows.select("set").collect())
 
 
 def frequent_shingles(sets: DataFrame) -> np.ndarray:
@@ -111,14 +140,14 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(at, len(ordered) - 1)] == values
 
 
-def prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def prefixes(docs: DataFrame, frequent: np.ndarray, named: frozenset = frozenset()) -> DataFrame:
     """Rows (shingle, set): the first shingles of each set; of equal sets in a batch only one is read."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches, 0):
             shingles, ids, seen = [], [], set()
             for _, s in text_windows(batch.column(0)):
-                if len(s) and (name := set_id(s)) not in seen:
+                if len(s) and (name := set_id(s, named)) not in seen:
                     seen.add(name)
                     often, n = _among(s, frequent), prefix_length(len(s))
                     rare = s[~often][:n]
@@ -131,7 +160,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(first, "shingle long, set long")
 
 
-def full_sets(docs: DataFrame, named: DataFrame, wanted: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, named: DataFrame, wanted: DataFrame, shared: frozenset = frozenset()) -> DataFrame:
     """Rows (set, shingles) of the ``wanted`` sets, read again from one document each (``named``: set, doc_id)."""
     ids = wanted.distinct().join(named, "set").select("set", F.col("doc_id").alias("_named"))
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_named"))).select("set", "text")
@@ -143,7 +172,7 @@ def full_sets(docs: DataFrame, named: DataFrame, wanted: DataFrame) -> DataFrame
                 part = batch.slice(at, 500)
                 names, rows = part.column(0).to_pylist(), {}
                 for i, s in text_windows(part.column(1)):
-                    if names[i] not in seen and len(s) and set_id(s) == names[i]:  # an id may stand for several texts
+                    if names[i] not in seen and len(s) and set_id(s, shared) == names[i]:  # an id may stand for several texts
                         seen.add(names[i])
                         rows[names[i]] = s.view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(rows.keys(), pa.int64()), pa.array(rows.values(), pa.list_(pa.int64()))], names=["set", "shingles"])
@@ -326,7 +355,7 @@ def in_tiles(members: DataFrame, points: DataFrame, sets: DataFrame | None = Non
     return dealt.select(*columns).repartition("tile").sortWithinPartitions("tile").mapInArrow(walk, "a long, b long")
 
 
-def tree_links(docs: DataFrame, members: DataFrame, points: DataFrame, done: DataFrame) -> DataFrame:
+def tree_links(docs: DataFrame, members: DataFrame, points: DataFrame, done: DataFrame, shared: frozenset) -> DataFrame:
     """Links between different components of ``done`` (node, root) under one shingle, beyond those with the centre.
 
     Points alone go through the trees of all shingles. What the bound lets pass, as a forest, makes groups of near sets;
@@ -343,15 +372,18 @@ def tree_links(docs: DataFrame, members: DataFrame, points: DataFrame, done: Dat
     near = near.select(F.col("node").alias("set"), F.col("root").alias("tree")).unionAll(
         near.select(F.col("root").alias("set"), F.col("root").alias("tree")).distinct())
     near = stored(near.join(members.select("set", "n", "component").distinct(), "set"), "near")
-    return stored(in_tiles(near, points, full_sets(docs, points, near.select("set"))), "tree-links")
+    return stored(in_tiles(near, points, full_sets(docs, points, near.select("set"), shared)), "tree-links")
 
 
 def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, set, n) of every row, and (node, root) of the sets that are not the root of their component."""
     docs = docs.select("doc_id", "text")
     read = stored(read_sets(docs), "sets")
+    double = shared_names(read)
+    if double:
+        read = read.withColumn("set", F.when((F.col("n") > 0) & F.col("set").isin(*double), F.col("also")).otherwise(F.col("set")))
     of = read.where("n >= 0").select("doc_id", "set", "n")
-    rows = stored(prefixes(docs, frequent_shingles(read)), "prefixes")
+    rows = stored(prefixes(docs, frequent_shingles(read), double), "prefixes")
     shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("shingle")
     members = stored(rows.join(shared, "shingle").distinct(), "members")
     sizes = members.groupBy("set").agg(F.count(F.lit(1)).alias("held")).join(
@@ -363,9 +395,9 @@ def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     star = members.join(centre, "shingle").where("set <> a").select("a", F.col("set").alias("b")).distinct()
     star = stored(bounded(star, points), "star")
     wanted = star.select(F.col("a").alias("set")).unionAll(star.select(F.col("b").alias("set")))
-    links = stored(verified(star, full_sets(docs, points, wanted)), "star-links")
+    links = stored(verified(star, full_sets(docs, points, wanted, double)), "star-links")
     found = components(links)
-    more = tree_links(docs, members, points, found)
+    more = tree_links(docs, members, points, found, double)
     if not more.isEmpty():
         found = components(links.unionAll(more))
     return of, found
