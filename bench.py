@@ -26,12 +26,17 @@ HEADLINE = (
     "class_weights", "classification_metrics", "score_without_model", "pixel_stats", "stream_classified",
     "stream_collapse_starts", "stream_windows",
 )
+#: Timed beside the headline, not part of its total: files, pictures, fits and the newer streams.
+OTHERS = (
+    "labels_from_csv", "relabel_in_place", "suppress_crowded", "uniform_pictures", "forest_facts", "stream_windows_5min", "stream_late_rows",
+    "stream_latest_status",
+)
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    names = sys.argv[1:] or list(HEADLINE)
+    names = sys.argv[1:] or [*HEADLINE, *OTHERS]
     spark = build_session("vialume-bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus,
         "spark.ui.enabled": "false",
@@ -47,9 +52,8 @@ def main() -> None:
             queries[name].run(spark, sf_dir).write.format("noop").mode("overwrite").save()
             took[name] = round(time.perf_counter() - started, 3)
     scale = Path(sf_dir).name.removeprefix("sf")
-    print(json.dumps({
-        "metric": "headline queries, total", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": scale,
-    }))
+    total = sum(seconds for name, seconds in took.items() if name not in OTHERS)
+    print(json.dumps({"metric": "headline queries, total", "value": round(total, 3), "unit": "sec", "queries": took, "sf": scale}))
     spark.stop()
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from vialume.operators import alerts, dedup, ml, windows
 from vialume.operators import history as status
 from vialume.sources.events import EVENT_SCHEMA, parse_events, read_event_stream, split_invalid
-from vialume.sources.tables import batch_sink, live_sink, scan_batches, scan_live, scan_windows, write_windows, zones_df
+from vialume.sources.tables import batch_sink, compact_batches, live_sink, scan_batches, scan_live, scan_windows, write_windows, zones_df
 from vialume.streaming import jobs
 
 T0 = dt.datetime(2024, 1, 1)
@@ -236,6 +236,24 @@ def test_windows_of_some_days_open_only_their_files(spark, tmp_path):
     assert {f.split("stored_day=")[1][:10] for f in some.inputFiles()} == {"2024-01-02"} and some.count() == 48
 
 
+def test_small_files_of_old_days_are_put_together(spark, tmp_path):
+    """Rows stay the same, once each; days that are still written to keep their files; a second run finds nothing to do."""
+    out = str(tmp_path / "t")
+    for n in range(5):
+        ends = spark.range(60).select("id", (F.lit(T0) + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("window_end"))
+        write_windows(out)(ends.withColumn("batch", F.lit(n)), n)
+    before = sorted(map(tuple, scan_batches(spark, out).collect()))
+    assert compact_batches(spark, out, dt.date(2024, 1, 2)) == 5
+    assert sorted(map(tuple, scan_batches(spark, out).collect())) == before
+    opened = scan_batches(spark, out).inputFiles()
+    assert {f.split("stored_day=")[1][:10] for f in opened if "compacted" in f} == {"2024-01-01", "2024-01-02"}
+    assert sum("2024-01-03" in f for f in opened) >= 5 and not any("2024-01-03" in f for f in opened if "compacted" in f)
+    assert compact_batches(spark, out, dt.date(2024, 1, 2)) == 0
+    write_windows(out)(scan_batches(spark, out, dt.date(2024, 1, 1), dt.date(2024, 1, 1)).where("batch = 0").withColumn("batch", F.lit(9)), 9)
+    assert scan_batches(spark, out).count() == len(before) + 24
+    assert compact_batches(spark, out, dt.date(2024, 1, 1)) == 2 and scan_batches(spark, out).count() == len(before) + 24
+
+
 def test_late_rows_are_kept_apart(spark, feed, tmp_path):
     """Rows in time and late ones together are the input, also over a restart."""
     out, cp = str(tmp_path / "out"), str(tmp_path / "cp")

@@ -18,7 +18,7 @@ from vialume.operators.history import as_day, same_type
 from vialume.session import remove_path
 
 _DAY = "stored_day"
-_MANIFEST = "query string, batch long, folder string, dated boolean, days array<string>, fields string"
+_MANIFEST = "query string, batch long, folder string, dated boolean, days array<string>, fields string, replaces array<string>"
 
 
 def write_detections(df: DataFrame, path: str, ts: str = "ts", mode: str = "append") -> None:
@@ -96,24 +96,56 @@ def write_alerts(path: str, ts: str = "ts") -> Callable[[DataFrame, int], None]:
     return batch_sink(path, ts)
 
 
-def scan_batches(spark: SparkSession, path: str, desde: dt.date | None = None, hasta: dt.date | None = None) -> DataFrame:
-    """All rows that :func:`batch_sink` committed, or those of a span of days; only folders of these days are opened."""
+def _committed_days(spark: SparkSession, path: str, desde: dt.date | None, hasta: dt.date | None) -> tuple[StructType, DataFrame]:
+    """The columns of the table, and a row (folder, day) for each committed part that no compaction replaces; day is null without days."""
     manifest = spark.read.schema(_MANIFEST).json(f"{path}/manifest")
-    day = F.explode_outer(F.when(F.col("dated"), F.col("days")))
-    rows = manifest.select("folder", "dated", "fields", "batch", day.alias("day"))
+    fields = manifest.agg(F.max_by("fields", "batch")).first()[0]
+    if fields is None:
+        raise ValueError(f"no committed batch under {path}")
+    rows = manifest.select("folder", "dated", F.explode_outer(F.when(F.col("dated"), F.col("days"))).alias("day"))
+    rows = rows.where(~F.col("dated") | F.col("day").isNotNull())
     if desde is not None:
         rows = rows.where(~F.col("dated") | (F.col("day") >= str(desde)))
     if hasta is not None:
         rows = rows.where(~F.col("dated") | (F.col("day") <= str(hasta)))
-    fields = manifest.agg(F.max_by("fields", "batch")).first()[0]
-    if fields is None:
-        raise ValueError(f"no committed batch under {path}")
-    schema = StructType.fromJson(json.loads(fields))
-    parts = [r for r in rows.toLocalIterator() if r["day"] or not r["dated"]]  # one short line for each batch and day
+    gone = manifest.select(F.explode("replaces").alias("folder"), "days").select("folder", F.explode("days").alias("day"))
+    return StructType.fromJson(json.loads(fields)), rows.select("folder", "day").join(gone, ["folder", "day"], "left_anti")
+
+
+def _part(path: str, folder: str, day: str | None) -> str:
+    return f"{path}/data/folder={folder}" + (f"/{_DAY}={day}" if day else "")
+
+
+def scan_batches(spark: SparkSession, path: str, desde: dt.date | None = None, hasta: dt.date | None = None) -> DataFrame:
+    """All rows that :func:`batch_sink` committed, or those of a span of days; only folders of these days are opened."""
+    schema, rows = _committed_days(spark, path, desde, hasta)
+    parts = [_part(path, *r) for r in rows.toLocalIterator()]  # one short line for each batch and day
     if not parts:
         return spark.createDataFrame([], schema)
-    paths = [f"{path}/data/folder={r['folder']}" + (f"/{_DAY}={r['day']}" if r["dated"] else "") for r in parts]
-    return spark.read.schema(schema).parquet(*paths).select(*schema.names)
+    return spark.read.schema(schema).parquet(*parts).select(*schema.names)
+
+
+def compact_batches(spark: SparkSession, path: str, hasta: dt.date) -> int:
+    """Put the many small files of all days up to ``hasta`` into few large ones; returns the number of folders that were replaced.
+
+    The rows are written beside the old files and take over by one line of the manifest, so readers see all rows once at any time.
+    The replaced files stay for readers that have begun; run it when no stream writes to these days any more.
+    """
+    schema, rows = _committed_days(spark, path, None, hasta)
+    small = rows.where("day IS NOT NULL").groupBy("day").agg(F.collect_set("folder").alias("folders")).where(F.size("folders") > 1).collect()
+    if not small:
+        return 0
+    days, old = sorted(r["day"] for r in small), sorted({f for r in small for f in r["folders"]})
+    folder = f"compacted-{uuid.uuid4().hex}"
+    parts = None
+    for r in small:  # a day is a plan of its own, so that its name does not have to be found again in the rows
+        part = spark.read.schema(schema).parquet(*[_part(path, f, r["day"]) for f in r["folders"]]).withColumn(_DAY, F.lit(r["day"]))
+        parts = part if parts is None else parts.unionByName(part)
+    parts.hint("rebalance", _DAY).write.partitionBy(_DAY).parquet(f"{path}/data/folder={folder}")
+    line = [(folder, True, days, schema.json(), old)]
+    kinds = "folder string, dated boolean, days array<string>, fields string, replaces array<string>"
+    spark.createDataFrame(line, kinds).coalesce(1).write.json(f"{path}/manifest/query={folder}/batch=-1")
+    return len(old)
 
 
 def scan_windows(spark: SparkSession, path: str, since: dt.datetime | None = None) -> DataFrame:
