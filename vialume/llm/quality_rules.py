@@ -75,12 +75,16 @@ def text_counts(texts: pa.Array) -> dict[str, np.ndarray]:
 
 def count_texts(docs: DataFrame, keep: list[str], host: str) -> DataFrame:
     """For every row the columns ``keep`` as the struct ``row``, its ``host`` and the five counts of ``text``."""
-    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(host).alias("host"), F.col("text").alias("text"))
-    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in slim.schema if f.name != "text"), *(f"{c} bigint" for c in COUNTS)])
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    slim = docs.select(row, F.col(host).alias("host"))
+    schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in slim.schema), *(f"{c} bigint" for c in COUNTS)])
+    within = keep.index("text") if "text" in keep else None  # then the text is sent once, inside its row
+    if within is None:
+        slim = docs.select(row, F.col(host).alias("host"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = text_counts(batch.column(2))
+            counts = text_counts(batch.column(2) if within is None else batch.column(0).field(within))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(counts[c]) for c in COUNTS)], names=["row", "host", *COUNTS])
 
     return slim.mapInArrow(count, schema)
