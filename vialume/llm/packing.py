@@ -14,6 +14,7 @@ Null ids are carried. An empty table gives an empty table. Other columns are not
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import zlib
@@ -52,6 +53,16 @@ _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
+#: The steps of the tokenizer file that the words below were cut for.
+_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
+
 def _packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
@@ -63,12 +74,21 @@ def default_tokenizer() -> str:
 
 
 def encode_texts(texts: list[str | None], tokenizer: str) -> Iterator[bytes]:
-    """Ids of each text as little-endian 32-bit numbers, without the separator."""
+    """Ids of each text as little-endian 32-bit numbers, without the separator.
+
+    Words are encoded once each where the file has the steps of ``_STEPS``; any other file encodes whole texts.
+    """
     from tokenizers import Tokenizer
 
     if tokenizer not in _loaded:
-        _loaded[tokenizer] = Tokenizer.from_file(tokenizer)
-    model, known = _loaded[tokenizer], _known.setdefault(tokenizer, {})
+        model = Tokenizer.from_file(tokenizer)
+        steps = json.loads(model.to_str())
+        _loaded[tokenizer] = model, {k: steps[k] for k in _STEPS} == _STEPS
+    (model, by_word), known = _loaded[tokenizer], _known.setdefault(tokenizer, {})
+    if not by_word:
+        for e in model.encode_batch_fast([t or "" for t in texts], add_special_tokens=False):
+            yield _packed(e.ids)
+        return
     split = [_RUNS.findall(t) if _OTHER.search(t) else _PARTS.findall(t.lower()) for t in (t or "" for t in texts)]
     every = set().union(*split)
     if new := [w for w in every if w not in known]:
