@@ -173,3 +173,30 @@ def test_batches_are_cut_by_bytes(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["a" * 4, None, "b" * 30, "", "c" * 6, "d" * 3, "e"])], names=["i", "t"])
     parts = list(jaccard_join.by_bytes([batch, batch.slice(0, 0)], 1))
     assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(7)) and len(parts) > 2
+
+
+@pytest.mark.parametrize(("n", "m", "groups"), [(1, 1, 128), (700, 512, 128), (40, 300, 8), (33, 1000, 16)])
+def test_trees_find_every_pair_within_the_bound(n, m, groups):
+    """The walk gives exactly the pairs that the bound and the sizes let pass, each once."""
+    rng = np.random.default_rng(n * m)
+    hearts = rng.poisson(3, (12, groups))
+    points = np.maximum(0, hearts[rng.integers(0, 12, n + m)] + rng.integers(-1, 2, (n + m, groups))).astype(np.int32)
+    sizes = points.sum(axis=1)
+    left, right = np.arange(n), np.arange(n, n + m)
+    got = [(int(x), int(y)) for i, j in jaccard_join.tree_pairs(points, sizes, left, right) for x, y in zip(i, j)]
+    bound = np.array([np.minimum(points[x], points[right]).sum(axis=1) for x in left])
+    a, b = sizes[left][:, None], sizes[right][None, :]
+    x, y = np.nonzero((bound >= jaccard_join.needed(a, b)) & (5 * np.minimum(a, b) >= 4 * np.maximum(a, b)))
+    assert len(got) == len(set(got)) and set(got) == set(zip(left[x].tolist(), right[y].tolist()))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_packing_takes_any_tokenizer_file(documents, name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path(name)
+    model = Tokenizer.from_file(path)
+    texts = [r[1] for r in documents] + ["It's  HER\u00c9'S 12 ab12", "\u0130stanbul \u1e9e x"]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in packing.encode_texts(texts, path)]
+    assert got == [model.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert packing._loaded[path][1] == (name == "word_bpe_49k.json")

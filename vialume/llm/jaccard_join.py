@@ -2,8 +2,8 @@
 
 Method. The hashes of a set fall into ``GROUPS`` groups; the counts by group are a point. The overlap of
 two sets is at most the sum of the smaller coordinates of their points, so pairs whose bound lies below the
-overlap that the similarity needs are never compared. Points are packed into the leaves of an R-tree, whose
-boxes bound all pairs of two leaves at once; surviving pairs are verified on the sets.
+overlap that the similarity needs are never compared. Points are packed into an R-tree, whose
+nodes bound all pairs below two of them at once: two trees are walked down together, and surviving pairs are verified on the sets.
 
 Spread over executors. One tree over all points compares ever more leaves as the corpus grows, as the boxes of
 unrelated texts overlap. So there is a tree for each shingle that can lead to a link: two sets that
@@ -49,6 +49,7 @@ FINE_FROM = 1000
 FREQUENT = 1 << 17
 FREQUENT_ROWS = 24
 LEAF = 32
+FAN = 8
 #: Bytes of text that are read into sets at a time.
 READ_BYTES = 1 << 24
 _SECOND = 0x5851F42D4C957F2D
@@ -216,30 +217,65 @@ class Forest:
         return i
 
 
-def tree_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows (one of ``left``, one of ``right``) whose bound lets them link, a leaf against leaves at a time."""
-    def leaves(rows: np.ndarray) -> list[np.ndarray]:
-        if len(rows) <= LEAF:
-            return [rows]
-        axis = points[rows].var(axis=0).argmax()  # packed along the size, then along the widest axis
+class Tree:
+    """R-tree over the points of some rows: leaves packed along the size and then along the widest axis, ``FAN`` nodes to a parent.
+
+    Each level has, for its nodes, the largest coordinates, and the smallest and largest size below.
+    """
+
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> None:
+        axis = points[rows].var(axis=0).argmax()
         rows = rows[np.lexsort((points[rows, axis], sizes[rows]))]
-        return [r[np.argsort(points[r, axis], kind="stable")][i:i + LEAF] for s in range(0, len(rows), LEAF * 8)
-                for r in [rows[s:s + LEAF * 8]] for i in range(0, len(r), LEAF)]
+        runs = [rows[s:s + LEAF * FAN] for s in range(0, len(rows), LEAF * FAN)]
+        runs = [r[np.argsort(points[r, axis], kind="stable")] for r in runs]
+        self.leaves = [r[i:i + LEAF] for r in runs for i in range(0, len(r), LEAF)]
+        most = np.array([points[r].max(axis=0) for r in self.leaves])
+        small, large = (np.array([f(sizes[r]) for r in self.leaves]) for f in (np.min, np.max))
+        self.levels = [(most, small, large)]
+        while len(small) > 1:
+            at = np.arange(0, len(small), FAN)
+            most, small, large = np.maximum.reduceat(most, at, axis=0), np.minimum.reduceat(small, at), np.maximum.reduceat(large, at)
+            self.levels.append((most, small, large))
+
+    def below(self, level: int, nodes: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The children of ``nodes``, each with the other node of its pair."""
+        child = (nodes[:, None] * FAN + np.arange(FAN)).ravel()
+        there = child < len(self.levels[level - 1][1])
+        return child[there], np.repeat(others, FAN)[there]
+
+
+def may_link(a: tuple, i: np.ndarray, b: tuple, j: np.ndarray) -> np.ndarray:
+    """Which pairs of nodes can hold a link, by the sum of the smaller of their largest coordinates, and by their sizes."""
+    bound = np.minimum(a[0][i], b[0][j]).sum(axis=1)
+    close = (5 * a[2][i] >= 4 * b[1][j]) & (5 * b[2][j] >= 4 * a[1][i])
+    return close & (bound >= needed(a[1][i], b[1][j]))
+
 
+def tree_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows (one of ``left``, one of ``right``) whose bound lets them link: both trees are walked down together."""
     if not (len(left) and len(right)):
         return
-    a, b = leaves(left), leaves(right)
-    b_most, b_size = np.array([points[r].max(axis=0) for r in b]), np.array([sizes[r].min() for r in b])
-    for rows in a:
-        most = np.minimum(points[rows].max(axis=0), b_most).sum(axis=1)
-        near = np.flatnonzero(most >= needed(sizes[rows].min(), b_size))
-        for k in near:
-            other = b[k]
-            at_most = np.minimum(points[rows][:, None, :], points[other][None, :, :]).sum(axis=2)
-            n, m = sizes[rows][:, None], sizes[other][None, :]
-            i, j = np.nonzero((at_most >= needed(n, m)) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)))
-            if len(i):
-                yield rows[i], other[j]
+    a, b = Tree(points, sizes, left), Tree(points, sizes, right)
+    at_a, at_b = len(a.levels) - 1, len(b.levels) - 1
+    i = j = np.zeros(1, dtype=np.int64)
+    while True:
+        near = may_link(a.levels[at_a], i, b.levels[at_b], j)
+        i, j = i[near], j[near]
+        if at_a == at_b == 0 or not len(i):
+            break
+        if at_a >= at_b:
+            i, j = a.below(at_a, i, j)
+            at_a -= 1
+        else:
+            j, i = b.below(at_b, j, i)
+            at_b -= 1
+    for x, y in zip(i.tolist(), j.tolist(), strict=True):
+        rows, other = a.leaves[x], b.leaves[y]
+        at_most = np.minimum(points[rows][:, None, :], points[other][None, :, :]).sum(axis=2)
+        n, m = sizes[rows][:, None], sizes[other][None, :]
+        p, q = np.nonzero((at_most >= needed(n, m)) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)))
+        if len(p):
+            yield rows[p], other[q]
 
 
 def tile_points(column: pa.ListArray) -> np.ndarray:
