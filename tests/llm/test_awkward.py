@@ -200,3 +200,42 @@ def test_packing_takes_any_tokenizer_file(documents, name):
     got = [np.frombuffer(ids, "<u4").tolist() for ids in packing.encode_texts(texts, path)]
     assert got == [model.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert packing._loaded[path][1] == (name == "word_bpe_49k.json")
+
+
+def plain_bins(pieces, capacity):
+    """Greedy pairs of large pieces and best fit of small ones, a piece at a time; the lengths in each sequence."""
+    left, bins = sorted((n for n in pieces if 3 * n > capacity), reverse=True), []
+    while left:
+        a = left.pop(0)
+        b = next((n for n in left if n <= capacity - a), None)
+        if b is not None:
+            left.remove(b)
+        bins.append([a] if b is None else [a, b])
+    for n in sorted((n for n in pieces if 3 * n <= capacity), reverse=True):
+        fits = [b for b in bins if capacity - sum(b) >= n]
+        if fits:
+            min(fits, key=lambda b: capacity - sum(b)).append(n)
+        else:
+            bins.append([n])
+    return sorted(sorted(b) for b in bins)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_the_plan_is_that_of_one_piece_at_a_time(seed):
+    """The plan on counts by length gives the sequences that a plain matching gives, and places without gaps or overlaps."""
+    pick = random.Random(seed)
+    capacity = pick.choice([12, 30, 64, 100])
+    lengths = [pick.randint(1, capacity) for _ in range(pick.randint(1, 9))]
+    pieces = [pick.choice(lengths) for _ in range(pick.randint(1, 400))]
+    counts = {n: pieces.count(n) for n in set(pieces)}
+    bins = {}
+    for length, low, high, first, k, place in packing.plan_packing(counts, capacity):
+        for r in range(low, high):
+            bins.setdefault(first + (r - low) % k, []).append((place + length * ((r - low) // k), length))
+    for of in bins.values():
+        ends = 0
+        for place, length in sorted(of):
+            assert place == ends
+            ends += length
+        assert ends <= capacity
+    assert sorted(sorted(n for _, n in of) for of in bins.values()) == plain_bins(pieces, capacity)

@@ -21,6 +21,7 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -156,40 +157,36 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
             if k:
                 put(a, bins, k, 0)
                 put(b, bins, k, a)
-                gaps[capacity - a - b].append((bins, k))
+                heappush(gaps[capacity - a - b], (bins, k))
                 bins += k
         if k := left[a]:
             put(a, bins, k, 0)
-            gaps[capacity - a].append((bins, k))
+            heappush(gaps[capacity - a], (bins, k))
             bins += k
     for n in sorted((n for n, c in left.items() if 3 * n <= capacity and c), reverse=True):
         sizes = sorted(g for g, runs in gaps.items() if g >= n and runs)
         while left[n]:
             if sizes:
                 gap = sizes[0]
-                first, k = gaps[gap].pop()
+                first, k = heappop(gaps[gap])  # of equal gaps the first sequence
                 if not gaps[gap]:
                     sizes.pop(0)
                 place = capacity - gap
             else:
                 gap, place, first, k = capacity, 0, bins, -(-left[n] // (capacity // n))
                 bins += k
-            levels = min(gap // n, left[n] // k)
-            if levels:
-                put(n, first, k, place, levels)
-                gaps[gap - levels * n].append((first, k))
-                if left[n] and gap - levels * n >= n:  # fewer pieces than sequences are left: they share the run
-                    gaps[gap - levels * n].pop()
-                    first, k, gap, place = first, k, gap - levels * n, place + levels * n
-                    some = left[n]
-                    put(n, first, some, place)
-                    gaps[gap - n].append((first, some))
-                    gaps[gap].append((first + some, k - some))
-            else:
-                some = left[n]
-                put(n, first, some, place)
-                gaps[gap - n].append((first, some))
-                gaps[gap].append((first + some, k - some))
+            each = gap // n  # one sequence after another is filled: what is left of its gap is the smallest that holds the next piece
+            full = min(k, left[n] // each)
+            if full:
+                put(n, first, full, place, each)
+                heappush(gaps[gap - each * n], (first, full))
+            if full < k:
+                if some := left[n]:
+                    put(n, first + full, 1, place, some)
+                    heappush(gaps[gap - some * n], (first + full, 1))
+                    full += 1
+                if full < k:
+                    heappush(gaps[gap], (first + full, k - full))
     return plan
 
 
