@@ -224,10 +224,12 @@ class Tree:
     """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> None:
-        axis = points[rows].var(axis=0).argmax()
-        rows = rows[np.lexsort((points[rows, axis], sizes[rows]))]
-        runs = [rows[s:s + LEAF * FAN] for s in range(0, len(rows), LEAF * FAN)]
-        runs = [r[np.argsort(points[r, axis], kind="stable")] for r in runs]
+        runs = [rows]
+        if len(rows) > LEAF:
+            axis = points[rows].var(axis=0).argmax()
+            rows = rows[np.lexsort((points[rows, axis], sizes[rows]))]
+            runs = [rows[s:s + LEAF * FAN] for s in range(0, len(rows), LEAF * FAN)]
+            runs = [r[np.argsort(points[r, axis], kind="stable")] for r in runs]
         self.leaves = [r[i:i + LEAF] for r in runs for i in range(0, len(r), LEAF)]
         most = np.array([points[r].max(axis=0) for r in self.leaves])
         small, large = (np.array([f(sizes[r]) for r in self.leaves]) for f in (np.min, np.max))
@@ -251,10 +253,21 @@ def may_link(a: tuple, i: np.ndarray, b: tuple, j: np.ndarray) -> np.ndarray:
     return close & (bound >= needed(a[1][i], b[1][j]))
 
 
+def leaf_pairs(points: np.ndarray, sizes: np.ndarray, rows: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of the rows of two leaves that their own bounds and sizes let link."""
+    at_most = np.minimum(points[rows][:, None, :], points[other][None, :, :]).sum(axis=2)
+    n, m = sizes[rows][:, None], sizes[other][None, :]
+    p, q = np.nonzero((at_most >= needed(n, m)) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)))
+    return rows[p], other[q]
+
+
 def tree_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows (one of ``left``, one of ``right``) whose bound lets them link: both trees are walked down together."""
     if not (len(left) and len(right)):
         return
+    if max(len(left), len(right)) <= LEAF:  # a leaf each
+        yield leaf_pairs(points, sizes, left, right)
+        return
     a, b = Tree(points, sizes, left), Tree(points, sizes, right)
     at_a, at_b = len(a.levels) - 1, len(b.levels) - 1
     i = j = np.zeros(1, dtype=np.int64)
@@ -270,12 +283,7 @@ def tree_pairs(points: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: n
             j, i = b.below(at_b, j, i)
             at_b -= 1
     for x, y in zip(i.tolist(), j.tolist(), strict=True):
-        rows, other = a.leaves[x], b.leaves[y]
-        at_most = np.minimum(points[rows][:, None, :], points[other][None, :, :]).sum(axis=2)
-        n, m = sizes[rows][:, None], sizes[other][None, :]
-        p, q = np.nonzero((at_most >= needed(n, m)) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)))
-        if len(p):
-            yield rows[p], other[q]
+        yield leaf_pairs(points, sizes, a.leaves[x], b.leaves[y])
 
 
 def tile_points(column: pa.ListArray) -> np.ndarray:
@@ -446,6 +454,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "set")).alias("class_id"))
     named = stored(named, "classes")
     least = named.where("class_id IS NOT NULL").groupBy(F.col("class_id").alias("_class")).agg(F.min("doc_id").alias("_least"))
+    least = stored(least, "least")  # a large class can then be split
     return named.join(least, F.col("class_id") == F.col("_class"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("class_id").isNull(), F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"), "class_id")
