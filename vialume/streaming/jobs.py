@@ -105,9 +105,9 @@ def closed_windows(
         *[F.max_by(F.struct(*last_sample), at).alias("newest"), F.max(at).alias("newest_at")] * extra,
     )
 
-    def regrouped(parts: DataFrame, *spans: str) -> DataFrame:
+    def regrouped(parts: DataFrame, *widths: str) -> DataFrame:
         timed = parts.withColumn("at", F.window_time("w")).drop("w")
-        return timed.groupBy("camera_id", F.window("at", *spans).alias("w")).agg(*merged_columns(extra))
+        return timed.groupBy("camera_id", F.window("at", *widths).alias("w")).agg(*merged_columns(extra))
 
     panes = spans if span == pane else regrouped(spans, f"{pane} seconds")
     merged = regrouped(panes, f"{duration} seconds", f"{slide} seconds")
@@ -317,23 +317,28 @@ def stream_latest_status(
     return start_stream(newest, live_sink(path, keys), checkpoint, every, "update")
 
 
-class MarksThatChange(StatefulProcessor):
-    """Rows whose mark differs from that of the row before, which may lie in an earlier micro-batch."""
+def marks_that_change() -> StatefulProcessor:
+    """The stateful operator of :func:`stream_changes`. Its class is sent whole, so its workers need pandas alone."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "mark string")
+    class MarksThatChange(StatefulProcessor):
+        """Rows whose mark differs from that of the row before, which may lie in an earlier micro-batch."""
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        found = pd.concat(list(rows)).sort_values(["us", "tie"], kind="stable")
-        marks = [None if pd.isna(m) else m for m in found["mark"]]
-        known = self.last.get()
-        before = [known[0] if known else None, *marks[:-1]]
-        found["opens"] = [known is None] + [False] * (len(found) - 1)
-        self.last.update((marks[-1],))
-        yield found.loc[[o or m != b for o, m, b in zip(found["opens"], marks, before)], ["row", "opens"]]
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.last = handle.getValueState("last", "mark string")
 
-    def close(self) -> None:
-        pass
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            found = pd.concat(list(rows)).sort_values(["us", "tie"], kind="stable")
+            marks = [None if pd.isna(m) else m for m in found["mark"]]
+            known = self.last.get()
+            before = [known[0] if known else None, *marks[:-1]]
+            found["opens"] = [known is None] + [False] * (len(found) - 1)
+            self.last.update((marks[-1],))
+            yield found.loc[[o or m != b for o, m, b in zip(found["opens"], marks, before)], ["row", "opens"]]
+
+        def close(self) -> None:
+            pass
+
+    return MarksThatChange()
 
 
 def stream_changes(
@@ -354,7 +359,7 @@ def stream_changes(
     kept = F.filter(s, lambda x, i: (i == 0) | (i == F.size(s) - 1) | ~x["mark"].eqNullSafe(F.get(s, i - 1)["mark"]))
     name = F.to_json(F.struct(*keys), {**_JSON, "ignoreNullFields": "false"}).alias("name")  # null is a key too, but not for pandas
     edges = spans.select(name, F.inline(kept)).withColumn("row", F.to_json("row", _JSON))
-    changed = edges.groupBy("name").transformWithStateInPandas(MarksThatChange(), "row string, opens boolean", "append", "none")
+    changed = edges.groupBy("name").transformWithStateInPandas(marks_that_change(), "row string, opens boolean", "append", "none")
     return changed.select(F.from_json("row", timed.schema, _JSON).alias("r"), "opens").select("r.*", "opens")
 
 
