@@ -99,3 +99,12 @@ def test_search_reports_every_setting(spark, samples):
     assert sum(r.is_best for r in report) == 1
     best = next(r for r in report if r.is_best)
     assert ml.best_params(found) == {"trees": best.num_trees, "depth": 2}
+
+
+def test_a_fit_is_dealt_to_the_cores(spark):
+    """Rows of one small file fill one task; a fit of many rows takes more, one of few rows stays as it is."""
+    rows = spark.range(3 * ml.FIT_ROWS).coalesce(1)
+    spread = ml.spread_rows(rows)
+    assert spread.rdd.getNumPartitions() == 3 and spread.distinct().count() == 3 * ml.FIT_ROWS
+    few = spark.range(ml.FIT_ROWS).coalesce(1)
+    assert ml.spread_rows(few) is few

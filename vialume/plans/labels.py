@@ -104,7 +104,7 @@ def catalogue_forest(spark, sf_dir):
     known = catalog.build_catalog(enriched(spark, sf_dir), s.stored_frames(spark, sf_dir))
     rows = ml.with_class_weights(catalog.training_rows(known, s.frame_features(spark, sf_dir)))
     train, test = ml.temporal_split(rows)
-    return ml.confusion_matrix(ml.pipeline().fit(train).transform(test))
+    return ml.confusion_matrix(ml.fit(train).transform(test))
 
 
 @query("G1", f"""WITH {LC} SELECT fecha, filename, estado, vehicle_count FROM enr""")
