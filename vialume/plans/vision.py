@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vialume.config import MASK_POLYGON, ZONES
 from vialume.functions.geometry import adapt_polygon, adapt_zone, letterbox_params, overlap_ratio, rect, zone_rect
 from vialume.operators import boxes as ops
-from vialume.operators.imaging import add_new_features, features_of, pixel_zone_stats, zone_image_features
+from vialume.operators.imaging import add_new_features, features_of, pixel_zone_stats, spread_pictures, zone_image_features
 from vialume.operators.nms import nms
 from vialume.plans.registry import query
 from vialume.plans.standins import (
@@ -279,14 +279,6 @@ def pixel_stats(spark, sf_dir):
     return stats.select("frame_id", "zone", *[F.round(c, 6).alias(c) for c in stats.columns[2:]])
 
 
-PICTURES_IN_A_TASK = 128
-
-
-def spread_pictures(rows):
-    """A picture takes long for its few bytes, so the rows are dealt to more tasks than their size asks for."""
-    return rows.repartition(max(1, -(-rows.count() // PICTURES_IN_A_TASK)))
-
-
 def painted(embedding="embedding"):
     """A small picture, eight by eight pixels."""
     shade = F.transform(embedding, lambda x: F.floor(F.abs(x) * 1000).cast("int") % 256)
