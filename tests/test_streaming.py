@@ -382,3 +382,14 @@ def test_versions_of_a_model(spark, tmp_path):
     for n in (1, 2):
         assert ml.publish_model(ml.pipeline(["x"], trees=1, depth=1).fit(rows), root) == n
     assert ml.published_version(spark, root) == 2 and ml.load_version(root, 2).stages[1].getInputCols() == ["x"]
+
+
+def test_changes_need_no_group_of_a_whole_camera(spark, feed, history, tmp_path):
+    """The only state is that of the spans; rows that change are compared by camera and slice of time in each micro-batch."""
+    feed.add(history)
+    frames = feed.events().select("camera_id", "ts", F.col("event_id").alias("frame_id"), F.lit("x").alias("md5"))
+    query = jobs.stream_drop_unchanged(frames, str(tmp_path / "out"), str(tmp_path / "cp"))
+    query.awaitTermination()
+    assert {op["operatorName"] for p in query.recentProgress for op in p["stateOperators"]} == {"stateStoreSave"}
+    cameras = {m["camera_id"] for m in history}
+    assert scan_batches(spark, str(tmp_path / "out")).count() == len(cameras) == scan_live(spark, str(tmp_path / "cp" / "last")).count()
