@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vialume.config import FEATURES
 from vialume.operators import ml
+from vialume.plans import standins
 
 # Published confusion counts and measures: they must come out of the same counts.
 CONFUSION = [
@@ -108,3 +109,16 @@ def test_a_fit_is_dealt_to_the_cores(spark):
     assert spread.rdd.getNumPartitions() == 3 and spread.distinct().count() == 3 * ml.FIT_ROWS
     few = spark.range(ml.FIT_ROWS).coalesce(1)
     assert ml.spread_rows(few) is few
+
+
+@pytest.mark.parametrize("vectors", [40, 20_001])
+def test_rows_are_never_sent_to_meet_their_vectors(spark, tmp_path, vectors):
+    """Few rows beside more vectors: the vectors are sent if their number is small, the rows never."""
+    spark.range(30).write.parquet(str(tmp_path / "rows"))
+    vector = F.array(*[(F.col("vec_id") + i).cast("float") for i in range(16)])
+    spark.range(vectors).select(F.col("id").alias("vec_id"), vector.alias("embedding")).write.parquet(str(tmp_path / "vectors"))
+    found = standins.with_visual(spark.read.parquet(str(tmp_path / "rows")), "id", spark.read.parquet(str(tmp_path / "vectors")))
+    got = sorted((r["id"], r[standins.VISUAL_FEATURES[3]]) for r in found.collect())
+    assert got == [(i, i + 3.0) for i in range(30)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in plan and ("BuildRight" in plan) == (vectors == 40)
