@@ -2,6 +2,7 @@
 
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from vialume.llm import (byte_bpe, jaccard_join, license_scan, line_dedup, multi_index, packing, quality_classifier, quality_rules, sharding,
                          substring_dedup)
+from vialume.session import shared_dir
 
 GIVEN = "/root/testdata/sf0.001"
 NAMES = ["_of", "_text", "host", "row", "n_words", "kept", "ids", "decoded", "rid", "th", "set", "n", "score", "size", "_fold", "_host", "covered"]
@@ -175,6 +177,31 @@ def test_batches_are_cut_by_bytes(monkeypatch):
     assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(7)) and len(parts) > 2
 
 
+def test_few_texts_but_the_wanted_ones_are_shuffled(spark, monkeypatch):
+    """The sieve loses no wanted document, with or without an id; a full sieve changes the work, not the sets."""
+    texts = [(i, f"some five words and {i}") for i in range(2000)] + [(None, "a text without an id"), (None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    wanted = [*range(0, 2000, 100), None]
+    names = spark.createDataFrame([(i, f"some five words and {i}" if i is not None else "a text without an id") for i in wanted], "doc_id long, text string")
+    named = jaccard_join.read_sets(names).where("n > 0").select("set", "doc_id")
+    passed, sets = [], []
+    for words in (1 << 20, 1):
+        monkeypatch.setattr(jaccard_join, "SIEVE_WORDS", words)
+        passed.append([r["doc_id"] for r in jaccard_join.sieved(docs, named.withColumnRenamed("doc_id", "_named")).collect()])
+        sets.append(sorted((r["set"], r["shingles"]) for r in jaccard_join.full_sets(docs, named, named.select("set")).collect()))
+    assert set(wanted) <= set(passed[0]) and len(passed[0]) < 400 and set(wanted) <= set(passed[1])
+    assert len(sets[0]) == len(wanted) and sets[0] == sets[1]
+    assert jaccard_join.sieved(docs, named.withColumnRenamed("doc_id", "_named").limit(0)).count() == 0
+
+
+def test_the_first_shingles_are_removed_when_the_members_are_stored(spark, small):
+    shared = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(shared.iterdir())
+    jaccard_join.linked_sets(spark.read.parquet(f"{small}/documents.parquet"))
+    found = sorted(p.name.split("-")[1] for p in set(shared.iterdir()) - before)
+    assert "prefixes" not in found and found.count("members") == 1
+
+
 @pytest.mark.parametrize(("n", "m", "groups"), [(1, 1, 128), (700, 512, 128), (40, 300, 8), (33, 1000, 16)])
 def test_trees_find_every_pair_within_the_bound(n, m, groups):
     """The walk gives exactly the pairs that the bound and the sizes let pass, each once."""

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialume.llm.common import stored, table
+from vialume.llm.common import Round, stored, table
 from vialume.llm.components import components
 from vialume.llm.textkernel import mix, text_windows
 
@@ -52,6 +52,8 @@ LEAF = 32
 FAN = 8
 #: Bytes of text that are read into sets at a time.
 READ_BYTES = 1 << 24
+#: Words of 64 bits in a sieve of documents: one for four wanted documents, at most so many.
+SIEVE_WORDS = 1 << 20
 _SECOND = 0x5851F42D4C957F2D
 TILE = 512
 
@@ -161,10 +163,27 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, named: frozenset = frozenset
     return docs.select("text").mapInArrow(first, "shingle long, set long")
 
 
+def sieved(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Those of ``docs`` whose id may be among ``ids`` (_named), by one bit of its hash: the texts of most others are never shuffled.
+
+    The bits are sent to every executor. Beyond ``SIEVE_WORDS`` words of them more documents pass, none is lost.
+    """
+    words = max(1, min(SIEVE_WORDS, -(-ids.count() // 4)))
+
+    def placed(df: DataFrame, name: str) -> DataFrame:
+        hashed = F.xxhash64(F.col(name).cast("long"))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(hashed, 58).cast("int"))
+        return df.withColumn("_word", F.pmod(hashed, F.lit(words))).withColumn("_bit", bit)
+
+    sieve = placed(ids, "_named").groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    passed = placed(docs, "doc_id").join(F.broadcast(sieve), "_word").where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0)
+    return passed.select(*docs.columns)
+
+
 def full_sets(docs: DataFrame, named: DataFrame, wanted: DataFrame, shared: frozenset = frozenset()) -> DataFrame:
     """Rows (set, shingles) of the ``wanted`` sets, read again from one document each (``named``: set, doc_id)."""
-    ids = wanted.distinct().join(named, "set").select("set", F.col("doc_id").alias("_named"))
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_named"))).select("set", "text")
+    ids = stored(wanted.distinct().join(named, "set").select("set", F.col("doc_id").alias("_named")), "wanted")
+    texts = sieved(docs, ids).join(ids, F.col("doc_id").eqNullSafe(F.col("_named"))).select("set", "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -427,9 +446,10 @@ def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if double:
         read = read.withColumn("set", F.when((F.col("n") > 0) & F.col("set").isin(*double), F.col("also")).otherwise(F.col("set")))
     of = read.where("n >= 0").select("doc_id", "set", "n")
-    rows = stored(prefixes(docs, frequent_shingles(read), double), "prefixes")
+    held = Round("members")
+    rows = held.store(prefixes(docs, frequent_shingles(read), double))
     shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("shingle")
-    members = stored(rows.join(shared, "shingle").distinct(), "members")
+    members = held.store(rows.join(shared, "shingle").distinct())
     sizes = members.groupBy("set").agg(F.count(F.lit(1)).alias("held")).join(
         of.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")), "set")
     points = stored(read.where("point IS NOT NULL").select("set", "point").join(sizes, "set").dropDuplicates(["set"]), "points")
