@@ -202,6 +202,42 @@ def test_the_first_shingles_are_removed_when_the_members_are_stored(spark, small
     assert "prefixes" not in found and found.count("members") == 1
 
 
+def test_a_family_of_texts_sends_few_points(spark, monkeypatch):
+    """Twelve texts that share passages are in very many trees, with links and without; their points are sent a few times."""
+    pick = random.Random(5)
+    passages = [" ".join(f"w{pick.randrange(10**6)}" for _ in range(12)) for _ in range(40)]
+    rows = [(i, " ".join(passages[k] for k in sorted(pick.sample(range(40), 28)))) for i in range(12)]
+    rows += [(20 + i, rows[3][1].rsplit(" ", i)[0]) for i in range(1, 4)] + [(30, rows[0][1])]
+    sent, whole = [], jaccard_join.in_tiles
+
+    def counted(members, *rest):
+        sent.append(members.count())
+        return whole(members, *rest)
+
+    monkeypatch.setattr(jaccard_join, "in_tiles", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.similar_documents(docs).collect()}
+    assert got == jaccard_join.brute_force(rows) and len({c for _, c in got.values()}) == 12
+    assert sent[0] < 150
+
+
+def test_merged_trees_keep_every_pair(spark):
+    """Trees of one smallest set are one only where that makes no more pairs; every pair of members still meets."""
+    pick = random.Random(6)
+    family = [sorted(pick.sample(range(8), 6)) for _ in range(30)]
+    loose = [[100, 200 + 3 * i, 201 + 3 * i] for i in range(20)]
+    rows = [(t, s, s) for t, members in enumerate(family + loose) for s in members]
+    trees = [(t, len(m), m[0]) for t, m in enumerate(family + loose)]
+    members = spark.createDataFrame(rows, "tree long, set long, component long")
+    got = jaccard_join.merged_trees(members, spark.createDataFrame(trees, "tree long, n long, first long")).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r["tree"], set()).add(r["set"])
+    assert len(got) == sum(map(len, found.values())) < 6 * 8 + 20 * 3 + 1
+    assert all(any(set(m) <= f for f in found.values()) for m in family + loose)
+    assert sum(100 in f for f in found.values()) == 20
+
+
 @pytest.mark.parametrize(("n", "m", "groups"), [(1, 1, 128), (700, 512, 128), (40, 300, 8), (33, 1000, 16)])
 def test_trees_find_every_pair_within_the_bound(n, m, groups):
     """The walk gives exactly the pairs that the bound and the sizes let pass, each once."""

@@ -10,7 +10,8 @@ unrelated texts overlap. So there is a tree for each shingle that can lead to a
 are similar enough share one of the first ``n - ceil(0.8 n) + 1`` shingles of each, in any order that is the same for
 all. The order here is by hash, with frequent shingles (found by lossy counting over every batch of all
 rows) moved to the end; it decides the work, never the result. A tree is cut by size of set, as sizes of
-similar sets are within a factor of 1.25, and a large tree into tiles that are paired up.
+similar sets are within a factor of 1.25, and a large tree into tiles that are paired up. Trees with one smallest
+set become one where that makes no more pairs, so a family of texts sends its points a few times, not once for each shingle.
 
 Groups of copies. Equal sets are one class from the start. Of the sets under a shingle the most
 central one (most of its shingles shared) is compared with all others; whole groups of near copies become
@@ -418,6 +419,19 @@ def in_tiles(members: DataFrame, points: DataFrame, sets: DataFrame | None = Non
     return dealt.select(*columns).repartition("tile").sortWithinPartitions("tile").mapInArrow(walk, "a long, b long")
 
 
+def merged_trees(members: DataFrame, trees: DataFrame) -> DataFrame:
+    """Members (tree, set, component) of fewer trees: those with one smallest set (``first``) are one, unless that gives more pairs.
+
+    Texts of one family share very many shingles with nearly the same members, and each tree needs their points. Every
+    pair that meets in one of ``trees`` (tree, n, first) meets in one of the result; a set is never in more trees than before.
+    """
+    apart = trees.groupBy("first").agg(F.sum(F.col("n") * F.col("n")).alias("_apart"), F.min("tree").alias("_tree"))
+    whole = members.join(trees.select("tree", "first"), "tree").select("first", "set").distinct().groupBy("first").agg(F.count(F.lit(1)).alias("_all"))
+    one = apart.join(whole, "first").where("_all * _all <= _apart").select("first", "_tree")
+    names = trees.join(one, "first", "left").select("tree", F.coalesce("_tree", "tree").alias("_name"))
+    return members.join(names, "tree").select(F.col("_name").alias("tree"), "set", "component").distinct()
+
+
 def tree_links(docs: DataFrame, members: DataFrame, points: DataFrame, done: DataFrame, shared: frozenset) -> DataFrame:
     """Links between different components of ``done`` (node, root) under one shingle, beyond those with the centre.
 
@@ -427,10 +441,11 @@ def tree_links(docs: DataFrame, members: DataFrame, points: DataFrame, done: Dat
     named = members.join(done, F.col("set") == F.col("node"), "left").select("shingle", "set", F.coalesce("root", "set").alias("component"))
     trees = named.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("_n"), F.min("component").alias("_a"), F.max("component").alias("_b"),
-        F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("_sum"), F.bit_xor(F.xxhash64("set", F.lit(1))).alias("_xor"))
-    trees = trees.where("_n > 2 AND _a <> _b").groupBy("_n", "_sum", "_xor").agg(F.min("shingle").alias("tree"))  # equal trees are one
-    members = named.join(trees.select("tree"), F.col("shingle") == F.col("tree")).select("tree", "set", "component")
-    members = stored(members.join(points.select("set", "n"), "set"), "open")
+        F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("_sum"), F.bit_xor(F.xxhash64("set", F.lit(1))).alias("_xor"), F.min("set").alias("first"))
+    trees = trees.where("_n > 2 AND _a <> _b").groupBy("first", F.col("_n").alias("n"), "_sum", "_xor").agg(F.min("shingle").alias("tree"))  # equal trees are one
+    trees = stored(trees.select("tree", "n", "first"), "trees")
+    members = stored(named.join(trees.select("tree"), F.col("shingle") == F.col("tree")).select("tree", "set", "component"), "in-trees")
+    members = stored(merged_trees(members, trees).join(points.select("set", "n"), "set"), "open")
     near = components(in_tiles(members, points), "near")
     near = near.select(F.col("node").alias("set"), F.col("root").alias("tree")).unionAll(
         near.select(F.col("root").alias("set"), F.col("root").alias("tree")).distinct())
@@ -447,17 +462,18 @@ def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         read = read.withColumn("set", F.when((F.col("n") > 0) & F.col("set").isin(*double), F.col("also")).otherwise(F.col("set")))
     of = read.where("n >= 0").select("doc_id", "set", "n")
     held = Round("members")
-    rows = held.store(prefixes(docs, frequent_shingles(read), double))
-    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("shingle")
+    rows = held.store(prefixes(docs, frequent_shingles(read), double)).repartition("shingle")  # one shuffle serves count and join
+    shared = rows.groupBy("shingle").agg(F.min("set").alias("_a"), F.max("set").alias("_b")).where("_a <> _b").select("shingle")
     members = held.store(rows.join(shared, "shingle").distinct())
     sizes = members.groupBy("set").agg(F.count(F.lit(1)).alias("held")).join(
         of.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n")), "set")
     points = stored(read.where("point IS NOT NULL").select("set", "point").join(sizes, "set").dropDuplicates(["set"]), "points")
     alone = F.col("n") - F.ceil(4 * F.col("n") / F.lit(5)) + 1 - F.col("held")  # first shingles that no other set has
-    central = members.join(points.select("set", alone.alias("alone")), "set")
-    centre = central.groupBy("shingle").agg(F.min(F.struct("alone", "set"))["set"].alias("a"))
-    star = members.join(centre, "shingle").where("set <> a").select("a", F.col("set").alias("b")).distinct()
-    star = stored(bounded(star, points), "star")
+    central = members.join(points.select("set", "n", alone.alias("alone")), "set").repartition("shingle")
+    centre = central.groupBy("shingle").agg(F.min(F.struct("alone", "set", "n")).alias("_c"))
+    star = central.join(centre, "shingle").where(F.struct("alone", "set", "n") != F.col("_c"))
+    star = star.where(5 * F.least("n", "_c.n") >= 4 * F.greatest("n", "_c.n"))  # before points are sent
+    star = stored(bounded(star.select(F.col("_c.set").alias("a"), F.col("set").alias("b")).distinct(), points), "star")
     wanted = star.select(F.col("a").alias("set")).unionAll(star.select(F.col("b").alias("set")))
     links = stored(verified(star, full_sets(docs, points, wanted, double)), "star-links")
     found = components(links)
