@@ -265,6 +265,24 @@ def test_packing_takes_any_tokenizer_file(documents, name):
     assert packing._loaded[path][1] == (name == "word_bpe_49k.json")
 
 
+@pytest.mark.parametrize("make", [
+    jaccard_join.read_sets, lambda docs: jaccard_join.prefixes(docs, np.zeros(0, np.uint64)),
+    lambda docs: quality_rules.count_texts(docs, ["doc_id"], "source"),
+    lambda docs: quality_classifier.score(docs, {"dictionaries": (b"bad", b"good"), "weights": [0.0, 1.0, 1.0]})])
+def test_workers_drop_what_packing_remembered(clashing, make, monkeypatch):
+    """Workers serve one operator after another: words and tokenizer would stay beside the memory of the next."""
+    import public_tokenizers
+    path, taken = public_tokenizers.path("word_bpe_49k.json"), []
+    monkeypatch.setattr(type(clashing), "mapInArrow", lambda self, f, schema: taken.append((self, f)) or self)
+    make(clashing)
+    rows, f = taken[-1]
+    list(packing.encode_texts(["some words"], path))
+    packing.begin()  # the tasks of one operator share them
+    assert {"some", "words"} <= packing._known[path].keys() and path in packing._loaded
+    assert sum(b.num_rows for b in f(iter(rows.toArrow().to_batches())))
+    assert not packing._known and not packing._loaded
+
+
 def plain_bins(pieces, capacity):
     """Greedy pairs of large pieces and best fit of small ones, a piece at a time; the lengths in each sequence."""
     left, bins = sorted((n for n in pieces if 3 * n > capacity), reverse=True), []

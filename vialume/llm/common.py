@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +11,26 @@ from vialume.session import remove_path, scratch_path
 #: Words are runs of characters other than these.
 SPACE = r"\x20\x09-\x0D"
 
+#: What operators remember in this Python worker beyond a task.
+_caches: list[dict] = []
+
+
+def worker_cache() -> dict:
+    """A new cache of a Python worker; ``keep_only`` empties it when the worker goes on to another operator."""
+    _caches.append(made := {})
+    return made
+
+
+def keep_only(*own: dict) -> None:
+    """Where an Arrow function begins: what other operators remember in this worker goes, and what the last task's batches took.
+
+    Spark uses a worker again for whatever comes next, so all that would lie beside this operator's own memory.
+    """
+    for cache in _caches:
+        if not any(cache is c for c in own):
+            cache.clear()
+    pa.default_memory_pool().release_unused()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

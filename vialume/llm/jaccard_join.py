@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialume.llm.common import Round, stored, table
+from vialume.llm.common import Round, keep_only, stored, table
 from vialume.llm.components import components
 from vialume.llm.textkernel import mix, text_windows
 
@@ -94,6 +94,7 @@ def read_sets(docs: DataFrame) -> DataFrame:
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in by_bytes(batches, 1):
             ids, also, sizes, every, points = *(np.zeros(batch.num_rows, np.int64) for _ in range(3)), [], []
             seen = set()
@@ -148,6 +149,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, named: frozenset = frozenset
     """Rows (shingle, set): the first shingles of each set; of equal sets in a batch only one is read."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in by_bytes(batches, 0):
             shingles, ids, seen = [], [], set()
             for _, s in text_windows(batch.column(0)):
@@ -187,6 +189,7 @@ def full_sets(docs: DataFrame, named: DataFrame, wanted: DataFrame, shared: froz
     texts = sieved(docs, ids).join(ids, F.col("doc_id").eqNullSafe(F.col("_named"))).select("set", "text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         seen = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -389,6 +392,7 @@ def in_tiles(members: DataFrame, points: DataFrame, sets: DataFrame | None = Non
         dealt = dealt.join(sets, "set")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         held: list[pa.RecordBatch] = []
         now, results = None, []
 

@@ -1,7 +1,7 @@
 """Packing of token sequences: pairs of large pieces first, then best fit for the small ones.
 
-Texts become token ids (a cache of words per Python worker in front of the tokenizer), each closed by
-a separator; documents beyond the capacity are cut. What goes with what is planned on the
+Texts become token ids (a cache of words per Python worker in front of the tokenizer, until the worker serves another
+operator), each closed by a separator; documents beyond the capacity are cut. What goes with what is planned on the
 counts of pieces by length, at most one row for each length up to the capacity, so the plan's size
 depends on the capacity alone. Pieces above a third of the capacity are matched greedily, the
 longest with the longest that still fits, at most two in a sequence; shorter pieces, longest first,
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialume.llm.common import gapless, stored, table
+from vialume.llm.common import gapless, keep_only, stored, table, worker_cache
 
 QUERY = "op10_best_fit_packing"
 CAPACITY = 2048
@@ -37,8 +37,8 @@ SEPARATOR = 0
 REMEMBERED = 800_000
 PLAN = "length long, rank_from long, rank_to long, bin_from long, bins long, place long"
 
-_known: dict[str, dict[str, bytes]] = {}
-_loaded: dict[str, object] = {}
+_known: dict[str, dict[str, bytes]] = worker_cache()
+_loaded: dict[str, object] = worker_cache()
 #: The tokenizer splits at all of these at least, so words between them can be encoded alone.
 _RUNS = re.compile(r"[^ \t\n\r]+")
 #: Texts without other characters need no composition, and lower case means the same to Python and tokenizer.
@@ -111,6 +111,10 @@ def encode_texts(texts: list[str | None], tokenizer: str) -> Iterator[bytes]:
         yield b"".join(map(known.__getitem__, words))
 
 
+def begin() -> None:
+    keep_only(_known, _loaded)
+
+
 def token_pieces(docs: DataFrame, doc_id: str = "doc_id", tokenizer: str | None = None,
                  capacity: int = CAPACITY, separator: int = SEPARATOR) -> DataFrame:
     """Pieces of at most ``capacity`` ids: doc_id, piece, start, length and checksum of the ids."""
@@ -118,6 +122,7 @@ def token_pieces(docs: DataFrame, doc_id: str = "doc_id", tokenizer: str | None
     end = np.array([separator], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

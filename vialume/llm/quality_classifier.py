@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialume.llm.common import smallest_hashes, stored, table, text_or_empty
+from vialume.llm.common import keep_only, smallest_hashes, stored, table, text_or_empty
 
 QUERY = "op9_quality_classifier"
 SAMPLE = 2000
@@ -66,6 +66,7 @@ def build_dictionary(sample: DataFrame, texts: int) -> bytes:
     each = max(512, DICTIONARY // max(1, texts))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             pieces = [spread_pieces(t.as_py().encode(), each) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pieces, pa.binary())], names=["doc_id", "piece"])
@@ -131,6 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     held = rows.where(" OR ".join(f"_fold = {folds[q][1]} AND quality = {q}" for q in (0, 1))).select("quality", "text")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         both = Sizes(dictionaries)
         for batch in batches:
             x = [both.features(t.as_py()) for t in batch.column(1)]
@@ -150,6 +152,7 @@ def score(docs: DataFrame, model: dict, name: str = "score") -> DataFrame:
     at = kept.index("text")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         sizes, w = Sizes(model["dictionaries"]), model["weights"]
         for batch in batches:
             x = np.array([sizes.features(t.as_py()) for t in batch.column(at)]).reshape(-1, 2)

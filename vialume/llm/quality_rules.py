@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialume.llm.common import stored, table
+from vialume.llm.common import keep_only, stored, table
 from vialume.llm.textkernel import Words, buffers, chunks, run_hashes, windows
 
 QUERY = "op4_quality_rules"
@@ -83,6 +83,7 @@ def count_texts(docs: DataFrame, keep: list[str], host: str) -> DataFrame:
         slim = docs.select(row, F.col(host).alias("host"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for batch in batches:
             counts = text_counts(batch.column(2) if within is None else batch.column(0).field(within))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(counts[c]) for c in COUNTS)], names=["row", "host", *COUNTS])
