@@ -1,8 +1,12 @@
 import datetime as dt
 import random
+import threading
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from vialume.config import FEATURES
@@ -102,6 +106,38 @@ def test_search_reports_every_setting(spark, samples):
     assert ml.best_params(found) == {"trees": best.num_trees, "depth": 2}
 
 
+def test_a_search_measures_what_a_cross_validator_measures(spark, samples):
+    """The same folds, fits, means and choice, whatever order the fits end in."""
+    rows, learner = samples.persist(), ml.forest(seed=7)
+    grid = ParamGridBuilder().addGrid(learner.numTrees, [1, 4]).addGrid(learner.maxDepth, [1, 3]).build()
+    parts = Pipeline(stages=[ml.label_indexer(), ml.feature_assembler(), learner])
+    setting = {"estimator": parts, "estimatorParamMaps": grid, "numFolds": 3, "seed": 5, "parallelism": 4,
+               "evaluator": MulticlassClassificationEvaluator(metricName="accuracy")}
+    ours, plain = ml.FoldSearch(**setting), CrossValidator(**setting)
+    ours._resetUid(plain.uid)
+    got, want = ours.fit(rows), plain.fit(rows)
+    assert got.avgMetrics == want.avgMetrics and got.stdMetrics == want.stdMetrics and len(set(got.avgMetrics)) > 1
+    assert ml.best_params(got) == ml.best_params(want)
+    assert got.bestModel.stages[-1].toDebugString == want.bestModel.stages[-1].toDebugString.replace(
+        want.bestModel.stages[-1].uid, got.bestModel.stages[-1].uid)
+    rows.unpersist()
+
+
+def test_a_fold_does_not_wait_for_the_fold_before(spark, samples, monkeypatch):
+    """One setting and two folds: both fits run at the same time."""
+    plain, both, begun = Pipeline.fit, threading.Barrier(2), []
+
+    def fit(self, dataset, params=None):
+        begun.append(params)
+        if len(begun) <= 2:
+            both.wait(60)
+        return plain(self, dataset, params)
+
+    monkeypatch.setattr(Pipeline, "fit", fit)
+    ml.cross_validate(samples, trees=(2,), depths=(2,), folds=2)
+    assert len(begun) == 3 and not both.broken
+
+
 def test_a_fit_is_dealt_to_the_cores(spark):
     """Rows of one small file fill one task; a fit of many rows takes more, one of few rows stays as it is."""
     rows = spark.range(3 * ml.FIT_ROWS).coalesce(1)
