@@ -1,9 +1,11 @@
+import hashlib
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from vialume.operators import catalog, history
+from vialume.plans import labels as plans
 from vialume.sources import frames as frame_files
 from vialume.sources import labels as files
 
@@ -178,3 +180,30 @@ def test_headers_in_any_order_with_quotes_marks_and_more_columns(spark, tmp_path
     got = {r.filename: r for r in files.read_labels(spark, str(tmp_path)).collect()}
     assert {f: (r.estado, r.hour, r.note, r.fecha) for f, r in got.items()} == {
         "a,1.jpg": ("FLUIDO", "5", None, "20240101"), "b.jpg": ("DENSO", None, None, "20240101"), "c.jpg": ("COLAPSO", None, "x, y", "20240102")}
+
+
+def test_frames_lie_in_their_day_folders(spark, tmp_path):
+    """One file for each name, whatever the number of rows with it, and no folder for each frame."""
+    rows = [(f"2024010{1 + i % 3}", f"f{i:04d}.jpg", bytes([i % 256]) * (i + 1)) for i in range(300)] + [("20240101", "twice.jpg", b"a\n")] * 3
+    df = spark.createDataFrame(rows, "fecha string, filename string, content binary")
+    for root in (str(tmp_path / "plain"), f"file://{tmp_path}/uri"):
+        for _ in range(2):  # a second attempt leaves the same files
+            assert frame_files.write_frames(df.repartition(7), root) == 301
+        found = {(r.fecha, r.filename): bytes(r.content) for r in frame_files.read_frames(spark, root).collect()}
+        assert found == {(d, n): c for d, n, c in rows[:300]} | {("20240101", "twice.jpg"): b"a\n" * 3}
+        assert frame_files.list_frames(spark, root).count() == 301
+    assert sorted(p.relative_to(tmp_path / "uri").as_posix() for p in (tmp_path / "uri").rglob("*") if p.is_dir()) == [
+        x for d in "123" for x in (f"2024010{d}", f"2024010{d}/frames")]
+    assert len([p for p in (tmp_path / "uri").rglob("*") if p.is_file()]) == 301
+    assert frame_files.write_frames(df.limit(0), str(tmp_path / "none")) == 0
+
+
+def test_frame_files_makes_a_folder_for_a_day_not_for_a_frame(spark, tmp_path, monkeypatch):
+    """Null texts, repeated numbers and numbers that are missing."""
+    spark.createDataFrame([(1, "x"), (2, None), (2, None), (31, "y\nz"), (None, "w")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(plans, "scratch_path", lambda *_: str(tmp_path / "frames"))
+    got = {(r.fecha, r.filename, r.md5, r.even) for r in plans.frame_files(spark, str(tmp_path)).collect()}
+    hashed = lambda text: hashlib.md5(text).hexdigest()
+    assert got == {("20240102", "frame_0000000001.jpg", hashed(b"x\n"), False), ("20240103", "frame_0000000002.jpg", hashed(b"\n" * 4), True),
+                   ("20240104", "frame_0000000031.jpg", hashed(b"y\nz\n"), False)}
+    assert len([p for p in (tmp_path / "frames").rglob("*") if p.is_dir()]) == 6

@@ -218,21 +218,14 @@ def parse_frame_meta(spark, sf_dir):
     return files.parse_meta(texts).select("stem", "timestamp", "hour", "weekday_name", "is_rush_hour")
 
 
-FILES_IN_A_TASK = 500
-
-
 @query("A5", f"""WITH {s.FRAMES} SELECT fra.fecha, fra.filename, md5(coalesce(text, '') || chr(10)) AS md5, fra.filename IN (SELECT filename FROM fra WHERE doc_id % 2 = 0) AS even
   FROM fra JOIN documents USING (doc_id)""")
 def frame_files(spark, sf_dir):
     """Frames as files in day folders: found by name, and read for their hash."""
     root = scratch_path(spark, "frames")
-    rows = s.frames(spark, sf_dir).join(s.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("value")), "doc_id")
-    rows = rows.withColumn("file", F.regexp_replace("filename", r"\.jpg$", ""))
-    tasks = max(1, -(-rows.count() // FILES_IN_A_TASK))  # a day has many files; each task puts its own where they belong
-    files_of = rows.select("fecha", "file", "value").repartition(tasks, "fecha", "file").write.partitionBy("fecha", "file")
-    files_of.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(root)
-    read = frames_of.read_frames(spark, root, pattern="fecha=*/file=*", glob="*.txt", name=r"file=([^/]+)/")
-    found = read.select("fecha", F.concat("filename", F.lit(".jpg")).alias("filename"), F.md5("content").alias("md5"))
-    listed = frames_of.list_frames(spark, root, "fecha=*/file=*", "*.txt", r"file=([^/]+)/").select(F.concat("filename", F.lit(".jpg")).alias("filename"))
+    texts = s.table(spark, sf_dir, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit("\n")).cast("binary").alias("content"))
+    frames_of.write_frames(s.frames(spark, sf_dir).join(texts, "doc_id"), root)
+    found = frames_of.read_frames(spark, root).select("fecha", "filename", F.md5("content").alias("md5"))
+    listed = frames_of.list_frames(spark, root).select("filename")
     even = listed.where(F.regexp_extract("filename", r"(\d)\.jpg$", 1).cast("int") % 2 == 0).withColumn("even", F.lit(True))
     return found.join(even, "filename", "left").select("fecha", "filename", "md5", F.coalesce("even", F.lit(False)).alias("even"))
