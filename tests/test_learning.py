@@ -1,9 +1,11 @@
 import datetime as dt
 import random
 import threading
+from types import SimpleNamespace
 
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -138,6 +140,46 @@ def test_a_fold_does_not_wait_for_the_fold_before(spark, samples, monkeypatch):
     assert len(begun) == 3 and not both.broken
 
 
+def test_trees_in_groups_make_one_forest(spark, samples, tmp_path, monkeypatch):
+    """Many rows: no fit holds more rows times trees than allowed; the forest has all trees, all unlike, and is stored and read as others are."""
+    sizes, plain = [], RandomForestClassifier._fit
+
+    def fit(self, dataset):
+        sizes.append((self.getNumTrees(), self.getSeed()))
+        return plain(self, dataset)
+
+    monkeypatch.setattr(RandomForestClassifier, "_fit", fit)
+    monkeypatch.setattr(ml.GroupedForest, "pairs", 240 * 6)
+    model = ml.refit(samples, {"trees": 20, "depth": 5}, str(tmp_path / "model"))
+    assert [n for n, _ in sizes] == [5, 5, 5, 5] and len({seed for _, seed in sizes}) == 4
+    forest = model.stages[-1]
+    assert forest.getNumTrees == 20 and len({t.toDebugString.split("\n", 1)[1] for t in forest.trees}) > 15
+    assert sum(forest.featureImportances.toArray()) == pytest.approx(1)
+    loaded = ml.load_model(str(tmp_path / "model"))
+    assert loaded.stages[-1].getNumTrees == 20 and ml.best_params(SimpleNamespace(bestModel=loaded)) == {"trees": 20, "depth": 5}
+    order = ["fecha", *FEATURES]
+    got, again = (m.transform(samples).select(*order, vector_to_array("probability").alias("p")).orderBy(*order).collect() for m in (model, loaded))
+    assert got == again
+    assert ml.evaluate(loaded, samples)["accuracy"] > 0.8
+    sizes.clear()
+    monkeypatch.setattr(ml.GroupedForest, "pairs", 240 * 20)
+    ml.fit(samples, trees=20, depth=5)
+    assert sizes == [(20, ml.SEED)]
+
+
+@pytest.mark.parametrize(("parts", "most", "want"), [(8, 100, 8), (40, 100, 20), (3, 100, 20), (40, 5_000, 1)])
+def test_many_rows_are_not_dealt_again(spark, monkeypatch, parts, most, want):
+    """Rows that lie in enough tasks stay where they are, in too many are put together; few rows and few tasks are dealt as ever."""
+    monkeypatch.setattr(ml, "FIT_ROWS_MOST", most)
+    rows = spark.range(0, 2_000, numPartitions=parts).withColumn("x", F.rand(1))
+    with ml.kept_rows(rows) as kept:
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" in plan and kept.distinct().count() == 2_000
+        assert ("RoundRobin" in plan) == (parts < 8)
+        assert want == 1 or kept.rdd.getNumPartitions() == want
+    assert not rows.is_cached
+
+
 def test_a_fit_is_dealt_to_the_cores(spark):
     """Rows of one small file fill one task; a fit of many rows takes more, one of few rows stays as it is."""
     rows = spark.range(3 * ml.FIT_ROWS).coalesce(1)
